@@ -38,12 +38,19 @@ RETENTION_SUGGESTION = "Investigate top lost clients and run retention offers."
 
 def quarter_index(df: DataFrame, col: str = "Quarter") -> DataFrame:
     """Distinct labels with their observed neighbours: ``(Quarter, before,
-    after, qi)``. Consecutive means consecutive among labels present in the
+    after, qi, quarter_total)``. Consecutive means consecutive among labels present in the
     data (a quarter with no rows is skipped), as in the reference."""
-    q = df.select(col).where(F.col(col).isNotNull()).distinct()
+    if "Revenue" in df.columns:
+        # carrying the quarter total keeps this branch's input identical to
+        # the caller's, so Spark reuses the scan/shuffle below it
+        q = df.where(F.col(col).isNotNull()).groupBy(col).agg(
+            F.sum("Revenue").alias("quarter_total"))
+    else:
+        q = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn(
+            "quarter_total", F.lit(None).cast("decimal(38,2)"))
     w = Window.orderBy(col)  # tiny: bounded by the calendar, see module doc
     idx = q.select(
-        F.col(col),
+        F.col(col), "quarter_total",
         F.lag(col).over(w).alias("before"),
         F.lead(col).over(w).alias("after"),
         (F.row_number().over(w) - 1).alias("qi"),
@@ -51,7 +58,7 @@ def quarter_index(df: DataFrame, col: str = "Quarter") -> DataFrame:
     guarded = F.when(F.col("qi") >= MAX_QUARTER_LABELS,
                      F.raise_error(F.lit("too many quarter labels to broadcast"))
                      ).otherwise(F.col(col))
-    return idx.select(guarded.alias(col), "before", "after", "qi")
+    return idx.select(guarded.alias(col), "before", "after", "qi", "quarter_total")
 
 
 def quarter_pairs(df: DataFrame) -> DataFrame:
@@ -63,14 +70,13 @@ def quarter_pairs(df: DataFrame) -> DataFrame:
         F.col("after").alias("curr_quarter"))
 
 
-def period_compare(df: DataFrame, client_col: str = "ClientID") -> DataFrame:
-    """W1 / J1 for all pairs: ``(client, prev_quarter, curr_quarter,
-    prev_revenue, curr_revenue)`` for every client with a row in either
-    quarter of each consecutive pair. Accepts raw rows or A3 output."""
-    df = drop_null_keys(with_quarter(df), [client_col, "Quarter"])
-    rtype = df.schema["Revenue"].dataType
-    idx = quarter_index(df)
-    x = df.select(client_col, "Quarter", "Revenue").join(F.broadcast(idx), "Quarter")
+def _aligned(df: DataFrame, client_col: str) -> tuple[DataFrame, DataFrame]:
+    # A3 first: both the index and the alignment read this one aggregate, so
+    # the scan and any shuffle under it are planned once and reused.
+    cq = client_quarterly_long(df, client_col)
+    rtype = cq.schema["Revenue"].dataType
+    idx = quarter_index(cq)
+    x = cq.join(F.broadcast(idx.drop("quarter_total", "qi")), "Quarter")
     none = F.lit(None).cast(rtype)
     sides = F.explode(F.array(
         F.struct(F.col("Quarter").alias("pq"), F.col("after").alias("cq"),
@@ -81,10 +87,22 @@ def period_compare(df: DataFrame, client_col: str = "ClientID") -> DataFrame:
     y = (x.select(client_col, sides.alias("e"))
           .select(client_col, "e.*")
           .where(F.col("pq").isNotNull() & F.col("cq").isNotNull()))
-    return y.groupBy(client_col, F.col("pq").alias("prev_quarter"),
-                     F.col("cq").alias("curr_quarter")).agg(
+    al = y.groupBy(client_col, F.col("pq").alias("prev_quarter"),
+                   F.col("cq").alias("curr_quarter")).agg(
         F.coalesce(F.sum("p"), F.lit(0)).alias("prev_revenue"),
         F.coalesce(F.sum("c"), F.lit(0)).alias("curr_revenue"))
+    return al, idx
+
+
+def period_compare(df: DataFrame, client_col: str = "ClientID") -> DataFrame:
+    """W1 / J1 for all pairs: ``(client, prev_quarter, curr_quarter,
+    prev_revenue, curr_revenue)`` for every client with a row in either
+    quarter of each consecutive pair. Accepts raw rows or A3 output.
+
+    On a cluster the revenue rows arrive hash-partitioned by client (the
+    orders ⋈ customer shuffle); A3 and the pair aggregation both cluster on
+    the client, so Spark adds no further shuffle of the large side."""
+    return _aligned(df, client_col)[0]
 
 
 def churn_predicates(mode: str = CORE, p: str = "prev_revenue",
@@ -103,16 +121,22 @@ def churn_predicates(mode: str = CORE, p: str = "prev_revenue",
 def churn_counts(df: DataFrame, mode: str = CORE, client_col: str = "ClientID") -> DataFrame:
     """Per consecutive pair — lost and new counts, lost and gained
     revenue, and both period totals."""
-    al = period_compare(df, client_col)
+    al, idx = _aligned(df, client_col)
     lost, new = churn_predicates(mode)
-    return al.groupBy("prev_quarter", "curr_quarter").agg(
+    counts = al.groupBy("prev_quarter", "curr_quarter").agg(
         F.count_if(lost).alias("lost_customers"),
         F.count_if(new).alias("new_customers"),
         money_sum(F.when(lost, F.col("prev_revenue"))).alias("revenue_loss"),
         money_sum(F.when(new, F.col("curr_revenue"))).alias("revenue_gain"),
-        money_sum("prev_revenue").alias("total_prev_revenue"),
-        money_sum("curr_revenue").alias("total_curr_revenue"),
     )
+    # period totals are the quarter totals the index already holds
+    w = Window.orderBy("Quarter")
+    totals = idx.select(
+        F.col("Quarter").alias("prev_quarter"), F.col("after").alias("curr_quarter"),
+        F.coalesce(F.col("quarter_total"), F.lit(0)).cast("double").alias("total_prev_revenue"),
+        F.coalesce(F.lead("quarter_total").over(w), F.lit(0)).cast("double").alias("total_curr_revenue"),
+    ).where(F.col("curr_quarter").isNotNull())
+    return counts.join(F.broadcast(totals), ["prev_quarter", "curr_quarter"])
 
 
 def churn_rows(df: DataFrame, mode: str = TOOLS, client_col: str = "ClientID") -> DataFrame:
