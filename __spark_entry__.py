@@ -12,10 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qtrlens.functions import columns as FN
 from qtrlens.operators import churn as CH
+from qtrlens.operators import events as EV
 from qtrlens.operators import revenue as RV
-from qtrlens.session import apply_conf
-from qtrlens.sources.tables import REVENUE_VIEW_SQL, revenue_view
+from qtrlens.operators import text as TX
+from qtrlens.operators import validate as VA
+from qtrlens.session import apply_conf, scratch_path
+from qtrlens.sources import chunks as CK
+from qtrlens.sources import readers as RD
+from qtrlens.sources import sinks as SK
+from qtrlens.sources.tables import REVENUE_VIEW_SQL, load, revenue_view
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -270,6 +277,7 @@ cc AS (SELECT prev_quarter || '->' || curr_quarter AS period,
        FROM al GROUP BY 1)
 SELECT period, 'revenue_loss' AS type, revenue_loss AS amount FROM cc
 UNION ALL SELECT period, 'revenue_gain', revenue_gain FROM cc""")
+    _more(q)
     return q
 
 
@@ -286,3 +294,322 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in _registry().items() if v[1] is not None}
+
+
+# ------------------------------------------------------------------ more keys
+PACK_TEMPLATE = "Summarize the following conversation turns:"
+PACK_LIMIT = 400
+CHUNK = 1000
+_TOK_RE = r"[\p{L}\p{N}_]+"
+_BUCKET_SQL = "CAST(('0x' || right(md5(tok), 4)) AS INTEGER) % 64"
+_DIRTY_REV = _REV.replace("r.r_name AS Region",
+                          "CASE WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE r.r_name END AS Region")
+_EXACT_TOTALS = """
+SELECT abs(a - b) <= greatest(1e-6, 1e-12 * greatest(abs(a), abs(b))) AS ok, a AS {a}, b AS {b}{extra} FROM t"""
+_EMBED_TPL = """
+@n_tok AS (SELECT @id AS id, unnest(regexp_extract_all(lower(text), '""" + _TOK_RE + """')) AS tok FROM @t),
+@n_cnt AS (SELECT id, """ + _BUCKET_SQL + """ AS bucket, CAST(count(*) AS DOUBLE) AS c FROM @n_tok GROUP BY ALL),
+@n AS (SELECT id, bucket, c / sqrt(sum(c * c) OVER (PARTITION BY id)) AS weight FROM @n_cnt)"""
+
+
+class _Embed:
+    @staticmethod
+    def format(name, id, table):
+        return _EMBED_TPL.replace("@n", name).replace("@id", id).replace("@t", table)
+
+
+_EMBED_SQL = _Embed
+
+
+def _raw_rev(spark, d):
+    """The revenue view as text, with data-derived defects: an impossible
+    date on partially filled orders and unreadable revenue on low-priority
+    ones (every row is kept)."""
+    rev = revenue_view(spark, d, keep=("o_orderstatus", "o_orderpriority"))
+    return rev.select(
+        F.col("ClientID").cast("string").alias("ClientID"), "Region", "Country",
+        F.when(F.col("o_orderstatus") == "P", F.lit("2024-13-01"))
+         .otherwise(F.date_format("Date", "yyyy-MM-dd")).alias("Date"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("n/a"))
+         .otherwise(F.col("Revenue").cast("string")).alias("Revenue"))
+
+
+_RAW_REV_SQL = _REV.replace("o.o_custkey AS ClientID,", "o.o_custkey AS ClientID, o.o_orderstatus, o.o_orderpriority,") + """,
+raw AS (SELECT CAST(ClientID AS VARCHAR) AS ClientID, Region, Country,
+               CASE WHEN o_orderstatus = 'P' THEN '2024-13-01' ELSE strftime(Date, '%Y-%m-%d') END AS Date,
+               CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a' ELSE CAST(Revenue AS VARCHAR) END AS Revenue
+        FROM rev)"""
+
+
+def _csv_roundtrip(spark, d):
+    """The revenue view written as a CSV file set, read back as text and
+    typed again. The file set lives under the shared checkpoint folder."""
+    path = scratch_path(spark, "rev-csv")
+    rev = revenue_view(spark, d)
+    SK.write_csv(rev.select("ClientID", "Region", "Country", F.date_format("Date", "yyyy-MM-dd").alias("Date"),
+                            F.col("Revenue").cast("string").alias("Revenue")), path)
+    good, _rej = RD.read_revenue_csv(spark, path)
+    return good.select(F.col("ClientID").cast("long").alias("ClientID"), "Region", "Country", "Date",
+                       F.col("Revenue").cast("double").alias("Revenue"))
+
+
+def _wide(spark, d):
+    """S5 input: the revenue view pivoted to one column per month start."""
+    rev = revenue_view(spark, d).withColumn("m", F.date_format(F.trunc("Date", "month"), "yyyy-MM-dd"))
+    months = RV.quarter_labels(rev, "m")      # bounded by the calendar
+    wide = rev.groupBy("ClientID", "Country", "Region").pivot("m", months).agg(F.sum("Revenue"))
+    return wide.withColumnRenamed("ClientID", "Customer Name")
+
+
+def _more(q):
+    # ---- V1–V5, V7
+    q["totals_match"] = (
+        lambda s, d: VA.totals_match(_rev(s, d), RV.aggregate_by_quarter_region(_rev(s, d))),
+        _REVQ + """,
+agg AS (SELECT Quarter, Region, Country, CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue FROM revq GROUP BY ALL),
+t AS (SELECT CAST((SELECT SUM(CAST(Revenue AS DECIMAL(38,6))) FROM rev) AS DOUBLE) AS a,
+             CAST((SELECT SUM(CAST(TotalRevenue AS DECIMAL(38,6))) FROM agg) AS DOUBLE) AS b)""" +
+        _EXACT_TOTALS.format(a="input_total", b="agg_total",
+                             extra=", CASE WHEN abs(a - b) <= greatest(1e-6, 1e-12 * greatest(abs(a), abs(b))) "
+                                   "THEN 'Totals match' ELSE 'mismatch' END AS message"))
+    q["validate_quarterly"] = (
+        lambda s, d: VA.validate_quarterly(_dirty_rev(s, d), RV.group_by_quarter(_dirty_rev(s, d))),
+        _DIRTY_REV + """,
+agg AS (SELECT 'Q' || CAST(quarter(Date) AS VARCHAR) AS Quarter, Region, Country,
+               CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue FROM rev WHERE Region IS NOT NULL GROUP BY ALL),
+t AS (SELECT CAST((SELECT SUM(CAST(Revenue AS DECIMAL(38,6))) FROM rev) AS DOUBLE) AS a,
+             CAST((SELECT SUM(CAST(TotalRevenue AS DECIMAL(38,6))) FROM agg) AS DOUBLE) AS b)""" +
+        _EXACT_TOTALS.format(a="total_original", b="total_aggregated", extra=", a - b AS difference"))
+    q["churn_sane"] = (
+        lambda s, d: VA.churn_sane(CH.churn_counts(_rev(s, d), mode=CH.TOOLS)),
+        _CQ + f""",
+cc AS (SELECT SUM(CASE WHEN {_TOOLS_LOST} THEN prev_revenue END) AS loss,
+              SUM(CASE WHEN {_TOOLS_NEW} THEN curr_revenue END) AS gain FROM al GROUP BY prev_quarter, curr_quarter)
+SELECT COALESCE(bool_and(COALESCE(loss, 0) >= 0 AND COALESCE(gain, 0) >= 0), true) AS ok,
+       CASE WHEN COALESCE(bool_and(COALESCE(loss, 0) >= 0 AND COALESCE(gain, 0) >= 0), true)
+            THEN 'Churn report sane' ELSE 'Negative revenue in churn report' END AS message FROM cc""")
+    q["churn_reconciles"] = (
+        lambda s, d: VA.churn_reconciles(_rev(s, d)),
+        _CQ + """
+SELECT prev_quarter, curr_quarter, count_if(prev_revenue > 0 OR curr_revenue > 0) AS total_clients,
+       count_if(prev_revenue > 0 OR curr_revenue > 0) =
+       count_if(prev_revenue > 0 AND curr_revenue = 0) + count_if(prev_revenue = 0 AND curr_revenue > 0)
+       + count_if(prev_revenue > 0 AND curr_revenue > 0) AS reconciles
+FROM al GROUP BY prev_quarter, curr_quarter""")
+
+    def _actions(s, d):
+        checks = (VA.check_result("quarterly", VA.validate_quarterly(_dirty_rev(s, d),
+                                                                     RV.group_by_quarter(_dirty_rev(s, d))))
+                  .unionByName(VA.check_result("churn", VA.churn_reconciles(_rev(s, d)), "reconciles")))
+        return VA.validation_actions(checks)
+    q["validation_actions"] = (
+        _actions,
+        _DIRTY_REV + """,
+agg AS (SELECT 'Q' || CAST(quarter(Date) AS VARCHAR) AS Quarter, Region, Country,
+               CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue FROM rev WHERE Region IS NOT NULL GROUP BY ALL),
+t AS (SELECT CAST((SELECT SUM(CAST(Revenue AS DECIMAL(38,6))) FROM rev) AS DOUBLE) AS a,
+             CAST((SELECT SUM(CAST(TotalRevenue AS DECIMAL(38,6))) FROM agg) AS DOUBLE) AS b),
+qk AS (SELECT abs(a - b) <= greatest(1e-6, 1e-12 * greatest(abs(a), abs(b))) AS ok FROM t)
+SELECT 'retry_aggregation' AS action, 'sum mismatch' AS reason FROM qk WHERE NOT ok
+UNION ALL SELECT 'accept', 'all checks passed' FROM qk WHERE ok""")
+    q["check_row_contract"] = (
+        lambda s, d: VA.check_row_contract(_raw_rev(s, d)),
+        _RAW_REV_SQL + r"""
+SELECT *, list_filter([
+  CASE WHEN ClientID IS NULL OR trim(ClientID) = '' THEN 'ClientID:required' END,
+  CASE WHEN Region IS NULL OR trim(Region) = '' THEN 'Region:required' END,
+  CASE WHEN Country IS NULL OR trim(Country) = '' THEN 'Country:required' END,
+  CASE WHEN COALESCE(try_strptime(trim(Date), '%Y-%m-%d'), try_strptime(trim(Date), '%Y/%m/%d')) IS NULL
+       THEN 'Date:invalid' END,
+  CASE WHEN Revenue IS NULL OR NOT regexp_matches(trim(Revenue), '""" + FN.NUMBER_TEXT + r"""')
+       THEN 'Revenue:not_a_number' END], lambda x: x IS NOT NULL) AS violations
+FROM raw""")
+    q["quarantine_split"] = (
+        lambda s, d: _dbl(RD.coerce_feed(_raw_rev(s, d))[0], "Revenue"),
+        _RAW_REV_SQL + """
+SELECT ClientID, Region, Country, CAST(Date AS DATE) AS Date,
+       CAST(CASE WHEN Revenue = 'n/a' THEN 0 ELSE CAST(Revenue AS DECIMAL(18,2)) END AS DOUBLE) AS Revenue
+FROM raw WHERE Date <> '2024-13-01'""")
+
+    # ---- S1, S3, S5, S6, A14, P1, P2, P8
+    q["read_revenue_csv"] = (
+        _csv_roundtrip,
+        _REV + "\nSELECT ClientID, Region, Country, Date, CAST(Revenue AS DOUBLE) AS Revenue FROM rev")
+    q["normalize_wide"] = (
+        lambda s, d: RD.normalize_wide(_wide(s, d)),
+        _REV + """,
+m AS (SELECT DISTINCT CAST(date_trunc('month', Date) AS DATE) AS Date FROM rev),
+g AS (SELECT DISTINCT ClientID, Country, Region FROM rev),
+x AS (SELECT ClientID, CAST(date_trunc('month', Date) AS DATE) AS Date, SUM(Revenue) AS r FROM rev GROUP BY ALL)
+SELECT g.ClientID AS "Client ID", g.Country, g.Region, m.Date,
+       CAST(COALESCE(x.r, 0) AS DOUBLE) AS Revenue
+FROM g CROSS JOIN m LEFT JOIN x ON x.ClientID = g.ClientID AND x.Date = m.Date""")
+    q["normalize_columns"] = (
+        lambda s, d: RD.resolve_client_column(RD.normalize_columns(
+            load(s, d, "customer").toDF(" Client Id ", "c-name", "c nationkey", "c_acctbal", "c mktsegment"))),
+        "SELECT c_custkey AS ClientID, c_name AS cname, c_nationkey AS cnationkey, c_acctbal, "
+        "c_mktsegment AS cmktsegment FROM customer")
+    q["resolve_client_column"] = (
+        lambda s, d: RD.resolve_client_column(load(s, d, "customer").withColumnRenamed("c_custkey", "client_key")),
+        "SELECT c_custkey AS ClientID, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+    q["select_known"] = (
+        lambda s, d: _dbl(RD.select_known(revenue_view(s, d, keep=("o_orderpriority",))), "Revenue"),
+        _REV + "\nSELECT ClientID, Region, Country, Date, CAST(Revenue AS DOUBLE) AS Revenue FROM rev")
+    q["chunk_rows"] = (
+        lambda s, d: CK.chunk_rows(revenue_view(s, d, keep=("o_orderkey",)), ["o_orderkey"], CHUNK)
+                       .select("o_orderkey", "row_idx", "chunk_id"),
+        _REV.replace("o.o_custkey AS ClientID,", "o.o_orderkey, o.o_custkey AS ClientID,") + f"""
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_idx,
+       (row_number() OVER (ORDER BY o_orderkey) - 1) // {CHUNK} AS chunk_id FROM rev""")
+    q["chunk_summaries"] = (
+        lambda s, d: CK.chunk_summaries(revenue_view(s, d, keep=("o_orderkey",)), ["o_orderkey"], CHUNK),
+        _REV.replace("o.o_custkey AS ClientID,", "o.o_orderkey, o.o_custkey AS ClientID,") + f""",
+n AS (SELECT Revenue, (row_number() OVER (ORDER BY o_orderkey) - 1) // {CHUNK} AS chunk_id FROM rev)
+SELECT chunk_id, count(*) AS rows, CAST(SUM(Revenue) AS DOUBLE) AS revenue_sum FROM n GROUP BY chunk_id""")
+
+    # ---- text: P10–P14, F4, W3, W4, A15, M1–M3, J7, T2
+    q["estimate_tokens"] = (
+        lambda s, d: load(s, d, "documents").select(
+            "doc_id", FN.estimate_tokens("text").alias("tokens"), FN.truncate_text("text").alias("preview")),
+        "SELECT doc_id, greatest(1, length(text) // 4) AS tokens, CASE WHEN length(text) > 120 "
+        "THEN substring(text, 1, 120) || '...' ELSE text END AS preview FROM documents")
+    q["token_buckets"] = (
+        lambda s, d: load(s, d, "documents").select("doc_id", F.explode(FN.tokenize("text")).alias("tok"))
+                       .groupBy("doc_id", FN.hash_bucket("tok", 64).alias("bucket")).agg(
+                           F.count(F.lit(1)).alias("n")),
+        "WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '" + _TOK_RE + "')) AS tok "
+        "FROM documents)\nSELECT doc_id, " + _BUCKET_SQL + " AS bucket, count(*) AS n FROM t GROUP BY ALL")
+    q["content_key"] = (
+        lambda s, d: load(s, d, "documents").select("doc_id", FN.content_key(F.lit("embed"), "text").alias("key")),
+        "SELECT doc_id, sha256(concat_ws('|', 'embed', COALESCE(text, '<null>'))) AS key FROM documents")
+    q["token_budget_gate"] = (
+        lambda s, d: TX.token_budget_gate(load(s, d, "documents").select("doc_id", "text"), "text", 512, 2048)
+                       .drop("text"),
+        "SELECT doc_id, greatest(1, length(text) // 4) AS tokens, "
+        "greatest(1, length(text) // 4) + 512 <= 2048 AS within_budget FROM documents")
+    q["recent_notes_summary"] = (
+        lambda s, d: TX.recent_notes_summary(load(s, d, "conversations")),
+        r"""WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn
+                          FROM conversations) t WHERE rn <= 50),
+j AS (SELECT conv_id, string_agg(text, ' | ' ORDER BY turn) AS s FROM l GROUP BY conv_id),
+c AS (SELECT conv_id, CASE WHEN length(s) > 1500
+                           THEN regexp_replace(substring(s, 1, 1500), ' [^ ]*$', '') ELSE s END AS summary FROM j)
+SELECT conv_id, summary, greatest(1, length(summary) // 4) AS tokens FROM c""")
+    tpl_tok = max(1, len(PACK_TEMPLATE) // 4)
+    q["pack_by_token_budget"] = (
+        lambda s, d: TX.pack_by_token_budget(load(s, d, "conversations"), PACK_TEMPLATE, PACK_LIMIT),
+        f"""WITH RECURSIVE t AS (
+  SELECT conv_id, turn, text, greatest(1, length(text) // 4) AS tok,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations),
+r AS (SELECT conv_id, rn, tok AS cur, 0 AS chunk_no FROM t WHERE rn = 1
+      UNION ALL
+      SELECT t.conv_id, t.rn,
+             CASE WHEN r.cur + t.tok + {tpl_tok} > {PACK_LIMIT} THEN t.tok ELSE r.cur + t.tok END,
+             CASE WHEN r.cur + t.tok + {tpl_tok} > {PACK_LIMIT} THEN r.chunk_no + 1 ELSE r.chunk_no END
+      FROM r JOIN t ON t.conv_id = r.conv_id AND t.rn = r.rn + 1),
+p AS (SELECT t.conv_id, r.chunk_no, count(*) AS n_texts, SUM(t.tok) AS text_tokens,
+             '{PACK_TEMPLATE}' || chr(10) || chr(10) || string_agg(t.text, chr(10) ORDER BY t.turn) AS prompt
+      FROM t JOIN r ON t.conv_id = r.conv_id AND t.rn = r.rn GROUP BY t.conv_id, r.chunk_no)
+SELECT conv_id, CAST(chunk_no AS INTEGER) AS chunk_no, n_texts, text_tokens,
+       greatest(1, length(prompt) // 4) AS prompt_tokens, prompt FROM p""")
+    q["token_usage"] = (
+        lambda s, d: EV.token_usage(load(s, d, "conversations")),
+        "SELECT role, SUM(greatest(1, length(text) // 4)) AS tokens, count(*) AS entries "
+        "FROM conversations GROUP BY role")
+    q["embed_text"] = (
+        lambda s, d: TX.embed_text(load(s, d, "documents"), "doc_id", "text")
+                       .withColumn("weight", F.round("weight", 9)),
+        "WITH" + _EMBED_SQL.format(name="e", id="doc_id", table="documents") +
+        "\nSELECT id, bucket, round(weight, 9) AS weight FROM e")
+    q["upsert_index"] = (
+        lambda s, d: TX.upsert_index(TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
+                                     TX.embed_text(load(s, d, "benchmark"), "item_id", "text"))
+                       .withColumn("weight", F.round("weight", 9)),
+        "WITH" + _EMBED_SQL.format(name="e", id="doc_id", table="documents") + "," +
+        _EMBED_SQL.format(name="b", id="item_id", table="benchmark") + """
+SELECT id, bucket, round(weight, 9) AS weight FROM e WHERE id NOT IN (SELECT id FROM b)
+UNION ALL SELECT id, bucket, round(weight, 9) FROM b""")
+    q["similarity_pairs"] = (
+        lambda s, d: TX.similarity_pairs(TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
+                                         TX.embed_text(load(s, d, "benchmark"), "item_id", "text"))
+                       .withColumn("score", F.round("score", 6)),
+        "WITH" + _EMBED_SQL.format(name="e", id="doc_id", table="documents") + "," +
+        _EMBED_SQL.format(name="b", id="item_id", table="benchmark") + """
+SELECT b.id AS qid, e.id, round(SUM(e.weight * b.weight), 6) AS score
+FROM e JOIN b ON e.bucket = b.bucket GROUP BY b.id, e.id""")
+    q["query_index"] = (
+        lambda s, d: TX.query_index(TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
+                                    load(s, d, "benchmark"), "item_id", "text", k=5),
+        "WITH" + _EMBED_SQL.format(name="e", id="doc_id", table="documents") + "," +
+        _EMBED_SQL.format(name="b", id="item_id", table="benchmark") + """,
+pos AS (SELECT b.id AS qid, e.id, round(SUM(e.weight * b.weight), 6) AS score
+        FROM e JOIN b ON e.bucket = b.bucket GROUP BY b.id, e.id),
+fill AS (SELECT q.qid, i.id, 0.0 AS score FROM (SELECT DISTINCT id AS qid FROM b) q
+         CROSS JOIN (SELECT DISTINCT id FROM e ORDER BY id LIMIT 5) i),
+cand AS (SELECT qid, id, max(score) AS score FROM (SELECT * FROM pos UNION ALL SELECT * FROM fill) u GROUP BY ALL)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM cand) t
+WHERE rank <= 5""")
+    q["topk_similar"] = (
+        lambda s, d: TX.topk_similar(
+            TX.dense_to_sparse(load(s, d, "embeddings"), "vec_id", "embedding"),
+            TX.label_centroids(load(s, d, "embeddings"), "label", "embedding"), k=5),
+        """WITH x AS (SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS bucket
+           FROM embeddings),
+nrm AS (SELECT vec_id, sqrt(SUM(CAST(v AS DOUBLE) * CAST(v AS DOUBLE))) AS n FROM x GROUP BY vec_id),
+e AS (SELECT x.vec_id AS id, x.bucket, CAST(x.v AS DOUBLE) / CASE WHEN nrm.n = 0 THEN 1 ELSE nrm.n END AS weight
+      FROM x JOIN nrm USING (vec_id)),
+m AS (SELECT label AS id, bucket, avg(CAST(v AS DOUBLE)) AS m FROM x GROUP BY ALL),
+c AS (SELECT id, bucket, m / sqrt(SUM(m * m) OVER (PARTITION BY id)) AS weight FROM m),
+pos AS (SELECT c.id AS qid, e.id, round(SUM(e.weight * c.weight), 6) AS score
+        FROM e JOIN c ON e.bucket = c.bucket WHERE e.weight <> 0 GROUP BY c.id, e.id),
+fill AS (SELECT q.qid, i.id, 0.0 AS score FROM (SELECT DISTINCT id AS qid FROM c) q
+         CROSS JOIN (SELECT DISTINCT id FROM e WHERE weight <> 0 ORDER BY id LIMIT 5) i),
+cand AS (SELECT qid, id, max(score) AS score FROM (SELECT * FROM pos UNION ALL SELECT * FROM fill) u GROUP BY ALL)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM cand) t
+WHERE rank <= 5""")
+
+    # ---- events: A12, A13, A16, W5, W6, S13, P16, P17
+    q["step_counters"] = (
+        lambda s, d: EV.step_counters(load(s, d, "events")),
+        "SELECT event_type, count(*) AS count, SUM(value) AS total_value FROM events GROUP BY event_type")
+    q["step_timings"] = (
+        lambda s, d: EV.step_timings(load(s, d, "events")),
+        "SELECT event_type, arg_max(value, (ts, event_id)) AS latest_value, count(value) AS n, "
+        "avg(value) AS avg_value, min(value) AS min_value, max(value) AS max_value FROM events GROUP BY event_type")
+    q["run_log_summary"] = (
+        lambda s, d: EV.run_log_summary(load(s, d, "events")),
+        "SELECT user_id, arg_max(event_type, (ts, event_id)) AS last_status, count(*) AS attempts, "
+        "count_if(event_type = 'error') AS errors FROM events GROUP BY user_id")
+    q["failure_streaks"] = (
+        lambda s, d: EV.failure_streaks(load(s, d, "events")),
+        """WITH x AS (SELECT user_id, ts, event_type = 'error' AS f,
+                  SUM(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END)
+                    OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island
+           FROM events)
+SELECT user_id, island, min(ts) AS streak_start, max(ts) AS streak_end, count(*) AS failures,
+       count(*) >= 3 AS tripped FROM x WHERE f GROUP BY user_id, island""")
+    q["breaker_trips"] = (lambda s, d: EV.breaker_trips(load(s, d, "events")), None)
+    q["latest_summaries"] = (
+        lambda s, d: SK.latest_per_key(load(s, d, "events"), ["user_id"], "ts"),
+        "SELECT user_id, arg_max(event_id, (ts, event_id, event_type, value, props)) AS event_id, max(ts) AS ts, "
+        "arg_max(event_type, (ts, event_id, event_type, value, props)) AS event_type, "
+        "arg_max(value, (ts, event_id, event_type, value, props)) AS value, "
+        "arg_max(props, (ts, event_id, event_type, value, props)) AS props FROM events GROUP BY user_id")
+    q["compress_record"] = (
+        lambda s, d: FN.compress_record(CH.churn_lists(_rev(s, d))),
+        _CQ + f""",
+pg AS (SELECT prev_quarter, curr_quarter, substr(md5(CAST(ClientID AS VARCHAR)), 1, 2) AS page,
+              count_if({_TOOLS_LOST}) AS num_lost, count_if({_TOOLS_NEW}) AS num_new,
+              CAST(COALESCE(SUM(CASE WHEN {_TOOLS_LOST} THEN prev_revenue END), 0) AS DOUBLE) AS revenue_loss,
+              CAST(COALESCE(SUM(CASE WHEN {_TOOLS_NEW} THEN curr_revenue END), 0) AS DOUBLE) AS revenue_gain
+       FROM al WHERE ({_TOOLS_LOST}) OR ({_TOOLS_NEW}) GROUP BY 1, 2, 3)
+SELECT p.prev_quarter AS q_prev, p.curr_quarter AS q_curr, pg.page,
+       CAST(COALESCE(pg.num_lost, 0) AS INTEGER) AS lost_customers,
+       CAST(COALESCE(pg.num_new, 0) AS INTEGER) AS new_customers,
+       COALESCE(pg.num_lost, 0) AS num_lost, COALESCE(pg.num_new, 0) AS num_new,
+       COALESCE(pg.revenue_loss, 0.0) AS revenue_loss, COALESCE(pg.revenue_gain, 0.0) AS revenue_gain
+FROM pairs p LEFT JOIN pg ON p.prev_quarter = pg.prev_quarter AND p.curr_quarter = pg.curr_quarter""")
+    q["summary_to_json"] = (
+        lambda s, d: EV.step_counters(load(s, d, "events")).select(
+            FN.summary_to_json(F.col("event_type"), F.struct("count", "total_value")).alias("json")),
+        None)

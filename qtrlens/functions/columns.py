@@ -44,8 +44,7 @@ def parse_date(c) -> Column:
     """String in one of DATE_FORMATS, or a date/timestamp → date; else null."""
     c = _c(c)
     s = F.trim(c.cast("string"))
-    tries = [F.try_to_date(s, F.lit(f)) if hasattr(F, "try_to_date") else F.expr(
-        f"try_to_date({s._jc.toString()}, '{f}')") for f in DATE_FORMATS]
+    tries = [F.try_to_date(s, f) for f in DATE_FORMATS]
     # a full timestamp text keeps its calendar day
     tries.append(F.try_to_timestamp(s).cast("date"))
     return F.coalesce(*tries)

@@ -35,7 +35,7 @@ def build_session(master: str | None = None, app: str = "qtrlens",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in REQUIRED_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
