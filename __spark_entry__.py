@@ -613,3 +613,100 @@ FROM pairs p LEFT JOIN pg ON p.prev_quarter = pg.prev_quarter AND p.curr_quarter
         lambda s, d: EV.step_counters(load(s, d, "events")).select(
             FN.summary_to_json(F.col("event_type"), F.struct("count", "total_value")).alias("json")),
         None)
+
+
+# ----------------------------------------------------------------- streaming
+def _rev_files(spark, d):
+    """The revenue view written as a file set in four time slices (appended
+    in time order), the input the streams consume."""
+    from qtrlens.streaming import revenue_stream as ST  # noqa: F401
+    path = scratch_path(spark, "rev-files")
+    for part in _year_slices(revenue_view(spark, d)):
+        part.write.mode("append").parquet(path)
+    return path, spark.read.parquet(path).schema
+
+
+def _stream_table(spark, d, build, keys):
+    from qtrlens.streaming import revenue_stream as ST
+    src, schema = _rev_files(spark, d)
+    out = scratch_path(spark, "stream-out")
+    ST.run_to_table(build(ST.stream_revenue_files(spark, src, schema, max_files_per_trigger=2)), out,
+                    scratch_path(spark, "stream-ckpt"))
+    return ST.read_latest(spark, out, keys)
+
+
+def _st_quarter_region(s, d):
+    apply_conf(s)
+    from qtrlens.streaming import revenue_stream as ST
+    t = _stream_table(s, d, ST.stream_quarter_region, RV.GEO_KEYS)
+    return _dbl(t, "TotalRevenue")
+
+
+def _st_num_clients(s, d):
+    apply_conf(s)
+    from qtrlens.streaming import revenue_stream as ST
+    return _stream_table(s, d, ST.stream_num_clients, RV.GEO_KEYS)
+
+
+def _st_churn(s, d):
+    apply_conf(s)
+    from qtrlens.streaming import revenue_stream as ST
+    state = _stream_table(s, d, ST.stream_client_quarterly, ["ClientID", "Quarter"])
+    return CH.churn_counts(state)
+
+
+def _st_breaker(s, d):
+    apply_conf(s)
+    from qtrlens.streaming import revenue_stream as ST
+    ev = load(s, d, "events")
+    src = scratch_path(s, "event-files")
+    day = F.dayofmonth("ts")
+    for lo in range(1, 32, 7):                 # five time slices, in order
+        ev.where((day >= lo) & (day < lo + 7)).repartition(4, "user_id").write.mode("append").parquet(src)
+    stream = ST.stream_revenue_files(s, src, ev.schema, max_files_per_trigger=4)
+    out = scratch_path(s, "trips")
+    ST.run_append_to_parquet(ST.stream_breaker_trips(stream), out, scratch_path(s, "trips-ckpt"))
+    return s.read.parquet(out)
+
+
+def _st_idempotent(s, d):
+    apply_conf(s)
+    from qtrlens.streaming import revenue_stream as ST
+    src, schema = _rev_files(s, d)
+    out, ledger = scratch_path(s, "applied"), scratch_path(s, "ledger")
+    for _ in range(2):                          # a full replay with a fresh checkpoint
+        ST.idempotent_apply(s, ST.stream_revenue_files(s, src, schema, max_files_per_trigger=2),
+                            out, ledger, scratch_path(s, "apply-ckpt"))
+    return _dbl(s.read.parquet(out), "Revenue")
+
+
+def _st_totals(s, d):
+    apply_conf(s)
+    from qtrlens.streaming import revenue_stream as ST
+    src, schema = _rev_files(s, d)
+    out = scratch_path(s, "totals")
+    ST.stream_totals_check(ST.stream_revenue_files(s, src, schema, max_files_per_trigger=2), out,
+                           scratch_path(s, "totals-ckpt"))
+    return s.read.parquet(out)
+
+
+_STREAM = {
+    "stream_quarter_region": (_st_quarter_region, _REVQ + """
+SELECT Quarter, Region, Country, CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue, COUNT(Revenue) AS NumRows
+FROM revq GROUP BY Quarter, Region, Country"""),
+    "stream_num_clients": (_st_num_clients, _REVQ + """
+SELECT Quarter, Region, Country, COUNT(DISTINCT ClientID) AS NumClients FROM revq GROUP BY Quarter, Region, Country"""),
+    "stream_churn_counts": (_st_churn, _CQ + _COUNTS_SELECT),
+    "stream_breaker_trips": (_st_breaker, None),
+    "idempotent_apply": (_st_idempotent,
+                         _REV + "\nSELECT ClientID, Region, Country, Date, CAST(Revenue AS DOUBLE) AS Revenue FROM rev"),
+    "stream_totals_check": (_st_totals, None),
+}
+
+_registry_base = _registry
+
+
+def _registry():  # noqa: F811 - extends the batch registry with the streams
+    q = _registry_base()
+    q.update(_STREAM)
+    return q
