@@ -124,6 +124,11 @@ GROUP BY 1, Region, Country""")
     q["client_quarterly_long"] = (
         lambda s, d: _dbl(RV.client_quarterly_long(_rev(s, d)), "Revenue"),
         _CQ + "\nSELECT ClientID, Quarter, CAST(Revenue AS DOUBLE) AS Revenue FROM cq")
+    q["client_quarterly_revenue"] = (
+        lambda s, d: RV.client_quarterly_revenue(_rev(s, d)),
+        _CQ + """
+SELECT ClientID, CAST(COALESCE(COLUMNS(* EXCLUDE (ClientID)), 0) AS DOUBLE)
+FROM (PIVOT (SELECT ClientID, Quarter, Revenue FROM cq) ON Quarter USING sum(Revenue) GROUP BY ClientID) p""")
     q["total_revenue"] = (
         lambda s, d: RV.total_revenue(_rev(s, d)),
         _REV + "\nSELECT CAST(COALESCE(SUM(Revenue), 0) AS DOUBLE) AS total_revenue, COUNT(*) AS num_rows FROM rev")
