@@ -85,35 +85,40 @@ _TRIP_SCHEMA = T.StructType([
 
 
 def _breaker(threshold: int, timeout_s: float):
+    """Fold over rows sorted by (key, ts, tiebreak); state resets at each new key."""
     timeout = np.timedelta64(int(timeout_s * 1e6), "us")
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", "tb"], kind="stable")
-        ts = pdf["ts"].to_numpy(dtype="datetime64[us]")
-        fails = pdf["f"].to_numpy()
-        count, open_until = 0, None
-        trips, blocked = [], []
-        for t, f in zip(ts, fails):
-            if open_until is not None:
-                if t > open_until:          # timeout passed: start from zero
-                    count, open_until = 0, None
+    def fn(batches):
+        prev_key, count, open_until = None, 0, None
+        out_k, out_t, out_u, out_b = [], [], [], []
+        for pdf in batches:
+            keys = pdf["key"].to_numpy()
+            ts = pdf["ts"].to_numpy(dtype="datetime64[us]")
+            fails = pdf["f"].to_numpy()
+            for k, t, f in zip(keys, ts, fails):
+                if k != prev_key:
+                    prev_key, count, open_until = k, 0, None
+                if open_until is not None:
+                    if t > open_until:          # timeout passed: start from zero
+                        count, open_until = 0, None
+                    else:
+                        out_b[-1] += 1          # ignored while open
+                        continue
+                if f:
+                    count += 1
+                    if count >= threshold:
+                        open_until = t + timeout
+                        out_k.append(k)
+                        out_t.append(t)
+                        out_u.append(open_until)
+                        out_b.append(0)
                 else:
-                    blocked[-1] += 1        # ignored while open
-                    continue
-            if f:
-                count += 1
-                if count >= threshold:
-                    open_until = t + timeout
-                    trips.append((t, open_until))
-                    blocked.append(0)
-            else:
-                count = 0
-        key = pdf["key"].iloc[0]
-        return pd.DataFrame({
-            "key": pd.Series([key] * len(trips), dtype="int64"),
-            "trip_at": pd.Series([a for a, _ in trips], dtype="datetime64[us]"),
-            "open_until": pd.Series([b for _, b in trips], dtype="datetime64[us]"),
-            "blocked_events": pd.Series(blocked, dtype="int64")})
+                    count = 0
+        yield pd.DataFrame({
+            "key": pd.Series(out_k, dtype="int64"),
+            "trip_at": pd.Series(out_t, dtype="datetime64[us]"),
+            "open_until": pd.Series(out_u, dtype="datetime64[us]"),
+            "blocked_events": pd.Series(out_b, dtype="int64")})
     return fn
 
 
@@ -123,13 +128,18 @@ def breaker_trips(events: DataFrame, key: str = "user_id", ts: str = "ts", order
     """Circuit-breaker trips per key. Failures count up; at ``threshold``
     the key opens until ``ts + reset_timeout``; events while open are ignored
     (counted as ``blocked_events``); after the timeout the count restarts at
-    zero; any success resets it. The fold is sequential per key, so each key
-    runs as one pandas task over (ts, tiebreak, failed) only."""
+    zero; any success resets it.
+
+    The fold is sequential per key, so rows are hash-partitioned by key and
+    sorted by (key, ts) inside each partition; one Python pass per partition
+    then folds every key in turn over four narrow columns (no per-key Python
+    call, no per-key pandas frame)."""
     x = events.select(F.col(key).cast("long").alias("key"),
                       F.col(ts).cast("timestamp").alias("ts"),
                       F.col(order_tiebreak).cast("long").alias("tb"),
                       (F.col(status_col) == FAILURE_TYPE).alias("f"))
-    out = x.groupBy("key").applyInPandas(_breaker(threshold, reset_timeout_s), _TRIP_SCHEMA)
+    x = x.repartition("key").sortWithinPartitions("key", "ts", "tb")
+    out = x.mapInPandas(_breaker(threshold, reset_timeout_s), _TRIP_SCHEMA)
     return out.withColumnRenamed("key", key)
 
 

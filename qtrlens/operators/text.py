@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import estimate_tokens, hash_bucket, normalize_vector, tokenize
+from ..functions.columns import estimate_tokens, hash_bucket, tokenize
 
 # ---------------------------------------------------------------- fixed values
 DEFAULT_DIM = 64
@@ -78,23 +78,26 @@ _PACK_SCHEMA = T.StructType([
 ])
 
 
-def _pack_group(limit: int, template_tokens: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq", kind="stable")
-        toks = pdf["tok"].to_numpy()
-        chunk = []
-        cur, c, started = 0, 0, False
-        for t in toks:
-            t = int(t)
-            if started and cur + t + template_tokens > limit:
-                c += 1
-                cur = t
-            else:
-                cur += t
-            started = True
-            chunk.append(c)
-        return pd.DataFrame({"group": pdf["group"].to_numpy(), "seq": pdf["seq"].to_numpy(),
-                             "chunk_no": pd.array(chunk, dtype="int32")})
+def _pack_partition(limit: int, template_tokens: int):
+    """Greedy fold over rows sorted by (group, seq); restarts at each group."""
+    def fn(batches):
+        prev, cur, c = None, 0, 0
+        out_g, out_s, out_c = [], [], []
+        for pdf in batches:
+            for g, q, t in zip(pdf["group"].to_numpy(), pdf["seq"].to_numpy(), pdf["tok"].to_numpy()):
+                t = int(t)
+                if g != prev:
+                    prev, cur, c = g, t, 0
+                elif cur + t + template_tokens > limit:
+                    c += 1
+                    cur = t
+                else:
+                    cur += t
+                out_g.append(g)
+                out_s.append(q)
+                out_c.append(c)
+        yield pd.DataFrame({"group": pd.Series(out_g, dtype="int64"), "seq": pd.Series(out_s, dtype="int64"),
+                            "chunk_no": pd.Series(out_c, dtype="int32")})
     return fn
 
 
@@ -106,13 +109,15 @@ def pack_by_token_budget(df: DataFrame, template: str, context_token_limit: int,
     a text larger than the limit sits alone. Each chunk's prompt is the
     template, a blank line, then its texts joined by newlines.
 
-    The fold is sequential by nature, so each group runs as one pandas task
-    over two integer columns only (``seq``, ``tokens``); the texts themselves
-    never enter Python and are joined per chunk by Spark afterwards."""
+    The fold is sequential by nature: rows are hash-partitioned by group and
+    sorted by (group, seq), and one Python pass per partition folds every
+    group over three integer columns; the texts never enter Python and are
+    joined per chunk by Spark afterwards (a chunk is bounded by the limit)."""
     tpl_tokens = max(1, len(template) // 4)
     toks = df.select(F.col(group_col).cast("long").alias("group"), F.col(seq_col).cast("long").alias("seq"),
                      estimate_tokens(text_col).alias("tok"))
-    chunks = toks.groupBy("group").applyInPandas(_pack_group(context_token_limit, tpl_tokens), _PACK_SCHEMA)
+    toks = toks.repartition("group").sortWithinPartitions("group", "seq")
+    chunks = toks.mapInPandas(_pack_partition(context_token_limit, tpl_tokens), _PACK_SCHEMA)
     chunks = chunks.select(F.col("group").alias(group_col), F.col("seq").alias(seq_col), "chunk_no")
     rows = df.select(group_col, seq_col, text_col).join(chunks, [group_col, seq_col])
     per = rows.groupBy(group_col, "chunk_no").agg(
@@ -132,8 +137,10 @@ def embed_text(df: DataFrame, id_col: str, text_col: str, dim: int = DEFAULT_DIM
     weight)``. Text with no token has no rows. The per-id norm is taken over
     at most ``dim`` aggregated rows, so a long text never widens a group."""
     tokens = df.select(F.col(id_col).alias("id"), F.explode(tokenize(text_col)).alias("tok"))
-    counts = tokens.groupBy("id", hash_bucket("tok", dim).alias("bucket")).agg(
-        F.count(F.lit(1)).cast("double").alias("c"))
+    # count each distinct token per id first, so md5 runs once per (id, token)
+    per_tok = tokens.groupBy("id", "tok").agg(F.count(F.lit(1)).alias("n"))
+    counts = per_tok.groupBy("id", hash_bucket("tok", dim).alias("bucket")).agg(
+        F.sum("n").cast("double").alias("c"))
     w = Window.partitionBy("id")
     return counts.select("id", "bucket", (F.col("c") / F.sqrt(F.sum(F.col("c") * F.col("c")).over(w)))
                          .alias("weight"))
@@ -147,10 +154,20 @@ def to_dense(sparse: DataFrame, dim: int = DEFAULT_DIM) -> DataFrame:
 
 
 def dense_to_sparse(df: DataFrame, id_col: str, vec_col: str, normalize: bool = True) -> DataFrame:
-    """P18 + sparse form of a dense vector column (zeros dropped)."""
-    v = normalize_vector(vec_col) if normalize else F.col(vec_col)
-    return (df.select(F.col(id_col).alias("id"), F.posexplode(v).alias("bucket", "weight"))
-              .where(F.col("weight") != 0))
+    """P18 in row form: explode the vector to ``(id, bucket, x)``, turn
+    non-finite entries into 0, divide by the per-id norm (a zero or non-finite
+    norm divides by 1) and drop zeros. Each id's group holds at most the
+    vector length, and every step is a plain expression, so nothing iterates
+    over the array inside a row."""
+    x = df.select(F.col(id_col).alias("id"), F.posexplode(F.col(vec_col)).alias("bucket", "x"))
+    v = F.col("x").cast("double")
+    x = x.select("id", "bucket", F.when(F.isnan(v) | (F.abs(v) == F.lit(float("inf"))) | v.isNull(),
+                                        F.lit(0.0)).otherwise(v).alias("x"))
+    if normalize:
+        norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("id")))
+        safe = F.when(F.isnan(norm) | (norm == F.lit(float("inf"))) | (norm == 0), F.lit(1.0)).otherwise(norm)
+        x = x.select("id", "bucket", (F.col("x") / safe).alias("x"))
+    return x.where(F.col("x") != 0).withColumnRenamed("x", "weight")
 
 
 def upsert_index(old: DataFrame, new: DataFrame, key: str = "id", replace: bool = True) -> DataFrame:
