@@ -298,7 +298,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v[1] for k, v in _registry().items() if v[1] is not None}
+    reg = _registry()
+    out = {}
+    for k, v in reg.items():
+        if v[1] is None:
+            continue
+        out[k] = reg[v[1][1:]][1] if v[1].startswith("@") else v[1]
+    return out
 
 
 # ------------------------------------------------------------------ more keys
@@ -699,6 +705,32 @@ def _st_totals(s, d):
     return s.read.parquet(out)
 
 
+def _json_roundtrip(spark, df, name):
+    """Write a table as JSON lines under the shared checkpoint folder and read
+    it back with the same schema (arrays and structs keep their shape)."""
+    path = SK.write_json(df, scratch_path(spark, name))
+    return SK.read_json(spark, path, df.schema)
+
+
+def _bundle(s, d):
+    apply_conf(s)
+    rev = revenue_view(s, d)
+    agg = RV.group_by_quarter(rev)
+    checks = VA.check_result("quarterly", VA.validate_quarterly(rev, agg)).unionByName(
+        VA.check_result("churn", VA.churn_reconciles(rev), "reconciles"))
+    return SK.export_bundle(agg, CH.churn_counts(rev), checks)
+
+
+_SINKS = {
+    "write_churn_report": (
+        lambda s, d: _json_roundtrip(s, CH.churn_lists(_rev(s, d)), "churn-report"),
+        "@churn_lists"),
+    "write_run_metrics": (
+        lambda s, d: _json_roundtrip(s, EV.step_counters(load(s, d, "events")), "run-metrics"),
+        "SELECT event_type, count(*) AS count, SUM(value) AS total_value FROM events GROUP BY event_type"),
+    "export_bundle": (_bundle, None),
+}
+
 _STREAM = {
     "stream_quarter_region": (_st_quarter_region, _REVQ + """
 SELECT Quarter, Region, Country, CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue, COUNT(Revenue) AS NumRows
@@ -718,4 +750,5 @@ _registry_base = _registry
 def _registry():  # noqa: F811 - extends the batch registry with the streams
     q = _registry_base()
     q.update(_STREAM)
+    q.update(_SINKS)
     return q
