@@ -692,7 +692,7 @@ def _st_idempotent(s, d):
     for _ in range(2):                          # a full replay with a fresh checkpoint
         ST.idempotent_apply(s, ST.stream_revenue_files(s, src, schema, max_files_per_trigger=2),
                             out, ledger, scratch_path(s, "apply-ckpt"))
-    return _dbl(s.read.parquet(out), "Revenue")
+    return _dbl(ST.read_applied(s, out), "Revenue")
 
 
 def _st_totals(s, d):

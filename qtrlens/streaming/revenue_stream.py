@@ -85,10 +85,14 @@ def read_latest(spark: SparkSession, out_path: str, keys: list[str]) -> DataFram
 
 def idempotent_apply(spark: SparkSession, stream: DataFrame, out_path: str, ledger_path: str,
                      checkpoint: str) -> None:
-    """ST5: apply each input file at most once, even across replays with a
-    fresh checkpoint. A batch's rows are keyed by a content key of their
-    source file; keys already in the ledger are skipped (anti join), the rest
-    are appended to the output and then to the ledger."""
+    """ST5: apply each input file exactly once, even across replays with a
+    fresh checkpoint or a crash between writes.
+
+    Rows are keyed by a content key of their source file. Keys already in the
+    ledger are skipped (anti join). The output is partitioned by that key and
+    written with dynamic partition overwrite, so re-applying a file replaces
+    its own partition rather than adding rows; the ledger is appended after
+    the output, and a crash between the two only causes a harmless rewrite."""
     keyed = stream.withColumn("_src", content_key(F.lit("apply"), F.input_file_name()))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -97,16 +101,20 @@ def idempotent_apply(spark: SparkSession, stream: DataFrame, out_path: str, ledg
         except Exception:  # first batch: no ledger yet
             done = spark.createDataFrame([], "_src string")
         fresh = batch.join(done.select("_src").distinct(), "_src", "left_anti")
-        fresh = fresh.persist()
-        fresh.drop("_src").write.mode("append").parquet(out_path)
+        (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("_src").parquet(out_path))
         fresh.select("_src").distinct().write.mode("append").parquet(ledger_path)
-        fresh.unpersist()
 
     q = (keyed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def read_applied(spark: SparkSession, out_path: str) -> DataFrame:
+    """ST5: the applied rows (without the source key)."""
+    return spark.read.parquet(out_path).drop("_src")
+
+
 # ------------------------------------------------------------- ST6 totals
 
 def stream_totals_check(stream: DataFrame, out_path: str, checkpoint: str) -> None:
@@ -117,8 +125,11 @@ def stream_totals_check(stream: DataFrame, out_path: str, checkpoint: str) -> No
     from ..operators.validate import totals_match
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        # a replayed batch overwrites its own partition instead of adding a row
         check = totals_match(batch, aggregate_by_quarter_region(batch))
-        check.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_path)
+        (check.withColumn("batch_id", F.lit(batch_id).cast("long"))
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("batch_id").parquet(out_path))
 
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
