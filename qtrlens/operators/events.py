@@ -65,8 +65,27 @@ def failure_streaks(events: DataFrame, key: str = "user_id", ts: str = "ts", ord
 
     Gaps-and-islands: the running count of successes numbers the islands;
     failures inside one island form one streak. One row per streak with
-    ``failures`` and ``tripped`` (``failures >= threshold``). The window is
-    per key; the aggregate afterwards is a plain hash aggregate."""
+    ``failures`` and ``tripped`` (``failures >= threshold``).
+
+    The running count is a distributed segmented scan (``ordered.py``): a key
+    with a third of all events is split over many tasks by time, and the
+    streak aggregate afterwards is a hash aggregate with partial aggregation."""
+    from .ordered import segmented_running_sum
+
+    fail = (F.col(status_col) == FAILURE_TYPE)
+    x = events.select(key, ts, order_tiebreak, fail.alias("_f"),
+                      F.when(fail, 0).otherwise(1).cast("long").alias("_s"))
+    x = segmented_running_sum(x, key, [ts, order_tiebreak], "_s", "island")
+    s = x.where("_f").groupBy(key, "island").agg(
+        F.min(ts).alias("streak_start"), F.max(ts).alias("streak_end"), F.count(F.lit(1)).alias("failures"))
+    return s.withColumn("tripped", F.col("failures") >= threshold)
+
+
+def failure_streaks_window(events: DataFrame, key: str = "user_id", ts: str = "ts",
+                           order_tiebreak: str = "event_id", threshold: int = FAIL_THRESHOLD,
+                           status_col: str = "event_type") -> DataFrame:
+    """W5 with a per-key window (same result; used to cross-check the scan).
+    A very large key is one task's work here."""
     fail = (F.col(status_col) == FAILURE_TYPE)
     w = Window.partitionBy(key).orderBy(ts, order_tiebreak).rowsBetween(Window.unboundedPreceding, 0)
     x = events.select(key, ts, fail.alias("_f"),

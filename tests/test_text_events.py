@@ -131,3 +131,41 @@ def test_event_metrics_and_breaker(spark):
     assert (s.last_status, s.attempts, s.errors) == ("error", 11, 9)
     c = {r.event_type: r["count"] for r in EV.step_counters(ev).collect()}
     assert c == {"error": 9, "view": 2}
+
+
+def test_streaks_hot_key_matches_window_and_loop(spark):
+    import datetime as dt
+    import random
+    rnd = random.Random(7)
+    t0 = dt.datetime(2024, 1, 1)
+    rows, eid = [], 0
+    # user 1 holds about half of all events; it is split over many partitions
+    for user, n in ((1, 3000), (2, 400), (3, 700), (4, 900)):
+        for i in range(n):
+            rows.append((eid, t0 + dt.timedelta(seconds=i), user,
+                         "error" if rnd.random() < 0.6 else "view", 1.0, "{}"))
+            eid += 1
+    rnd.shuffle(rows)
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                                     "value double, props string")
+    from qtrlens.operators.ordered import segmented_running_sum
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = sorted((r.user_id, r.failures, r.streak_start) for r in EV.failure_streaks(ev).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    want = sorted((r.user_id, r.failures, r.streak_start) for r in EV.failure_streaks_window(ev).collect())
+    assert got == want
+    # brute force over the rows
+    by_user = {}
+    for e in sorted(rows, key=lambda r: (r[2], r[1], r[0])):
+        by_user.setdefault(e[2], []).append(e[3] == "error")
+    n_streaks = sum(sum(1 for i, f in enumerate(fs) if f and (i == 0 or not fs[i - 1])) for fs in by_user.values())
+    assert len(got) == n_streaks
+    x = ev.select("user_id", "ts", "event_id", F.lit(1).cast("long").alias("one"))
+    rn = segmented_running_sum(x, "user_id", ["ts", "event_id"], "one", "rn", num_partitions=9)
+    per = {}
+    for r in rn.collect():
+        per.setdefault(r.user_id, []).append((r.ts, r.rn))
+    for u, v in per.items():
+        assert [b for _, b in sorted(v)] == list(range(1, len(v) + 1))
