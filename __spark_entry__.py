@@ -22,7 +22,7 @@ from qtrlens.session import apply_conf, scratch_path
 from qtrlens.sources import chunks as CK
 from qtrlens.sources import readers as RD
 from qtrlens.sources import sinks as SK
-from qtrlens.sources.tables import REVENUE_VIEW_SQL, load, revenue_view
+from qtrlens.sources.tables import REVENUE_VIEW_SQL, client_quarter_view, load, revenue_view
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -37,6 +37,13 @@ def _rev(spark: SparkSession, d: str) -> DataFrame:
     return revenue_view(spark, d)
 
 
+def _cq(spark: SparkSession, d: str) -> DataFrame:
+    """Client × quarter revenue aggregated before the customer join; the
+    input of every churn operator (they only read client, quarter, revenue)."""
+    apply_conf(spark)
+    return client_quarter_view(spark, d)
+
+
 def _dbl(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -82,7 +89,7 @@ _TOOLS_NEW = "curr_revenue > 0 AND NOT (prev_revenue > 0)"
 
 
 def _churn_counts(s, d):
-    return CH.churn_counts(_rev(s, d))
+    return CH.churn_counts(_cq(s, d))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -102,7 +109,7 @@ def _registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
     # ---- A9 flagship and its tools-rule twin
     q["churn_counts"] = (_churn_counts, _CQ + _COUNTS_SELECT)
     q["churn_counts_tools"] = (
-        lambda s, d: CH.churn_counts(_rev(s, d), mode=CH.TOOLS),
+        lambda s, d: CH.churn_counts(_cq(s, d), mode=CH.TOOLS),
         _CQ + _COUNTS_SELECT.replace("prev_revenue > 0 AND curr_revenue = 0", _TOOLS_LOST)
                             .replace("prev_revenue = 0 AND curr_revenue > 0", _TOOLS_NEW))
 
@@ -178,28 +185,28 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Quarter ORDER BY TotalR
 
     # ---- J1–J5, W1, A10, A11, T1, U1–U3
     q["quarter_pairs"] = (
-        lambda s, d: CH.quarter_pairs(_rev(s, d)),
+        lambda s, d: CH.quarter_pairs(_cq(s, d)),
         _CQ + "\nSELECT pair_index, prev_quarter, curr_quarter FROM pairs")
     q["period_compare"] = (
-        lambda s, d: _dbl(CH.period_compare(_rev(s, d)), "prev_revenue", "curr_revenue"),
+        lambda s, d: _dbl(CH.period_compare(_cq(s, d)), "prev_revenue", "curr_revenue"),
         _CQ + "\nSELECT ClientID, prev_quarter, curr_quarter, CAST(prev_revenue AS DOUBLE) AS prev_revenue, "
               "CAST(curr_revenue AS DOUBLE) AS curr_revenue FROM al")
     q["align_periods"] = (
-        lambda s, d: _dbl(CH.align_periods(_rev(s, d), *PAIR), "prev_revenue", "curr_revenue"),
+        lambda s, d: _dbl(CH.align_periods(_cq(s, d), *PAIR), "prev_revenue", "curr_revenue"),
         _CQ + f"""
 SELECT COALESCE(a.ClientID, b.ClientID) AS ClientID, CAST(COALESCE(a.Revenue, 0) AS DOUBLE) AS prev_revenue,
        CAST(COALESCE(b.Revenue, 0) AS DOUBLE) AS curr_revenue
 FROM (SELECT * FROM cq WHERE Quarter = '{PAIR[0]}') a FULL JOIN (SELECT * FROM cq WHERE Quarter = '{PAIR[1]}') b
   ON a.ClientID = b.ClientID""")
     q["churn_rows"] = (
-        lambda s, d: CH.churn_rows(_rev(s, d)),
+        lambda s, d: CH.churn_rows(_cq(s, d)),
         _CQ + f"""
 SELECT prev_quarter, curr_quarter, ClientID,
        CASE WHEN {_TOOLS_LOST} THEN 'lost' ELSE 'new' END AS status,
        CAST(CASE WHEN {_TOOLS_LOST} THEN prev_revenue ELSE curr_revenue END AS DOUBLE) AS amount
 FROM al WHERE ({_TOOLS_LOST}) OR ({_TOOLS_NEW})""")
     q["churn_lists"] = (
-        lambda s, d: CH.churn_lists(_rev(s, d)),
+        lambda s, d: CH.churn_lists(_cq(s, d)),
         _CQ + f""",
 pg AS (SELECT prev_quarter, curr_quarter, substr(md5(CAST(ClientID AS VARCHAR)), 1, 2) AS page,
               COALESCE(list_sort(list(ClientID) FILTER (WHERE {_TOOLS_LOST})), []) AS lost_customers,
@@ -214,7 +221,7 @@ SELECT p.prev_quarter AS q_prev, p.curr_quarter AS q_curr, pg.page,
        COALESCE(pg.revenue_loss, 0.0) AS revenue_loss, COALESCE(pg.revenue_gain, 0.0) AS revenue_gain
 FROM pairs p LEFT JOIN pg ON p.prev_quarter = pg.prev_quarter AND p.curr_quarter = pg.curr_quarter""")
     q["top_lost_clients"] = (
-        lambda s, d: CH.top_lost_clients(_rev(s, d), *PAIR, n=10),
+        lambda s, d: CH.top_lost_clients(_cq(s, d), *PAIR, n=10),
         _CQ + f"""
 SELECT a.ClientID, CAST(a.Revenue AS DOUBLE) AS prev_revenue
 FROM (SELECT * FROM cq WHERE Quarter = '{PAIR[0]}') a
@@ -222,32 +229,32 @@ LEFT JOIN (SELECT * FROM cq WHERE Quarter = '{PAIR[1]}') b ON a.ClientID = b.Cli
 WHERE a.Revenue > 0 AND COALESCE(b.Revenue, 0) = 0
 ORDER BY a.Revenue DESC, a.ClientID LIMIT 10""")
     q["top_lost_clients_all_pairs"] = (
-        lambda s, d: CH.top_lost_clients_all_pairs(_rev(s, d), n=10),
+        lambda s, d: CH.top_lost_clients_all_pairs(_cq(s, d), n=10),
         _CQ + """
 SELECT prev_quarter, curr_quarter, rank, ClientID, CAST(prev_revenue AS DOUBLE) AS prev_revenue FROM (
   SELECT *, row_number() OVER (PARTITION BY prev_quarter, curr_quarter ORDER BY prev_revenue DESC, ClientID) AS rank
   FROM al WHERE prev_revenue > 0 AND curr_revenue = 0) t WHERE rank <= 10""")
     q["lost_clients"] = (
-        lambda s, d: CH.lost_clients(_rev(s, d)),
+        lambda s, d: CH.lost_clients(_cq(s, d)),
         _CQ + "\nSELECT * FROM as_prev EXCEPT ALL SELECT * FROM as_curr")
     q["new_clients"] = (
-        lambda s, d: CH.new_clients(_rev(s, d)),
+        lambda s, d: CH.new_clients(_cq(s, d)),
         _CQ + "\nSELECT * FROM as_curr EXCEPT ALL SELECT * FROM as_prev")
     q["retained_clients"] = (
-        lambda s, d: CH.retained_clients(_rev(s, d)),
+        lambda s, d: CH.retained_clients(_cq(s, d)),
         _CQ + "\nSELECT * FROM as_prev INTERSECT ALL SELECT * FROM as_curr")
     q["churn_amounts"] = (
-        lambda s, d: CH.churn_amounts(_rev(s, d)),
+        lambda s, d: CH.churn_amounts(_cq(s, d)),
         _CQ + f"""
 SELECT prev_quarter, curr_quarter,
        CAST(COALESCE(SUM(CASE WHEN {_TOOLS_LOST} THEN prev_revenue END), 0) AS DOUBLE) AS revenue_loss,
        CAST(COALESCE(SUM(CASE WHEN {_TOOLS_NEW} THEN curr_revenue END), 0) AS DOUBLE) AS revenue_gain
 FROM al GROUP BY prev_quarter, curr_quarter""")
     q["lost_by_except"] = (
-        lambda s, d: CH.lost_by_except(_rev(s, d)),
+        lambda s, d: CH.lost_by_except(_cq(s, d)),
         _CQ + f"\nSELECT ClientID, prev_quarter, curr_quarter FROM al WHERE {_TOOLS_LOST}")
     q["active_in_either"] = (
-        lambda s, d: CH.active_in_either(_rev(s, d)),
+        lambda s, d: CH.active_in_either(_cq(s, d)),
         _CQ + "\nSELECT ClientID, prev_quarter, curr_quarter FROM al WHERE prev_revenue > 0 OR curr_revenue > 0")
     q["union_client_sets"] = (
         lambda s, d: CH.union_client_sets(_year_slices(_rev(s, d))),
@@ -255,7 +262,7 @@ FROM al GROUP BY prev_quarter, curr_quarter""")
 
     # ---- V8, V9, R1
     q["churn_flags"] = (
-        lambda s, d: CH.churn_flags(CH.churn_counts(_rev(s, d), mode=CH.TOOLS)),
+        lambda s, d: CH.churn_flags(CH.churn_counts(_cq(s, d), mode=CH.TOOLS)),
         _CQ + f""",
 cc AS (SELECT prev_quarter, curr_quarter,
               CAST(COALESCE(SUM(CASE WHEN {_TOOLS_LOST} THEN prev_revenue END), 0) AS DOUBLE) AS loss,
@@ -264,7 +271,7 @@ cc AS (SELECT prev_quarter, curr_quarter,
 SELECT prev_quarter || '->' || curr_quarter AS pair, gain - loss AS net_change,
        CASE WHEN loss > gain * 2 AND loss > 0 THEN 'significant_loss' ELSE 'stable' END AS note FROM cc""")
     q["retention_suggestions"] = (
-        lambda s, d: CH.retention_suggestions(CH.churn_flags(CH.churn_counts(_rev(s, d), mode=CH.TOOLS))),
+        lambda s, d: CH.retention_suggestions(CH.churn_flags(CH.churn_counts(_cq(s, d), mode=CH.TOOLS))),
         _CQ + f""",
 cc AS (SELECT prev_quarter, curr_quarter,
               CAST(COALESCE(SUM(CASE WHEN {_TOOLS_LOST} THEN prev_revenue END), 0) AS DOUBLE) AS loss,
@@ -274,7 +281,7 @@ SELECT prev_quarter || '->' || curr_quarter AS pair,
        'Investigate top lost clients and run retention offers.' AS suggestion
 FROM cc WHERE loss > gain * 2 AND loss > 0""")
     q["churn_trend_data"] = (
-        lambda s, d: CH.churn_trend_data(CH.churn_counts(_rev(s, d), mode=CH.TOOLS)),
+        lambda s, d: CH.churn_trend_data(CH.churn_counts(_cq(s, d), mode=CH.TOOLS)),
         _CQ + f""",
 cc AS (SELECT prev_quarter || '->' || curr_quarter AS period,
               CAST(COALESCE(SUM(CASE WHEN {_TOOLS_LOST} THEN prev_revenue END), 0) AS DOUBLE) AS revenue_loss,
@@ -392,7 +399,7 @@ t AS (SELECT CAST((SELECT SUM(CAST(Revenue AS DECIMAL(38,6))) FROM rev) AS DOUBL
              CAST((SELECT SUM(CAST(TotalRevenue AS DECIMAL(38,6))) FROM agg) AS DOUBLE) AS b)""" +
         _EXACT_TOTALS.format(a="total_original", b="total_aggregated", extra=", a - b AS difference"))
     q["churn_sane"] = (
-        lambda s, d: VA.churn_sane(CH.churn_counts(_rev(s, d), mode=CH.TOOLS)),
+        lambda s, d: VA.churn_sane(CH.churn_counts(_cq(s, d), mode=CH.TOOLS)),
         _CQ + f""",
 cc AS (SELECT SUM(CASE WHEN {_TOOLS_LOST} THEN prev_revenue END) AS loss,
               SUM(CASE WHEN {_TOOLS_NEW} THEN curr_revenue END) AS gain FROM al GROUP BY prev_quarter, curr_quarter)
@@ -400,7 +407,7 @@ SELECT COALESCE(bool_and(COALESCE(loss, 0) >= 0 AND COALESCE(gain, 0) >= 0), tru
        CASE WHEN COALESCE(bool_and(COALESCE(loss, 0) >= 0 AND COALESCE(gain, 0) >= 0), true)
             THEN 'Churn report sane' ELSE 'Negative revenue in churn report' END AS message FROM cc""")
     q["churn_reconciles"] = (
-        lambda s, d: VA.churn_reconciles(_rev(s, d)),
+        lambda s, d: VA.churn_reconciles(_cq(s, d)),
         _CQ + """
 SELECT prev_quarter, curr_quarter, count_if(prev_revenue > 0 OR curr_revenue > 0) AS total_clients,
        count_if(prev_revenue > 0 OR curr_revenue > 0) =
@@ -411,7 +418,7 @@ FROM al GROUP BY prev_quarter, curr_quarter""")
     def _actions(s, d):
         checks = (VA.check_result("quarterly", VA.validate_quarterly(_dirty_rev(s, d),
                                                                      RV.group_by_quarter(_dirty_rev(s, d))))
-                  .unionByName(VA.check_result("churn", VA.churn_reconciles(_rev(s, d)), "reconciles")))
+                  .unionByName(VA.check_result("churn", VA.churn_reconciles(_cq(s, d)), "reconciles")))
         return VA.validation_actions(checks)
     q["validation_actions"] = (
         _actions,
@@ -611,7 +618,7 @@ SELECT user_id, island, min(ts) AS streak_start, max(ts) AS streak_end, count(*)
         "arg_max(value, (ts, event_id, event_type, value, props)) AS value, "
         "arg_max(props, (ts, event_id, event_type, value, props)) AS props FROM events GROUP BY user_id")
     q["compress_record"] = (
-        lambda s, d: FN.compress_record(CH.churn_lists(_rev(s, d))),
+        lambda s, d: FN.compress_record(CH.churn_lists(_cq(s, d))),
         _CQ + f""",
 pg AS (SELECT prev_quarter, curr_quarter, substr(md5(CAST(ClientID AS VARCHAR)), 1, 2) AS page,
               count_if({_TOOLS_LOST}) AS num_lost, count_if({_TOOLS_NEW}) AS num_new,
@@ -723,7 +730,7 @@ def _bundle(s, d):
 
 _SINKS = {
     "write_churn_report": (
-        lambda s, d: _json_roundtrip(s, CH.churn_lists(_rev(s, d)), "churn-report"),
+        lambda s, d: _json_roundtrip(s, CH.churn_lists(_cq(s, d)), "churn-report"),
         "@churn_lists"),
     "write_run_metrics": (
         lambda s, d: _json_roundtrip(s, EV.step_counters(load(s, d, "events")), "run-metrics"),
