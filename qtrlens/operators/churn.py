@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import pair_label
+from ..session import cut_lineage
 from .revenue import client_quarterly_long, drop_null_keys, money_sum, quarter_labels, with_quarter
 
 MAX_QUARTER_LABELS = 40_000
@@ -110,7 +111,10 @@ def churn_predicates(mode: str = CORE, p: str = "prev_revenue",
     """(lost, new) conditions. They differ only for negative revenue:
     core: lost = prev > 0 and curr == 0; new = prev == 0 and curr > 0.
     tools: lost = prev > 0 and not curr > 0; new = curr > 0 and not prev > 0."""
-    pv, cv = F.col(p), F.col(c)
+    return _predicates(mode, F.col(p), F.col(c))
+
+
+def _predicates(mode: str, pv: Column, cv: Column) -> tuple[Column, Column]:
     if mode == CORE:
         return (pv > 0) & (cv == 0), (pv == 0) & (cv > 0)
     if mode == TOOLS:
@@ -120,7 +124,77 @@ def churn_predicates(mode: str = CORE, p: str = "prev_revenue",
 
 def churn_counts(df: DataFrame, mode: str = CORE, client_col: str = "ClientID") -> DataFrame:
     """Per consecutive pair — lost and new counts, lost and gained
-    revenue, and both period totals."""
+    revenue, and both period totals.
+
+    One pass over the client × quarter table. A per-client window (at most
+    one row per quarter per client) gives every row its client's next and
+    previous observed quarter. One aggregate keyed by (quarter, neighbour)
+    keeps the row's contribution under both cases — the client has a row in
+    the next observed quarter, or not — and which case holds is decided per
+    pair afterwards, on tables whose size depends only on the number of
+    quarters. The quarter index comes from that small aggregate, which is
+    written once to the checkpoint folder, so the base data is read once."""
+    cq = client_quarterly_long(df, client_col)
+    w = Window.partitionBy(client_col).orderBy("Quarter")
+    x = cq.select("Quarter", "Revenue",
+                  F.lead("Quarter").over(w).alias("nq"), F.lead("Revenue").over(w).alias("nr"),
+                  F.lag("Quarter").over(w).alias("pq"))
+    r, nr = F.col("Revenue"), F.col("nr")
+    zero = F.lit(0).cast(cq.schema["Revenue"].dataType)
+    lost_c, new_c = _predicates(mode, r, nr)          # client also in the next quarter
+    lost_g, _ = _predicates(mode, r, zero)            # client absent from the next quarter
+    _, new_b = _predicates(mode, zero, r)             # client absent from the previous quarter
+
+    def cnt(c):
+        return F.when(c, F.lit(1)).otherwise(F.lit(0)).cast("long")
+
+    def amt(c, v):
+        return F.when(c, v).otherwise(zero)
+    rec = F.explode(F.array(
+        F.struct(F.lit("A").alias("kind"), F.col("nq").alias("other"), cnt(lost_c).alias("lc"),
+                 cnt(new_c).alias("nc"), amt(lost_c, r).alias("loss_c"), amt(new_c, nr).alias("gain_c"),
+                 cnt(lost_g).alias("lg"), amt(lost_g, r).alias("loss_g"), r.alias("total")),
+        F.struct(F.lit("B").alias("kind"), F.col("pq").alias("other"), F.lit(0).cast("long").alias("lc"),
+                 cnt(new_b).alias("nc"), zero.alias("loss_c"), amt(new_b, r).alias("gain_c"),
+                 F.lit(0).cast("long").alias("lg"), zero.alias("loss_g"), zero.alias("total")),
+    ))
+    stats = (x.select("Quarter", rec.alias("e")).select("Quarter", "e.*")
+              .groupBy("kind", "Quarter", "other")
+              .agg(*[F.sum(c).alias(c) for c in ("lc", "nc", "loss_c", "gain_c", "lg", "loss_g", "total")]))
+    # at most two rows per (quarter, neighbour quarter): written once so the
+    # three small consumers below do not each re-run the pass over the data
+    stats = cut_lineage(stats, df.sparkSession, "churn-stats")
+    # quarter index and totals from the small stats table
+    qt = stats.where(F.col("kind") == "A").groupBy("Quarter").agg(F.sum("total").alias("quarter_total"))
+    idx = quarter_index(qt.withColumnRenamed("quarter_total", "Revenue"))
+    pairs = idx.select(F.col("Quarter").alias("prev_quarter"), F.col("after").alias("curr_quarter"),
+                       F.col("quarter_total").alias("total_prev"),
+                       F.lead("quarter_total").over(Window.orderBy("Quarter")).alias("total_curr")
+                       ).where(F.col("curr_quarter").isNotNull())
+    pairs = F.broadcast(pairs)                        # bounded by the index guard
+    a = stats.where(F.col("kind") == "A").join(pairs, F.col("Quarter") == F.col("prev_quarter"))
+    cont = F.col("other") == F.col("curr_quarter")
+    contrib_a = a.select("prev_quarter", "curr_quarter",
+                         F.when(cont, F.col("lc")).otherwise(F.col("lg")).alias("lost"),
+                         F.when(cont, F.col("nc")).otherwise(F.lit(0)).alias("new"),
+                         F.when(cont, F.col("loss_c")).otherwise(F.col("loss_g")).alias("loss"),
+                         F.when(cont, F.col("gain_c")).otherwise(zero).alias("gain"))
+    b = (stats.where(F.col("kind") == "B").join(pairs, F.col("Quarter") == F.col("curr_quarter"))
+              .where(F.col("other").isNull() | (F.col("other") != F.col("prev_quarter"))))
+    contrib_b = b.select("prev_quarter", "curr_quarter", F.lit(0).cast("long").alias("lost"),
+                         F.col("nc").alias("new"), zero.alias("loss"), F.col("gain_c").alias("gain"))
+    counts = contrib_a.unionByName(contrib_b).groupBy("prev_quarter", "curr_quarter").agg(
+        F.sum("lost").alias("lost_customers"), F.sum("new").alias("new_customers"),
+        money_sum("loss").alias("revenue_loss"), money_sum("gain").alias("revenue_gain"))
+    totals = pairs.select("prev_quarter", "curr_quarter",
+                          F.coalesce("total_prev", F.lit(0)).cast("double").alias("total_prev_revenue"),
+                          F.coalesce("total_curr", F.lit(0)).cast("double").alias("total_curr_revenue"))
+    return counts.join(totals, ["prev_quarter", "curr_quarter"])
+
+
+def churn_counts_aligned(df: DataFrame, mode: str = CORE, client_col: str = "ClientID") -> DataFrame:
+    """A9 from the explicit per-client alignment (W1); same result as
+    ``churn_counts``, kept as an independent cross-check."""
     al, idx = _aligned(df, client_col)
     lost, new = churn_predicates(mode)
     counts = al.groupBy("prev_quarter", "curr_quarter").agg(
@@ -129,7 +203,6 @@ def churn_counts(df: DataFrame, mode: str = CORE, client_col: str = "ClientID")
         money_sum(F.when(lost, F.col("prev_revenue"))).alias("revenue_loss"),
         money_sum(F.when(new, F.col("curr_revenue"))).alias("revenue_gain"),
     )
-    # period totals are the quarter totals the index already holds
     w = Window.orderBy("Quarter")
     totals = idx.select(
         F.col("Quarter").alias("prev_quarter"), F.col("after").alias("curr_quarter"),

@@ -87,3 +87,22 @@ def test_output_contract_violations(spark, sample):
     bad = VA.check_output_contract(CH.churn_counts(sample).drop("revenue_gain")
                                    .withColumn("lost_customers", F.lit("x")), CHURN_COUNTS)
     assert ("revenue_gain", "missing") in bad and any(f == "lost_customers" for f, _ in bad)
+
+
+def test_one_pass_churn_equals_alignment(spark):
+    import random
+    rnd = random.Random(11)
+    rows = []
+    quarters = ["2023-01-15", "2023-04-15", "2023-07-15", "2023-10-15", "2024-04-15", "2024-07-15"]
+    for c in range(60):
+        for d in quarters:
+            if rnd.random() < 0.55:
+                v = rnd.choice(["100", "0", "-30", "250.5", "40"])
+                rows.append((f"C{c:03d}", "R", "X", d, v))
+    df = prepare_feed(spark.createDataFrame(
+        rows, "ClientID string, Region string, Country string, Date string, Revenue string"))[0]
+    for mode in (CH.CORE, CH.TOOLS):
+        a = sorted(tuple(r) for r in CH.churn_counts(df, mode).collect())
+        b = sorted(tuple(r) for r in CH.churn_counts_aligned(df, mode).select(
+            *CH.churn_counts(df, mode).columns).collect())
+        assert a == b and len(a) == 5
