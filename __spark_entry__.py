@@ -339,6 +339,31 @@ class _Embed:
 _EMBED_SQL = _Embed
 
 
+# the breaker as a recursive query: state (count, open_until) per user,
+# carried event by event in (ts, event_id) order
+_BREAKER_SQL = """WITH RECURSIVE t AS (
+  SELECT user_id, ts, event_type = 'error' AS f,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+r AS (
+  SELECT user_id, rn, ts, CASE WHEN f THEN 1 ELSE 0 END AS cnt,
+         CASE WHEN f AND 1 >= 3 THEN ts + INTERVAL 30 SECOND END AS open_until,
+         f AND 1 >= 3 AS trip
+  FROM t WHERE rn = 1
+  UNION ALL
+  SELECT t.user_id, t.rn, t.ts,
+         CASE WHEN r.open_until IS NOT NULL AND t.ts <= r.open_until THEN r.cnt
+              WHEN t.f THEN (CASE WHEN r.open_until IS NOT NULL THEN 0 ELSE r.cnt END) + 1
+              ELSE 0 END,
+         CASE WHEN r.open_until IS NOT NULL AND t.ts <= r.open_until THEN r.open_until
+              WHEN t.f AND (CASE WHEN r.open_until IS NOT NULL THEN 0 ELSE r.cnt END) + 1 >= 3
+                THEN t.ts + INTERVAL 30 SECOND
+              ELSE NULL END,
+         NOT (r.open_until IS NOT NULL AND t.ts <= r.open_until)
+           AND t.f AND (CASE WHEN r.open_until IS NOT NULL THEN 0 ELSE r.cnt END) + 1 >= 3
+  FROM r JOIN t ON t.user_id = r.user_id AND t.rn = r.rn + 1),
+trips AS (SELECT user_id, ts AS trip_at, open_until FROM r WHERE trip)"""
+
+
 def _raw_rev(spark, d):
     """The revenue view as text, with data-derived defects: an impossible
     date on partially filled orders and unreadable revenue on low-priority
@@ -610,7 +635,11 @@ WHERE rank <= 5""")
            FROM events)
 SELECT user_id, island, min(ts) AS streak_start, max(ts) AS streak_end, count(*) AS failures,
        count(*) >= 3 AS tripped FROM x WHERE f GROUP BY user_id, island""")
-    q["breaker_trips"] = (lambda s, d: EV.breaker_trips(load(s, d, "events")), None)
+    q["breaker_trips"] = (lambda s, d: EV.breaker_trips(load(s, d, "events")), _BREAKER_SQL + """
+SELECT k.user_id, k.trip_at, k.open_until,
+       (SELECT count(*) FROM t WHERE t.user_id = k.user_id AND t.ts > k.trip_at AND t.ts <= k.open_until)
+         AS blocked_events
+FROM trips k""")
     q["latest_summaries"] = (
         lambda s, d: SK.latest_per_key(load(s, d, "events"), ["user_id"], "ts"),
         "SELECT user_id, arg_max(event_id, (ts, event_id, event_type, value, props)) AS event_id, max(ts) AS ts, "
@@ -745,7 +774,7 @@ FROM revq GROUP BY Quarter, Region, Country"""),
     "stream_num_clients": (_st_num_clients, _REVQ + """
 SELECT Quarter, Region, Country, COUNT(DISTINCT ClientID) AS NumClients FROM revq GROUP BY Quarter, Region, Country"""),
     "stream_churn_counts": (_st_churn, _CQ + _COUNTS_SELECT),
-    "stream_breaker_trips": (_st_breaker, None),
+    "stream_breaker_trips": (_st_breaker, _BREAKER_SQL + "\nSELECT user_id, trip_at, open_until FROM trips"),
     "idempotent_apply": (_st_idempotent,
                          _REV + "\nSELECT ClientID, Region, Country, Date, CAST(Revenue AS DOUBLE) AS Revenue FROM rev"),
     "stream_totals_check": (_st_totals, None),
