@@ -98,7 +98,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return _churn_counts(spark, SMOKE_DIR)
 
 
-def _registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
+def _batch_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     q: dict[str, tuple[Callable, str | None]] = {}
 
     # ---- J6 / S3: the revenue view itself
@@ -330,13 +330,9 @@ _EMBED_TPL = """
 @n AS (SELECT id, bucket, c / sqrt(sum(c * c) OVER (PARTITION BY id)) AS weight FROM @n_cnt)"""
 
 
-class _Embed:
-    @staticmethod
-    def format(name, id, table):
-        return _EMBED_TPL.replace("@n", name).replace("@id", id).replace("@t", table)
-
-
-_EMBED_SQL = _Embed
+def _embed_sql(name: str, id_col: str, table: str) -> str:
+    """DuckDB CTEs for the hashed bag-of-words of ``table`` (as M1)."""
+    return _EMBED_TPL.replace("@n", name).replace("@id", id_col).replace("@t", table)
 
 
 # the breaker as a recursive query: state (count, open_until) per user,
@@ -562,22 +558,22 @@ SELECT conv_id, CAST(chunk_no AS INTEGER) AS chunk_no, n_texts, text_tokens,
     q["embed_text"] = (
         lambda s, d: TX.embed_text(load(s, d, "documents"), "doc_id", "text")
                        .withColumn("weight", F.round("weight", 9)),
-        "WITH" + _EMBED_SQL.format(name="e", id="doc_id", table="documents") +
+        "WITH" + _embed_sql("e", "doc_id", "documents") +
         "\nSELECT id, bucket, round(weight, 9) AS weight FROM e")
     q["upsert_index"] = (
         lambda s, d: TX.upsert_index(TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
                                      TX.embed_text(load(s, d, "benchmark"), "item_id", "text"))
                        .withColumn("weight", F.round("weight", 9)),
-        "WITH" + _EMBED_SQL.format(name="e", id="doc_id", table="documents") + "," +
-        _EMBED_SQL.format(name="b", id="item_id", table="benchmark") + """
+        "WITH" + _embed_sql("e", "doc_id", "documents") + "," +
+        _embed_sql("b", "item_id", "benchmark") + """
 SELECT id, bucket, round(weight, 9) AS weight FROM e WHERE id NOT IN (SELECT id FROM b)
 UNION ALL SELECT id, bucket, round(weight, 9) FROM b""")
     q["similarity_pairs"] = (
         lambda s, d: TX.similarity_pairs(TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
                                          TX.embed_text(load(s, d, "benchmark"), "item_id", "text"))
                        .withColumn("score", F.round("score", 6)),
-        "WITH" + _EMBED_SQL.format(name="e", id="doc_id", table="documents") + "," +
-        _EMBED_SQL.format(name="b", id="item_id", table="benchmark") + """
+        "WITH" + _embed_sql("e", "doc_id", "documents") + "," +
+        _embed_sql("b", "item_id", "benchmark") + """
 SELECT b.id AS qid, e.id, round(SUM(e.weight * b.weight), 6) AS score
 FROM e JOIN b ON e.bucket = b.bucket GROUP BY b.id, e.id""")
     def _query_index(s, d):
@@ -587,8 +583,8 @@ FROM e JOIN b ON e.bucket = b.bucket GROUP BY b.id, e.id""")
         return TX.query_index(s.read.parquet(path), load(s, d, "benchmark"), "item_id", "text", k=5)
     q["query_index"] = (
         _query_index,
-        "WITH" + _EMBED_SQL.format(name="e", id="doc_id", table="documents") + "," +
-        _EMBED_SQL.format(name="b", id="item_id", table="benchmark") + """,
+        "WITH" + _embed_sql("e", "doc_id", "documents") + "," +
+        _embed_sql("b", "item_id", "benchmark") + """,
 pos AS (SELECT b.id AS qid, e.id, round(SUM(e.weight * b.weight), 6) AS score
         FROM e JOIN b ON e.bucket = b.bucket GROUP BY b.id, e.id),
 fill AS (SELECT q.qid, i.id, 0.0 AS score FROM (SELECT DISTINCT id AS qid FROM b) q
@@ -670,7 +666,6 @@ FROM pairs p LEFT JOIN pg ON p.prev_quarter = pg.prev_quarter AND p.curr_quarter
 def _rev_files(spark, d):
     """The revenue view written as a file set in four time slices (appended
     in time order), the input the streams consume."""
-    from qtrlens.streaming import revenue_stream as ST  # noqa: F401
     path = scratch_path(spark, "rev-files")
     for part in _year_slices(revenue_view(spark, d)):
         part.write.mode("append").parquet(path)
@@ -780,11 +775,11 @@ SELECT Quarter, Region, Country, COUNT(DISTINCT ClientID) AS NumClients FROM rev
     "stream_totals_check": (_st_totals, None),
 }
 
-_registry_base = _registry
-
-
-def _registry():  # noqa: F811 - extends the batch registry with the streams
-    q = _registry_base()
+def _registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
+    """All keys: batch operators, streams and sink round trips. The second
+    item is the DuckDB oracle text, ``None`` for a rows-only check, or
+    ``@key`` to reuse another key's oracle."""
+    q = _batch_registry()
     q.update(_STREAM)
     q.update(_SINKS)
     return q
