@@ -752,7 +752,15 @@ def _bundle(s, d):
     return SK.export_bundle(agg, CH.churn_counts(rev), checks)
 
 
+def _report_churn(s, d):
+    """The end-to-end report (tools path) over the revenue view; its churn
+    table is read from the client × quarter table the report writes once."""
+    from qtrlens.plans.report import revenue_churn_report
+    return revenue_churn_report(_rev(s, d))["churn_report"]
+
+
 _SINKS = {
+    "report_churn_counts": (_report_churn, "@churn_counts_tools"),
     "write_churn_report": (
         lambda s, d: _json_roundtrip(s, CH.churn_lists(_cq(s, d)), "churn-report"),
         "@churn_lists"),
