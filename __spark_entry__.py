@@ -300,8 +300,17 @@ def _year_slices(rev: DataFrame) -> list[DataFrame]:
             rev.where((y >= 1999) & (y < 2001)), rev.where((y >= 2001) | F.col("Date").isNull())]
 
 
+def _pinned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Run a query with the session settings results depend on (UTC, ANSI)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_conf(spark)
+        return fn(spark, sf_dir)
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v[0] for k, v in _registry().items()}
+    return {k: _pinned(v[0]) for k, v in _registry().items()}
 
 
 def oracle_sql() -> dict[str, str]:
