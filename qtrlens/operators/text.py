@@ -135,8 +135,13 @@ def pack_by_token_budget(df: DataFrame, template: str, context_token_limit: int,
 def embed_text(df: DataFrame, id_col: str, text_col: str, dim: int = DEFAULT_DIM) -> DataFrame:
     """M1: hashed bag-of-words, L2-normalised, as sparse ``(id, bucket,
     weight)``. Text with no token has no rows. The per-id norm is taken over
-    at most ``dim`` aggregated rows, so a long text never widens a group."""
-    tokens = df.select(F.col(id_col).alias("id"), F.explode(tokenize(text_col)).alias("tok"))
+    at most ``dim`` aggregated rows, so a long text never widens a group.
+    Tokenising is the CPU-heavy step, so a narrow input (fewer partitions
+    than cores) is spread first; a normally split input is not moved."""
+    from ..session import spread_if_narrow
+
+    src = spread_if_narrow(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")))
+    tokens = src.select("id", F.explode(tokenize("_t")).alias("tok"))
     counts = tokens.groupBy("id", hash_bucket("tok", dim).alias("bucket")).agg(
         F.count(F.lit(1)).cast("double").alias("c"))
     w = Window.partitionBy("id")

@@ -95,3 +95,17 @@ def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def spread_if_narrow(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over ``min_partitions`` (default: the session's
+    default parallelism) only when it has fewer partitions than that — for
+    CPU-heavy per-row work fed by a scan that yields few splits (a single
+    large row group, a handful of files). On a cluster reading many files the
+    condition is false and nothing moves."""
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no local SparkContext (Spark Connect): leave as is
+        return df
+    return df.repartition(target) if n < target else df
