@@ -673,11 +673,10 @@ FROM pairs p LEFT JOIN pg ON p.prev_quarter = pg.prev_quarter AND p.curr_quarter
 
 # ----------------------------------------------------------------- streaming
 def _rev_files(spark, d):
-    """The revenue view written as a file set in four time slices (appended
-    in time order), the input the streams consume."""
+    """The revenue view written once as a set of eight files, the input the
+    streams consume two files per micro-batch."""
     path = scratch_path(spark, "rev-files")
-    for part in _year_slices(revenue_view(spark, d)):
-        part.write.mode("append").parquet(path)
+    revenue_view(spark, d).repartition(8, "ClientID").write.parquet(path)
     return path, spark.read.parquet(path).schema
 
 
