@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import pair_label
 from ..session import cut_lineage
-from .revenue import client_quarterly_long, drop_null_keys, money_sum, quarter_labels, with_quarter
+from .revenue import client_quarterly_long, money_sum, quarter_labels, with_quarter
 
 MAX_QUARTER_LABELS = 40_000
 CORE = "core"
