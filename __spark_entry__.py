@@ -115,14 +115,14 @@ def _batch_registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame
 
     # ---- A1–A8, F1–F3
     q["aggregate_by_quarter_region"] = (
-        lambda s, d: RV.aggregate_by_quarter_region(_rev(s, d)),
+        lambda s, d: RV.aggregate_by_quarter_region(_cq(s, d), rows_col="NumRows"),
         _REVQ + """
 SELECT Quarter, Region, Country, CAST(COALESCE(SUM(Revenue), 0) AS DOUBLE) AS TotalRevenue,
        COUNT(Revenue) AS NumRows
 FROM revq WHERE Quarter IS NOT NULL AND Region IS NOT NULL AND Country IS NOT NULL
 GROUP BY Quarter, Region, Country""")
     q["group_by_quarter"] = (
-        lambda s, d: RV.group_by_quarter(_rev(s, d)),
+        lambda s, d: RV.group_by_quarter(client_quarter_view(s, d, year_blind=True)),
         _REV + """
 SELECT 'Q' || CAST(quarter(Date) AS VARCHAR) AS Quarter, Region, Country,
        CAST(COALESCE(SUM(Revenue), 0) AS DOUBLE) AS TotalRevenue, COUNT(DISTINCT ClientID) AS NumClients
@@ -140,7 +140,7 @@ FROM (PIVOT (SELECT ClientID, Quarter, Revenue FROM cq) ON Quarter USING sum(Rev
         lambda s, d: RV.total_revenue(_rev(s, d)),
         _REV + "\nSELECT CAST(COALESCE(SUM(Revenue), 0) AS DOUBLE) AS total_revenue, COUNT(*) AS num_rows FROM rev")
     q["quarterly_totals"] = (
-        lambda s, d: RV.quarterly_totals(RV.aggregate_by_quarter_region(_rev(s, d))),
+        lambda s, d: RV.quarterly_totals(RV.aggregate_by_quarter_region(_cq(s, d), rows_col="NumRows")),
         _REVQ + "\nSELECT Quarter, CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue FROM revq GROUP BY Quarter")
     q["merge_partials"] = (
         lambda s, d: RV.merge_partials([
@@ -169,7 +169,7 @@ FROM rev WHERE Region IS NOT NULL GROUP BY 1, Region, Country""")
 
     # ---- W2, T3
     q["top_regions_per_quarter"] = (
-        lambda s, d: RV.top_regions_per_quarter(RV.aggregate_by_quarter_region(_rev(s, d))),
+        lambda s, d: RV.top_regions_per_quarter(RV.aggregate_by_quarter_region(_cq(s, d), rows_col="NumRows")),
         _REVQ + """,
 agg AS (SELECT Quarter, Region, Country, CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue, COUNT(Revenue) AS NumRows
         FROM revq GROUP BY Quarter, Region, Country)

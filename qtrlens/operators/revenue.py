@@ -42,12 +42,17 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=list(keys))
 
 
-def aggregate_by_quarter_region(df: DataFrame) -> DataFrame:
-    """A1: revenue sum and non-null revenue count by quarter, region, country."""
+def aggregate_by_quarter_region(df: DataFrame, rows_col: str | None = None) -> DataFrame:
+    """A1: revenue sum and non-null revenue count by quarter, region, country.
+
+    ``rows_col`` names a per-row count when the input is already partly
+    aggregated (e.g. one row per client and quarter); ``NumRows`` then sums
+    it, so the result equals aggregating the underlying rows."""
     df = drop_null_keys(with_quarter(df), GEO_KEYS)
+    n = F.count("Revenue") if rows_col is None else F.coalesce(F.sum(rows_col), F.lit(0)).cast("long")
     return df.groupBy(*GEO_KEYS).agg(
         money_sum("Revenue").alias("TotalRevenue"),
-        F.count("Revenue").alias("NumRows"),
+        n.alias("NumRows"),
     )
 
 

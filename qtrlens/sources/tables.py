@@ -78,7 +78,8 @@ rev AS (
 
 def client_quarter_view(spark: SparkSession, sf_dir: str, year_blind: bool = False) -> DataFrame:
     """A3 straight from the star schema: ``(ClientID, Region, Country,
-    Quarter, Revenue)`` at one row per client and quarter.
+    Quarter, Revenue, NumRows)`` at one row per client and quarter
+    (``NumRows`` counts the orders behind the row).
 
     Orders are aggregated to (customer, quarter) *before* the customer and
     geography join. Partial aggregation collapses a customer with a huge
@@ -95,10 +96,11 @@ def client_quarter_view(spark: SparkSession, sf_dir: str, year_blind: bool = Fal
     q = quarter_of_year_label(d) if year_blind else quarter_label(d)
     a = (orders.where(F.col("o_custkey").isNotNull() & d.isNotNull())
                .groupBy(F.col("o_custkey").alias("ClientID"), q.alias("Quarter"))
-               .agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("Revenue")))
+               .agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("Revenue"),
+                    F.count("o_totalprice").alias("NumRows")))
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     geo = geo_dimension(spark, sf_dir)
     cust_geo = customer.join(broadcast_if_small(geo), customer.c_nationkey == geo.n_nationkey)
     cust_geo = cust_geo.select("c_custkey", "Region", "Country")
     j = a.join(cust_geo, a.ClientID == cust_geo.c_custkey)
-    return j.select("ClientID", "Region", "Country", "Quarter", "Revenue")
+    return j.select("ClientID", "Region", "Country", "Quarter", "Revenue", "NumRows")
