@@ -103,20 +103,22 @@ _TRIP_SCHEMA = T.StructType([
 ])
 
 
-def _breaker(threshold: int, timeout_s: float):
-    """Fold over rows sorted by (key, ts, tiebreak); state resets at each new key."""
+def _breaker(threshold: int, timeout_s: float, seg: str | None = None):
+    """Fold over rows sorted by (key[, seg], ts, tiebreak); the state starts
+    fresh at each new key (and at each new segment of a key)."""
     timeout = np.timedelta64(int(timeout_s * 1e6), "us")
 
     def fn(batches):
-        prev_key, count, open_until = None, 0, None
+        prev, count, open_until = None, 0, None
         out_k, out_t, out_u, out_b = [], [], [], []
         for pdf in batches:
             keys = pdf["key"].to_numpy()
+            segs = pdf[seg].to_numpy() if seg else np.zeros(len(pdf), dtype="int64")
             ts = pdf["ts"].to_numpy(dtype="datetime64[us]")
             fails = pdf["f"].to_numpy()
-            for k, t, f in zip(keys, ts, fails):
-                if k != prev_key:
-                    prev_key, count, open_until = k, 0, None
+            for k, sg, t, f in zip(keys, segs, ts, fails):
+                if (k, sg) != prev:
+                    prev, count, open_until = (k, sg), 0, None
                 if open_until is not None:
                     if t > open_until:          # timeout passed: start from zero
                         count, open_until = 0, None
@@ -141,24 +143,65 @@ def _breaker(threshold: int, timeout_s: float):
     return fn
 
 
+def _fold_by_key(x: DataFrame, threshold: int, timeout_s: float) -> DataFrame:
+    x = x.repartition("key").sortWithinPartitions("key", "ts", "tb")
+    return x.mapInPandas(_breaker(threshold, timeout_s), _TRIP_SCHEMA)
+
+
+def _fold_hot_segments(x: DataFrame, threshold: int, timeout_s: float) -> DataFrame:
+    """Split each hot key at hard resets and fold the pieces in parallel.
+
+    A success with no failure in the ``timeout`` before it (ties ordered
+    first included) cannot fall inside an open window — a window only opens
+    at a failure and lasts ``timeout`` — so it is processed and leaves the
+    state at (0, closed) whatever came before. The running latest failure
+    time and the running count of such resets are distributed segmented
+    scans; each (key, segment) then folds independently."""
+    from .ordered import segmented_running
+
+    none = -(2 ** 62)
+    t_us = F.unix_micros(F.col("ts"))
+    y = x.withColumn("_fu", F.when(F.col("f"), t_us).otherwise(F.lit(none)))
+    y = segmented_running(y, "key", ["ts", "tb"], "_fu", "_lf", op="max")
+    hard = (~F.col("f")) & (F.col("_lf") < t_us - F.lit(int(timeout_s * 1e6)))
+    y = y.withColumn("_h", hard.cast("long"))
+    y = segmented_running(y, "key", ["ts", "tb"], "_h", "_seg", op="sum")
+    y = y.select("key", "_seg", "ts", "tb", "f").repartition("key", "_seg") \
+         .sortWithinPartitions("key", "_seg", "ts", "tb")
+    return y.mapInPandas(_breaker(threshold, timeout_s, seg="_seg"), _TRIP_SCHEMA)
+
+
 def breaker_trips(events: DataFrame, key: str = "user_id", ts: str = "ts", order_tiebreak: str = "event_id",
                   threshold: int = FAIL_THRESHOLD, reset_timeout_s: float = RESET_TIMEOUT_SECONDS,
-                  status_col: str = "event_type") -> DataFrame:
+                  status_col: str = "event_type", hot_share: float = 0.01,
+                  hot_min_rows: int = 1_000_000) -> DataFrame:
     """Circuit-breaker trips per key. Failures count up; at ``threshold``
     the key opens until ``ts + reset_timeout``; events while open are ignored
     (counted as ``blocked_events``); after the timeout the count restarts at
     zero; any success resets it.
 
-    The fold is sequential per key, so rows are hash-partitioned by key and
-    sorted by (key, ts) inside each partition; one Python pass per partition
-    then folds every key in turn over four narrow columns (no per-key Python
-    call, no per-key pandas frame)."""
+    The fold is sequential per key. Ordinary keys are hash-partitioned,
+    sorted by (key, ts) inside each partition and folded in one Python pass
+    per partition over four narrow columns. Keys holding more than
+    ``hot_share`` of all rows (and more than ``hot_min_rows``) — at most
+    ``1 / hot_share`` keys, found in-plan — are cut at hard resets into
+    independent segments that fold in parallel (``_fold_hot_segments``), so
+    no single task carries a hot key's whole history."""
+    from .ordered import hot_keys
+
     x = events.select(F.col(key).cast("long").alias("key"),
                       F.col(ts).cast("timestamp").alias("ts"),
                       F.col(order_tiebreak).cast("long").alias("tb"),
                       (F.col(status_col) == FAILURE_TYPE).alias("f"))
-    x = x.repartition("key").sortWithinPartitions("key", "ts", "tb")
-    out = x.mapInPandas(_breaker(threshold, reset_timeout_s), _TRIP_SCHEMA)
+    hot = hot_keys(x, "key", hot_share, hot_min_rows)
+    if not hot:
+        out = _fold_by_key(x, threshold, reset_timeout_s)
+    else:
+        hk = x.sparkSession.createDataFrame([(k,) for k in hot], "key long")   # ≤ 1/hot_share rows
+        cold = x.join(F.broadcast(hk), "key", "left_anti")
+        warm = x.join(F.broadcast(hk), "key", "left_semi")
+        out = _fold_by_key(cold, threshold, reset_timeout_s).unionByName(
+            _fold_hot_segments(warm, threshold, reset_timeout_s))
     return out.withColumnRenamed("key", key)
 
 

@@ -28,26 +28,34 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 
 
-def _local_cumsum(key: str, value: str, out: str):
+_OPS = ("sum", "max")
+
+
+def _local_scan(key: str, value: str, out: str, op: str):
     def fn(batches):
-        last_key, carry = None, 0
+        last_key, carry = None, None
         for pdf in batches:
             if len(pdf) == 0:
                 yield pdf.assign(**{out: np.zeros(0, dtype="int64")})
                 continue
-            cs = pdf.groupby(key, sort=False)[value].cumsum().to_numpy().astype("int64")
+            g = pdf.groupby(key, sort=False)[value]
+            cs = (g.cumsum() if op == "sum" else g.cummax()).to_numpy().astype("int64")
             k = pdf[key].to_numpy()
             if last_key is not None:
-                cs = cs + np.where(k == last_key, carry, 0)   # only the leading run can match
+                lead = k == last_key                      # only the leading run can match
+                cs = np.where(lead, cs + carry, cs) if op == "sum" else np.where(lead, np.maximum(cs, carry), cs)
             last_key, carry = k[-1], int(cs[-1])
             yield pdf.assign(**{out: cs})
     return fn
 
 
-def segmented_running_sum(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
-                          num_partitions: int | None = None) -> DataFrame:
-    """``out`` = running sum of integer ``value`` per ``key`` ordered by
-    ``order`` (rows with a null key are dropped, as in every keyed result)."""
+def segmented_running(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
+                      op: str = "sum", num_partitions: int | None = None) -> DataFrame:
+    """``out`` = running ``op`` (``sum`` or ``max``) of the integer column
+    ``value`` per ``key`` ordered by ``order``, inclusive of the row (rows
+    with a null key are dropped, as in every keyed result)."""
+    if op not in _OPS:
+        raise ValueError(f"op must be one of {_OPS}")
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.where(F.col(key).isNotNull())
@@ -55,11 +63,34 @@ def segmented_running_sum(df: DataFrame, key: str, order: Sequence[str], value:
                 .sortWithinPartitions(key, *order)
                 .withColumn("_p", F.spark_partition_id()))
     schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])
-    local = cut_lineage(ranged.mapInPandas(_local_cumsum(key, value, "_local"), schema), spark, "segscan")
-    totals = local.groupBy("_p", key).agg(F.sum(value).alias("_t"))
+    local = cut_lineage(ranged.mapInPandas(_local_scan(key, value, "_local", op), schema), spark, "segscan")
+    agg = F.sum if op == "sum" else F.max
+    totals = local.groupBy("_p", key).agg(agg(value).alias("_t"))
     w = Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (totals.select("_p", key, F.coalesce(F.sum("_t").over(w), F.lit(0)).alias("_off"))
-                     .where(F.col("_off") != 0))            # ≤ one row per partition
+    offsets = totals.select("_p", key, agg("_t").over(w).alias("_off")).where(F.col("_off").isNotNull())
+    if op == "sum":
+        offsets = offsets.where(F.col("_off") != 0)
+    # a key continuing from earlier partitions is the first key of its
+    # partition, so ``offsets`` has at most one row per partition
+    combined = (F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)) if op == "sum"
+                else F.greatest(F.col("_local"), F.coalesce(F.col("_off"), F.col("_local"))))
     return (local.join(F.broadcast(offsets), ["_p", key], "left")
-                 .withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))
+                 .withColumn(out, combined)
                  .drop("_p", "_local", "_off"))
+
+
+def segmented_running_sum(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
+                          num_partitions: int | None = None) -> DataFrame:
+    """Running sum per key (see ``segmented_running``)."""
+    return segmented_running(df, key, order, value, out, "sum", num_partitions)
+
+
+def hot_keys(df: DataFrame, key: str, share: float, min_rows: int = 0) -> list:
+    """Keys holding more than ``share`` of all rows (and more than
+    ``min_rows``). At most ``1 / share`` keys can qualify, so the returned
+    list has a proven bound; the row count is a scalar subquery in the plan."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = counts.where((F.col("_n") > total * F.lit(share)) & (F.col("_n") > F.lit(min_rows)))
+    bound = int(1 / share) + 1
+    return [r[0] for r in hot.select(key).limit(bound).collect()]

@@ -167,3 +167,28 @@ def test_streaks_hot_key_matches_window_and_loop(spark):
         per.setdefault(r.user_id, []).append((r.ts, r.rn))
     for u, v in per.items():
         assert [b for _, b in sorted(v)] == list(range(1, len(v) + 1))
+
+
+def test_breaker_hot_key_split_matches_sequential(spark):
+    import datetime as dt
+    import random
+    rnd = random.Random(3)
+    rows, eid = [], 0
+    t0 = dt.datetime(2024, 1, 1)
+    for user, n in ((1, 4000), (2, 300), (3, 500)):
+        t = t0
+        for _ in range(n):
+            t += dt.timedelta(seconds=rnd.choice([1, 2, 5, 20, 40]))
+            rows.append((eid, t, user, "error" if rnd.random() < 0.7 else "view", 1.0, "{}"))
+            eid += 1
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                                     "value double, props string")
+    cols = ["user_id", "trip_at", "open_until", "blocked_events"]
+    seq = sorted(tuple(r) for r in EV.breaker_trips(ev).select(cols).collect())   # no hot keys
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        split = sorted(tuple(r) for r in EV.breaker_trips(ev, hot_share=0.3, hot_min_rows=100)
+                       .select(cols).collect())                                     # user 1 is hot
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert split == seq and len(seq) > 50
