@@ -59,40 +59,60 @@ def run_log_summary(events: DataFrame, key: str = "user_id", status_col: str = "
         F.count_if(F.col(status_col) == FAILURE_TYPE).alias("errors"))
 
 
+def _streaks(x: DataFrame, key: str, ts: str, threshold: int) -> DataFrame:
+    s = x.where("_f").groupBy(key, "island").agg(
+        F.min(ts).alias("streak_start"), F.max(ts).alias("streak_end"), F.count(F.lit(1)).alias("failures"))
+    return s.withColumn("tripped", F.col("failures") >= threshold)
+
+
+def _islands_window(x: DataFrame, key: str, ts: str, tb: str) -> DataFrame:
+    w = Window.partitionBy(key).orderBy(ts, tb).rowsBetween(Window.unboundedPreceding, 0)
+    return x.withColumn("island", F.sum("_s").over(w))
+
+
+def _islands_scan(x: DataFrame, key: str, ts: str, tb: str) -> DataFrame:
+    from .ordered import segmented_running_sum
+    return segmented_running_sum(x, key, [ts, tb], "_s", "island")
+
+
 def failure_streaks(events: DataFrame, key: str = "user_id", ts: str = "ts", order_tiebreak: str = "event_id",
-                    threshold: int = FAIL_THRESHOLD, status_col: str = "event_type") -> DataFrame:
+                    threshold: int = FAIL_THRESHOLD, status_col: str = "event_type",
+                    hot_share: float = 0.01, hot_min_rows: int = 1_000_000) -> DataFrame:
     """Runs of consecutive failures per key, reset by any success.
 
     Gaps-and-islands: the running count of successes numbers the islands;
     failures inside one island form one streak. One row per streak with
     ``failures`` and ``tripped`` (``failures >= threshold``).
 
-    The running count is a distributed segmented scan (``ordered.py``): a key
-    with a third of all events is split over many tasks by time, and the
-    streak aggregate afterwards is a hash aggregate with partial aggregation."""
-    from .ordered import segmented_running_sum
+    Ordinary keys use a per-key window. Keys holding more than ``hot_share``
+    of all rows (and more than ``hot_min_rows``; at most ``1 / hot_share``
+    keys, found in-plan) use a distributed segmented scan instead
+    (``ordered.py``), which splits such a key over many tasks by time. The
+    streak aggregate is a hash aggregate with partial aggregation."""
+    from .ordered import hot_keys
 
     fail = (F.col(status_col) == FAILURE_TYPE)
     x = events.select(key, ts, order_tiebreak, fail.alias("_f"),
                       F.when(fail, 0).otherwise(1).cast("long").alias("_s"))
-    x = segmented_running_sum(x, key, [ts, order_tiebreak], "_s", "island")
-    s = x.where("_f").groupBy(key, "island").agg(
-        F.min(ts).alias("streak_start"), F.max(ts).alias("streak_end"), F.count(F.lit(1)).alias("failures"))
-    return s.withColumn("tripped", F.col("failures") >= threshold)
+    hot = hot_keys(x, key, hot_share, hot_min_rows)
+    if not hot:
+        return _streaks(_islands_window(x, key, ts, order_tiebreak), key, ts, threshold)
+    hk = x.sparkSession.createDataFrame([(k,) for k in hot], T.StructType([T.StructField(key, x.schema[key].dataType)]))
+    hk = F.broadcast(hk)                              # ≤ 1 / hot_share rows
+    cold = _islands_window(x.join(hk, key, "left_anti"), key, ts, order_tiebreak)
+    warm = _islands_scan(x.join(hk, key, "left_semi"), key, ts, order_tiebreak)
+    return _streaks(cold.unionByName(warm), key, ts, threshold)
 
 
 def failure_streaks_window(events: DataFrame, key: str = "user_id", ts: str = "ts",
                            order_tiebreak: str = "event_id", threshold: int = FAIL_THRESHOLD,
                            status_col: str = "event_type") -> DataFrame:
-    """W5 with a per-key window (same result; used to cross-check the scan).
-    A very large key is one task's work here."""
+    """W5 with a per-key window for every key (cross-check; a very large key
+    is one task's work here)."""
     fail = (F.col(status_col) == FAILURE_TYPE)
-    w = Window.partitionBy(key).orderBy(ts, order_tiebreak).rowsBetween(Window.unboundedPreceding, 0)
-    x = events.select(key, ts, fail.alias("_f"),
-                      F.sum(F.when(fail, 0).otherwise(1)).over(w).alias("island"))
-    s = x.where("_f").groupBy(key, "island").agg(
-        F.min(ts).alias("streak_start"), F.max(ts).alias("streak_end"), F.count(F.lit(1)).alias("failures"))
-    return s.withColumn("tripped", F.col("failures") >= threshold)
+    x = events.select(key, ts, order_tiebreak, fail.alias("_f"),
+                      F.when(fail, 0).otherwise(1).cast("long").alias("_s"))
+    return _streaks(_islands_window(x, key, ts, order_tiebreak), key, ts, threshold)
 
 
 _TRIP_SCHEMA = T.StructType([

@@ -149,7 +149,8 @@ def test_streaks_hot_key_matches_window_and_loop(spark):
     from qtrlens.operators.ordered import segmented_running_sum
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        got = sorted((r.user_id, r.failures, r.streak_start) for r in EV.failure_streaks(ev).collect())
+        got = sorted((r.user_id, r.failures, r.streak_start)
+                     for r in EV.failure_streaks(ev, hot_share=0.3, hot_min_rows=100).collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     want = sorted((r.user_id, r.failures, r.streak_start) for r in EV.failure_streaks_window(ev).collect())
