@@ -106,3 +106,29 @@ def test_one_pass_churn_equals_alignment(spark):
         b = sorted(tuple(r) for r in CH.churn_counts_aligned(df, mode).select(
             *CH.churn_counts(df, mode).columns).collect())
         assert a == b and len(a) == 5
+
+
+def test_validation_action_combinations(spark):
+    def acts(rows):
+        checks = spark.createDataFrame(rows, "check string, ok boolean")
+        return [(a.action, a.reason) for a in VA.validation_actions(checks).collect()]
+    assert acts([("quarterly", False), ("churn", False)]) == [
+        ("retry_aggregation", "sum mismatch"), ("recompute_churn", "reconciliation failed")]
+    assert acts([("quarterly", True), ("churn", False)]) == [("recompute_churn", "reconciliation failed")]
+    assert acts([("churn", True)]) == [("accept", "all checks passed")]   # missing check counts as ok
+
+
+def test_sample_is_deterministic_and_exact(spark, sample):
+    from qtrlens.operators.revenue import head_rows, sample_rows
+    a = [tuple(r) for r in sample_rows(sample, 3, ["ClientID", "Date"]).collect()]
+    b = [tuple(r) for r in sample_rows(sample.repartition(5), 3, ["ClientID", "Date"]).collect()]
+    assert len(a) == 3 and sorted(a) == sorted(b)
+    assert [r.ClientID for r in head_rows(sample, 2, ["Date", "ClientID"]).collect()] == ["C005", "C004"]
+
+
+def test_content_key_spells_out_nulls(spark):
+    import hashlib
+    from qtrlens.functions.columns import content_key
+    df = spark.createDataFrame([("step", None), ("step", "x")], "a string, b string")
+    got = [r[0] for r in df.select(content_key("a", "b")).collect()]
+    assert got == [hashlib.sha256(b"step|<null>").hexdigest(), hashlib.sha256(b"step|x").hexdigest()]
