@@ -129,10 +129,10 @@ SELECT 'Q' || CAST(quarter(Date) AS VARCHAR) AS Quarter, Region, Country,
 FROM rev WHERE Date IS NOT NULL AND Region IS NOT NULL AND Country IS NOT NULL
 GROUP BY 1, Region, Country""")
     q["client_quarterly_long"] = (
-        lambda s, d: _dbl(RV.client_quarterly_long(_rev(s, d)), "Revenue"),
+        lambda s, d: _dbl(RV.client_quarterly_long(_cq(s, d)), "Revenue"),
         _CQ + "\nSELECT ClientID, Quarter, CAST(Revenue AS DOUBLE) AS Revenue FROM cq")
     q["client_quarterly_revenue"] = (
-        lambda s, d: RV.client_quarterly_revenue(_rev(s, d)),
+        lambda s, d: RV.client_quarterly_revenue(_cq(s, d)),
         _CQ + """
 SELECT ClientID, CAST(COALESCE(COLUMNS(* EXCLUDE (ClientID)), 0) AS DOUBLE)
 FROM (PIVOT (SELECT ClientID, Quarter, Revenue FROM cq) ON Quarter USING sum(Revenue) GROUP BY ClientID) p""")
@@ -160,7 +160,7 @@ SELECT concat(CAST(year(Date) AS VARCHAR), 'Q', CAST(quarter(Date) AS VARCHAR))
        CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue, COUNT(Revenue) AS NumRows
 FROM rev WHERE Region IS NOT NULL GROUP BY 1, Region, Country""")
     q["active_clients"] = (
-        lambda s, d: _dbl(RV.active_clients(RV.client_quarterly_long(_rev(s, d))), "Revenue"),
+        lambda s, d: _dbl(RV.active_clients(RV.client_quarterly_long(_cq(s, d))), "Revenue"),
         _CQ + "\nSELECT ClientID, Quarter, CAST(Revenue AS DOUBLE) AS Revenue FROM cq WHERE Revenue > 0")
     q["quarter_slice"] = (
         lambda s, d: _dbl(RV.quarter_slice(_rev(s, d), SLICE_Q), "Revenue"),
