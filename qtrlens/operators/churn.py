@@ -14,6 +14,10 @@ then yields ``prev_revenue`` and ``curr_revenue`` for every client active in
 either quarter of every pair — the sparse equivalent of the zero-filled
 pivot. Partial aggregation runs before the shuffle, so a client holding a
 large share of all rows is collapsed map-side.
+
+The pair counts (``churn_counts``) do not need the per-client rows at all:
+they come from one pass with per-client neighbours and a small statistics
+table, see its docstring.
 """
 
 from __future__ import annotations
@@ -72,8 +76,9 @@ def quarter_pairs(df: DataFrame) -> DataFrame:
 
 
 def _aligned(df: DataFrame, client_col: str) -> tuple[DataFrame, DataFrame]:
-    # A3 first: both the index and the alignment read this one aggregate, so
-    # the scan and any shuffle under it are planned once and reused.
+    # The index branch only needs the labels, so Catalyst prunes it to its
+    # own (narrow) read of the input; callers that run many of these forms
+    # should pass a materialised A3 (as plans/report.py does).
     cq = client_quarterly_long(df, client_col)
     rtype = cq.schema["Revenue"].dataType
     idx = quarter_index(cq)
