@@ -667,8 +667,10 @@ SELECT p.prev_quarter AS q_prev, p.curr_quarter AS q_curr, pg.page,
 FROM pairs p LEFT JOIN pg ON p.prev_quarter = pg.prev_quarter AND p.curr_quarter = pg.curr_quarter""")
     q["summary_to_json"] = (
         lambda s, d: EV.step_counters(load(s, d, "events")).select(
-            FN.summary_to_json(F.col("event_type"), F.struct("count", "total_value")).alias("json")),
-        None)
+            FN.summary_to_json(F.col("event_type"),
+                               F.struct("count", F.round("total_value", 2).alias("total_value"))).alias("json")),
+        "SELECT CAST(to_json(struct_pack(step := event_type, summary := struct_pack(count := count(*), "
+        "total_value := round(SUM(value), 2)))) AS VARCHAR) AS json FROM events GROUP BY event_type")
 
 
 # ----------------------------------------------------------------- streaming
