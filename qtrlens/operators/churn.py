@@ -75,11 +75,15 @@ def quarter_pairs(df: DataFrame) -> DataFrame:
         F.col("after").alias("curr_quarter"))
 
 
+def _client_quarters(df: DataFrame, client_col: str) -> DataFrame:
+    """A3, written once to the checkpoint folder. Both the quarter index and
+    the per-client rows read it; left lazy, Catalyst would prune the index
+    branch into a second, narrower pass over the whole input."""
+    return cut_lineage(client_quarterly_long(df, client_col), df.sparkSession, "client-quarters")
+
+
 def _aligned(df: DataFrame, client_col: str) -> tuple[DataFrame, DataFrame]:
-    # The index branch only needs the labels, so Catalyst prunes it to its
-    # own (narrow) read of the input; callers that run many of these forms
-    # should pass a materialised A3 (as plans/report.py does).
-    cq = client_quarterly_long(df, client_col)
+    cq = _client_quarters(df, client_col)
     rtype = cq.schema["Revenue"].dataType
     idx = quarter_index(cq)
     x = cq.join(F.broadcast(idx.drop("quarter_total", "qi")), "Quarter")
@@ -318,7 +322,7 @@ def top_lost_clients_all_pairs(df: DataFrame, n: int = 10, client_col: str = "Cl
 def active_by_pair(df: DataFrame, client_col: str = "ClientID") -> tuple[DataFrame, DataFrame]:
     """Active (revenue > 0) client sets keyed by pair, as the previous side
     and as the current side: ``(client, prev_quarter, curr_quarter, Revenue)``."""
-    cq = client_quarterly_long(df, client_col)
+    cq = _client_quarters(df, client_col)
     idx = quarter_index(cq)
     a = cq.where(F.col("Revenue") > 0).join(F.broadcast(idx), "Quarter")
     as_prev = a.where(F.col("after").isNotNull()).select(
