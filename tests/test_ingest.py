@@ -89,3 +89,13 @@ def test_export_bundle(spark, sample):
     b = SK.export_bundle(agg, CH.churn_counts(sample), checks)
     sections = sorted({r.section for r in b.collect()})
     assert sections == ["churn_report", "quarterly", "validations"]
+
+
+def test_wide_client_name_alias(spark):
+    df = spark.createDataFrame([("K1", "DE", "EMEA", "5")], "`Client Name` string, Country string, "
+                                                           "Region string, `2024-05-01` string")
+    r = RD.normalize_wide(df).first()
+    assert (r["Client ID"], r.Date, r.Revenue) == ("K1", dt.date(2024, 5, 1), 5.0)
+    # no date headers: returned unchanged
+    plain = spark.createDataFrame([("a", 1)], "x string, y int")
+    assert RD.normalize_wide(plain).columns == ["x", "y"]

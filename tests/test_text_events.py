@@ -193,3 +193,13 @@ def test_breaker_hot_key_split_matches_sequential(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert split == seq and len(seq) > 50
+
+
+def test_open_keys(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    trips = spark.createDataFrame([(1, t0, t0 + dt.timedelta(seconds=30), 0),
+                                   (2, t0, t0 + dt.timedelta(seconds=5), 0)],
+                                  "user_id long, trip_at timestamp, open_until timestamp, blocked_events long")
+    got = [r.user_id for r in EV.open_keys(trips, t0 + dt.timedelta(seconds=10)).collect()]
+    assert got == [1]
