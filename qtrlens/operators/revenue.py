@@ -114,8 +114,13 @@ def total_revenue(df: DataFrame) -> DataFrame:
 
 
 def quarterly_totals(agg: DataFrame) -> DataFrame:
-    """Total of ``TotalRevenue`` per quarter over A1/A2 output."""
-    return agg.groupBy("Quarter").agg(money_sum("TotalRevenue").alias("TotalRevenue")).orderBy("Quarter")
+    """Total of ``TotalRevenue`` per quarter over A1/A2 output.
+
+    The per-group totals arrive as double; they are summed as
+    ``decimal(38,6)`` (exact for money) so the result does not depend on the
+    order in which partitions are combined."""
+    exact = F.col("TotalRevenue").cast("decimal(38,6)")
+    return agg.groupBy("Quarter").agg(money_sum(exact).alias("TotalRevenue")).orderBy("Quarter")
 
 
 def partial_aggregate(chunk: DataFrame, client_col: str = "ClientID",
