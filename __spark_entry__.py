@@ -771,6 +771,8 @@ def _report_churn(s, d):
 
 _SINKS = {
     "report_churn_counts": (_report_churn, "@churn_counts_tools"),
+    # the alignment-based plan of A9, checked against the same oracle
+    "churn_counts_aligned": (lambda s, d: CH.churn_counts_aligned(_cq(s, d)), "@churn_counts"),
     "write_churn_report": (
         lambda s, d: _json_roundtrip(s, CH.churn_lists(_cq(s, d)), "churn-report"),
         "@churn_lists"),
