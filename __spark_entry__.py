@@ -24,6 +24,11 @@ from qtrlens.sources import readers as RD
 from qtrlens.sources import sinks as SK
 from qtrlens.sources.tables import REVENUE_VIEW_SQL, client_quarter_view, load, revenue_view
 
+try:                                     # the corpus operators are optional
+    from qtrlens.llm import queries as LLM
+except ImportError:
+    LLM = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # quarter used by the single-pair / single-quarter operators (a parameter of
@@ -802,4 +807,6 @@ def _registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
     q = _batch_registry()
     q.update(_STREAM)
     q.update(_SINKS)
+    if LLM is not None:
+        q.update(LLM.QUERIES)
     return q
