@@ -65,7 +65,7 @@ class Template:
     def segment(self, role: str, text: str) -> tuple[list[int], int, int]:
         """Ids of a turn, and where its content starts and ends in them."""
         head = [self.role_id[role]] if role in self.role_id else \
-            [self.other, *self.bpe.encode(escape(role) + "\n", special=False)]
+            [self.other, *self.bpe.encode(escape(role).replace("\n", "\\\n") + "\n", special=False)]
         body = self.bpe.encode(escape(text), special=False)
         return [*head, *body, self.end], len(head), len(head) + len(body)
 
@@ -93,7 +93,7 @@ class Template:
             body = ids[at + 1:stop]
             if ids[at] == self.other:
                 name, _, text = self.bpe.decode(body).partition("\n")
-                while (len(name) - len(name.rstrip("\\"))) % 2:    # an escaped line end cannot occur; be exact
+                while (len(name) - len(name.rstrip("\\"))) % 2:    # that line end belongs to the name
                     more, _, text = text.partition("\n")
                     name += "\n" + more
                 turns.append((unescape(name), unescape(text)))

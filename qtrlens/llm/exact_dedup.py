@@ -128,9 +128,13 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", chunk_bytes=
 def collisions(docs: DataFrame, shared: DataFrame, id_col, text_col, chunk_bytes, primes) -> DataFrame:
     """Fingerprints in ``shared`` whose texts differ in some chunk."""
     chunks = narrow(docs, id_col, text_col).mapInArrow(_fingerprints(chunk_bytes, primes, True), _SCHEMA)
+    # grouped by a struct, which the join's partitioning does not serve: the
+    # join's large partitions can then be split, and each part sends one row
+    # per chunk number on
     compared = (chunks.select(*FP, "chunk_no", "chunk").join(shared.select(*FP), FP, "left_semi")
-                .groupBy(*FP, "chunk_no").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")))
-    return compared.where("lo <> hi").select(*FP).distinct()
+                .groupBy(F.struct(*FP).alias("fp"), "chunk_no")
+                .agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")))
+    return compared.where("lo <> hi").select("fp.*").distinct()
 
 
 def _told_apart(docs, clashed, id_col, text_col, chunk_bytes, primes) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from qtrlens.llm import bpe as BPE
 from qtrlens.llm import chat as CHAT
 from qtrlens.llm import exact_dedup as EXACT
+from qtrlens.llm import packing as PACK
 from qtrlens.llm import quality as QUALITY
 from qtrlens.llm import resharding as SHARD
 from qtrlens.llm import url_filter as URLS
+from qtrlens.llm import warc as WARC
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,10 +39,19 @@ def op3_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "old_shard")
 
 
+def op5_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return WARC.archive_round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_automaton_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BPE.round_trip_digest(table(spark, sf_dir, "documents"), BPE.session_vocabulary(spark))
 
 
+def op7_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PACK.pack(table(spark, sf_dir, "documents"), BPE.session_vocabulary(spark), with_ids=False)
+
+
 def op8_chat_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
@@ -79,6 +90,14 @@ WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{_GAP}', ''
 g AS (SELECT text_sha256, count(*) AS group_size, arg_min(doc_id, (-n_points, doc_id)) AS keep_id FROM n GROUP BY ALL)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, n.text_sha256 FROM n JOIN g USING (text_sha256)"""
 
+_OP5 = """
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+m AS (SELECT payload_digest, max(page_id) AS last_id FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN p.page_id < m.last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id < m.last_id THEN m.last_id END AS refers_to
+FROM p LEFT JOIN m ON p.payload_digest = m.payload_digest AND p.payload_bytes >= 1000"""
+
 _OP9 = r"""
 WITH p AS (SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0
                                 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -97,7 +116,9 @@ FROM h LEFT JOIN m ON h.page_id = m.page_id"""
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, _OP1),
     "op3_flow_resharding": (op3_flow_resharding, None),
+    "op5_warc_ranges": (op5_warc_ranges, _OP5),
     "op6_automaton_bpe": (op6_automaton_bpe, None),
+    "op7_retrieval_packing": (op7_retrieval_packing, None),
     "op8_chat_assembly": (op8_chat_assembly, None),
     "op9_url_cascade": (op9_url_cascade, _OP9),
     "op10_line_quality": (op10_line_quality, None),
