@@ -11,6 +11,7 @@ from qtrlens.llm import exact_dedup as EXACT
 from qtrlens.llm import packing as PACK
 from qtrlens.llm import quality as QUALITY
 from qtrlens.llm import resharding as SHARD
+from qtrlens.llm import substring_dedup as SUBSTR
 from qtrlens.llm import url_filter as URLS
 from qtrlens.llm import warc as WARC
 
@@ -24,6 +25,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SUBSTR.substring_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def old_shard_of(source, shards: int = SHARD.SHARDS):
     """The layout to be resharded: documents by their source."""
     return F.pmod(F.hash(F.coalesce(source, F.lit(""))), F.lit(shards))
@@ -115,6 +121,7 @@ FROM h LEFT JOIN m ON h.page_id = m.page_id"""
 
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, _OP1),
+    "op2_anchor_dedup": (op2_anchor_dedup, None),
     "op3_flow_resharding": (op3_flow_resharding, None),
     "op5_warc_ranges": (op5_warc_ranges, _OP5),
     "op6_automaton_bpe": (op6_automaton_bpe, None),
