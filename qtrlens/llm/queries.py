@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from qtrlens.llm import bpe as BPE
 from qtrlens.llm import chat as CHAT
 from qtrlens.llm import exact_dedup as EXACT
+from qtrlens.llm import near_dedup as NEAR
 from qtrlens.llm import packing as PACK
 from qtrlens.llm import quality as QUALITY
 from qtrlens.llm import resharding as SHARD
@@ -45,6 +46,10 @@ def op3_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "old_shard")
 
 
+def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NEAR.near_dedup(table(spark, sf_dir, "documents"), shingle=4)
+
+
 def op5_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WARC.archive_round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -123,6 +128,7 @@ QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, _OP1),
     "op2_anchor_dedup": (op2_anchor_dedup, None),
     "op3_flow_resharding": (op3_flow_resharding, None),
+    "op4_chosen_path": (op4_chosen_path, None),
     "op5_warc_ranges": (op5_warc_ranges, _OP5),
     "op6_automaton_bpe": (op6_automaton_bpe, None),
     "op7_retrieval_packing": (op7_retrieval_packing, None),

@@ -250,10 +250,10 @@ def _with_documents(answers: DataFrame, docs: DataFrame, keys: list[int]) -> Dat
     first."""
     n = len(keys)
     bucket = id_bucket(F.coalesce("doc_id", F.xxhash64("text")), n)
-    both = answers.select("key", "kind", "payload", F.lit(None).cast("long").alias("doc_id"),
-                          F.lit(None).cast("string").alias("text")).unionByName(
+    both = answers.select("key", "kind", "payload", *(F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema)
+                          ).unionByName(
         docs.select(key_of(bucket, keys).alias("key"), F.lit(1).alias("kind"),
-                    F.lit(None).cast("binary").alias("payload"), "doc_id", "text"))
+                    F.lit(None).cast("binary").alias("payload"), *docs.columns))
     return both.repartition(n, "key").sortWithinPartitions("key", "kind")
 
 
@@ -364,6 +364,7 @@ def _match_stretches(keys):
 
 _OUT = ("doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:int,stop:int>>, "
         "kept_text string")
+_OUT_NAMES = ["doc_id", "n_words", "n_removed", "kept_sha256", "spans", "kept_text"]
 
 
 def _remove(window, with_text):
@@ -408,18 +409,20 @@ def _remove(window, with_text):
             ids = rows.column(3).to_pylist()
             for lo, hi in pieces(off, 1 << 22):
                 out = [one(ids[i], data[off[i]:off[i + 1]].tobytes(), found.of(ids[i])[1]) for i in range(lo, hi)]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), span, pa.string()]
+                carried = [rows.column(k).slice(lo, hi - lo) for k in range(5, rows.num_columns)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64(), pa.int64(), pa.int64(), pa.string(), span,
-                                                                pa.string()])],
-                    names=["doc_id", "n_words", "n_removed", "kept_sha256", "spans", "kept_text"])
+                    [pa.array(c, t) for c, t in zip(zip(*out), kinds)] + carried,
+                    names=_OUT_NAMES + ["carried"] * len(carried))
     return run
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                    block: int = BLOCK, with_text: bool = False) -> DataFrame:
+                    block: int = BLOCK, with_text: bool = False, carry: list[str] | None = None) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_removed, kept_sha256``,
     ``spans`` (removed word ranges, maximal) and, with ``with_text``,
-    ``kept_text``: the text without the removed ranges, else as it was."""
+    ``kept_text``: the text without the removed ranges, else as it was.
+    Columns named in ``carry`` come along as fields of a struct ``carried``."""
     if 2 * block - 1 > window:
         raise ValueError("a window must contain a whole aligned block: 2 * block - 1 <= window")
     spark = docs.sparkSession
@@ -439,5 +442,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      .mapInArrow(_match_stretches(keys), _PACKED), "op2-repeats")
     del sent
     release(spark)
-    out = _with_documents(repeats, texts, keys).mapInArrow(_remove(window, with_text), _OUT)
+    schema = _OUT
+    if carry:
+        texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                            F.col(f"`{text_col}`").cast("string").alias("text"),
+                            F.struct(*(F.col(f"`{c}`") for c in carry)).alias("carried"))
+        schema = f"{_OUT}, carried {texts.schema['carried'].dataType.simpleString()}"
+    out = _with_documents(repeats, texts, keys).mapInArrow(_remove(window, with_text), schema)
     return out if with_text else out.drop("kept_text")
