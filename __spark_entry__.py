@@ -25,6 +25,7 @@ from qtrlens.sources import sinks as SK
 from qtrlens.sources.tables import REVENUE_VIEW_SQL, client_quarter_view, load, revenue_view
 
 try:                                     # the corpus operators are optional
+    import corpus_pipeline
     from qtrlens.llm import queries as LLM
 except ImportError:
     LLM = None
@@ -809,4 +810,5 @@ def _registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
     q.update(_SINKS)
     if LLM is not None:
         q.update(LLM.QUERIES)
+        q["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
     return q
