@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qtrlens.llm.common import (U, id_bucket, id_bucket_np, inside, key_of, mix64, narrow, partition_keys, pieces,
                                 release, rolling, shuffle_parts, stored, text_buffer, words)
@@ -442,11 +443,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      .mapInArrow(_match_stretches(keys), _PACKED), "op2-repeats")
     del sent
     release(spark)
-    schema = _OUT
+    schema = T.StructType.fromDDL(_OUT)
     if carry:
         texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                             F.col(f"`{text_col}`").cast("string").alias("text"),
                             F.struct(*(F.col(f"`{c}`") for c in carry)).alias("carried"))
-        schema = f"{_OUT}, carried {texts.schema['carried'].dataType.simpleString()}"
+        schema = schema.add(texts.schema["carried"])
     out = _with_documents(repeats, texts, keys).mapInArrow(_remove(window, with_text), schema)
     return out if with_text else out.drop("kept_text")

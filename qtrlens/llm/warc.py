@@ -115,27 +115,28 @@ class _Open:
         self.inflate = zlib.decompressobj(31)
         self.raw: list[bytes] = []
         self.out: list[bytes] = []
+        self.seen = b""                     # the first five bytes inflated
 
     def feed(self, data: bytes) -> bool:
-        """False if the bytes cannot belong to the member."""
+        """False if the bytes cannot belong to a record's member."""
         try:
             got = self.inflate.decompress(data)
         except zlib.error:
             return False
         self.raw.append(data)
         self.out.append(got)
-        return not self.inflate.unused_data
-
-    def plausible(self) -> bool:
-        """Does what has been inflated so far look like a record's start (or,
-        at its end, like an empty member)?"""
-        seen = b"".join(self.out[:2])[:5] if len(self.out) < 3 else b"WARC/"
-        return seen == b"WARC/" or b"WARC/".startswith(seen) and not (self.ended and seen)
+        self.seen = (self.seen + got[:5])[:5]
+        return not self.inflate.unused_data and b"WARC/".startswith(self.seen)
 
     @property
     def ended(self) -> bool:
         return self.inflate.eof
 
+    @property
+    def sure(self) -> bool:
+        """It has inflated to a record's start, or is a whole empty member."""
+        return self.seen == b"WARC/" or self.ended and not self.seen
+
 
 def parse_record(data: bytes) -> dict | None:
     """Fields of an inflated WARC record, None for an empty member."""
@@ -174,12 +175,19 @@ _ORPHAN = dict.fromkeys(_NAMES[:7])
 
 
 class _Range:
-    """Members found in one byte range of one file, in order."""
+    """Members found in one byte range of one file, in order.
+
+    Where a member begins is known from the range's first sure start on (in a
+    file's first range, from its first byte). Before that every candidate is
+    followed until it fails or is sure; what precedes the first sure one goes
+    on from the range before."""
 
-    def __init__(self, path, block, with_payload):
+    def __init__(self, path, block, with_payload, known=False):
         self.path, self.block, self.with_payload = path, block, with_payload
         self.open: _Open | None = None
-        self.owned = False                  # has a member started here yet
+        self.known = known
+        self.waiting: list[bytes] = []
+        self.maybe: list[tuple[_Open, int]] = []
         self.seq = 0
 
     def _orphan(self, part, raw):
@@ -189,24 +197,25 @@ class _Range:
     def candidate(self, data: bytes):
         """Rows that the candidate ``data`` (from one magic to the next)
         completes."""
-        member = self.open or _Open()
-        if not member.feed(data) or not member.plausible():
-            if self.owned:
+        if self.known:
+            member = self.open or _Open()
+            if not member.feed(data):
                 raise ValueError(f"damaged gzip member in {self.path}")
-            # nothing has been read here yet: what seemed to start belongs to
-            # the range before, unless this candidate is itself a start
-            self.open = None
-            for raw in member.raw if member.raw[-1:] != [data] else member.raw[:-1]:
+            self.open = member
+        else:
+            self.waiting.append(data)
+            self.maybe.append((_Open(), len(self.waiting) - 1))
+            self.maybe = [(o, i) for o, i in self.maybe if o.feed(data)]
+            first = next(((o, i) for o, i in self.maybe if o.sure), None)
+            if first is None:
+                return
+            self.open, at = first
+            for raw in self.waiting[:at]:
                 yield self._orphan("head", raw)
-            if member.raw and member.raw != [data]:
-                yield from self.candidate(data)
-            else:
-                yield self._orphan("head", data)
-            return
-        self.open = member
-        if member.ended:
-            self.open, self.owned = None, True
-            yield from self.finish(b"".join(member.out))
+            self.known, self.waiting, self.maybe = True, [], []
+        if self.open.ended:
+            done, self.open = self.open, None
+            yield from self.finish(b"".join(done.out))
 
     def finish(self, data: bytes):
         row = parse_record(data)
@@ -216,10 +225,12 @@ class _Range:
             yield {**dict.fromkeys(_NAMES), **row}
 
     def end(self):
-        """The member still open when the range ends."""
+        """What is left when the range ends."""
+        for raw in self.waiting:
+            yield self._orphan("head", raw)
         if self.open is not None:
             yield self._orphan("tail", b"".join(self.open.raw))
-            self.open = None
+        self.waiting, self.open = [], None
 
 
 def _batch(rows):
@@ -235,7 +246,7 @@ def _scan(with_payload):
                 if at is None or (at.path, at.block) != (path, block):
                     if at is not None:
                         rows += at.end()
-                    at = _Range(path, block, with_payload)
+                    at = _Range(path, block, with_payload, known=block == 0)
                     if block == 0:                       # what precedes the file's first magic
                         if value:
                             raise ValueError(f"{path} does not start with a gzip member")
@@ -262,8 +273,7 @@ def _stitch(with_payload):
                 if p != path:
                     if at is not None and at.open is not None:
                         raise ValueError(f"truncated gzip member in {path}")
-                    path, at = p, _Range(p, -1, with_payload)
-                    at.owned = True
+                    path, at = p, _Range(p, -1, with_payload, known=True)
                 rows += at.candidate(raw)
             if rows:
                 yield _batch(rows)
