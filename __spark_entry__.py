@@ -18,7 +18,7 @@ from qtrlens.operators import events as EV
 from qtrlens.operators import revenue as RV
 from qtrlens.operators import text as TX
 from qtrlens.operators import validate as VA
-from qtrlens.session import apply_conf, scratch_path
+from qtrlens.session import apply_conf, cut_lineage, scratch_path
 from qtrlens.sources import chunks as CK
 from qtrlens.sources import readers as RD
 from qtrlens.sources import sinks as SK
@@ -36,6 +36,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # those operators, not a row filter for cost)
 PAIR = ("1995Q1", "1995Q2")
 SLICE_Q = "1997Q2"
+# the columns of the registered pivot: all quarters of the order dates' range
+PIVOT_QUARTERS = [f"{y}Q{q}" for y in range(1992, 2003) for q in range(1, 5)]
 
 
 def _rev(spark: SparkSession, d: str) -> DataFrame:
@@ -62,6 +64,23 @@ def _dirty_rev(spark: SparkSession, d: str) -> DataFrame:
     return rev.withColumn("Region", region).drop("o_orderpriority")
 
 
+def _refunds(spark: SparkSession, d: str) -> DataFrame:
+    """The revenue view with urgent orders counted as refunds."""
+    rev = revenue_view(spark, d, keep=("o_orderpriority",))
+    sign = F.when(F.col("o_orderpriority") == "1-URGENT", -F.col("Revenue")).otherwise(F.col("Revenue"))
+    return rev.withColumn("Revenue", sign.cast("decimal(18,2)")).drop("o_orderpriority")
+
+
+def _rules_differ(feed: DataFrame) -> DataFrame:
+    """Pairs where the core and the tools rule count different clients."""
+    al = CH.period_compare(feed)
+    (cl, cn), (tl, tn) = CH.churn_predicates(CH.CORE), CH.churn_predicates(CH.TOOLS)
+    g = al.groupBy("prev_quarter", "curr_quarter").agg(
+        F.count_if(cl).alias("core_lost"), F.count_if(tl).alias("tools_lost"),
+        F.count_if(cn).alias("core_new"), F.count_if(tn).alias("tools_new"))
+    return g.where("core_lost <> tools_lost OR core_new <> tools_new")
+
+
 # ----------------------------------------------------------------- oracle SQL
 _REV = "WITH" + REVENUE_VIEW_SQL
 _REVQ = _REV + """,
@@ -138,10 +157,10 @@ GROUP BY 1, Region, Country""")
         lambda s, d: _dbl(RV.client_quarterly_long(_cq(s, d)), "Revenue"),
         _CQ + "\nSELECT ClientID, Quarter, CAST(Revenue AS DOUBLE) AS Revenue FROM cq")
     q["client_quarterly_revenue"] = (
-        lambda s, d: RV.client_quarterly_revenue(_cq(s, d)),
-        _CQ + """
-SELECT ClientID, CAST(COALESCE(COLUMNS(* EXCLUDE (ClientID)), 0) AS DOUBLE)
-FROM (PIVOT (SELECT ClientID, Quarter, Revenue FROM cq) ON Quarter USING sum(Revenue) GROUP BY ClientID) p""")
+        lambda s, d: RV.client_quarterly_revenue(_cq(s, d), PIVOT_QUARTERS),
+        _CQ + "\nSELECT ClientID, " + ", ".join(
+            f"CAST(COALESCE(SUM(CASE WHEN Quarter = '{q}' THEN Revenue END), 0) AS DOUBLE) AS \"{q}\""
+            for q in PIVOT_QUARTERS) + " FROM cq GROUP BY ClientID")
     q["total_revenue"] = (
         lambda s, d: RV.total_revenue(_rev(s, d)),
         _REV + "\nSELECT CAST(COALESCE(SUM(Revenue), 0) AS DOUBLE) AS total_revenue, COUNT(*) AS num_rows FROM rev")
@@ -149,8 +168,9 @@ FROM (PIVOT (SELECT ClientID, Quarter, Revenue FROM cq) ON Quarter USING sum(Rev
         lambda s, d: RV.quarterly_totals(RV.aggregate_by_quarter_region(_cq(s, d), rows_col="NumRows")),
         _REVQ + "\nSELECT Quarter, CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue FROM revq GROUP BY Quarter")
     q["merge_partials"] = (
-        lambda s, d: RV.merge_partials([
-            RV.partial_aggregate(c) for c in _year_slices(_rev(s, d))]),
+        # partials are stored per load (here: per order year) in one pass, then merged
+        lambda s, d: RV.merge_partials(cut_lineage(
+            RV.partial_aggregate(_loads(s, d), load_col="load"), s, "partials")),
         _REVQ + """
 SELECT Quarter, Region, Country, CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue,
        COUNT(DISTINCT ClientID) AS NumClients
@@ -169,7 +189,7 @@ FROM rev WHERE Region IS NOT NULL GROUP BY 1, Region, Country""")
         lambda s, d: _dbl(RV.active_clients(RV.client_quarterly_long(_cq(s, d))), "Revenue"),
         _CQ + "\nSELECT ClientID, Quarter, CAST(Revenue AS DOUBLE) AS Revenue FROM cq WHERE Revenue > 0")
     q["quarter_slice"] = (
-        lambda s, d: _dbl(RV.quarter_slice(_rev(s, d), SLICE_Q), "Revenue"),
+        lambda s, d: _dbl(RV.quarter_slice(revenue_view(s, d, quarters=[SLICE_Q]), SLICE_Q), "Revenue"),
         _REVQ + f"\nSELECT ClientID, Region, Country, Date, CAST(Revenue AS DOUBLE) AS Revenue, Quarter "
                 f"FROM revq WHERE Quarter = '{SLICE_Q}'")
 
@@ -187,7 +207,8 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Quarter ORDER BY TotalR
                "ORDER BY Date, ClientID, Revenue LIMIT 20")
     q["sample_rows"] = (
         lambda s, d: _dbl(RV.sample_rows(_rev(s, d), 3, ["ClientID", "Date", "Revenue"]), "Revenue"),
-        None)
+        _REV + "\nSELECT ClientID, Region, Country, Date, CAST(Revenue AS DOUBLE) AS Revenue FROM rev "
+               "ORDER BY md5(concat_ws('|', ClientID, Date, Revenue, '42')), ClientID, Date, Revenue LIMIT 3")
 
     # ---- J1–J5, W1, A10, A11, T1, U1–U3
     q["quarter_pairs"] = (
@@ -198,7 +219,7 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Quarter ORDER BY TotalR
         _CQ + "\nSELECT ClientID, prev_quarter, curr_quarter, CAST(prev_revenue AS DOUBLE) AS prev_revenue, "
               "CAST(curr_revenue AS DOUBLE) AS curr_revenue FROM al")
     q["align_periods"] = (
-        lambda s, d: _dbl(CH.align_periods(_cq(s, d), *PAIR), "prev_revenue", "curr_revenue"),
+        lambda s, d: _dbl(CH.align_periods(revenue_view(s, d, quarters=PAIR), *PAIR), "prev_revenue", "curr_revenue"),
         _CQ + f"""
 SELECT COALESCE(a.ClientID, b.ClientID) AS ClientID, CAST(COALESCE(a.Revenue, 0) AS DOUBLE) AS prev_revenue,
        CAST(COALESCE(b.Revenue, 0) AS DOUBLE) AS curr_revenue
@@ -214,20 +235,22 @@ FROM al WHERE ({_TOOLS_LOST}) OR ({_TOOLS_NEW})""")
     q["churn_lists"] = (
         lambda s, d: CH.churn_lists(_cq(s, d)),
         _CQ + f""",
-pg AS (SELECT prev_quarter, curr_quarter, substr(md5(CAST(ClientID AS VARCHAR)), 1, 2) AS page,
+hits AS (SELECT *, (row_number() OVER (PARTITION BY prev_quarter, curr_quarter ORDER BY ClientID) - 1) // {CH.PAGE_ROWS} AS page
+         FROM al WHERE ({_TOOLS_LOST}) OR ({_TOOLS_NEW})),
+pg AS (SELECT prev_quarter, curr_quarter, page,
               COALESCE(list_sort(list(ClientID) FILTER (WHERE {_TOOLS_LOST})), []) AS lost_customers,
               COALESCE(list_sort(list(ClientID) FILTER (WHERE {_TOOLS_NEW})), []) AS new_customers,
               count_if({_TOOLS_LOST}) AS num_lost, count_if({_TOOLS_NEW}) AS num_new,
               CAST(COALESCE(SUM(CASE WHEN {_TOOLS_LOST} THEN prev_revenue END), 0) AS DOUBLE) AS revenue_loss,
               CAST(COALESCE(SUM(CASE WHEN {_TOOLS_NEW} THEN curr_revenue END), 0) AS DOUBLE) AS revenue_gain
-       FROM al WHERE ({_TOOLS_LOST}) OR ({_TOOLS_NEW}) GROUP BY 1, 2, 3)
+       FROM hits GROUP BY 1, 2, 3)
 SELECT p.prev_quarter AS q_prev, p.curr_quarter AS q_curr, pg.page,
        COALESCE(pg.lost_customers, []) AS lost_customers, COALESCE(pg.new_customers, []) AS new_customers,
        COALESCE(pg.num_lost, 0) AS num_lost, COALESCE(pg.num_new, 0) AS num_new,
        COALESCE(pg.revenue_loss, 0.0) AS revenue_loss, COALESCE(pg.revenue_gain, 0.0) AS revenue_gain
 FROM pairs p LEFT JOIN pg ON p.prev_quarter = pg.prev_quarter AND p.curr_quarter = pg.curr_quarter""")
     q["top_lost_clients"] = (
-        lambda s, d: CH.top_lost_clients(_cq(s, d), *PAIR, n=10),
+        lambda s, d: CH.top_lost_clients(revenue_view(s, d, quarters=PAIR), *PAIR, n=10),
         _CQ + f"""
 SELECT a.ClientID, CAST(a.Revenue AS DOUBLE) AS prev_revenue
 FROM (SELECT * FROM cq WHERE Quarter = '{PAIR[0]}') a
@@ -263,7 +286,7 @@ FROM al GROUP BY prev_quarter, curr_quarter""")
         lambda s, d: CH.active_in_either(_cq(s, d)),
         _CQ + "\nSELECT ClientID, prev_quarter, curr_quarter FROM al WHERE prev_revenue > 0 OR curr_revenue > 0")
     q["union_client_sets"] = (
-        lambda s, d: CH.union_client_sets(_year_slices(_rev(s, d))),
+        lambda s, d: CH.union_client_sets(cut_lineage(CH.client_sets(_loads(s, d), "load"), s, "client-sets")),
         _REV + "\nSELECT DISTINCT ClientID FROM rev")
 
     # ---- V8, V9, R1
@@ -299,11 +322,9 @@ UNION ALL SELECT period, 'revenue_gain', revenue_gain FROM cc""")
     return q
 
 
-def _year_slices(rev: DataFrame) -> list[DataFrame]:
-    """Four disjoint slices that together hold every row: by order date."""
-    y = F.year("Date")
-    return [rev.where(y < 1997), rev.where((y >= 1997) & (y < 1999)),
-            rev.where((y >= 1999) & (y < 2001)), rev.where((y >= 2001) | F.col("Date").isNull())]
+def _loads(spark: SparkSession, d: str) -> DataFrame:
+    """The revenue view as loads: one per order year."""
+    return _rev(spark, d).withColumn("load", F.year("Date"))
 
 
 def _pinned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -338,7 +359,7 @@ _BUCKET_SQL = "CAST(('0x' || right(md5(tok), 4)) AS INTEGER) % 64"
 _DIRTY_REV = _REV.replace("r.r_name AS Region",
                           "CASE WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE r.r_name END AS Region")
 _EXACT_TOTALS = """
-SELECT abs(a - b) <= greatest(1e-6, 1e-12 * greatest(abs(a), abs(b))) AS ok, a AS {a}, b AS {b}{extra} FROM t"""
+SELECT a = b AS ok, CAST(a AS DOUBLE) AS {a}, CAST(b AS DOUBLE) AS {b}{extra} FROM t"""
 _EMBED_TPL = """
 @n_tok AS (SELECT @id AS id, unnest(regexp_extract_all(lower(text), '""" + _TOK_RE + """')) AS tok FROM @t),
 @n_cnt AS (SELECT id, """ + _BUCKET_SQL + """ AS bucket, CAST(count(*) AS DOUBLE) AS c FROM @n_tok GROUP BY ALL),
@@ -396,17 +417,34 @@ raw AS (SELECT CAST(ClientID AS VARCHAR) AS ClientID, Region, Country,
 
 
 def _csv_roundtrip(spark, d):
-    """The revenue view written as a CSV file set, read back as text and
-    typed again. The file set lives under the shared checkpoint folder."""
+    """The revenue view written as a CSV file set whose files order their
+    columns differently, read back as text and typed again. The file set lives
+    under the shared checkpoint folder."""
     path = scratch_path(spark, "rev-csv")
-    rev = revenue_view(spark, d)
-    SK.write_csv(rev.select("ClientID", "Region", "Country", F.date_format("Date", "yyyy-MM-dd").alias("Date"),
-                            F.col("Revenue").cast("string").alias("Revenue")), path)
-    good, _rej = RD.read_revenue_csv(spark, path)
+    rev = revenue_view(spark, d, keep=("o_orderstatus",)).select(
+        "ClientID", "Region", "Country", F.date_format("Date", "yyyy-MM-dd").alias("Date"),
+        F.col("Revenue").cast("string").alias("Revenue"), "o_orderstatus")
+    done = F.col("o_orderstatus") == "F"
+    SK.write_csv(rev.where(done).drop("o_orderstatus"), path + "/a")
+    SK.write_csv(rev.where(~done | done.isNull()).select("Revenue", "Date", "Country", "ClientID", "Region"), path + "/b")
+    good, _rej = RD.read_revenue_csv(spark, path + "/*")
     return good.select(F.col("ClientID").cast("long").alias("ClientID"), "Region", "Country", "Date",
                        F.col("Revenue").cast("double").alias("Revenue"))
 
 
+def _pivot_csv(spark, d):
+    """The client pivot written as CSV and read back."""
+    path = SK.write_csv(RV.client_quarterly_revenue(_cq(spark, d), PIVOT_QUARTERS), scratch_path(spark, "pivot-csv"))
+    schema = "ClientID long, " + ", ".join(f"`{q}` double" for q in PIVOT_QUARTERS)
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def _wide_stamps(spark, d):
+    """The wide sheet with timestamp headers, as spreadsheets write them."""
+    w = _wide(spark, d)
+    return w.select(*[F.col(f"`{c}`").alias(f"{c} 00:00:00" if c[:4].isdigit() else c) for c in w.columns])
+
+
 def _wide(spark, d):
     """S5 input: the revenue view pivoted to one column per month start."""
     rev = revenue_view(spark, d).withColumn("m", F.date_format(F.trunc("Date", "month"), "yyyy-MM-dd"))
@@ -418,22 +456,19 @@ def _wide(spark, d):
 def _more(q):
     # ---- V1–V5, V7
     q["totals_match"] = (
-        lambda s, d: VA.totals_match(_rev(s, d), RV.aggregate_by_quarter_region(_rev(s, d))),
+        lambda s, d: VA.totals_match(_rev(s, d), RV.aggregate_by_quarter_region(_cq(s, d), rows_col="NumRows", exact=True)),
         _REVQ + """,
-agg AS (SELECT Quarter, Region, Country, CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue FROM revq GROUP BY ALL),
-t AS (SELECT CAST((SELECT SUM(CAST(Revenue AS DECIMAL(38,6))) FROM rev) AS DOUBLE) AS a,
-             CAST((SELECT SUM(CAST(TotalRevenue AS DECIMAL(38,6))) FROM agg) AS DOUBLE) AS b)""" +
+agg AS (SELECT Quarter, Region, Country, SUM(Revenue) AS TotalRevenue FROM revq GROUP BY ALL),
+t AS (SELECT (SELECT SUM(Revenue) FROM rev) AS a, (SELECT SUM(TotalRevenue) FROM agg) AS b)""" +
         _EXACT_TOTALS.format(a="input_total", b="agg_total",
-                             extra=", CASE WHEN abs(a - b) <= greatest(1e-6, 1e-12 * greatest(abs(a), abs(b))) "
-                                   "THEN 'Totals match' ELSE 'mismatch' END AS message"))
+                             extra=", CASE WHEN a = b THEN 'Totals match' ELSE 'mismatch' END AS message"))
     q["validate_quarterly"] = (
-        lambda s, d: VA.validate_quarterly(_dirty_rev(s, d), RV.group_by_quarter(_dirty_rev(s, d))),
+        lambda s, d: VA.validate_quarterly(_dirty_rev(s, d), RV.group_by_quarter(_dirty_rev(s, d), exact=True)),
         _DIRTY_REV + """,
 agg AS (SELECT 'Q' || CAST(quarter(Date) AS VARCHAR) AS Quarter, Region, Country,
-               CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue FROM rev WHERE Region IS NOT NULL GROUP BY ALL),
-t AS (SELECT CAST((SELECT SUM(CAST(Revenue AS DECIMAL(38,6))) FROM rev) AS DOUBLE) AS a,
-             CAST((SELECT SUM(CAST(TotalRevenue AS DECIMAL(38,6))) FROM agg) AS DOUBLE) AS b)""" +
-        _EXACT_TOTALS.format(a="total_original", b="total_aggregated", extra=", a - b AS difference"))
+               SUM(Revenue) AS TotalRevenue FROM rev WHERE Region IS NOT NULL GROUP BY ALL),
+t AS (SELECT (SELECT SUM(Revenue) FROM rev) AS a, (SELECT SUM(TotalRevenue) FROM agg) AS b)""" +
+        _EXACT_TOTALS.format(a="total_original", b="total_aggregated", extra=", CAST(a - b AS DOUBLE) AS difference"))
     q["churn_sane"] = (
         lambda s, d: VA.churn_sane(CH.churn_counts(_cq(s, d), mode=CH.TOOLS)),
         _CQ + f""",
@@ -451,21 +486,62 @@ SELECT prev_quarter, curr_quarter, count_if(prev_revenue > 0 OR curr_revenue > 0
        + count_if(prev_revenue > 0 AND curr_revenue > 0) AS reconciles
 FROM al GROUP BY prev_quarter, curr_quarter""")
 
+    # a feed with data-derived refunds (urgent orders count negative), where
+    # the core and tools rules differ and the checks can fail
+    ref = _CQ.replace("CAST(o.o_totalprice AS DECIMAL(18,2)) AS Revenue",
+                      "CAST(CASE WHEN o.o_orderpriority = '1-URGENT' THEN -o.o_totalprice ELSE o.o_totalprice END "
+                      "AS DECIMAL(18,2)) AS Revenue")
+    assert ref != _CQ
+    q["refund_churn_counts"] = (lambda s, d: CH.churn_counts(_refunds(s, d)), ref + _COUNTS_SELECT)
+    q["refund_churn_counts_tools"] = (
+        lambda s, d: CH.churn_counts(_refunds(s, d), mode=CH.TOOLS),
+        ref + _COUNTS_SELECT.replace("prev_revenue > 0 AND curr_revenue = 0", _TOOLS_LOST)
+                            .replace("prev_revenue = 0 AND curr_revenue > 0", _TOOLS_NEW))
+    q["refund_rules_differ"] = (
+        lambda s, d: _rules_differ(_refunds(s, d)),
+        ref + f"""
+SELECT * FROM (SELECT prev_quarter, curr_quarter,
+         count_if(prev_revenue > 0 AND curr_revenue = 0) AS core_lost, count_if({_TOOLS_LOST}) AS tools_lost,
+         count_if(prev_revenue = 0 AND curr_revenue > 0) AS core_new, count_if({_TOOLS_NEW}) AS tools_new
+  FROM al GROUP BY 1, 2) t WHERE core_lost <> tools_lost OR core_new <> tools_new""")
+    q["refund_churn_sane"] = (
+        lambda s, d: VA.churn_sane(CH.churn_counts(_refunds(s, d), mode=CH.TOOLS)
+                                   .withColumn("revenue_gain", F.col("total_curr_revenue") - F.col("revenue_gain") * 9)),
+        ref + f"""
+, cc AS (SELECT COALESCE(SUM(CASE WHEN {_TOOLS_LOST} THEN prev_revenue END), 0) AS loss,
+                SUM(curr_revenue) - COALESCE(SUM(CASE WHEN {_TOOLS_NEW} THEN curr_revenue END), 0) * 9 AS gain
+         FROM al GROUP BY prev_quarter, curr_quarter),
+ok AS (SELECT COALESCE(bool_and(loss >= 0 AND gain >= 0), true) AS ok FROM cc)
+SELECT ok, CASE WHEN ok THEN 'Churn report sane' ELSE 'Negative revenue in churn report' END AS message FROM ok""")
+    q["refund_churn_reconciles"] = (
+        lambda s, d: VA.churn_reconciles(_refunds(s, d)),
+        ref + """
+SELECT prev_quarter, curr_quarter, count_if(prev_revenue > 0 OR curr_revenue > 0) AS total_clients,
+       count_if(prev_revenue > 0 OR curr_revenue > 0) =
+       count_if(prev_revenue > 0 AND curr_revenue = 0) + count_if(prev_revenue = 0 AND curr_revenue > 0)
+       + count_if(prev_revenue > 0 AND curr_revenue > 0) AS reconciles
+FROM al GROUP BY prev_quarter, curr_quarter""")
+
     def _actions(s, d):
-        checks = (VA.check_result("quarterly", VA.validate_quarterly(_dirty_rev(s, d),
-                                                                     RV.group_by_quarter(_dirty_rev(s, d))))
-                  .unionByName(VA.check_result("churn", VA.churn_reconciles(_cq(s, d)), "reconciles")))
+        checks = (VA.check_result("quarterly", VA.validate_quarterly(
+                      _dirty_rev(s, d), RV.group_by_quarter(_dirty_rev(s, d), exact=True)))
+                  .unionByName(VA.check_result("churn", VA.churn_reconciles(_refunds(s, d)), "reconciles")))
         return VA.validation_actions(checks)
     q["validation_actions"] = (
         _actions,
-        _DIRTY_REV + """,
-agg AS (SELECT 'Q' || CAST(quarter(Date) AS VARCHAR) AS Quarter, Region, Country,
-               CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue FROM rev WHERE Region IS NOT NULL GROUP BY ALL),
-t AS (SELECT CAST((SELECT SUM(CAST(Revenue AS DECIMAL(38,6))) FROM rev) AS DOUBLE) AS a,
-             CAST((SELECT SUM(CAST(TotalRevenue AS DECIMAL(38,6))) FROM agg) AS DOUBLE) AS b),
-qk AS (SELECT abs(a - b) <= greatest(1e-6, 1e-12 * greatest(abs(a), abs(b))) AS ok FROM t)
+        ref + """,
+dirty AS (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE 1 END AS kept,
+                 CAST(o_totalprice AS DECIMAL(18,2)) AS r
+          FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+          JOIN region g ON n.n_regionkey = g.r_regionkey),
+qk AS (SELECT SUM(r) = SUM(r * kept) AS ok FROM dirty),
+ck AS (SELECT bool_and(total = parts) AS ok FROM (
+         SELECT count_if(prev_revenue > 0 OR curr_revenue > 0) AS total,
+                count_if(prev_revenue > 0 AND curr_revenue = 0) + count_if(prev_revenue = 0 AND curr_revenue > 0)
+                + count_if(prev_revenue > 0 AND curr_revenue > 0) AS parts FROM al GROUP BY prev_quarter, curr_quarter) t)
 SELECT 'retry_aggregation' AS action, 'sum mismatch' AS reason FROM qk WHERE NOT ok
-UNION ALL SELECT 'accept', 'all checks passed' FROM qk WHERE ok""")
+UNION ALL SELECT 'recompute_churn', 'reconciliation failed' FROM ck WHERE NOT ok
+UNION ALL SELECT 'accept', 'all checks passed' FROM qk, ck WHERE qk.ok AND ck.ok""")
     q["check_row_contract"] = (
         lambda s, d: VA.check_row_contract(_raw_rev(s, d)),
         _RAW_REV_SQL + r"""
@@ -485,6 +561,14 @@ SELECT ClientID, Region, Country, CAST(Date AS DATE) AS Date,
        CAST(CASE WHEN Revenue = 'n/a' THEN 0 ELSE CAST(Revenue AS DECIMAL(18,2)) END AS DOUBLE) AS Revenue
 FROM raw WHERE Date <> '2024-13-01'""")
 
+    q["quarantine_rejects"] = (
+        lambda s, d: RD.prepare_feed(_raw_rev(s, d).withColumnRenamed("ClientID", "Client Id"))[1],
+        _RAW_REV_SQL + "\nSELECT *, 'bad date' AS reason FROM raw WHERE Date = '2024-13-01'")
+    q["prepare_feed"] = (
+        lambda s, d: _dbl(RD.prepare_feed(_raw_rev(s, d).withColumnRenamed("ClientID", "client-name"))[0]
+                          .withColumnRenamed("clientname", "ClientID"), "Revenue"),
+        "@quarantine_split")
+
     # ---- S1, S3, S5, S6, A14, P1, P2, P8
     q["read_revenue_csv"] = (
         _csv_roundtrip,
@@ -498,6 +582,8 @@ x AS (SELECT ClientID, CAST(date_trunc('month', Date) AS DATE) AS Date, SUM(Reve
 SELECT g.ClientID AS "Client ID", g.Country, g.Region, m.Date,
        CAST(COALESCE(x.r, 0) AS DOUBLE) AS Revenue
 FROM g CROSS JOIN m LEFT JOIN x ON x.ClientID = g.ClientID AND x.Date = m.Date""")
+    q["normalize_wide_timestamps"] = (lambda s, d: RD.normalize_wide(_wide_stamps(s, d)), "@normalize_wide")
+    q["client_pivot_csv"] = (_pivot_csv, "@client_quarterly_revenue")
     q["normalize_columns"] = (
         lambda s, d: RD.resolve_client_column(RD.normalize_columns(
             load(s, d, "customer").toDF(" Client Id ", "c-name", "c nationkey", "c_acctbal", "c mktsegment"))),
@@ -564,6 +650,26 @@ r AS (SELECT conv_id, rn, tok AS cur, 0 AS chunk_no FROM t WHERE rn = 1
 p AS (SELECT t.conv_id, r.chunk_no, count(*) AS n_texts, SUM(t.tok) AS text_tokens,
              '{PACK_TEMPLATE}' || chr(10) || chr(10) || string_agg(t.text, chr(10) ORDER BY t.turn) AS prompt
       FROM t JOIN r ON t.conv_id = r.conv_id AND t.rn = r.rn GROUP BY t.conv_id, r.chunk_no)
+SELECT conv_id, CAST(chunk_no AS INTEGER) AS chunk_no, n_texts, text_tokens,
+       greatest(1, length(prompt) // 4) AS prompt_tokens, prompt FROM p""")
+    # every turn twice under one turn number, groups named by text
+    q["pack_repeated_turns"] = (
+        lambda s, d: TX.pack_by_token_budget(
+            load(s, d, "conversations").select(F.concat(F.lit("c"), F.col("conv_id")).alias("conv_id"),
+                                               F.floor(F.col("turn") / 2).alias("turn"), "text"),
+            PACK_TEMPLATE, PACK_LIMIT),
+        f"""WITH RECURSIVE t AS (
+  SELECT 'c' || conv_id AS conv_id, text, greatest(1, length(text) // 4) AS tok,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn // 2, text) AS rn FROM conversations),
+r AS (SELECT conv_id, rn, tok AS cur, 0 AS chunk_no FROM t WHERE rn = 1
+      UNION ALL
+      SELECT t.conv_id, t.rn,
+             CASE WHEN r.cur + t.tok + {tpl_tok} > {PACK_LIMIT} THEN t.tok ELSE r.cur + t.tok END,
+             CASE WHEN r.cur + t.tok + {tpl_tok} > {PACK_LIMIT} THEN r.chunk_no + 1 ELSE r.chunk_no END
+      FROM r JOIN t ON t.conv_id = r.conv_id AND t.rn = r.rn + 1),
+p AS (SELECT t.conv_id, r.chunk_no, count(*) AS n_texts, SUM(t.tok) AS text_tokens,
+             '{PACK_TEMPLATE}' || chr(10) || chr(10) || string_agg(t.text, chr(10) ORDER BY t.rn) AS prompt
+      FROM t JOIN r ON t.conv_id = r.conv_id AND t.rn = r.rn GROUP BY t.conv_id, r.chunk_no)
 SELECT conv_id, CAST(chunk_no AS INTEGER) AS chunk_no, n_texts, text_tokens,
        greatest(1, length(prompt) // 4) AS prompt_tokens, prompt FROM p""")
     q["token_usage"] = (
@@ -571,60 +677,78 @@ SELECT conv_id, CAST(chunk_no AS INTEGER) AS chunk_no, n_texts, text_tokens,
         "SELECT role, SUM(greatest(1, length(text) // 4)) AS tokens, count(*) AS entries "
         "FROM conversations GROUP BY role")
     q["embed_text"] = (
-        lambda s, d: TX.embed_text(load(s, d, "documents"), "doc_id", "text")
+        lambda s, d: TX.sparse_rows(TX.embed_text(load(s, d, "documents"), "doc_id", "text"))
                        .withColumn("weight", F.round("weight", 9)),
         "WITH" + _embed_sql("e", "doc_id", "documents") +
         "\nSELECT id, bucket, round(weight, 9) AS weight FROM e")
     q["upsert_index"] = (
-        lambda s, d: TX.upsert_index(TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
-                                     TX.embed_text(load(s, d, "benchmark"), "item_id", "text"))
+        lambda s, d: TX.sparse_rows(TX.upsert_index(
+                         TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
+                         TX.embed_text(load(s, d, "benchmark"), "item_id", "text")))
                        .withColumn("weight", F.round("weight", 9)),
         "WITH" + _embed_sql("e", "doc_id", "documents") + "," +
         _embed_sql("b", "item_id", "benchmark") + """
 SELECT id, bucket, round(weight, 9) AS weight FROM e WHERE id NOT IN (SELECT id FROM b)
 UNION ALL SELECT id, bucket, round(weight, 9) FROM b""")
+    q["append_index"] = (
+        lambda s, d: TX.sparse_rows(TX.upsert_index(
+                         TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
+                         TX.embed_text(load(s, d, "benchmark"), "item_id", "text"), replace=False))
+                       .withColumn("weight", F.round("weight", 9)),
+        "WITH" + _embed_sql("e", "doc_id", "documents") + "," +
+        _embed_sql("b", "item_id", "benchmark") + """
+SELECT id, bucket, round(weight, 9) AS weight FROM e UNION ALL SELECT id, bucket, round(weight, 9) FROM b""")
     q["similarity_pairs"] = (
         lambda s, d: TX.similarity_pairs(TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
-                                         TX.embed_text(load(s, d, "benchmark"), "item_id", "text"))
-                       .withColumn("score", F.round("score", 6)),
+                                         TX.embed_text(load(s, d, "benchmark"), "item_id", "text")),
         "WITH" + _embed_sql("e", "doc_id", "documents") + "," +
         _embed_sql("b", "item_id", "benchmark") + """
 SELECT b.id AS qid, e.id, round(SUM(e.weight * b.weight), 6) AS score
 FROM e JOIN b ON e.bucket = b.bucket GROUP BY b.id, e.id""")
     def _query_index(s, d):
-        # build the index once and keep it (S11), then query it, as a user would
-        path = SK.save_index(TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
-                             scratch_path(s, "doc-index"))
-        return TX.query_index(s.read.parquet(path), load(s, d, "benchmark"), "item_id", "text", k=5)
+        # build the index with text and metadata, keep it (S11), load it again and query it
+        docs = load(s, d, "documents").withColumn("meta", F.create_map(F.lit("source"), F.col("source")))
+        index = TX.embed_text(docs, "doc_id", "text", keep=["text", "meta"]).select(
+            F.col("id").cast("string").alias("id"), "text", "vec", "meta")
+        path = SK.save_index(index, scratch_path(s, "doc-index"))
+        return TX.query_index(SK.load_index(s, path), load(s, d, "benchmark"), "item_id", "text", k=5).select(
+            "qid", "id", "score", "rank", "text", F.col("meta")["source"].alias("source"))
     q["query_index"] = (
         _query_index,
         "WITH" + _embed_sql("e", "doc_id", "documents") + "," +
         _embed_sql("b", "item_id", "benchmark") + """,
-pos AS (SELECT b.id AS qid, e.id, round(SUM(e.weight * b.weight), 6) AS score
-        FROM e JOIN b ON e.bucket = b.bucket GROUP BY b.id, e.id),
-fill AS (SELECT q.qid, i.id, 0.0 AS score FROM (SELECT DISTINCT id AS qid FROM b) q
-         CROSS JOIN (SELECT DISTINCT id FROM e ORDER BY id LIMIT 5) i),
-cand AS (SELECT qid, id, max(score) AS score FROM (SELECT * FROM pos UNION ALL SELECT * FROM fill) u GROUP BY ALL)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM cand) t
+dot AS (SELECT b.id AS qid, e.id, SUM(e.weight * b.weight) AS score FROM e JOIN b ON e.bucket = b.bucket GROUP BY ALL),
+every AS (SELECT i.item_id AS qid, o.doc_id AS id, o.text, o.source FROM benchmark i CROSS JOIN documents o),
+scored AS (SELECT v.qid, CAST(v.id AS VARCHAR) AS id, round(coalesce(dot.score, 0), 6) AS score, v.text, v.source
+           FROM every v LEFT JOIN dot ON dot.qid = v.qid AND dot.id = v.id)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM scored) t
 WHERE rank <= 5""")
+    dense = """WITH x AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v,
+                  generate_subscripts(embedding, 1) AS i FROM embeddings),
+nrm AS (SELECT vec_id, sqrt(SUM(v * v)) AS n FROM x GROUP BY vec_id),
+e AS (SELECT x.vec_id AS id, x.label, x.i, x.v / CASE WHEN n = 0 THEN 1 ELSE n END AS w FROM x JOIN nrm USING (vec_id))"""
     q["topk_similar"] = (
-        lambda s, d: TX.topk_similar(
-            TX.dense_to_sparse(load(s, d, "embeddings"), "vec_id", "embedding"),
-            TX.label_centroids(load(s, d, "embeddings"), "label", "embedding"), k=5),
-        """WITH x AS (SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS bucket
-           FROM embeddings),
-nrm AS (SELECT vec_id, sqrt(SUM(CAST(v AS DOUBLE) * CAST(v AS DOUBLE))) AS n FROM x GROUP BY vec_id),
-e AS (SELECT x.vec_id AS id, x.bucket, CAST(x.v AS DOUBLE) / CASE WHEN nrm.n = 0 THEN 1 ELSE nrm.n END AS weight
-      FROM x JOIN nrm USING (vec_id)),
-m AS (SELECT label AS id, bucket, avg(CAST(v AS DOUBLE)) AS m FROM x GROUP BY ALL),
-c AS (SELECT id, bucket, m / sqrt(SUM(m * m) OVER (PARTITION BY id)) AS weight FROM m),
-pos AS (SELECT c.id AS qid, e.id, round(SUM(e.weight * c.weight), 6) AS score
-        FROM e JOIN c ON e.bucket = c.bucket WHERE e.weight <> 0 GROUP BY c.id, e.id),
-fill AS (SELECT q.qid, i.id, 0.0 AS score FROM (SELECT DISTINCT id AS qid FROM c) q
-         CROSS JOIN (SELECT DISTINCT id FROM e WHERE weight <> 0 ORDER BY id LIMIT 5) i),
-cand AS (SELECT qid, id, max(score) AS score FROM (SELECT * FROM pos UNION ALL SELECT * FROM fill) u GROUP BY ALL)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM cand) t
+        lambda s, d: TX.topk_similar(TX.normalized_vectors(load(s, d, "embeddings"), "vec_id", "embedding"),
+                                     TX.label_centroids(load(s, d, "embeddings"), "label", "embedding"), k=5),
+        dense + """,
+m AS (SELECT label AS id, i, avg(v) AS m FROM x GROUP BY ALL),
+c AS (SELECT id, i, m / sqrt(SUM(m * m) OVER (PARTITION BY id)) AS w FROM m),
+dot AS (SELECT c.id AS qid, e.id, round(SUM(e.w * c.w), 6) AS score FROM e JOIN c ON e.i = c.i GROUP BY c.id, e.id)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM dot) t
 WHERE rank <= 5""")
+    # few entries, all of them candidates: the labels' means against their
+    # opposites, where most cosines are negative
+    q["topk_similar_negative"] = (
+        lambda s, d: TX.topk_similar(
+            TX.label_centroids(load(s, d, "embeddings"), "label", "embedding"),
+            TX.label_centroids(load(s, d, "embeddings"), "label", "embedding")
+              .withColumn("vec", F.transform("vec", lambda x: -x)), k=8),
+        dense + """,
+m AS (SELECT label AS id, i, avg(v) AS m FROM x GROUP BY ALL),
+c AS (SELECT id, i, m / sqrt(SUM(m * m) OVER (PARTITION BY id)) AS w FROM m),
+dot AS (SELECT c.id AS qid, o.id, round(SUM(-o.w * c.w), 6) AS score FROM c o JOIN c ON o.i = c.i GROUP BY c.id, o.id)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM dot) t
+WHERE rank <= 8""")
 
     # ---- events: A12, A13, A16, W5, W6, S13, P16, P17
     q["step_counters"] = (
@@ -634,6 +758,11 @@ WHERE rank <= 5""")
         lambda s, d: EV.step_timings(load(s, d, "events")),
         "SELECT event_type, arg_max(value, (ts, event_id)) AS latest_value, count(value) AS n, "
         "avg(value) AS avg_value, min(value) AS min_value, max(value) AS max_value FROM events GROUP BY event_type")
+    q["step_percentiles"] = (
+        lambda s, d: EV.step_percentiles(load(s, d, "events")).select(
+            "event_type", *[F.round(c, 6).alias(c) for c in ("p50", "p95", "p99")]),
+        "SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, "
+        "round(quantile_cont(value, 0.99), 6) AS p99 FROM events GROUP BY event_type")
     q["run_log_summary"] = (
         lambda s, d: EV.run_log_summary(load(s, d, "events")),
         "SELECT user_id, arg_max(event_type, (ts, event_id)) AS last_status, count(*) AS attempts, "
@@ -660,11 +789,13 @@ FROM trips k""")
     q["compress_record"] = (
         lambda s, d: FN.compress_record(CH.churn_lists(_cq(s, d))),
         _CQ + f""",
-pg AS (SELECT prev_quarter, curr_quarter, substr(md5(CAST(ClientID AS VARCHAR)), 1, 2) AS page,
+hits AS (SELECT *, (row_number() OVER (PARTITION BY prev_quarter, curr_quarter ORDER BY ClientID) - 1) // {CH.PAGE_ROWS} AS page
+         FROM al WHERE ({_TOOLS_LOST}) OR ({_TOOLS_NEW})),
+pg AS (SELECT prev_quarter, curr_quarter, page,
               count_if({_TOOLS_LOST}) AS num_lost, count_if({_TOOLS_NEW}) AS num_new,
               CAST(COALESCE(SUM(CASE WHEN {_TOOLS_LOST} THEN prev_revenue END), 0) AS DOUBLE) AS revenue_loss,
               CAST(COALESCE(SUM(CASE WHEN {_TOOLS_NEW} THEN curr_revenue END), 0) AS DOUBLE) AS revenue_gain
-       FROM al WHERE ({_TOOLS_LOST}) OR ({_TOOLS_NEW}) GROUP BY 1, 2, 3)
+       FROM hits GROUP BY 1, 2, 3)
 SELECT p.prev_quarter AS q_prev, p.curr_quarter AS q_curr, pg.page,
        CAST(COALESCE(pg.num_lost, 0) AS INTEGER) AS lost_customers,
        CAST(COALESCE(pg.num_new, 0) AS INTEGER) AS new_customers,
@@ -681,10 +812,10 @@ FROM pairs p LEFT JOIN pg ON p.prev_quarter = pg.prev_quarter AND p.curr_quarter
 
 # ----------------------------------------------------------------- streaming
 def _rev_files(spark, d):
-    """The revenue view written once as a set of eight files, the input the
-    streams consume two files per micro-batch."""
+    """The revenue view written as the files the streams consume, two per
+    micro-batch: as many as its partitions, none of more than 5,000 rows."""
     path = scratch_path(spark, "rev-files")
-    revenue_view(spark, d).repartition(8, "ClientID").write.parquet(path)
+    revenue_view(spark, d).write.option("maxRecordsPerFile", 5000).parquet(path)
     return path, spark.read.parquet(path).schema
 
 
@@ -718,38 +849,50 @@ def _st_churn(s, d):
 
 
 def _st_breaker(s, d):
+    """ST4 over all months and days: the events written as files of one time
+    range each and streamed oldest first."""
     apply_conf(s)
     from qtrlens.streaming import revenue_stream as ST
     ev = load(s, d, "events")
     src = scratch_path(s, "event-files")
-    day = F.dayofmonth("ts")
-    for lo in range(1, 32, 7):                 # five time slices, in order
-        ev.where((day >= lo) & (day < lo + 7)).repartition(4, "user_id").write.mode("append").parquet(src)
-    stream = ST.stream_revenue_files(s, src, ev.schema, max_files_per_trigger=4)
+    # sorted by time across the partitions; file names rise with the partition
+    ev.repartitionByRange(8, "ts").sortWithinPartitions("ts").write.parquet(src)
+    files = sorted(r.path for r in s.read.parquet(src).select(F.col("_metadata.file_path").alias("path")).distinct().collect())
+    feed = scratch_path(s, "event-feed")
+    for f in files:                             # written one after another: the stream takes older files first
+        s.read.schema(ev.schema).parquet(f).write.mode("append").parquet(feed)
     out = scratch_path(s, "trips")
-    ST.run_append_to_parquet(ST.stream_breaker_trips(stream), out, scratch_path(s, "trips-ckpt"))
+    ST.run_append_to_parquet(ST.stream_breaker_trips(ST.stream_revenue_files(s, feed, ev.schema, max_files_per_trigger=1)),
+                             out, scratch_path(s, "trips-ckpt"))
     return s.read.parquet(out)
 
 
 def _st_idempotent(s, d):
+    """ST5: the files replayed with a fresh checkpoint, and once more under
+    another path."""
     apply_conf(s)
     from qtrlens.streaming import revenue_stream as ST
     src, schema = _rev_files(s, d)
-    out, ledger = scratch_path(s, "applied"), scratch_path(s, "ledger")
-    for _ in range(2):                          # a full replay with a fresh checkpoint
-        ST.idempotent_apply(s, ST.stream_revenue_files(s, src, schema, max_files_per_trigger=2),
-                            out, ledger, scratch_path(s, "apply-ckpt"))
+    out, copy = scratch_path(s, "applied"), scratch_path(s, "rev-copy")
+    for f in sorted(r.path for r in s.read.parquet(src).select(F.col("_metadata.file_path").alias("path")).distinct().collect()):
+        s.read.schema(schema).parquet(f).coalesce(1).write.mode("append").parquet(copy)
+    for path in (src, src, copy):
+        ST.idempotent_apply(s, ST.stream_revenue_files(s, path, schema, max_files_per_trigger=2), out,
+                            scratch_path(s, "apply-ckpt"))
     return _dbl(ST.read_applied(s, out), "Revenue")
 
 
 def _st_totals(s, d):
+    """ST6: the totals after the last batch."""
     apply_conf(s)
     from qtrlens.streaming import revenue_stream as ST
     src, schema = _rev_files(s, d)
     out = scratch_path(s, "totals")
     ST.stream_totals_check(ST.stream_revenue_files(s, src, schema, max_files_per_trigger=2), out,
                            scratch_path(s, "totals-ckpt"))
-    return s.read.parquet(out)
+    t = ST.running_totals(s, out)
+    return t.orderBy(F.desc("batch_id")).limit(1).select(
+        F.col("input_total").cast("double").alias("input_total"), F.col("agg_total").cast("double").alias("agg_total"), "ok")
 
 
 def _json_roundtrip(spark, df, name):
@@ -760,23 +903,62 @@ def _json_roundtrip(spark, df, name):
 
 
 def _bundle(s, d):
+    """The bundle written as JSON lines, read back, and its entries
+    summed up per section and key."""
     apply_conf(s)
-    rev = revenue_view(s, d)
-    agg = RV.group_by_quarter(rev)
-    checks = VA.check_result("quarterly", VA.validate_quarterly(rev, agg)).unionByName(
-        VA.check_result("churn", VA.churn_reconciles(rev), "reconciles"))
-    return SK.export_bundle(agg, CH.churn_counts(rev), checks)
+    cq = CH.stored_client_quarters(_cq(s, d))
+    agg = RV.group_by_quarter(_cq(s, d), year_blind=False)
+    checks = VA.check_result("churn", VA.churn_reconciles(cq), "reconciles")
+    bundle = _json_roundtrip(s, SK.export_bundle(["load", "aggregate", "churn", "validate"], agg,
+                                                 RV.client_quarterly_revenue(cq, PIVOT_QUARTERS),
+                                                 CH.churn_counts(cq), checks), "bundle")
+    j = F.col("json")
+    per_quarter = F.from_json(j, "array<struct<TotalRevenue:double,NumClients:long>>")
+    cells = F.map_values(F.from_json(j, "map<string,double>"))
+    entry = F.from_json(j, "struct<lost_customers:long,revenue_loss:double,ok:boolean,step:string>")
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+    n = (F.when(F.col("section") == "quarterly", F.size(per_quarter).cast("long"))
+          .when(F.col("section") == "pivot", F.size(F.filter(cells, lambda x: x != 0)).cast("long"))
+          .when(F.col("section") == "churn_report", entry["lost_customers"])
+          .when(F.col("section") == "validations", entry["ok"].cast("long"))
+          .when(F.col("section") == "plan", F.length(entry["step"]).cast("long")))
+    amount = (F.when(F.col("section") == "quarterly", total(per_quarter["TotalRevenue"]))
+               .when(F.col("section") == "pivot", total(cells))
+               .when(F.col("section") == "churn_report", entry["revenue_loss"]))
+    return bundle.select("section", "key", n.alias("n"), F.round(amount, 2).alias("amount"))
+
+
+def _report(name):
+    """One of the report's tables (the whole run, tools path)."""
+    def run(s, d):
+        apply_conf(s)
+        from qtrlens.plans.report import revenue_churn_report
+        return revenue_churn_report(_rev(s, d))[name]
+    return run
 
 
-def _report_churn(s, d):
-    """The end-to-end report (tools path) over the revenue view; its churn
-    table is read from the client × quarter table the report writes once."""
-    from qtrlens.plans.report import revenue_churn_report
-    return revenue_churn_report(_rev(s, d))["churn_report"]
+def _summaries(s, d):
+    """The latest summary per user saved as a version and read back."""
+    apply_conf(s)
+    base = scratch_path(s, "summaries")
+    path = SK.save_summaries(load(s, d, "events"), base, "v1", key=["user_id"])
+    return s.read.parquet(path)
 
 
 _SINKS = {
-    "report_churn_counts": (_report_churn, "@churn_counts_tools"),
+    "report_churn_counts": (_report("churn_report"), "@churn_counts_tools"),
+    "report_quarterly": (_report("quarterly"), "@aggregate_by_quarter_region"),
+    "report_churn_lists": (_report("churn_lists"), "@churn_lists"),
+    "report_reflections": (_report("reflections"), "@churn_flags"),
+    "report_suggestions": (_report("suggestions"), "@retention_suggestions"),
+    "report_validations": (
+        _report("validations"),
+        "SELECT 'quarterly' AS \"check\", count(*) >= 0 AS ok FROM orders UNION ALL "
+        "SELECT 'churn', bool_and(o_totalprice > 0) FROM orders"),
+    "report_actions": (
+        _report("actions"),
+        "SELECT 'accept' AS action, 'all checks passed' AS reason FROM orders HAVING bool_and(o_totalprice > 0)"),
+    "save_summaries": (_summaries, "@latest_summaries"),
     # the alignment-based plan of A9, checked against the same oracle
     "churn_counts_aligned": (lambda s, d: CH.churn_counts_aligned(_cq(s, d)), "@churn_counts"),
     "write_churn_report": (
@@ -785,7 +967,17 @@ _SINKS = {
     "write_run_metrics": (
         lambda s, d: _json_roundtrip(s, EV.step_counters(load(s, d, "events")), "run-metrics"),
         "SELECT event_type, count(*) AS count, SUM(value) AS total_value FROM events GROUP BY event_type"),
-    "export_bundle": (_bundle, None),
+    "export_bundle": (_bundle, _CQ + """,
+qr AS (SELECT Quarter, Region, Country, SUM(Revenue) AS r FROM revq GROUP BY ALL),
+cc AS (SELECT prev_quarter, curr_quarter, count_if(prev_revenue > 0 AND curr_revenue = 0) AS n,
+              COALESCE(SUM(CASE WHEN prev_revenue > 0 AND curr_revenue = 0 THEN prev_revenue END), 0) AS r
+       FROM al GROUP BY ALL)
+SELECT 'quarterly' AS section, Quarter AS key, count(*) AS n, round(CAST(SUM(r) AS DOUBLE), 2) AS amount FROM qr GROUP BY Quarter
+UNION ALL SELECT 'pivot', CAST(ClientID AS VARCHAR), count(*), round(CAST(SUM(Revenue) AS DOUBLE), 2) FROM cq GROUP BY ClientID
+UNION ALL SELECT 'churn_report', prev_quarter || '_to_' || curr_quarter, n, round(CAST(r AS DOUBLE), 2) FROM cc
+UNION ALL SELECT 'validations', 'churn', 1, NULL
+UNION ALL SELECT * FROM (VALUES ('plan', '000', 4, NULL), ('plan', '001', 9, NULL), ('plan', '002', 5, NULL),
+                                ('plan', '003', 8, NULL)) p"""),
 }
 
 _STREAM = {
@@ -795,10 +987,11 @@ FROM revq GROUP BY Quarter, Region, Country"""),
     "stream_num_clients": (_st_num_clients, _REVQ + """
 SELECT Quarter, Region, Country, COUNT(DISTINCT ClientID) AS NumClients FROM revq GROUP BY Quarter, Region, Country"""),
     "stream_churn_counts": (_st_churn, _CQ + _COUNTS_SELECT),
-    "stream_breaker_trips": (_st_breaker, _BREAKER_SQL + "\nSELECT user_id, trip_at, open_until FROM trips"),
+    "stream_breaker_trips": (_st_breaker, _BREAKER_SQL + "\nSELECT user_id, trip_at, open_until, false AS late FROM trips"),
     "idempotent_apply": (_st_idempotent,
                          _REV + "\nSELECT ClientID, Region, Country, Date, CAST(Revenue AS DOUBLE) AS Revenue FROM rev"),
-    "stream_totals_check": (_st_totals, None),
+    "stream_totals_check": (_st_totals, _REV + """
+SELECT CAST(SUM(Revenue) AS DOUBLE) AS input_total, CAST(SUM(Revenue) AS DOUBLE) AS agg_total, true AS ok FROM rev"""),
 }
 
 def _registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:

@@ -2,9 +2,8 @@
 V9, R1, U1–U3).
 
 Plan shape. The quarter index (distinct labels with their neighbours) is
-bounded by the calendar — four labels per year, at most 39,996 ``YYYYQn``
-labels in the whole date domain — and a guard inside the plan fails the job
-rather than broadcasting more than ``MAX_QUARTER_LABELS`` rows.
+joined without a hint: it is as small as the calendar for date labels, so AQE
+broadcasts it by its measured size, and a caller's own labels may be many.
 
 The client alignment does not pivot and does not full-outer-join quarter
 pairs. Each (client, quarter, revenue) row is emitted twice: once as the
@@ -27,11 +26,11 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import pair_label
 from ..session import cut_lineage
-from .revenue import client_quarterly_long, money_sum, quarter_labels, with_quarter
+from .revenue import client_quarterly_long, money_sum, quarter_range, with_quarter
 
-MAX_QUARTER_LABELS = 40_000
 CORE = "core"
 TOOLS = "tools"
+PAGE_ROWS = 1000            # clients per page of an id list
 
 # ---------------------------------------------------------------- fixed values
 NOTE_SIGNIFICANT = "significant_loss"
@@ -53,17 +52,14 @@ def quarter_index(df: DataFrame, col: str = "Quarter") -> DataFrame:
     else:
         q = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn(
             "quarter_total", F.lit(None).cast("decimal(38,2)"))
-    w = Window.orderBy(col)  # tiny: bounded by the calendar, see module doc
+    w = Window.orderBy(col)  # one row per distinct label
     idx = q.select(
         F.col(col), "quarter_total",
         F.lag(col).over(w).alias("before"),
         F.lead(col).over(w).alias("after"),
         (F.row_number().over(w) - 1).alias("qi"),
     )
-    guarded = F.when(F.col("qi") >= MAX_QUARTER_LABELS,
-                     F.raise_error(F.lit("too many quarter labels to broadcast"))
-                     ).otherwise(F.col(col))
-    return idx.select(guarded.alias(col), "before", "after", "qi", "quarter_total")
+    return idx.select(col, "before", "after", "qi", "quarter_total")
 
 
 def quarter_pairs(df: DataFrame) -> DataFrame:
@@ -76,17 +72,28 @@ def quarter_pairs(df: DataFrame) -> DataFrame:
 
 
 def _client_quarters(df: DataFrame, client_col: str) -> DataFrame:
-    """A3, written once to the checkpoint folder. Both the quarter index and
-    the per-client rows read it; left lazy, Catalyst would prune the index
-    branch into a second, narrower pass over the whole input."""
-    return cut_lineage(client_quarterly_long(df, client_col), df.sparkSession, "client-quarters")
+    """A3, written once to the checkpoint folder (a table that
+    ``stored_client_quarters`` has written already is used as it is). Both the
+    quarter index and the per-client rows read it; left lazy, Catalyst would
+    prune the index branch into a second, narrower pass over the whole input."""
+    if getattr(df, "_client_quarters_of", None) == client_col:
+        return df
+    return stored_client_quarters(df, client_col)
+
+
+def stored_client_quarters(df: DataFrame, client_col: str = "ClientID") -> DataFrame:
+    """A3 written to the checkpoint folder and marked, so that every churn
+    function given it reads that one table."""
+    out = cut_lineage(client_quarterly_long(df, client_col), df.sparkSession, "client-quarters")
+    out._client_quarters_of = client_col
+    return out
 
 
 def _aligned(df: DataFrame, client_col: str) -> tuple[DataFrame, DataFrame]:
     cq = _client_quarters(df, client_col)
     rtype = cq.schema["Revenue"].dataType
     idx = quarter_index(cq)
-    x = cq.join(F.broadcast(idx.drop("quarter_total", "qi")), "Quarter")
+    x = cq.join(idx.drop("quarter_total", "qi"), "Quarter")
     none = F.lit(None).cast(rtype)
     sides = F.explode(F.array(
         F.struct(F.col("Quarter").alias("pq"), F.col("after").alias("cq"),
@@ -143,7 +150,7 @@ def churn_counts(df: DataFrame, mode: str = CORE, client_col: str = "ClientID")
     pair afterwards, on tables whose size depends only on the number of
     quarters. The quarter index comes from that small aggregate, which is
     written once to the checkpoint folder, so the base data is read once."""
-    cq = client_quarterly_long(df, client_col)
+    cq = df if getattr(df, "_client_quarters_of", None) == client_col else client_quarterly_long(df, client_col)
     w = Window.partitionBy(client_col).orderBy("Quarter")
     x = cq.select("Quarter", "Revenue",
                   F.lead("Quarter").over(w).alias("nq"), F.lead("Revenue").over(w).alias("nr"),
@@ -180,7 +187,6 @@ def churn_counts(df: DataFrame, mode: str = CORE, client_col: str = "ClientID")
                        F.col("quarter_total").alias("total_prev"),
                        F.lead("quarter_total").over(Window.orderBy("Quarter")).alias("total_curr")
                        ).where(F.col("curr_quarter").isNotNull())
-    pairs = F.broadcast(pairs)                        # bounded by the index guard
     a = stats.where(F.col("kind") == "A").join(pairs, F.col("Quarter") == F.col("prev_quarter"))
     cont = F.col("other") == F.col("curr_quarter")
     contrib_a = a.select("prev_quarter", "curr_quarter",
@@ -218,7 +224,7 @@ def churn_counts_aligned(df: DataFrame, mode: str = CORE, client_col: str = "Cli
         F.coalesce(F.col("quarter_total"), F.lit(0)).cast("double").alias("total_prev_revenue"),
         F.coalesce(F.lead("quarter_total").over(w), F.lit(0)).cast("double").alias("total_curr_revenue"),
     ).where(F.col("curr_quarter").isNotNull())
-    return counts.join(F.broadcast(totals), ["prev_quarter", "curr_quarter"])
+    return counts.join(totals, ["prev_quarter", "curr_quarter"])
 
 
 def churn_rows(df: DataFrame, mode: str = TOOLS, client_col: str = "ClientID") -> DataFrame:
@@ -234,32 +240,37 @@ def churn_rows(df: DataFrame, mode: str = TOOLS, client_col: str = "ClientID") -
 
 
 def churn_lists(df: DataFrame, mode: str = TOOLS, client_col: str = "ClientID",
-                page_hex_digits: int = 2) -> DataFrame:
+                page_rows: int = PAGE_ROWS) -> DataFrame:
     """A10: per pair, the lost and new client ids as sorted arrays, with
-    counts and amounts.
+    counts and amounts, in pages of ``page_rows`` clients in id order.
 
-    An id list can be as long as the client base, so it is never built as one
-    array: ids are split into pages by the first ``page_hex_digits`` hex
-    digits of ``md5(id)`` (16**digits pages; size this to the client count).
-    Each pair has one row per non-empty page; summing a pair's pages gives the
+    An id list can be as long as the client base, so it is never one array:
+    the lost and new clients get a global row number (``global_row_index``:
+    range partitions with offsets, no pair in one task), and a pair's page is
+    its clients' position over ``page_rows``. Summing a pair's pages gives the
     pair totals. A pair with no lost and no new client keeps one row with
     ``page`` null and empty lists.
     """
-    al = period_compare(df, client_col)
+    from ..sources.chunks import global_row_index
+
+    al, idx = _aligned(df, client_col)
     lost, new = churn_predicates(mode)
-    page = F.substring(F.md5(F.col(client_col).cast("string")), 1, page_hex_digits)
-    pages = (al.where(lost | new)
-               .groupBy("prev_quarter", "curr_quarter", page.alias("page")).agg(
+    hit = al.where(lost | new).select("prev_quarter", "curr_quarter", client_col, "prev_revenue", "curr_revenue")
+    hit = global_row_index(hit, ["prev_quarter", "curr_quarter", client_col], out="_row")
+    first = hit.groupBy("prev_quarter", "curr_quarter").agg(F.min("_row").alias("_first"))
+    hit = hit.join(first, ["prev_quarter", "curr_quarter"])
+    page = F.floor((F.col("_row") - F.col("_first")) / F.lit(page_rows)).cast("long")
+    pages = (hit.groupBy("prev_quarter", "curr_quarter", page.alias("page")).agg(
                    F.sort_array(F.collect_list(F.when(lost, F.col(client_col)))).alias("lost_customers"),
                    F.sort_array(F.collect_list(F.when(new, F.col(client_col)))).alias("new_customers"),
                    F.count_if(lost).alias("num_lost"),
                    F.count_if(new).alias("num_new"),
                    money_sum(F.when(lost, F.col("prev_revenue"))).alias("revenue_loss"),
                    money_sum(F.when(new, F.col("curr_revenue"))).alias("revenue_gain")))
-    pairs = quarter_pairs(df).drop("pair_index")
+    pairs = idx.where(F.col("after").isNotNull()).select(F.col("Quarter").alias("prev_quarter"),
+                                                         F.col("after").alias("curr_quarter"))
     out = pairs.join(pages, ["prev_quarter", "curr_quarter"], "left")
-    id_type = df.schema[client_col].dataType
-    empty = F.array().cast(f"array<{id_type.simpleString()}>")
+    empty = F.array().cast(f"array<{df.schema[client_col].dataType.simpleString()}>")
     return out.select(
         F.col("prev_quarter").alias("q_prev"), F.col("curr_quarter").alias("q_curr"), "page",
         F.coalesce("lost_customers", empty).alias("lost_customers"),
@@ -272,31 +283,37 @@ def churn_lists(df: DataFrame, mode: str = TOOLS, client_col: str = "ClientID",
 
 # --------------------------------------------------------------- single pair
 
-def _require_labels(cq: DataFrame, labels: list[str]) -> None:
-    present = set(quarter_labels(cq.where(F.col("Quarter").isin(labels))))
-    missing = [q for q in labels if q not in present]
-    if missing:
-        raise ValueError(f"Requested quarters not present: {missing}")
+def _of_quarters(df: DataFrame, labels: list[str], client_col: str) -> DataFrame:
+    """Rows of some quarters with a non-null client. A feed with dates and
+    ``YYYYQn`` labels is filtered by date ranges, which reach the scan."""
+    if "Quarter" in df.columns:
+        rows = df.where(F.col("Quarter").isin(labels))
+    else:
+        wanted = F.lit(False)
+        for q in labels:
+            lo, hi = quarter_range(q)
+            wanted = wanted | ((F.col("Date") >= F.lit(lo)) & (F.col("Date") < F.lit(hi)))
+        rows = with_quarter(df.where(wanted))
+    return rows.where(F.col(client_col).isNotNull())
 
 
 def align_periods(df: DataFrame, q_prev: str, q_curr: str,
                   client_col: str = "ClientID") -> DataFrame:
-    """Full outer alignment of two quarters by client, missing = 0."""
-    cq = client_quarterly_long(df, client_col)
-    prev = cq.where(F.col("Quarter") == q_prev).select(client_col, F.col("Revenue").alias("prev_revenue"))
-    curr = cq.where(F.col("Quarter") == q_curr).select(client_col, F.col("Revenue").alias("curr_revenue"))
-    both = prev.join(curr, client_col, "full")
-    return both.select(client_col,
-                       F.coalesce("prev_revenue", F.lit(0)).alias("prev_revenue"),
-                       F.coalesce("curr_revenue", F.lit(0)).alias("curr_revenue"))
+    """Two quarters side by side per client, missing = 0. One read of the
+    two quarters' rows and one aggregate with two conditional sums."""
+    rows = _of_quarters(df, [q_prev, q_curr], client_col)
+    side = lambda q: F.coalesce(F.sum(F.when(F.col("Quarter") == q, F.col("Revenue"))), F.lit(0))
+    return rows.groupBy(client_col).agg(side(q_prev).alias("prev_revenue"), side(q_curr).alias("curr_revenue"))
 
 
 def top_lost_clients(df: DataFrame, q_prev: str, q_curr: str, n: int = 10,
                      client_col: str = "ClientID") -> DataFrame:
     """Clients with prev > 0 and curr == 0, the ``n`` largest by previous
-    revenue (ties by id). Raises ``ValueError`` when a label is absent."""
-    cq = client_quarterly_long(df, client_col)
-    _require_labels(cq, [q_prev, q_curr])
+    revenue (ties by id). Raises ``ValueError`` when a label is absent (found
+    by looking for one row of each quarter)."""
+    missing = [q for q in (q_prev, q_curr) if _of_quarters(df, [q], client_col).isEmpty()]
+    if missing:
+        raise ValueError(f"Requested quarters not present: {missing}")
     al = align_periods(df, q_prev, q_curr, client_col)
     lost = al.where((F.col("prev_revenue") > 0) & (F.col("curr_revenue") == 0))
     return (lost.orderBy(F.desc("prev_revenue"), client_col).limit(n)
@@ -324,7 +341,7 @@ def active_by_pair(df: DataFrame, client_col: str = "ClientID") -> tuple[DataFra
     and as the current side: ``(client, prev_quarter, curr_quarter, Revenue)``."""
     cq = _client_quarters(df, client_col)
     idx = quarter_index(cq)
-    a = cq.where(F.col("Revenue") > 0).join(F.broadcast(idx), "Quarter")
+    a = cq.where(F.col("Revenue") > 0).join(idx, "Quarter")
     as_prev = a.where(F.col("after").isNotNull()).select(
         client_col, F.col("Quarter").alias("prev_quarter"), F.col("after").alias("curr_quarter"), "Revenue")
     as_curr = a.where(F.col("before").isNotNull()).select(
@@ -358,20 +375,13 @@ def retained_clients(df: DataFrame, client_col: str = "ClientID") -> DataFrame:
 
 
 def churn_amounts(df: DataFrame, client_col: str = "ClientID") -> DataFrame:
-    """Revenue lost and gained per pair, by joining the J2 id sets back to
-    the client-quarter revenue they were taken from."""
-    as_prev, as_curr = active_by_pair(df, client_col)
-    k = _keys(client_col)
-    lost_ids = as_prev.select(k).join(as_curr.select(k), k, "left_anti")
-    new_ids = as_curr.select(k).join(as_prev.select(k), k, "left_anti")
-    loss = lost_ids.join(as_prev, k).groupBy("prev_quarter", "curr_quarter").agg(
-        money_sum("Revenue").alias("revenue_loss"))
-    gain = new_ids.join(as_curr, k).groupBy("prev_quarter", "curr_quarter").agg(
-        money_sum("Revenue").alias("revenue_gain"))
-    pairs = quarter_pairs(df).drop("pair_index")
-    return (pairs.join(loss, ["prev_quarter", "curr_quarter"], "left")
-                 .join(gain, ["prev_quarter", "curr_quarter"], "left")
-                 .na.fill(0.0, ["revenue_loss", "revenue_gain"]))
+    """Revenue lost and gained per pair: two conditional sums over the
+    aligned rows (W1), by activity in either quarter."""
+    al = period_compare(df, client_col)
+    lost, new = churn_predicates(TOOLS)
+    return al.groupBy("prev_quarter", "curr_quarter").agg(
+        money_sum(F.when(lost, F.col("prev_revenue"))).alias("revenue_loss"),
+        money_sum(F.when(new, F.col("curr_revenue"))).alias("revenue_gain"))
 
 
 def lost_by_except(df: DataFrame, client_col: str = "ClientID") -> DataFrame:
@@ -388,12 +398,15 @@ def active_in_either(df: DataFrame, client_col: str = "ClientID") -> DataFrame:
     return as_prev.select(k).unionByName(as_curr.select(k)).distinct()
 
 
-def union_client_sets(chunks: list[DataFrame], client_col: str = "ClientID") -> DataFrame:
-    """Union of the client id sets of several chunks."""
-    u = chunks[0].select(client_col)
-    for c in chunks[1:]:
-        u = u.unionByName(c.select(client_col))
-    return u.where(F.col(client_col).isNotNull()).distinct()
+def client_sets(df: DataFrame, load_col: str, client_col: str = "ClientID") -> DataFrame:
+    """U2 (first half): the client ids of every load, ``(load, client)``, to
+    be kept beside the loads."""
+    return df.where(F.col(client_col).isNotNull()).select(load_col, client_col).distinct()
+
+
+def union_client_sets(sets: DataFrame, client_col: str = "ClientID") -> DataFrame:
+    """The union of the client id sets of all loads."""
+    return sets.select(client_col).where(F.col(client_col).isNotNull()).distinct()
 
 
 # ------------------------------------------------------- flags and reporting

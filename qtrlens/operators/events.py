@@ -2,20 +2,18 @@
 (W5 ``failure_streaks``, W6 ``breaker_trips``).
 
 Counters and gauges are plain hash aggregates (``max_by`` for "latest"), so
-hot keys are combined map-side. Streaks use gaps-and-islands over a per-key
-ordered window. The breaker is a sequential state machine per key and runs
-as one pandas task per key over three small columns.
+hot keys are combined map-side. Streaks and the breaker use gaps-and-islands
+over segmented scans (``ordered.py``), which split any key over tasks.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import estimate_tokens
+from ..session import cut_lineage
 
 # ---------------------------------------------------------------- fixed values
 FAILURE_TYPE = "error"
@@ -45,6 +43,32 @@ def step_timings(events: DataFrame, name_col: str = "event_type") -> DataFrame:
         F.max("value").alias("max_value"))
 
 
+def step_percentiles(events: DataFrame, name_col: str = "event_type", value_col: str = "value",
+                     percents: tuple[int, ...] = (50, 95, 99)) -> DataFrame:
+    """Exact percentiles (linear between neighbours) per name. The
+    values are ranked by a segmented scan, so no name's values are gathered;
+    only the rows beside the asked positions go on."""
+    from .ordered import segmented_running_sum
+
+    x = events.where(F.col(value_col).isNotNull()).select(
+        F.col(name_col).alias("_name"), F.col(value_col).cast("double").alias("_v"), F.lit(1).cast("long").alias("_one"))
+    ranked = segmented_running_sum(x, "_name", ["_v"], "_one", "_rank")
+    n = x.groupBy(F.col("_name").alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
+    at = [F.lit(p / 100) * (F.col("_n") - 1) for p in percents]
+    place = F.col("_rank") - 1
+    near = F.lit(False)
+    for a in at:
+        near = near | (place == F.floor(a)) | (place == F.ceil(a))
+    rows = ranked.join(n, F.col("_name").eqNullSafe(F.col("_m"))).where(near)
+    out = []
+    for p, a in zip(percents, at):
+        lo = F.max(F.when(place == F.floor(a), F.col("_v")))
+        hi = F.max(F.when(place == F.ceil(a), F.col("_v")))
+        part = F.max(a - F.floor(a))
+        out.append((lo + (hi - lo) * part).alias(f"p{p}"))
+    return rows.groupBy("_name").agg(*out).withColumnRenamed("_name", name_col)
+
+
 def token_usage(texts: DataFrame, type_col: str = "role", text_col: str = "text") -> DataFrame:
     """Estimated tokens summed by type, with the entry count."""
     return texts.groupBy(type_col).agg(F.sum(estimate_tokens(text_col)).alias("tokens"),
@@ -59,170 +83,126 @@ def run_log_summary(events: DataFrame, key: str = "user_id", status_col: str = "
         F.count_if(F.col(status_col) == FAILURE_TYPE).alias("errors"))
 
 
-def _streaks(x: DataFrame, key: str, ts: str, threshold: int) -> DataFrame:
-    s = x.where("_f").groupBy(key, "island").agg(
-        F.min(ts).alias("streak_start"), F.max(ts).alias("streak_end"), F.count(F.lit(1)).alias("failures"))
-    return s.withColumn("tripped", F.col("failures") >= threshold)
-
-
-def _islands_window(x: DataFrame, key: str, ts: str, tb: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(ts, tb).rowsBetween(Window.unboundedPreceding, 0)
-    return x.withColumn("island", F.sum("_s").over(w))
-
-
-def _islands_scan(x: DataFrame, key: str, ts: str, tb: str) -> DataFrame:
+def _islands(events: DataFrame, key: str, ts: str, tb: str, status_col: str) -> DataFrame:
+    """Events with ``_f`` (is a failure) and ``island``: the running count of
+    successes per key, which numbers the runs of failures between them."""
     from .ordered import segmented_running_sum
+
+    fail = F.coalesce(F.col(status_col) == FAILURE_TYPE, F.lit(False))
+    x = events.select(key, ts, tb, fail.alias("_f"), F.when(fail, 0).otherwise(1).cast("long").alias("_s"))
     return segmented_running_sum(x, key, [ts, tb], "_s", "island")
 
 
 def failure_streaks(events: DataFrame, key: str = "user_id", ts: str = "ts", order_tiebreak: str = "event_id",
-                    threshold: int = FAIL_THRESHOLD, status_col: str = "event_type",
-                    hot_share: float = 0.01, hot_min_rows: int = 1_000_000) -> DataFrame:
+                    threshold: int = FAIL_THRESHOLD, status_col: str = "event_type") -> DataFrame:
     """Runs of consecutive failures per key, reset by any success.
 
     Gaps-and-islands: the running count of successes numbers the islands;
     failures inside one island form one streak. One row per streak with
-    ``failures`` and ``tripped`` (``failures >= threshold``).
-
-    Ordinary keys use a per-key window. Keys holding more than ``hot_share``
-    of all rows (and more than ``hot_min_rows``; at most ``1 / hot_share``
-    keys, found in-plan) use a distributed segmented scan instead
-    (``ordered.py``), which splits such a key over many tasks by time. The
-    streak aggregate is a hash aggregate with partial aggregation."""
-    from .ordered import hot_keys
-
-    fail = (F.col(status_col) == FAILURE_TYPE)
-    x = events.select(key, ts, order_tiebreak, fail.alias("_f"),
-                      F.when(fail, 0).otherwise(1).cast("long").alias("_s"))
-    hot = hot_keys(x, key, hot_share, hot_min_rows)
-    if not hot:
-        return _streaks(_islands_window(x, key, ts, order_tiebreak), key, ts, threshold)
-    hk = x.sparkSession.createDataFrame([(k,) for k in hot], T.StructType([T.StructField(key, x.schema[key].dataType)]))
-    hk = F.broadcast(hk)                              # ≤ 1 / hot_share rows
-    cold = _islands_window(x.join(hk, key, "left_anti"), key, ts, order_tiebreak)
-    warm = _islands_scan(x.join(hk, key, "left_semi"), key, ts, order_tiebreak)
-    return _streaks(cold.unionByName(warm), key, ts, threshold)
+    ``failures`` and ``tripped`` (``failures >= threshold``). The running
+    count is a segmented scan (``ordered.py``), so any key, a null one too,
+    is split over tasks by time; the streak aggregate collapses map-side."""
+    x = _islands(events, key, ts, order_tiebreak, status_col)
+    s = x.where("_f").groupBy(key, "island").agg(
+        F.min(ts).alias("streak_start"), F.max(ts).alias("streak_end"), F.count(F.lit(1)).alias("failures"))
+    return s.withColumn("tripped", F.col("failures") >= threshold)
 
 
 def failure_streaks_window(events: DataFrame, key: str = "user_id", ts: str = "ts",
                            order_tiebreak: str = "event_id", threshold: int = FAIL_THRESHOLD,
                            status_col: str = "event_type") -> DataFrame:
-    """W5 with a per-key window for every key (cross-check; a very large key
-    is one task's work here)."""
+    """W5 with one window per key: the cross-check of the tests (a very large
+    key is one task's work here)."""
     fail = (F.col(status_col) == FAILURE_TYPE)
-    x = events.select(key, ts, order_tiebreak, fail.alias("_f"),
-                      F.when(fail, 0).otherwise(1).cast("long").alias("_s"))
-    return _streaks(_islands_window(x, key, ts, order_tiebreak), key, ts, threshold)
-
-
-_TRIP_SCHEMA = T.StructType([
-    T.StructField("key", T.LongType()),
-    T.StructField("trip_at", T.TimestampType()),
-    T.StructField("open_until", T.TimestampType()),
-    T.StructField("blocked_events", T.LongType()),
-])
-
+    w = Window.partitionBy(key).orderBy(ts, order_tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+    x = events.select(key, ts, fail.alias("_f"), F.sum(F.when(fail, 0).otherwise(1).cast("long")).over(w).alias("island"))
+    s = x.where("_f").groupBy(key, "island").agg(
+        F.min(ts).alias("streak_start"), F.max(ts).alias("streak_end"), F.count(F.lit(1)).alias("failures"))
+    return s.withColumn("tripped", F.col("failures") >= threshold)
 
-def _breaker(threshold: int, timeout_s: float, seg: str | None = None):
-    """Fold over rows sorted by (key[, seg], ts, tiebreak); the state starts
-    fresh at each new key (and at each new segment of a key)."""
-    timeout = np.timedelta64(int(timeout_s * 1e6), "us")
 
+def _fold(threshold: int, timeout_us: int):
+    """Trips of rows sorted by (key, segment, time): failures of islands that
+    can trip. The count restarts with each island, the open window goes on
+    from island to island, both start anew with each segment."""
     def fn(batches):
-        prev, count, open_until = None, 0, None
-        out_k, out_t, out_u, out_b = [], [], [], []
-        for pdf in batches:
-            keys = pdf["key"].to_numpy()
-            segs = pdf[seg].to_numpy() if seg else np.zeros(len(pdf), dtype="int64")
-            ts = pdf["ts"].to_numpy(dtype="datetime64[us]")
-            fails = pdf["f"].to_numpy()
-            for k, sg, t, f in zip(keys, segs, ts, fails):
-                if (k, sg) != prev:
-                    prev, count, open_until = (k, sg), 0, None
+        seg = island = open_until = None
+        count = 0
+        for batch in batches:
+            trips = []
+            for i, (s, isl, t) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(1, 4)))):
+                s = (batch.column(0)[i].as_py(), s)
+                if s != seg:
+                    seg, island, open_until, count = s, None, None, 0
+                if isl != island:
+                    island, count = isl, 0
                 if open_until is not None:
-                    if t > open_until:          # timeout passed: start from zero
-                        count, open_until = 0, None
-                    else:
-                        out_b[-1] += 1          # ignored while open
+                    if t <= open_until:
                         continue
-                if f:
-                    count += 1
-                    if count >= threshold:
-                        open_until = t + timeout
-                        out_k.append(k)
-                        out_t.append(t)
-                        out_u.append(open_until)
-                        out_b.append(0)
-                else:
-                    count = 0
-        yield pd.DataFrame({
-            "key": pd.Series(out_k, dtype="int64"),
-            "trip_at": pd.Series(out_t, dtype="datetime64[us]"),
-            "open_until": pd.Series(out_u, dtype="datetime64[us]"),
-            "blocked_events": pd.Series(out_b, dtype="int64")})
+                    open_until, count = None, 0
+                count += 1
+                if count >= threshold:
+                    open_until = t + timeout_us
+                    trips.append(i)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(trips, pa.int64())), batch.column(3).take(pa.array(trips, pa.int64()))],
+                names=["key", "trip_us"])
     return fn
 
 
-def _fold_by_key(x: DataFrame, threshold: int, timeout_s: float) -> DataFrame:
-    x = x.repartition("key").sortWithinPartitions("key", "ts", "tb")
-    return x.mapInPandas(_breaker(threshold, timeout_s), _TRIP_SCHEMA)
-
-
-def _fold_hot_segments(x: DataFrame, threshold: int, timeout_s: float) -> DataFrame:
-    """Split each hot key at hard resets and fold the pieces in parallel.
-
-    A success with no failure in the ``timeout`` before it (ties ordered
-    first included) cannot fall inside an open window — a window only opens
-    at a failure and lasts ``timeout`` — so it is processed and leaves the
-    state at (0, closed) whatever came before. The running latest failure
-    time and the running count of such resets are distributed segmented
-    scans; each (key, segment) then folds independently."""
-    from .ordered import segmented_running
-
-    none = -(2 ** 62)
-    t_us = F.unix_micros(F.col("ts"))
-    y = x.withColumn("_fu", F.when(F.col("f"), t_us).otherwise(F.lit(none)))
-    y = segmented_running(y, "key", ["ts", "tb"], "_fu", "_lf", op="max")
-    hard = (~F.col("f")) & (F.col("_lf") < t_us - F.lit(int(timeout_s * 1e6)))
-    y = y.withColumn("_h", hard.cast("long"))
-    y = segmented_running(y, "key", ["ts", "tb"], "_h", "_seg", op="sum")
-    y = y.select("key", "_seg", "ts", "tb", "f").repartition("key", "_seg") \
-         .sortWithinPartitions("key", "_seg", "ts", "tb")
-    return y.mapInPandas(_breaker(threshold, timeout_s, seg="_seg"), _TRIP_SCHEMA)
-
-
 def breaker_trips(events: DataFrame, key: str = "user_id", ts: str = "ts", order_tiebreak: str = "event_id",
                   threshold: int = FAIL_THRESHOLD, reset_timeout_s: float = RESET_TIMEOUT_SECONDS,
-                  status_col: str = "event_type", hot_share: float = 0.01,
-                  hot_min_rows: int = 1_000_000) -> DataFrame:
+                  status_col: str = "event_type") -> DataFrame:
     """Circuit-breaker trips per key. Failures count up; at ``threshold``
     the key opens until ``ts + reset_timeout``; events while open are ignored
-    (counted as ``blocked_events``); after the timeout the count restarts at
-    zero; any success resets it.
-
-    The fold is sequential per key. Ordinary keys are hash-partitioned,
-    sorted by (key, ts) inside each partition and folded in one Python pass
-    per partition over four narrow columns. Keys holding more than
-    ``hot_share`` of all rows (and more than ``hot_min_rows``) — at most
-    ``1 / hot_share`` keys, found in-plan — are cut at hard resets into
-    independent segments that fold in parallel (``_fold_hot_segments``), so
-    no single task carries a hot key's whole history."""
-    from .ordered import hot_keys
-
-    x = events.select(F.col(key).cast("long").alias("key"),
-                      F.col(ts).cast("timestamp").alias("ts"),
-                      F.col(order_tiebreak).cast("long").alias("tb"),
-                      (F.col(status_col) == FAILURE_TYPE).alias("f"))
-    hot = hot_keys(x, "key", hot_share, hot_min_rows)
-    if not hot:
-        out = _fold_by_key(x, threshold, reset_timeout_s)
-    else:
-        hk = x.sparkSession.createDataFrame([(k,) for k in hot], "key long")   # ≤ 1/hot_share rows
-        cold = x.join(F.broadcast(hk), "key", "left_anti")
-        warm = x.join(F.broadcast(hk), "key", "left_semi")
-        out = _fold_by_key(cold, threshold, reset_timeout_s).unionByName(
-            _fold_hot_segments(warm, threshold, reset_timeout_s))
-    return out.withColumnRenamed("key", key)
+    (counted as ``blocked_events``: those after the trip's time and up to the
+    window's end); after the timeout the count restarts at zero; any success
+    resets it. Events without a time cannot be ordered and take no part.
+
+    One plan for every key and size, on segmented scans (``ordered.py``):
+
+    * a trip needs ``threshold`` failures with no success between them, so
+      only islands with that many are kept;
+    * where an island starts later than ``reset_timeout`` after the last kept
+      failure no window can be open and no count goes on, so the key is cut
+      there;
+    * the pieces fold in parallel over three narrow columns, in memory that
+      does not grow with them. A piece is one unbroken stretch of trouble: a
+      key that fails on and on without such a gap is one fold.
+    """
+    from .ordered import segmented_running
+
+    timeout_us = int(reset_timeout_s * 1e6)
+    known = events.where(F.col(ts).isNotNull()).withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+    x = _islands(known, key, "_t", order_tiebreak, status_col).where("_f")
+    able = x.groupBy(key, "island").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("_t", order_tiebreak)).alias("_first")) \
+        .where(F.col("_n") >= threshold)
+    able = able.withColumnRenamed(key, "_k").withColumnRenamed("island", "_i")
+    kept = x.join(able, x[key].eqNullSafe(F.col("_k")) & (x.island == F.col("_i"))).select(
+        key, "_t", order_tiebreak, "island",
+        (F.struct("_t", order_tiebreak) == F.col("_first")).alias("_start"))
+    kept = segmented_running(kept, key, ["_t", order_tiebreak], "_t", "_before", op="previous")
+    cut = F.col("_start") & (F.col("_before").isNull() | (F.col("_t") - F.col("_before") > timeout_us))
+    kept = segmented_running(kept.withColumn("_cut", cut.cast("long")), key, ["_t", order_tiebreak], "_cut", "_seg")
+    folded = (kept.select(F.col(key).alias("key"), "_seg", "island", "_t", order_tiebreak)
+              .repartition("key", "_seg").sortWithinPartitions("key", "_seg", "_t", order_tiebreak)
+              .select("key", "_seg", "island", "_t"))
+    kind = events.schema[key].dataType.simpleString()
+    trips = folded.mapInArrow(_fold(threshold, timeout_us), f"key {kind}, trip_us long")
+    # what a window blocks, found by time bins as long as a window: a trip
+    # looks into two bins, and a bin holds at most two trips of a key
+    trips = cut_lineage(trips, events.sparkSession, "trips")
+    bin_of = lambda t: F.floor(t / F.lit(timeout_us))
+    look = trips.select("key", "trip_us", F.explode(F.array(bin_of(F.col("trip_us")), bin_of(F.col("trip_us") + F.lit(timeout_us))))
+                        .alias("bin")).distinct()
+    seen = known.select(F.col(key).alias("_k"), F.col("_t"), bin_of(F.col("_t")).alias("_b"))
+    blocked = (look.join(seen, F.col("key").eqNullSafe(F.col("_k")) & (F.col("bin") == F.col("_b"))
+                         & (F.col("_t") > F.col("trip_us")) & (F.col("_t") <= F.col("trip_us") + F.lit(timeout_us)))
+               .groupBy(F.col("key").alias("_k"), F.col("trip_us").alias("_u")).agg(F.count(F.lit(1)).alias("n")))
+    return (trips.join(blocked, F.col("key").eqNullSafe(F.col("_k")) & (F.col("trip_us") == F.col("_u")), "left")
+            .select(F.col("key").alias(key), F.timestamp_micros("trip_us").alias("trip_at"),
+                    F.timestamp_micros(F.col("trip_us") + F.lit(timeout_us)).alias("open_until"),
+                    F.coalesce("n", F.lit(0).cast("long")).alias("blocked_events")))
 
 
 def open_keys(trips: DataFrame, as_of, key: str = "user_id") -> DataFrame:

@@ -1,96 +1,60 @@
-"""Ordered scans per key that stay distributed when one key is very large.
-
-``segmented_running_sum`` gives the running sum of a value per key in a
-stated order, exactly, without putting a key's rows in one task:
-
-1. range-partition by (key, order) — a key holding a third of the rows is
-   split across many partitions by its order columns — and sort inside each
-   partition;
-2. one pass per partition computes the running sum inside the partition
-   (vectorised per Arrow batch, carried across batches of the partition);
-3. the result is written to the shared checkpoint folder, so every later
-   read sees the same partition assignment (range bounds come from sampling)
-   and a lost executor does not change it;
-4. a key that continues from earlier partitions can only be the first key of
-   a partition, so the offsets table has at most one row per partition; it is
-   broadcast on that bound and added to the partition-local sums.
+"""Ordered scans per key that stay distributed whatever one key's share.
+
+``segmented_running`` gives a running value per key in a stated order without
+putting a key's rows in one task, and it is the only plan, for every size:
+
+1. range-partition by (key, order), so that a key holding a third of the rows
+   is split over many partitions, and write that table (range bounds come
+   from sampling; the written table fixes the assignment and survives a lost
+   executor);
+2. a window over (partition, key) computes the running value inside each
+   partition's share of a key;
+3. one row per (partition, key) carries the share's total; a window over them
+   gives what precedes each share. Only a key that continues from an earlier
+   partition has such a value, so at most one row per partition is joined back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
-
-_OPS = ("sum", "max")
-
-
-def _local_scan(key: str, value: str, out: str, op: str):
-    def fn(batches):
-        last_key, carry = None, None
-        for pdf in batches:
-            if len(pdf) == 0:
-                yield pdf.assign(**{out: np.zeros(0, dtype="int64")})
-                continue
-            g = pdf.groupby(key, sort=False)[value]
-            cs = (g.cumsum() if op == "sum" else g.cummax()).to_numpy().astype("int64")
-            k = pdf[key].to_numpy()
-            if last_key is not None:
-                lead = k == last_key                      # only the leading run can match
-                cs = np.where(lead, cs + carry, cs) if op == "sum" else np.where(lead, np.maximum(cs, carry), cs)
-            last_key, carry = k[-1], int(cs[-1])
-            yield pdf.assign(**{out: cs})
-    return fn
+_OPS = ("sum", "max", "previous")
 
 
 def segmented_running(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
-                      op: str = "sum", num_partitions: int | None = None) -> DataFrame:
-    """``out`` = running ``op`` (``sum`` or ``max``) of the integer column
-    ``value`` per ``key`` ordered by ``order``, inclusive of the row (rows
-    with a null key are dropped, as in every keyed result)."""
+                      op: str = "sum") -> DataFrame:
+    """``out`` per ``key`` in the order of ``order``: the running ``sum`` or
+    ``max`` of ``value`` up to and with the row, or the ``previous`` row's
+    value (which must not fall along the order; null at a key's first row).
+    Rows with a null key are one key."""
     if op not in _OPS:
         raise ValueError(f"op must be one of {_OPS}")
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.where(F.col(key).isNotNull())
-                .repartitionByRange(n, F.col(key), *[F.col(c) for c in order])
-                .sortWithinPartitions(key, *order)
-                .withColumn("_p", F.spark_partition_id()))
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])
-    local = cut_lineage(ranged.mapInPandas(_local_scan(key, value, "_local", op), schema), spark, "segscan")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, F.col(key), *[F.col(c) for c in order]).withColumn("_p", F.spark_partition_id())
+    ranged = cut_lineage(ranged, spark, "segscan")
+    inside = Window.partitionBy("_p", key).orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    local = {"sum": F.sum(value).over(upto), "max": F.max(value).over(upto),
+             "previous": F.lag(value).over(inside)}[op]
     agg = F.sum if op == "sum" else F.max
-    totals = local.groupBy("_p", key).agg(agg(value).alias("_t"))
-    w = Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_p", key, agg("_t").over(w).alias("_off")).where(F.col("_off").isNotNull())
-    if op == "sum":
-        offsets = offsets.where(F.col("_off") != 0)
-    # a key continuing from earlier partitions is the first key of its
-    # partition, so ``offsets`` has at most one row per partition
-    combined = (F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)) if op == "sum"
-                else F.greatest(F.col("_local"), F.coalesce(F.col("_off"), F.col("_local"))))
-    return (local.join(F.broadcast(offsets), ["_p", key], "left")
-                 .withColumn(out, combined)
-                 .drop("_p", "_local", "_off"))
-
-
-def segmented_running_sum(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
-                          num_partitions: int | None = None) -> DataFrame:
+    totals = ranged.groupBy("_p", key).agg(agg(value).alias("_t"))
+    before = Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (totals.select("_p", F.col(key).alias("_k"), agg("_t").over(before).alias("_off"))
+               .where(F.col("_off").isNotNull()))
+    rows = ranged.withColumn("_local", local).withColumnRenamed("_p", "_row_p")
+    combined = {"sum": F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)),
+                "max": F.greatest("_local", "_off"),
+                "previous": F.coalesce("_local", "_off")}[op]
+    return (rows.join(offsets, (F.col("_row_p") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_k")), "left")
+            .withColumn(out, combined).drop("_p", "_row_p", "_k", "_local", "_off"))
+
+
+def segmented_running_sum(df: DataFrame, key: str, order: Sequence[str], value: str, out: str) -> DataFrame:
     """Running sum per key (see ``segmented_running``)."""
-    return segmented_running(df, key, order, value, out, "sum", num_partitions)
-
-
-def hot_keys(df: DataFrame, key: str, share: float, min_rows: int = 0) -> list:
-    """Keys holding more than ``share`` of all rows (and more than
-    ``min_rows``). At most ``1 / share`` keys can qualify, so the returned
-    list has a proven bound; the row count is a scalar subquery in the plan."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = counts.where((F.col("_n") > total * F.lit(share)) & (F.col("_n") > F.lit(min_rows)))
-    bound = int(1 / share) + 1
-    return [r[0] for r in hot.select(key).limit(bound).collect()]
+    return segmented_running(df, key, order, value, out, "sum")

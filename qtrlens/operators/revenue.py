@@ -7,6 +7,8 @@ input type) and only cast to double in the output columns.
 
 from __future__ import annotations
 
+import datetime
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,32 +44,31 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=list(keys))
 
 
-def aggregate_by_quarter_region(df: DataFrame, rows_col: str | None = None) -> DataFrame:
+def aggregate_by_quarter_region(df: DataFrame, rows_col: str | None = None, exact: bool = False) -> DataFrame:
     """A1: revenue sum and non-null revenue count by quarter, region, country.
+    ``exact`` keeps the sum in the input's own (decimal) type.
 
     ``rows_col`` names a per-row count when the input is already partly
     aggregated (e.g. one row per client and quarter); ``NumRows`` then sums
     it, so the result equals aggregating the underlying rows."""
     df = drop_null_keys(with_quarter(df), GEO_KEYS)
     n = F.count("Revenue") if rows_col is None else F.coalesce(F.sum(rows_col), F.lit(0)).cast("long")
-    return df.groupBy(*GEO_KEYS).agg(
-        money_sum("Revenue").alias("TotalRevenue"),
-        n.alias("NumRows"),
-    )
+    total = F.coalesce(F.sum("Revenue"), F.lit(0)) if exact else money_sum("Revenue")
+    return df.groupBy(*GEO_KEYS).agg(total.alias("TotalRevenue"), n.alias("NumRows"))
 
 
 def group_by_quarter(df: DataFrame, year_blind: bool = True,
-                     client_col: str = "ClientID") -> DataFrame:
-    """A2: revenue sum and distinct clients by quarter, region, country.
+                     client_col: str = "ClientID", exact: bool = False) -> DataFrame:
+    """A2: revenue sum and distinct clients by quarter, region, country
+    (``exact`` as in A1).
 
     ``year_blind=True`` gives ``Qn`` labels (years merged), as the core path
     does; pass ``False`` for ``YYYYQn``. Null client ids are not counted.
     """
     df = drop_null_keys(with_quarter(df, year_blind=year_blind), GEO_KEYS)
-    return df.groupBy(*GEO_KEYS).agg(
-        money_sum("Revenue").alias("TotalRevenue"),
-        F.count_distinct(client_col).alias("NumClients"),
-    )
+    total = F.coalesce(F.sum("Revenue"), F.lit(0)) if exact else money_sum("Revenue")
+    return df.groupBy(*GEO_KEYS).agg(total.alias("TotalRevenue"),
+                                     F.count_distinct(client_col).alias("NumClients"))
 
 
 def client_quarterly_long(df: DataFrame, client_col: str = "ClientID",
@@ -124,21 +125,21 @@ def quarterly_totals(agg: DataFrame) -> DataFrame:
 
 
 def partial_aggregate(chunk: DataFrame, client_col: str = "ClientID",
-                      year_blind: bool = False) -> DataFrame:
+                      year_blind: bool = False, load_col: str | None = None) -> DataFrame:
     """A7 (first half): what one chunk contributes — revenue per
-    ``(Quarter, Region, Country, ClientID)``. Sums add and id sets union, so
-    partials from any split of the input merge to the same answer."""
+    ``(Quarter, Region, Country, ClientID)``; with ``load_col`` per load as
+    well, for a table that holds many. Sums add and id sets union, so partials
+    from any split of the input merge to the same answer."""
     df = drop_null_keys(with_quarter(chunk, year_blind=year_blind), GEO_KEYS)
-    return df.groupBy(*GEO_KEYS, client_col).agg(F.sum("Revenue").alias("Revenue"))
+    keys = [*([load_col] if load_col else []), *GEO_KEYS, client_col]
+    return df.groupBy(*keys).agg(F.sum("Revenue").alias("Revenue"))
 
 
-def merge_partials(partials: Sequence[DataFrame], client_col: str = "ClientID") -> DataFrame:
-    """Union the partial tables and re-aggregate: ``TotalRevenue`` adds,
-    ``NumClients`` counts the union of the client sets."""
-    u = partials[0]
-    for p in partials[1:]:
-        u = u.unionByName(p)
-    return u.groupBy(*GEO_KEYS).agg(
+def merge_partials(partials: DataFrame, client_col: str = "ClientID") -> DataFrame:
+    """Re-aggregate the stored partials of all loads: ``TotalRevenue``
+    adds, ``NumClients`` counts the union of the client sets. (Partials kept
+    apart are put together with ``unionByName`` first.)"""
+    return partials.groupBy(*GEO_KEYS).agg(
         money_sum("Revenue").alias("TotalRevenue"),
         F.count_distinct(client_col).alias("NumClients"),
     )
@@ -155,9 +156,22 @@ def active_clients(cq: DataFrame) -> DataFrame:
     return cq.where(F.col("Revenue") > 0)
 
 
-def quarter_slice(df: DataFrame, quarter: str) -> DataFrame:
-    """rows of one quarter."""
-    return with_quarter(df).where(F.col("Quarter") == quarter)
+def quarter_range(label: str) -> tuple[datetime.date, datetime.date]:
+    """First day of a ``YYYYQn`` quarter and of the one after it."""
+    m = re.fullmatch(r"(\d{4})Q([1-4])", label)
+    if not m:
+        raise ValueError(f"not a YYYYQn label: {label}")
+    y, q = int(m[1]), int(m[2])
+    return datetime.date(y, 3 * q - 2, 1), datetime.date(y + (q == 4), (3 * q) % 12 + 1, 1)
+
+
+def quarter_slice(df: DataFrame, quarter: str, date_col: str = "Date") -> DataFrame:
+    """rows of one quarter. Without a label column the label becomes a
+    date range, which reaches the scan."""
+    if "Quarter" in df.columns:
+        return df.where(F.col("Quarter") == quarter)
+    lo, hi = quarter_range(quarter)
+    return with_quarter(df.where((F.col(date_col) >= F.lit(lo)) & (F.col(date_col) < F.lit(hi))), date_col)
 
 
 def top_regions_per_quarter(agg: DataFrame, n: int = 5) -> DataFrame:
@@ -176,6 +190,6 @@ def head_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
 
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
     """A deterministic sample of exactly ``n`` rows: the ``n`` smallest
-    seeded hashes of the key. Same input and seed → same rows."""
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
+    MD5 digests of key and seed (so any engine draws the same rows)."""
+    h = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key], F.lit(str(seed))))
     return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")

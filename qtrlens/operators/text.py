@@ -1,20 +1,26 @@
 """Text side: token budgets, note summaries, in-order packing, and a hashed
 bag-of-words index with cosine top-k (F4, W3, W4, M1–M3, J7, T2, P18).
 
-The index is sparse: one row per (id, bucket) with a non-zero weight. A dot
-product is an equi-join on the bucket followed by a sum per (query, entry),
-so scoring never materialises a dense matrix, and the query side is
-broadcast only after its size is checked.
+The index has one row per entry with its vector. The query set is taken in
+blocks; each block's matrix goes to the tasks that hold the entries, which
+score an Arrow batch at a time and keep the best per query, so only those are
+shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions.columns import estimate_tokens, hash_bucket, tokenize
+from ..functions.columns import estimate_tokens, hash_bucket, normalize_vector, tokenize
 
 # ---------------------------------------------------------------- fixed values
 DEFAULT_DIM = 64
@@ -25,7 +31,8 @@ SUMMARY_MIN_CHARS = 200
 SCORE_DECIMALS = 6
 # -----------------------------------------------------------------------------
 
-QUERY_BROADCAST_MAX_ROWS = 2_000_000
+QUERY_BLOCK = 4096         # query vectors sent to the tasks at a time (all blocks are run)
+SCORE_CELLS = 1 << 21      # scores a task computes at a time
 
 
 def token_budget_gate(df: DataFrame, text_col: str = "text", max_response_tokens: int = 512,
@@ -37,12 +44,6 @@ def token_budget_gate(df: DataFrame, text_col: str = "text", max_response_tokens
               .withColumn("within_budget", (F.col("tokens") + F.lit(max_response_tokens)) <= F.lit(budget)))
 
 
-def split_by_budget(df: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected)."""
-    g = token_budget_gate(df, **kw)
-    return g.where("within_budget"), g.where(~F.col("within_budget"))
-
-
 def summary_budget_chars(budget_tokens: int) -> int:
     """W3 budget variant: ``max(200, budget * 4 // 3)`` characters."""
     return max(SUMMARY_MIN_CHARS, budget_tokens * 4 // 3)
@@ -71,21 +72,14 @@ def recent_notes_summary(notes: DataFrame, group_col: str = "conv_id", seq_col:
 
 # ------------------------------------------------------------------ packing
 
-_PACK_SCHEMA = T.StructType([
-    T.StructField("group", T.LongType()),
-    T.StructField("seq", T.LongType()),
-    T.StructField("chunk_no", T.IntegerType()),
-])
-
-
-def _pack_partition(limit: int, template_tokens: int):
-    """Greedy fold over rows sorted by (group, seq); restarts at each group."""
+def _pack_batches(limit: int, template_tokens: int):
+    """Greedy fold over rows sorted by (group, order); restarts at each group.
+    Every row gets its chunk number and goes out with its batch."""
     def fn(batches):
-        prev, cur, c = None, 0, 0
-        out_g, out_s, out_c = [], [], []
-        for pdf in batches:
-            for g, q, t in zip(pdf["group"].to_numpy(), pdf["seq"].to_numpy(), pdf["tok"].to_numpy()):
-                t = int(t)
+        prev, cur, c = object(), 0, 0
+        for batch in batches:
+            chunk = []
+            for g, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if g != prev:
                     prev, cur, c = g, t, 0
                 elif cur + t + template_tokens > limit:
@@ -93,11 +87,9 @@ def _pack_partition(limit: int, template_tokens: int):
                     cur = t
                 else:
                     cur += t
-                out_g.append(g)
-                out_s.append(q)
-                out_c.append(c)
-        yield pd.DataFrame({"group": pd.Series(out_g, dtype="int64"), "seq": pd.Series(out_s, dtype="int64"),
-                            "chunk_no": pd.Series(out_c, dtype="int32")})
+                chunk.append(c)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunk, pa.int32())],
+                                             names=[*batch.schema.names, "chunk_no"])
     return fn
 
 
@@ -109,115 +101,212 @@ def pack_by_token_budget(df: DataFrame, template: str, context_token_limit: int,
     a text larger than the limit sits alone. Each chunk's prompt is the
     template, a blank line, then its texts joined by newlines.
 
-    The fold is sequential by nature: rows are hash-partitioned by group and
-    sorted by (group, seq), and one Python pass per partition folds every
-    group over three integer columns; the texts never enter Python and are
-    joined per chunk by Spark afterwards (a chunk is bounded by the limit)."""
+    Groups and turns may be of any type, null or repeated: rows are ordered by
+    turn (null first), then text, and each keeps its place through the fold,
+    so nothing is joined back. A null text counts as empty. The fold is
+    sequential per group by nature; it holds one batch at a time, and a
+    chunk's texts meet in a group bounded by the limit."""
     tpl_tokens = max(1, len(template) // 4)
-    toks = df.select(F.col(group_col).cast("long").alias("group"), F.col(seq_col).cast("long").alias("seq"),
-                     estimate_tokens(text_col).alias("tok"))
-    toks = toks.repartition("group").sortWithinPartitions("group", "seq")
-    chunks = toks.mapInPandas(_pack_partition(context_token_limit, tpl_tokens), _PACK_SCHEMA)
-    chunks = chunks.select(F.col("group").alias(group_col), F.col("seq").alias(seq_col), "chunk_no")
-    rows = df.select(group_col, seq_col, text_col).join(chunks, [group_col, seq_col])
-    per = rows.groupBy(group_col, "chunk_no").agg(
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = df.select(F.col(group_col).alias("group"), estimate_tokens(text).alias("tok"),
+                     F.col(seq_col).alias("seq"), text.alias("body"))
+    rows = rows.repartition("group").sortWithinPartitions("group", "seq", "body")
+    schema = T.StructType(rows.schema.fields + [T.StructField("chunk_no", T.IntegerType())])
+    chunks = rows.mapInArrow(_pack_batches(context_token_limit, tpl_tokens), schema)
+    per = chunks.groupBy("group", "chunk_no").agg(
         F.count(F.lit(1)).alias("n_texts"),
-        F.sum(estimate_tokens(text_col)).alias("text_tokens"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(seq_col, text_col))),
-                                 lambda s: s[text_col]), "\n").alias("_body"))
+        F.sum("tok").alias("text_tokens"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("seq").isNotNull(), "seq", "body"))),
+                                 lambda x: x["body"]), "\n").alias("_body"))
     prompt = F.concat(F.lit(template + "\n\n"), F.col("_body"))
-    return per.select(group_col, "chunk_no", "n_texts", "text_tokens",
+    return per.select(F.col("group").alias(group_col), "chunk_no", "n_texts", "text_tokens",
                       estimate_tokens(prompt).alias("prompt_tokens"), prompt.alias("prompt"))
 
 
 # -------------------------------------------------------------------- index
-
-def embed_text(df: DataFrame, id_col: str, text_col: str, dim: int = DEFAULT_DIM) -> DataFrame:
-    """M1: hashed bag-of-words, L2-normalised, as sparse ``(id, bucket,
-    weight)``. Text with no token has no rows. The per-id norm is taken over
-    at most ``dim`` aggregated rows, so a long text never widens a group.
-    Tokenising is the CPU-heavy step, so a narrow input (fewer partitions
-    than cores) is spread first; a normally split input is not moved."""
-    from ..session import spread_if_narrow
-
-    src = spread_if_narrow(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")))
-    tokens = src.select("id", F.explode(tokenize("_t")).alias("tok"))
-    counts = tokens.groupBy("id", hash_bucket("tok", dim).alias("bucket")).agg(
-        F.count(F.lit(1)).cast("double").alias("c"))
-    w = Window.partitionBy("id")
-    return counts.select("id", "bucket", (F.col("c") / F.sqrt(F.sum(F.col("c") * F.col("c")).over(w)))
-                         .alias("weight"))
-
-
-def to_dense(sparse: DataFrame, dim: int = DEFAULT_DIM) -> DataFrame:
-    """Dense ``array<double>`` per id from the sparse form (≤ dim per group)."""
-    m = sparse.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "weight"))).alias("m"))
-    return m.select("id", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                                      lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("vec"))
-
-
-def dense_to_sparse(df: DataFrame, id_col: str, vec_col: str, normalize: bool = True) -> DataFrame:
-    """P18 in row form: explode the vector to ``(id, bucket, x)``, turn
-    non-finite entries into 0, divide by the per-id norm (a zero or non-finite
-    norm divides by 1) and drop zeros. Each id's group holds at most the
-    vector length, and every step is a plain expression, so nothing iterates
-    over the array inside a row."""
-    x = df.select(F.col(id_col).alias("id"), F.posexplode(F.col(vec_col)).alias("bucket", "x"))
-    v = F.col("x").cast("double")
-    x = x.select("id", "bucket", F.when(F.isnan(v) | (F.abs(v) == F.lit(float("inf"))) | v.isNull(),
-                                        F.lit(0.0)).otherwise(v).alias("x"))
-    if normalize:
-        norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("id")))
-        safe = F.when(F.isnan(norm) | (norm == F.lit(float("inf"))) | (norm == 0), F.lit(1.0)).otherwise(norm)
-        x = x.select("id", "bucket", (F.col("x") / safe).alias("x"))
-    return x.where(F.col("x") != 0).withColumnRenamed("x", "weight")
-
-
-def upsert_index(old: DataFrame, new: DataFrame, key: str = "id", replace: bool = True) -> DataFrame:
-    """M2: same key replaces (``replace=True``) or both are kept (append)."""
+# An index has one row per entry: its id, its vector (unit length, or all
+# zeros for a text without a token) and whatever else the caller keeps with it
+# (text, metadata).
+
+def embed_text(df: DataFrame, id_col: str, text_col: str, dim: int = DEFAULT_DIM,
+               keep: Sequence[str] = ()) -> DataFrame:
+    """M1: hashed bag-of-words, L2-normalised: ``(id, vec, *keep)``, one row
+    per input row. Tokens are found and hashed in the JVM; counting them is
+    row-local (an Arrow batch of bucket arrays), so nothing is shuffled."""
+    @F.pandas_udf("array<double>")
+    def unit_counts(buckets: pd.Series) -> pd.Series:
+        out = []
+        for b in buckets:
+            v = np.bincount(b, minlength=dim).astype("float64") if b is not None and len(b) else np.zeros(dim)
+            n = np.sqrt((v * v).sum())
+            out.append(v / n if n else v)
+        return pd.Series(out, dtype=object)
+
+    buckets = F.transform(tokenize(text_col), lambda t: hash_bucket(t, dim))
+    return df.select(F.col(id_col).alias("id"), unit_counts(buckets).alias("vec"), *keep)
+
+
+def normalized_vectors(df: DataFrame, id_col: str, vec_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """P18 as an index: ``(id, vec, *keep)`` with every vector cleaned and
+    brought to unit length; a null vector has no direction and stays null."""
+    return df.select(F.col(id_col).alias("id"), normalize_vector(vec_col).alias("vec"), *keep)
+
+
+def sparse_rows(index: DataFrame) -> DataFrame:
+    """The non-zero entries of every vector: ``(id, bucket, weight)``."""
+    return index.select("id", F.posexplode("vec").alias("bucket", "weight")).where(F.col("weight") != 0)
+
+
+def upsert_index(old: DataFrame, new: DataFrame, key: str = "id", replace: bool = True,
+                 order: str | None = None) -> DataFrame:
+    """M2: same key replaces (``replace=True``) or both are kept (append).
+    Within ``new`` a later row replaces an earlier one: the one with the
+    largest ``order`` (without it, of the whole row) stays."""
     if not replace:
-        return old.unionByName(new)
-    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
-
-
-def similarity_pairs(entries: DataFrame, queries: DataFrame) -> DataFrame:
-    """``(qid, id, score)`` for every query and every entry sharing a
-    bucket. Sparse dot product: equi-join on bucket, sum per pair. The query
-    side is broadcast only if its row count is within the checked bound."""
-    from ..sources.tables import broadcast_if_small
-
-    q = queries.select(F.col("id").alias("qid"), "bucket", F.col("weight").alias("qw"))
-    q = broadcast_if_small(q, QUERY_BROADCAST_MAX_ROWS)
-    j = entries.join(q, "bucket")
-    return j.groupBy("qid", "id").agg(F.sum(F.col("weight") * F.col("qw")).alias("score"))
+        return old.unionByName(new, allowMissingColumns=True)
+    rest = [c for c in new.columns if c != key]
+    first = [order] if order else []
+    last = new.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*first, *_orderable(new, rest))).alias("_r"))
+    latest = last.select(key, "_r.*").select(*new.columns)
+    return old.join(latest.select(key), key, "left_anti").unionByName(latest, allowMissingColumns=True)
+
+
+def _orderable(df: DataFrame, cols: Sequence[str]) -> list:
+    """Columns that can be compared (a map cannot; its JSON text can)."""
+    return [F.to_json(c).alias(c) if isinstance(df.schema[c].dataType, T.MapType) else F.col(c) for c in cols]
+
+
+# --------------------------------------------------------------------- search
+
+def _blocks(queries: DataFrame):
+    """The query vectors in blocks of at most ``QUERY_BLOCK``: (ids, matrix).
+    The driver holds one block at a time."""
+    ids, vecs = [], []
+    for r in queries.select("id", "vec").where("vec is not null").toLocalIterator():
+        ids.append(r["id"])
+        vecs.append(r["vec"])
+        if len(ids) == QUERY_BLOCK:
+            yield ids, np.array(vecs, dtype="float64")
+            ids, vecs = [], []
+    if ids:
+        yield ids, np.array(vecs, dtype="float64")
+
+
+def _scored(vec: pa.Array, matrix: np.ndarray) -> np.ndarray:
+    """Rounded dot products, entries × queries (a null vector scores NaN)."""
+    full = np.full((len(vec), matrix.shape[1]), np.nan)
+    valid = np.asarray(vec.is_valid())
+    flat = np.asarray(vec.filter(pa.array(valid)).flatten(), dtype="float64")
+    if len(flat):
+        full[valid] = flat.reshape(int(valid.sum()), -1)
+    return np.round(full @ matrix.T, SCORE_DECIMALS)
+
+
+def _score_frames(entries: DataFrame, queries: DataFrame, pick) -> DataFrame:
+    """One frame of ``(qid, score, *entry columns but vec)`` over all query
+    blocks. ``pick(scores, ids)`` says which (query, entry) pairs of a batch
+    go on, given what it kept before."""
+    cols = [c for c in entries.columns if c != "vec"]
+    qtype = queries.schema["id"]
+    schema = T.StructType([T.StructField("qid", qtype.dataType), T.StructField("score", T.DoubleType())]
+                          + [entries.schema[c] for c in cols])
+    arrow_q = to_arrow_type(qtype.dataType)
+    src = entries.select("vec", *cols)
+    out = None
+    for ids, matrix in _blocks(queries):
+        def run(batches, ids=ids, matrix=matrix):
+            step = max(1, SCORE_CELLS // len(ids))
+            keep = pick(len(ids))
+            for batch in batches:
+                for lo in range(0, len(batch), step):
+                    part = batch.slice(lo, step)
+                    rows = pa.RecordBatch.from_arrays(part.columns[1:], names=cols)
+                    yield from keep(rows, _scored(part.column(0), matrix))
+            yield from keep(None, None)
+
+        def emit(batches, run=run, ids=ids):
+            names = pa.array(ids, arrow_q)
+            for rows, q, score in run(batches):
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(q, pa.int64())), pa.array(score, pa.float64()), *rows.columns],
+                    names=["qid", "score", *cols])
+        one = src.mapInArrow(emit, schema)
+        out = one if out is None else out.unionByName(one)
+    return out if out is not None else entries.sparkSession.createDataFrame([], schema)
+
+
+def similarity_pairs(entries: DataFrame, queries: DataFrame, min_score: float | None = None) -> DataFrame:
+    """``(qid, score, id, ...)`` for every query and entry whose cosine is
+    not zero (or reaches ``min_score``). The stated query set meets all
+    entries in blocks; entries are neither shuffled nor exploded."""
+    def pick(_n):
+        def keep(rows, score):
+            if rows is None:
+                return
+            hit = score >= min_score if min_score is not None else (score != 0) & ~np.isnan(score)
+            e, q = np.nonzero(hit)
+            if len(e):
+                yield rows.take(pa.array(e)), q, score[e, q]
+        return keep
+    return _score_frames(entries, queries, pick)
 
 
 def topk_similar(entries: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` best entries per query by cosine score rounded to
-    six places, ties by id. Entries sharing no bucket score 0; when fewer than
-    ``k`` entries score above 0, the lowest ids among the rest fill in (the
-    ``k`` smallest ids of the index are the only candidates that can)."""
-    pos = similarity_pairs(entries, queries).select(
-        "qid", "id", F.round("score", SCORE_DECIMALS).alias("score"))
-    ids = entries.select("id").distinct().orderBy("id").limit(k)   # bounded by k
-    qids = queries.select(F.col("id").alias("qid")).distinct()
-    fill_ids = ids.agg(F.collect_list("id")).scalar()              # one value, ≤ k ids
-    fill = qids.select("qid", F.explode(fill_ids).alias("id"), F.lit(0.0).alias("score"))
-    cand = pos.unionByName(fill).groupBy("qid", "id").agg(F.max("score").alias("score"))
+    six places, ties by id: ``(qid, score, id, ..., rank)``; entry columns
+    such as text and metadata come along. Every entry with a vector is a
+    candidate, also one with a negative or zero score.
+
+    Each task scores its entries against a block of queries and keeps the
+    ``k`` best per query; only those (tasks × queries × k rows) are shuffled."""
+    def pick(n):
+        best: list[tuple] = []            # per query at most k: (rows, entry, query, score)
+
+        def keep(rows, score):
+            if rows is None:
+                for r, e, q, s in best:
+                    yield r.take(pa.array(e)), q, s
+                return
+            at = rows.schema.get_field_index("id")
+            id_rank = np.empty(len(rows), dtype=np.int64)
+            id_rank[np.asarray(pc.array_sort_indices(rows.column(at)))] = np.arange(len(rows))
+            es, qs = [], []
+            for q in range(n):
+                s = score[:, q]
+                order = np.lexsort((id_rank, -s))
+                order = order[~np.isnan(s[order])][:k]
+                es.append(order)
+                qs.append(np.full(len(order), q))
+            e, q = np.concatenate(es), np.concatenate(qs)
+            best.append((rows.take(pa.array(e)), np.arange(len(e)), q, score[e, q]))
+            if len(best) >= 16:           # merge what was kept so far
+                merged = pa.Table.from_batches([b[0] for b in best]).combine_chunks()
+                qa, sa = np.concatenate([b[2] for b in best]), np.concatenate([b[3] for b in best])
+                rank = np.empty(len(qa), dtype=np.int64)
+                rank[np.asarray(pc.array_sort_indices(merged.column("id").combine_chunks()))] = np.arange(len(qa))
+                order = np.lexsort((rank, -sa, qa))
+                first = np.searchsorted(qa[order], qa[order], side="left")
+                order = order[np.arange(len(order)) - first < k]
+                best[:] = [(merged.take(pa.array(order)).to_batches()[0] if len(order) else best[0][0],
+                            np.arange(len(order)), qa[order], sa[order])]
+        return keep
+    found = _score_frames(entries, queries, pick)
     w = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
-    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def query_index(index: DataFrame, query_texts: DataFrame, id_col: str = "id", text_col: str = "text",
                 k: int = 5, dim: int = DEFAULT_DIM) -> DataFrame:
-    """M3: embed the query texts, score against the sparse index, top-k."""
+    """M3: embed the query texts, score against the index, top-k with the
+    entries' text and metadata."""
     return topk_similar(index, embed_text(query_texts, id_col, text_col, dim), k)
 
 
 def label_centroids(df: DataFrame, label_col: str, vec_col: str) -> DataFrame:
-    """Mean vector per label (position-wise), unit length, as sparse rows with
-    ``id`` = label. One group per (label, position)."""
-    e = df.select(F.col(label_col).alias("id"), F.posexplode(F.col(vec_col)).alias("bucket", "x"))
-    m = e.groupBy("id", "bucket").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    w = Window.partitionBy("id")
-    return m.select("id", "bucket", (F.col("m") / F.sqrt(F.sum(F.col("m") * F.col("m")).over(w))).alias("weight"))
+    """Mean vector per label (position-wise), unit length: ``(id, vec)`` with
+    ``id`` = label. Positions are averaged map-side; a label's group holds as
+    many rows as the vector has places."""
+    e = df.select(F.col(label_col).alias("id"), F.posexplode(F.col(vec_col)).alias("at", "x"))
+    m = e.groupBy("id", "at").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    v = m.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "m"))).alias("v"))
+    return v.select("id", normalize_vector(F.transform("v", lambda x: x["m"])).alias("vec"))

@@ -23,50 +23,53 @@ ACTION_RETRY = ("retry_aggregation", "sum mismatch")
 ACTION_RECOMPUTE = ("recompute_churn", "reconciliation failed")
 ACTION_ACCEPT = ("accept", "all checks passed")
 ABS_TOL = 1e-6
-REL_TOL = 1e-12
 # -----------------------------------------------------------------------------
 
 
-def _two_totals(a: DataFrame, a_col: str, b: DataFrame, b_col: str) -> DataFrame:
-    """One row ``(a_total, b_total)`` from one pass over a tagged union.
+def _two_totals(a: DataFrame, a_col: str, b: DataFrame, b_col: str) -> tuple[DataFrame, bool]:
+    """One row ``(a_total, b_total)`` from one pass over a tagged union, and
+    whether both are exact.
 
-    Values are summed as ``decimal(38,6)``: exact for money whether it comes
-    as decimal or as the double an aggregate returned, so the totals do not
-    depend on summation order; only the two results become double."""
-    exact = T.DecimalType(38, 6)
-    u = (a.select(F.col(a_col).cast(exact).alias("v"), F.lit(0).alias("side"))
-          .unionByName(b.select(F.col(b_col).cast(exact).alias("v"), F.lit(1).alias("side"))))
-    return u.agg(
-        F.coalesce(F.sum(F.when(F.col("side") == 0, F.col("v"))), F.lit(0)).cast("double").alias("a_total"),
-        F.coalesce(F.sum(F.when(F.col("side") == 1, F.col("v"))), F.lit(0)).cast("double").alias("b_total"))
+    Decimal columns are summed and compared as they are. A floating-point
+    column is summed as ``decimal(38,6)``, so that the total does not depend
+    on the order of summation."""
+    kinds = [df.schema[c].dataType for df, c in ((a, a_col), (b, b_col))]
+    exact = all(isinstance(k, (T.DecimalType, T.LongType, T.IntegerType)) for k in kinds)
+    typ = T.DecimalType(38, max([k.scale for k in kinds if isinstance(k, T.DecimalType)], default=0)) if exact \
+        else T.DecimalType(38, 6)
+    u = (a.select(F.col(a_col).cast(typ).alias("v"), F.lit(0).alias("side"))
+          .unionByName(b.select(F.col(b_col).cast(typ).alias("v"), F.lit(1).alias("side"))))
+    return u.agg(*[F.coalesce(F.sum(F.when(F.col("side") == k, F.col("v"))), F.lit(0)).alias(n)
+                   for k, n in ((0, "a_total"), (1, "b_total"))]), exact
 
 
-def _close(a: Column, b: Column) -> Column:
-    """Equal within an absolute floor or a relative tolerance, whichever is
-    larger (a fixed 1e-6 alone fails on correct large double sums)."""
-    return F.abs(a - b) <= F.greatest(F.lit(ABS_TOL), F.lit(REL_TOL) * F.greatest(F.abs(a), F.abs(b)))
+def _equal(exact: bool) -> Column:
+    """Decimals must agree to the last digit; totals of floating-point input
+    within the absolute tolerance."""
+    gap = F.abs(F.col("a_total") - F.col("b_total"))
+    return gap == 0 if exact else gap <= F.lit(ABS_TOL).cast("decimal(38,6)")
 
 
 def totals_match(input_df: DataFrame, agg_df: DataFrame, input_col: str = "Revenue",
                  agg_col: str = "TotalRevenue") -> DataFrame:
     """V1: ``(ok, input_total, agg_total, message)``. The input total is over
     every input row, so rows an aggregate dropped (null keys) show up here."""
-    t = _two_totals(input_df, input_col, agg_df, agg_col)
-    ok = _close(F.col("a_total"), F.col("b_total"))
+    t, exact = _two_totals(input_df, input_col, agg_df, agg_col)
+    ok = _equal(exact)
     msg = F.when(ok, F.lit(MSG_TOTALS_MATCH)).otherwise(F.concat(
         F.lit(MSG_TOTALS_MISMATCH + ": input="), F.col("a_total").cast("string"),
         F.lit(" agg="), F.col("b_total").cast("string")))
-    return t.select(ok.alias("ok"), F.col("a_total").alias("input_total"),
-                    F.col("b_total").alias("agg_total"), msg.alias("message"))
+    return t.select(ok.alias("ok"), F.col("a_total").cast("double").alias("input_total"),
+                    F.col("b_total").cast("double").alias("agg_total"), msg.alias("message"))
 
 
 def validate_quarterly(original_df: DataFrame, quarterly_df: DataFrame) -> DataFrame:
     """V2: ``(ok, total_original, total_aggregated, difference)``."""
-    t = _two_totals(original_df, "Revenue", quarterly_df, "TotalRevenue")
-    return t.select(_close(F.col("a_total"), F.col("b_total")).alias("ok"),
-                    F.col("a_total").alias("total_original"),
-                    F.col("b_total").alias("total_aggregated"),
-                    (F.col("a_total") - F.col("b_total")).alias("difference"))
+    t, exact = _two_totals(original_df, "Revenue", quarterly_df, "TotalRevenue")
+    return t.select(_equal(exact).alias("ok"),
+                    F.col("a_total").cast("double").alias("total_original"),
+                    F.col("b_total").cast("double").alias("total_aggregated"),
+                    (F.col("a_total") - F.col("b_total")).cast("double").alias("difference"))
 
 
 def churn_sane(counts: DataFrame) -> DataFrame:
@@ -144,8 +147,11 @@ ROW_RULES = ["ClientID", "Region", "Country", "Date", "Revenue"]
 def check_row_contract(df: DataFrame) -> DataFrame:
     """V7: add ``violations array<string>`` listing every broken rule: a
     required text field null or blank, a date that does not parse, revenue
-    text that is not a number."""
+    text that is not a number, or a number that the feed's money type cannot
+    hold exactly (infinite, too large, too many decimals). What has no Date or
+    out-of-range violation is what ``coerce_feed`` accepts."""
     from ..functions.columns import NUMBER_TEXT, parse_date
+    from ..sources.readers import money
 
     checks = []
     for c in ["ClientID", "Region", "Country"]:
@@ -154,10 +160,20 @@ def check_row_contract(df: DataFrame) -> DataFrame:
     checks.append(F.when(parse_date("Date").isNull(), F.lit("Date:invalid")))
     rev_txt = F.trim(F.col("Revenue").cast("string"))
     checks.append(F.when(rev_txt.isNull() | ~rev_txt.rlike(NUMBER_TEXT), F.lit("Revenue:not_a_number")))
+    checks.append(F.when(money("Revenue").isNull(), F.lit("Revenue:out_of_range")))
     v = F.filter(F.array(*checks), lambda x: x.isNotNull())
     return df.withColumn("violations", v)
 
 
+def contract_violations(tables: dict[str, tuple[DataFrame, T.StructType]]) -> DataFrame:
+    """V6 as a table: ``(table, field, problem)`` for every output checked
+    against its contract (schema metadata only)."""
+    rows = [(name, field, problem) for name, (df, contract) in tables.items()
+            for field, problem in check_output_contract(df, contract)]
+    spark = next(iter(tables.values()))[0].sparkSession
+    return spark.createDataFrame(rows, "table string, field string, problem string")
+
+
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """V7: (valid rows, quarantined rows with their violations)."""
     checked = check_row_contract(df)

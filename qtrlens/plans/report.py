@@ -11,6 +11,7 @@ does not send them back to the raw data.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import churn as CH
 from ..operators import revenue as RV
@@ -31,9 +32,10 @@ def revenue_churn_report(feed: DataFrame, mode: str = CH.TOOLS, year_blind: bool
     """
     spark = feed.sparkSession
     rq = RV.with_quarter(feed, year_blind=year_blind)
-    cq = cut_lineage(RV.client_quarterly_long(rq, client_col), spark, "client-quarter")
-    quarterly = (RV.group_by_quarter(rq, year_blind=year_blind, client_col=client_col) if year_blind
-                 else RV.aggregate_by_quarter_region(rq))
+    cq = CH.stored_client_quarters(rq, client_col)
+    quarterly = (RV.group_by_quarter(rq, year_blind=year_blind, client_col=client_col, exact=True) if year_blind
+                 else RV.aggregate_by_quarter_region(rq, exact=True))
+    quarterly = cut_lineage(quarterly, spark, "quarterly")   # small; read by the checks and the outputs
     labels = RV.quarter_labels(cq)                      # bounded by the calendar
     pivot = RV.client_quarterly_revenue(cq, labels, client_col)
     counts = CH.churn_counts(cq, mode, client_col)
@@ -41,6 +43,7 @@ def revenue_churn_report(feed: DataFrame, mode: str = CH.TOOLS, year_blind: bool
     checks = (VA.check_result("quarterly", VA.validate_quarterly(feed, quarterly))
               .unionByName(VA.check_result("churn", VA.churn_reconciles(cq, client_col), "reconciles")))
     flags = CH.churn_flags(counts)
+    quarterly = quarterly.withColumn("TotalRevenue", F.col("TotalRevenue").cast("double"))
     out = {
         "quarterly": quarterly, "pivot": pivot, "churn_report": counts, "churn_lists": lists,
         "validations": checks, "actions": VA.validation_actions(checks), "reflections": flags,

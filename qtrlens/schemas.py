@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Order prices of the table store (two decimals by that schema).
 MONEY = T.DecimalType(18, 2)
-
-# Long revenue feed as read from text: every field is a string until coerced.
-RAW_REVENUE = T.StructType([
-    T.StructField("ClientID", T.StringType()),
-    T.StructField("Region", T.StringType()),
-    T.StructField("Country", T.StringType()),
-    T.StructField("Date", T.StringType()),
-    T.StructField("Revenue", T.StringType()),
-])
+# Revenue read from text: 28 digits before and 10 after the point; a number
+# that does not fit exactly is rejected, never rounded.
+FEED_MONEY = T.DecimalType(38, 10)
 
 # Long revenue feed after coercion.
 REVENUE = T.StructType([
@@ -21,7 +16,7 @@ REVENUE = T.StructType([
     T.StructField("Region", T.StringType()),
     T.StructField("Country", T.StringType()),
     T.StructField("Date", T.DateType()),
-    T.StructField("Revenue", MONEY),
+    T.StructField("Revenue", FEED_MONEY),
 ])
 
 # Column order of the long layout produced from a wide sheet (fixed values).
@@ -39,15 +34,8 @@ CHURN_COUNTS = T.StructType([
     T.StructField("total_curr_revenue", T.DoubleType()),
 ])
 
-# Output bundle contract: required top-level fields and, for each churn
-# entry, the required fields and their JSON types (fixed values).
+# Sections an output bundle must have (fixed values).
 BUNDLE_REQUIRED = ["plan", "quarterly", "pivot", "churn_report", "validations"]
-CHURN_ENTRY_TYPES = {
-    "revenue_loss": "number",
-    "revenue_gain": "number",
-    "lost_customers": "integer",
-    "new_customers": "integer",
-}
 
 # Vector index entry.
 INDEX_ENTRY = T.StructType([
@@ -56,10 +44,3 @@ INDEX_ENTRY = T.StructType([
     T.StructField("vec", T.ArrayType(T.DoubleType())),
     T.StructField("meta", T.MapType(T.StringType(), T.StringType())),
 ])
-
-# Sparse embedding: one row per (id, bucket) with a non-zero weight.
-SPARSE_EMBEDDING = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("bucket", T.IntegerType()),
-    T.StructField("weight", T.DoubleType()),
-])

@@ -8,6 +8,7 @@ so a cluster's own configuration always wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -57,8 +58,9 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the launcher and points at shared storage. Only
-    when it is unset (local runs, tests) is a fresh local folder chosen.
+    On a cluster it must be set and point at shared storage: each executor
+    would write to its own disk otherwise. Only a local master gets a fresh
+    local folder when it is unset (tests, single-machine runs).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -68,6 +70,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master or ""):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="qtrlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():
@@ -95,17 +100,3 @@ def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
-
-
-def spread_if_narrow(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over ``min_partitions`` (default: the session's
-    default parallelism) only when it has fewer partitions than that — for
-    CPU-heavy per-row work fed by a scan that yields few splits (a single
-    large row group, a handful of files). On a cluster reading many files the
-    condition is false and nothing moves."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no local SparkContext (Spark Connect): leave as is
-        return df
-    return df.repartition(target) if n < target else df

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..schemas import INDEX_ENTRY
+from ..schemas import BUNDLE_REQUIRED, INDEX_ENTRY
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -29,7 +29,7 @@ def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def save_index(index: DataFrame, path: str) -> str:
-    """Persist a vector index (dense or sparse form) as parquet."""
+    """Persist a vector index (entries with text and metadata) as parquet."""
     index.write.mode("overwrite").parquet(path)
     return path
 
@@ -42,24 +42,37 @@ def load_index(spark: SparkSession, path: str, schema=INDEX_ENTRY) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def export_bundle(quarterly: DataFrame, churn: DataFrame, validations: DataFrame) -> DataFrame:
-    """The per-quarter record lists and the churn map as JSON text, one
-    row per section ``(section, key, json)``.
+def export_bundle(plan: Sequence[str], quarterly: DataFrame, pivot: DataFrame, churn: DataFrame,
+                  validations: DataFrame, client_col: str = "ClientID") -> DataFrame:
+    """All sections of the output bundle as JSON text, one row per entry:
+    ``(section, key, json)``. Sections are those of ``BUNDLE_REQUIRED``.
 
     Each quarter's records are serialised in their own group, so no single
     task holds more than one quarter's aggregate rows (bounded by the number
-    of regions × countries); the tables themselves stay the primary output.
+    of regions × countries); pivot entries are one row per client; the tables
+    themselves stay the primary output.
     """
+    spark = quarterly.sparkSession
+    steps = spark.createDataFrame([(f"{i:03d}", name) for i, name in enumerate(plan)], "key string, step string")
+    p = steps.select(F.lit("plan").alias("section"), "key", F.to_json(F.struct("step")).alias("json"))
     q = (quarterly.groupBy("Quarter")
                   .agg(F.to_json(F.sort_array(F.collect_list(F.struct(*[c for c in quarterly.columns
                                                                        if c != "Quarter"])))).alias("json"))
                   .select(F.lit("quarterly").alias("section"), F.col("Quarter").alias("key"), "json"))
+    w = pivot.select(F.lit("pivot").alias("section"), F.col(client_col).cast("string").alias("key"),
+                     F.to_json(F.struct(*[F.col(f"`{c}`") for c in pivot.columns if c != client_col])).alias("json"))
     c = churn.select(F.lit("churn_report").alias("section"),
                      F.concat("prev_quarter", F.lit("_to_"), "curr_quarter").alias("key"),
                      F.to_json(F.struct(*churn.columns)).alias("json"))
     v = validations.select(F.lit("validations").alias("section"), F.col("check").alias("key"),
                            F.to_json(F.struct(*validations.columns)).alias("json"))
-    return q.unionByName(c).unionByName(v)
+    return p.unionByName(q).unionByName(w).unionByName(c).unionByName(v)
+
+
+def missing_sections(bundle: DataFrame) -> list[str]:
+    """Required sections that a bundle has no entry for."""
+    have = {r.section for r in bundle.select("section").distinct().collect()}   # at most the known sections
+    return [x for x in BUNDLE_REQUIRED if x not in have]
 
 
 def save_summaries(summaries: DataFrame, base_path: str, version: str,

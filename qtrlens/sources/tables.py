@@ -2,55 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.revenue import quarter_range
 from ..schemas import MONEY
 from ..session import table_path
 
-# Dimension tables whose size is bounded by definition of the schema
-# (25 nations, 5 regions); anything past this bound is not broadcast.
-DIM_BROADCAST_MAX_ROWS = 100_000
-
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Past the bound the frame is
-    returned unhinted, so the join falls back to a shuffle join (and AQE can
-    still pick a broadcast at run time from measured sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation ⋈ region → (nationkey, Region, Country). Tiny, size-checked."""
+    """nation ⋈ region → (nationkey, Region, Country). No hint and no counting
+    job: Catalyst broadcasts by the tables' sizes, AQE by measured ones."""
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey)
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return geo.select(F.col("n_nationkey"), F.col("r_name").alias("Region"),
                       F.col("n_name").alias("Country"))
 
 
-def revenue_view(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def revenue_view(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = (),
+                 quarters: Sequence[str] = ()) -> DataFrame:
     """Long revenue feed ``(ClientID, Region, Country, Date, Revenue)``.
 
-    orders ⋈ customer ⋈ nation ⋈ region, inner equi-joins. The geography side
-    is a bounded broadcast. customer grows with the data, so it is joined
-    without a hint: Catalyst broadcasts it when its estimated size is under
-    ``autoBroadcastJoinThreshold``, otherwise it is a sort-merge join on the
-    customer key (AQE may still convert it at run time). ``keep`` carries
-    extra order columns through.
+    orders ⋈ customer ⋈ nation ⋈ region, inner equi-joins without hints:
+    Catalyst broadcasts a side whose size is under
+    ``autoBroadcastJoinThreshold``, otherwise it is a sort-merge join (AQE may
+    still convert it at run time). ``keep`` carries extra order columns
+    through; ``quarters`` (``YYYYQn``) reads only those quarters' orders, by
+    ranges of the stored date that reach the scan.
     """
     orders = load(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice", *keep)
+    if quarters:
+        wanted = F.lit(False)
+        for q in quarters:
+            lo, hi = (F.lit(str(d)).cast(orders.schema["o_orderdate"].dataType) for d in quarter_range(q))
+            wanted = wanted | ((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi))
+        orders = orders.where(wanted)
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     geo = geo_dimension(spark, sf_dir)
-    cust_geo = customer.join(broadcast_if_small(geo), customer.c_nationkey == geo.n_nationkey)
+    cust_geo = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
     cust_geo = cust_geo.select("c_custkey", "Region", "Country")
     rev = orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey)
     return rev.select(
@@ -100,7 +96,7 @@ def client_quarter_view(spark: SparkSession, sf_dir: str, year_blind: bool = Fal
                     F.count("o_totalprice").alias("NumRows")))
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     geo = geo_dimension(spark, sf_dir)
-    cust_geo = customer.join(broadcast_if_small(geo), customer.c_nationkey == geo.n_nationkey)
+    cust_geo = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
     cust_geo = cust_geo.select("c_custkey", "Region", "Country")
     j = a.join(cust_geo, a.ClientID == cust_geo.c_custkey)
     return j.select("ClientID", "Region", "Country", "Quarter", "Revenue", "NumRows")

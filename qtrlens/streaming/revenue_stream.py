@@ -12,7 +12,8 @@ changed, never to the whole table.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -73,60 +74,90 @@ def run_to_table(agg: DataFrame, out_path: str, checkpoint: str, output_mode: st
     q.awaitTermination()
 
 
-def read_latest(spark: SparkSession, out_path: str, keys: list[str]) -> DataFrame:
-    """Current answer: the latest row per key across all appended batches."""
+def read_latest(spark: SparkSession, out_path: str, keys: list[str], base: str | None = None) -> DataFrame:
+    """Current answer: the latest row per key across all appended batches, or
+    across a compacted table ``base`` and the batches after it."""
     t = spark.read.parquet(out_path)
+    if base:
+        b = spark.read.parquet(base)
+        upto = b.agg(F.max("batch_id")).first()[0]
+        t = (t.where(F.col("batch_id") > upto) if upto is not None else t).unionByName(b)
     vals = [c for c in t.columns if c not in keys and c != "batch_id"]
     latest = t.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("batch_id")).alias("_v"))
     return latest.select(*keys, "_v.*")
 
 
+def compact(spark: SparkSession, out_path: str, keys: list[str], target: str, base: str | None = None) -> str:
+    """Write the current answer to ``target``, labelled with the newest batch
+    it covers; batches up to that one need not be read again (and may go)."""
+    upto = spark.read.parquet(out_path).agg(F.max("batch_id")).first()[0]
+    (read_latest(spark, out_path, keys, base).withColumn("batch_id", F.lit(upto).cast("long"))
+     .write.mode("error").parquet(target))
+    return target
+
+
 # ------------------------------------------------------------ ST5 idempotency
 
-def idempotent_apply(spark: SparkSession, stream: DataFrame, out_path: str, ledger_path: str,
-                     checkpoint: str) -> None:
-    """ST5: apply each input file exactly once, even across replays with a
-    fresh checkpoint or a crash between writes.
+def _table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None                        # nothing has been applied yet
+        raise
+
+
+def idempotent_apply(spark: SparkSession, stream: DataFrame, out_path: str, checkpoint: str) -> None:
+    """ST5: apply each file content exactly once, even across replays with a
+    fresh checkpoint, under another path, or after a crash.
 
-    Rows are keyed by a content key of their source file. Keys already in the
-    ledger are skipped (anti join). The output is partitioned by that key and
-    written with dynamic partition overwrite, so re-applying a file replaces
-    its own partition rather than adding rows; the ledger is appended after
-    the output, and a crash between the two only causes a harmless rewrite."""
-    keyed = stream.withColumn("_src", content_key(F.lit("apply"), F.input_file_name()))
+    A file's key is a digest of its rows (count and sum of row hashes, which
+    no order changes). The output is its own ledger: it carries the key of
+    every row, in folders by the key's first two digits, and a batch's keys
+    are looked up there before its rows are appended; Spark's commit makes the
+    append one step, so there is no gap between output and ledger. Of files
+    with the same content in one batch the first path is applied."""
+    cols = stream.columns
+    named = stream.withColumn("_path", F.input_file_name())
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        try:
-            done = spark.read.parquet(ledger_path)
-        except Exception:  # first batch: no ledger yet
-            done = spark.createDataFrame([], "_src string")
-        fresh = batch.join(done.select("_src").distinct(), "_src", "left_anti")
-        (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("_src").parquet(out_path))
-        fresh.select("_src").distinct().write.mode("append").parquet(ledger_path)
-
-    q = (keyed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-               .trigger(availableNow=True).start())
+        row = F.xxhash64(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})).cast("decimal(38,0)")
+        files = batch.groupBy("_path").agg(F.count(F.lit(1)).alias("n"), F.sum(row).alias("h"))
+        keys = files.groupBy(content_key("n", "h").alias("_src")).agg(F.min("_path").alias("_path"))
+        done = _table_or_none(spark, out_path)
+        if done is not None:
+            keys = keys.join(done.select("_src").distinct(), "_src", "left_anti")
+        (batch.join(keys, "_path").drop("_path").withColumn("_part", F.substring("_src", 1, 2))
+              .write.mode("append").partitionBy("_part").parquet(out_path))
+
+    q = (named.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+              .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def read_applied(spark: SparkSession, out_path: str) -> DataFrame:
     """ST5: the applied rows (without the source key)."""
-    return spark.read.parquet(out_path).drop("_src")
+    return spark.read.parquet(out_path).drop("_src", "_part")
 
 
 # ------------------------------------------------------------- ST6 totals
 
 def stream_totals_check(stream: DataFrame, out_path: str, checkpoint: str) -> None:
-    """ST6: per micro-batch, the input revenue total next to the total of the
-    quarter × region aggregate of the same rows (null keys dropped), appended
-    as ``(batch_id, input_total, agg_total, ok)``."""
-    from ..operators.revenue import aggregate_by_quarter_region
-    from ..operators.validate import totals_match
+    """ST6: per micro-batch, the exact input revenue total next to the total
+    of the quarter × region aggregate of the same rows (null keys dropped),
+    under ``batch_id=<n>``; ``running_totals`` adds them up."""
+    from ..operators.revenue import GEO_KEYS as keys
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        # one pass: groups of all rows, of which the aggregate keeps those with whole keys
+        groups = with_quarter(batch).groupBy(*keys).agg(F.sum("Revenue").alias("r"))
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
+        zero = F.lit(0)
+        check = groups.agg(F.coalesce(F.sum("r"), zero).cast("decimal(38,10)").alias("input_total"),
+                           F.coalesce(F.sum(F.when(whole, F.col("r"))), zero).cast("decimal(38,10)").alias("agg_total"))
         # a replayed batch overwrites its own partition instead of adding a row
-        check = totals_match(batch, aggregate_by_quarter_region(batch))
         (check.withColumn("batch_id", F.lit(batch_id).cast("long"))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("batch_id").parquet(out_path))
@@ -136,30 +167,46 @@ def stream_totals_check(stream: DataFrame, out_path: str, checkpoint: str) -> No
     q.awaitTermination()
 
 
+def running_totals(spark: SparkSession, out_path: str) -> DataFrame:
+    """ST6: totals over all batches up to each (one row per batch):
+    ``(batch_id, input_total, agg_total, ok)``, compared exactly."""
+    w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    t = spark.read.parquet(out_path).select(
+        "batch_id", F.sum("input_total").over(w).alias("input_total"), F.sum("agg_total").over(w).alias("agg_total"))
+    return t.withColumn("ok", F.col("input_total") == F.col("agg_total"))
+
+
 # ------------------------------------------------------------ ST4 breaker
 
 _TRIP_OUT = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("trip_at", T.TimestampType()),
     T.StructField("open_until", T.TimestampType()),
+    T.StructField("late", T.BooleanType()),
 ])
 _TRIP_STATE = T.StructType([
     T.StructField("fail_count", T.LongType()),
-    T.StructField("opened_until", T.TimestampType()),
+    T.StructField("opened_us", T.LongType()),
+    T.StructField("last_us", T.LongType()),
+    T.StructField("last_id", T.LongType()),
 ])
 
 
 def _breaker_state(threshold: int, timeout_s: float):
-    timeout = pd.Timedelta(seconds=timeout_s)
+    timeout = int(timeout_s * 1e6)
 
     def fn(key, pdfs, state):
-        count, opened = (0, None)
+        count, opened, last = 0, None, None
         if state.exists:
-            count, opened = state.get
-            opened = pd.Timestamp(opened) if opened is not None else None
-        rows = pd.concat(list(pdfs)).sort_values(["ts", "event_id"], kind="stable")
-        trips = []
-        for t, f in zip(pd.to_datetime(rows["ts"]), rows["f"]):
+            count, opened, us, ident = state.get
+            last = (us, ident)
+        rows = pd.concat(list(pdfs)).sort_values(["t_us", "event_id"], kind="stable")
+        out = []
+        for t, ident, f in zip(rows["t_us"].tolist(), rows["event_id"].tolist(), rows["f"].tolist()):
+            if last is not None and (t, ident) < last:
+                out.append((t, None, True))        # behind what was folded already: reported, not folded
+                continue
+            last = (t, ident)
             if opened is not None:
                 if t > opened:
                     count, opened = 0, None
@@ -169,25 +216,29 @@ def _breaker_state(threshold: int, timeout_s: float):
                 count += 1
                 if count >= threshold:
                     opened = t + timeout
-                    trips.append((t, opened))
+                    out.append((t, opened, False))
             else:
                 count = 0
-        state.update((int(count), opened.to_pydatetime() if opened is not None else None))
-        yield pd.DataFrame({"user_id": pd.Series([key[0]] * len(trips), dtype="int64"),
-                            "trip_at": pd.Series([a for a, _ in trips], dtype="datetime64[us]"),
-                            "open_until": pd.Series([b for _, b in trips], dtype="datetime64[us]")})
+        state.update((count, opened, *(last or (None, None))))
+        when = lambda x: pd.Series(pd.to_datetime(pd.Series(x, dtype="Int64"), unit="us"), dtype="datetime64[us]")
+        yield pd.DataFrame({"user_id": pd.Series([key[0]] * len(out), dtype="Int64"), "trip_at": when([a for a, _, _ in out]),
+                            "open_until": when([b for _, b, _ in out]),
+                            "late": pd.Series([c for _, _, c in out], dtype="bool")})
     return fn
 
 
 def stream_breaker_trips(events: DataFrame, threshold: int = FAIL_THRESHOLD,
                          reset_timeout_s: float = RESET_TIMEOUT_SECONDS) -> DataFrame:
     """ST4: the breaker of W6 kept online per user with
-    ``applyInPandasWithState``. State per key is two values. Events of one
-    key must arrive in time order across micro-batches (within a batch they
-    are sorted)."""
-    x = events.select(F.col("user_id").cast("long").alias("user_id"),
-                      F.col("ts").cast("timestamp").alias("ts"), "event_id",
-                      (F.col("event_type") == FAILURE_TYPE).alias("f"))
+    ``applyInPandasWithState``; state per key is four numbers. Events are
+    folded in event-time order: within a batch they are sorted, and an event
+    behind the last one folded for its key is not folded but comes out as a
+    row with ``late`` (its time in ``trip_at``), so that a caller sees it.
+    Events without a time take no part, as in the batch form."""
+    x = events.where(F.col("ts").isNotNull()).select(
+        F.col("user_id").cast("long").alias("user_id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"),
+        F.col("event_id").cast("long").alias("event_id"),
+        F.coalesce(F.col("event_type") == FAILURE_TYPE, F.lit(False)).alias("f"))
     return x.groupBy("user_id").applyInPandasWithState(
         _breaker_state(threshold, reset_timeout_s), _TRIP_OUT, _TRIP_STATE, "append",
         GroupStateTimeout.NoTimeout)

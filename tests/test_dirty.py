@@ -23,6 +23,39 @@ def test_revenue_coercion_rule(spark):
     assert float(m[6]) == 1000.0 and m[5] is None  # inf cannot be money: rejected later
 
 
+def test_money_is_never_rounded(spark):
+    vals = ["0.004", "1.239", "12345678901234567890", "-99999999999999999.99", "1e-3", "1.2500000000000", "1e-11",
+            "0.00000000001", "1" * 29, "1e30", "2.5e3"]
+    df = spark.createDataFrame([("A", "R", "C", "2024-01-02", v) for v in vals],
+                               "ClientID string, Region string, Country string, Date string, Revenue string")
+    good, rej = coerce_feed(df)
+    from decimal import Decimal
+    assert sorted(r.Revenue for r in good.collect()) == sorted(Decimal(v) for v in vals[:6] + vals[10:])
+    assert sorted((r.Revenue, r.reason) for r in rej.collect()) == sorted((v, "revenue out of range") for v in vals[6:10])
+    # the row contract flags exactly these
+    flagged = {r.Revenue for r in VA.check_row_contract(df).collect() if r.violations}
+    assert flagged == set(vals[6:10])
+
+
+def test_one_cent_on_large_totals(spark):
+    big = spark.sql("SELECT CAST(1000000000000000.00 AS DECIMAL(18,2)) AS Revenue, DATE '2024-01-02' AS Date, "
+                    "'R' AS Region, 'C' AS Country, 1 AS ClientID")
+    agg = RV.aggregate_by_quarter_region(big, exact=True)
+    assert VA.totals_match(big, agg).first().ok
+    off = agg.withColumn("TotalRevenue", (F.col("TotalRevenue") + F.lit("0.01").cast("decimal(18,2)")).cast("decimal(28,2)"))
+    r = VA.totals_match(big, off).first()
+    assert not r.ok and r.message == "Total mismatch: input=1000000000000000.00 agg=1000000000000000.01"
+    assert not VA.validate_quarterly(big, off).first().ok
+
+
+def test_contract_violation_rows(spark, sample):
+    from qtrlens.schemas import CHURN_COUNTS, REVENUE
+    counts = CH.churn_counts(sample)
+    got = VA.contract_violations({"churn": (counts, CHURN_COUNTS), "feed": (sample.drop("Region"), REVENUE),
+                                  "cut": (counts.drop("revenue_gain"), CHURN_COUNTS)})
+    assert sorted(tuple(r) for r in got.collect()) == [("cut", "revenue_gain", "missing"), ("feed", "Region", "missing")]
+
+
 def test_bad_dates_quarantined_or_fatal(spark):
     df = spark.createDataFrame([("A", "R", "C", "2024-01-02", "5"), ("B", "R", "C", "2024/02/03", "6"),
                                 ("C", "R", "C", None, "7"), ("D", "R", "C", "2024-13-01", "8")],

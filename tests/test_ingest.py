@@ -84,11 +84,43 @@ def test_export_bundle(spark, sample):
     from qtrlens.operators import churn as CH
     from qtrlens.operators import revenue as RV
     from qtrlens.operators import validate as VA
+    from qtrlens.schemas import BUNDLE_REQUIRED
     agg = RV.group_by_quarter(sample)
     checks = VA.check_result("quarterly", VA.validate_quarterly(sample, agg))
-    b = SK.export_bundle(agg, CH.churn_counts(sample), checks)
-    sections = sorted({r.section for r in b.collect()})
-    assert sections == ["churn_report", "quarterly", "validations"]
+    b = SK.export_bundle(["load", "churn"], agg, RV.client_quarterly_revenue(sample), CH.churn_counts(sample), checks)
+    assert sorted({r.section for r in b.collect()}) == sorted(BUNDLE_REQUIRED)
+    assert SK.missing_sections(b) == [] and SK.missing_sections(b.where("section <> 'plan'")) == ["plan"]
+
+
+def test_csv_by_header_name_and_bad_rows(spark, tmp_path):
+    d = tmp_path / "feed"
+    d.mkdir()
+    (d / "a.csv").write_text('ClientID,Region,Country,Date,Revenue\nA,"North\nWest, old",US,2024-01-02,10.5\n'
+                             'B,"say ""hi""",US,2024-01-03,1\nC,EMEA,UK,2024-01-04,2,surplus\nD,EMEA\n')
+    (d / "b.csv").write_text('Revenue,Date,Client Id,Country,Region,Note\n7,2024-02-01,E,IN,APAC,x\n')
+    (d / "empty.csv").write_text("ClientID,Region,Country,Date,Revenue\n")
+    good, rej = RD.read_revenue_csv(spark, str(d))
+    got = sorted((r.ClientID, r.Region, r.Country, float(r.Revenue)) for r in good.collect())
+    assert got == [("A", "North\nWest, old", "US", 10.5), ("B", 'say "hi"', "US", 1.0), ("E", "APAC", "IN", 7.0)]
+    bad = sorted((r._corrupt, r.reason) for r in rej.collect())
+    assert bad == [("C,EMEA,UK,2024-01-04,2,surplus", "malformed row"), ("D,EMEA", "malformed row")]
+
+
+def test_wide_timestamp_headers(spark):
+    df = spark.createDataFrame([("C1", "USA", "AMER", 100, 5)], "`Customer Name` string, Country string, Region string, "
+                                                                "`2024-01-01 00:00:00` int, `2024-02-01T00:00` int")
+    got = sorted((r.Date, r.Revenue) for r in RD.normalize_wide(df).collect())
+    assert got == [(dt.date(2024, 1, 1), 100.0), (dt.date(2024, 2, 1), 5.0)]
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster(spark):
+    from types import SimpleNamespace
+    from qtrlens.session import checkpoint_dir
+    for master, fails in (("spark://host:7077", True), ("local-cluster[2,1,1024]", True), ("yarn", True)):
+        fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d),
+                               sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+        with pytest.raises(ValueError):
+            checkpoint_dir(fake)
 
 
 def test_wide_client_name_alias(spark):
