@@ -13,14 +13,15 @@ Equal sets are one class first, so copies cost one row each. Leaves are
 compared in two rounds, and every link is confirmed on full sets:
 
 1. each document with the leaf's smallest id; connected components follow;
-2. what lies in different components of a leaf, exhaustively. The documents
-   outside the leaf's largest component meet all others in blocks, so a leaf of
-   any size is split over tasks, and a leaf that round 1 has connected costs
-   nothing more.
+2. what lies in different components of a leaf, exhaustively: documents
+   outside the leaf's largest component meet all others in blocks, so a leaf
+   of any size is split over tasks, and one that round 1 has connected costs
+   nothing more. What may be linked by signature forms clusters, in which full
+   sets are compared, block by block again, once for all trees.
 
-Before full sets are fetched, candidates are compared by signatures of
-``TREES * LEVELS`` minima; a pair is dropped below half of them agreeing (for
-J = 0.8 a chance of 1e-6).
+No round emits all pairs of a group: round 1 has one per member, round 2 only
+what connects components. Signatures are ``TREES * LEVELS`` minima; below half
+of them agreeing a pair is no candidate (for J = 0.8 a chance of 1e-6).
 
 Defined results: a null or wordless text has the empty set, is linked with
 nothing and stays. A document with a null id is linked with nothing (null
@@ -161,58 +162,139 @@ def star_candidates(nodes: DataFrame, marks: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(_agree, "a long, b long")
 
 
-def _compare_blocks(batches):
-    """Within a block: documents outside the leaf's largest component against
-    everything else there, unless already connected."""
-    def judge(rows):
-        if len(rows) < 2:
-            return None
-        rep, comp, minor, probe, size, mark = zip(*rows)
-        rep, comp, size = np.array(rep), np.array(comp), np.array(size)
-        mark = np.frombuffer(b"".join(mark), dtype=np.uint8).reshape(len(rows), -1)
-        probe = np.array(probe)
-        pi, qi = np.flatnonzero(probe), np.flatnonzero(~probe)
-        out = []
-        for i in pi:
-            ok = (comp[qi] != comp[i]) & (100 * np.minimum(size[qi], size[i]) >= PERCENT * np.maximum(size[qi], size[i]))
-            j = qi[ok]
-            j = j[(mark[j] == mark[i]).sum(axis=1) >= AGREE]
-            out += [(min(rep[i], rep[k]), max(rep[i], rep[k])) for k in j]
-        return out
+def _find(parent: dict, x):
+    while parent.get(x, x) != x:
+        parent[x] = parent.get(parent[x], parent[x])
+        x = parent[x]
+    return x
+
 
-    key, rows = None, []
+def _by_block(batches, hold, probe):
+    """Stream rows sorted by (group, block, probing or not): the held rows of
+    a block are gathered (their number is bounded), the probing ones then pass
+    one by one. ``hold(rows)`` prepares a block, ``probe(block, row)`` gives
+    links."""
+    key, held, block, out = None, [], None, []
     for batch in batches:
         cols = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
-        for node, block, *row in zip(*cols):
-            if (node, block) != key:
-                if out := judge(rows) if rows else None:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
-                key, rows = (node, block), []
-            rows.append(row)
-    if out := judge(rows) if rows else None:
+        for group, number, probing, *row in zip(*cols):
+            if (group, number) != key:
+                key, held, block = (group, number), [], None
+            if not probing:
+                held.append(row)
+                continue
+            if not held:
+                continue                       # no member fell into this block
+            if block is None:
+                block = hold(held)
+            out += probe(block, row)
+            if len(out) >= 4096:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+                out = []
+    if out:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
 
+def _likely(batches):
+    """Documents that may be linked across components, by signature: not all
+    pairs, but links enough to keep each such pair connected."""
+    def hold(held):
+        rep, comp, size, mark = zip(*held)
+        return (np.array(rep), np.array(comp), np.array(size),
+                np.frombuffer(b"".join(mark), dtype=np.uint8).reshape(len(rep), -1), {})
+
+    def probe(block, row):
+        rep, comp, size, mark, parent = block
+        mine = np.frombuffer(row[3], dtype=np.uint8)
+        ok = ((mark == mine).sum(axis=1) >= AGREE) & (comp != row[1])
+        ok &= 100 * np.minimum(size, row[2]) >= PERCENT * np.maximum(size, row[2])
+        out = []
+        for other in rep[ok].tolist():
+            x, y = _find(parent, row[0]), _find(parent, other)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((row[0], other))
+        return out
+    return _by_block(batches, hold, probe)
+
+
+def _linked(percent):
+    """Links between components, by full sets: a block's sets form one sorted
+    list of (shingle, document), in which a probe finds all its overlaps."""
+    def hold(held):
+        rep, comp, _, sets = zip(*held)
+        arrays = [np.frombuffer(x, dtype=U) for x in sets]
+        size = np.array([len(x) for x in arrays])
+        flat, doc = np.concatenate(arrays), np.repeat(np.arange(len(rep)), size)
+        order = np.argsort(flat, kind="stable")
+        return list(rep), list(comp), size, flat[order], doc[order], {}
+
+    def probe(block, row):
+        rep, comp, size, flat, doc, parent = block
+        mine = np.frombuffer(row[3], dtype=U)
+        lo, hi = np.searchsorted(flat, mine, side="left"), np.searchsorted(flat, mine, side="right")
+        n = hi - lo
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        common = np.bincount(doc[at], minlength=len(rep))
+        hit = np.flatnonzero(100 * common >= percent * (size + len(mine) - common))
+        out = []
+        for k in hit.tolist():
+            x, y = _find(parent, row[1]), _find(parent, comp[k])
+            if x != y:                         # components already joined need no further link
+                parent[max(x, y)] = min(x, y)
+                out.append((row[0], rep[k]))
+        return out
+    return lambda batches: _by_block(batches, hold, probe)
+
+
+def _in_blocks(rows: DataFrame, group: str, columns: list[str]) -> DataFrame:
+    """Members of groups (``group, rep, comp`` and more) dealt into blocks:
+    each member is held in one block of its group, and those outside the
+    group's largest component probe all its blocks. Groups of one component
+    drop out."""
+    per = rows.groupBy(group, "comp").agg(F.count(F.lit(1)).alias("n"))
+    largest = per.groupBy(group).agg(F.count(F.lit(1)).alias("comps"), F.sum("n").alias("members"),
+                                     F.max(F.struct("n", "comp")).alias("top")).where("comps > 1") \
+        .select(group, "members", F.col("top.comp").alias("top"))
+    rows = rows.join(largest, group)
+    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
+    held = rows.select(group, F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), F.lit(False).alias("probing"),
+                       *columns)
+    probes = rows.where(F.col("comp") != F.col("top")).select(
+        group, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("probing"), *columns)
+    return held.unionByName(probes)
+
+
+def _meet(blocks: DataFrame, group: str) -> DataFrame:
+    return blocks.repartition(group, "block").sortWithinPartitions(group, "block", "probing", "rep")
+
+
 def cross_candidates(nodes: DataFrame, comps: DataFrame, marks: DataFrame) -> DataFrame:
-    """``a, b``: members of a leaf in different components."""
+    """``a, b``: links that connect the leaves' members which, by signature,
+    may be linked across components."""
     rows = nodes.join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").select(
         "node", "rep", F.coalesce("comp", "rep").alias("comp"))
-    per = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("n"))
-    largest = per.groupBy("node").agg(F.count(F.lit(1)).alias("comps"), F.sum("n").alias("members"),
-                                      F.max(F.struct("n", "comp")).alias("top")).where("comps > 1") \
-        .select("node", "members", F.col("top.comp").alias("top"))
-    rows = rows.join(largest, "node").join(marks, "rep")
-    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
-    minor = F.col("comp") != F.col("top")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    cols = lambda probe, block: ["node", block, "rep", "comp", minor.alias("minor"), F.lit(probe).alias("probe"),
-                                 F.col("n_shingles").alias("size"), "mark"]
-    # every member once in its block; those outside the largest component
-    # probe all blocks
-    held = rows.select(*cols(False, own.alias("block")))
-    probes = rows.where(minor).select(*cols(True, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block")))
-    met = held.unionByName(probes).repartition("node", "block").sortWithinPartitions("node", "block", "probe", "rep")
-    return met.mapInArrow(_compare_blocks, "a long, b long").distinct()
+    blocks = _in_blocks(rows, "node", ["rep", "comp"]).join(
+        marks.select("rep", F.col("n_shingles").alias("size"), "mark"), "rep") \
+        .select("node", "block", "probing", "rep", "comp", "size", "mark")
+    return _meet(blocks, "node").mapInArrow(_likely, "a long, b long").distinct()
+
+
+def cross_links(candidates: DataFrame, comps: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Confirmed links between components (stored). What the candidates
+    connect is one cluster, whatever trees it came from, and is compared once,
+    on full sets: documents outside its largest component with all others."""
+    clusters = stored(components(candidates).select(F.col("id").alias("rep"), F.col("comp").alias("cluster")), "op4-clusters")
+    rows = clusters.join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").select(
+        "cluster", "rep", F.coalesce("comp", "rep").alias("comp"))
+    sets = stored(texts.join(clusters.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+                  .mapInArrow(_set_rows(width), "rep long, set binary"), "op4-sets-cross")
+    release(texts.sparkSession)
+    blocks = _in_blocks(rows, "cluster", ["rep", "comp"]).join(sets, "rep").select(
+        "cluster", "block", "probing", "rep", "comp", F.lit(0).alias("size"), "set")
+    links = stored(_meet(blocks, "cluster").mapInArrow(_linked(percent), "a long, b long"), "op4-links-cross")
+    release(texts.sparkSession)
+    return links
 
 
 def _set_rows(width):
@@ -223,7 +305,7 @@ def _set_rows(width):
                 h, at = shingle_sets(data, off[lo:hi + 1], width)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo),
-                     pa.array([h[at[i]:at[i + 1]].tobytes() for i in range(hi - lo)], pa.binary())], names=["id", "set"])
+                     pa.array([h[at[i]:at[i + 1]].tobytes() for i in range(hi - lo)], pa.binary())], names=["rep", "set"])
     return run
 
 
@@ -245,16 +327,15 @@ def _confirm(percent):
     return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full sets reach the similarity (stored)."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_rows(width), "id long, set binary"),
-                  f"op4-sets-{name}")
+    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_rows(width), "rep long, set binary"),
+                  "op4-sets")
     release(texts.sparkSession)
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"))
-    links = stored(both.select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long"),
-                   f"op4-links-{name}")
+    both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("sa")), "a")
+            .join(sets.select(F.col("rep").alias("b"), F.col("set").alias("sb")), "b"))
+    links = stored(both.select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long"), "op4-links")
     release(texts.sparkSession)
     return links
 
@@ -272,11 +353,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     release(docs.sparkSession)
 
     pairs = stored(star_candidates(nodes, marks), "op4-stars")
-    links = confirmed(pairs, texts, shingle, percent, "stars")
+    links = confirmed(pairs, texts, shingle, percent)
     comps = components(links)
     pairs = stored(cross_candidates(nodes, comps, marks), "op4-cross")
     if not pairs.isEmpty():
-        links = confirmed(pairs, texts, shingle, percent, "cross")
+        links = cross_links(pairs, comps, texts, shingle, percent)
         if not links.isEmpty():
             comps = components(links, comps)
 
