@@ -31,7 +31,7 @@ from qtrlens.llm.bpe import load_bpe
 from qtrlens.llm.common import key_of, narrow, partition_keys, shuffle_parts, stored
 
 WINDOW = 1024
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 1_000_000
 END_ID = 0
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
@@ -217,7 +217,7 @@ def _pack(idf_raw: bytes, avg_len: float, window: int, kind: str, with_ids: bool
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_OUT_NAMES)
 
         current, held = None, []
-        for batch in batches:
+        for batch in batches:             # bytes are copied out, so no batch is kept alive by its rows
             for shard, doc_id, ids in zip(*(batch.column(k) for k in range(3))):
                 shard = shard.as_py()
                 if shard != current:
