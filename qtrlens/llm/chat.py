@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qtrlens.llm.bpe import load_bpe
+from qtrlens.llm.common import small_batches
 
 # ---- fixed values: the template's control strings
 BEGIN, END = "<conversation>\n", "</turn>\n"
@@ -185,6 +186,7 @@ def _assemble(path, finish, names, types):
 
 
 def _sorted_segments(conversations: DataFrame, path: str, conv_col, turn_col, role_col, text_col) -> DataFrame:
+    small_batches(conversations.sparkSession)
     c = lambda n: F.col(f"`{n}`")
     rows = conversations.select(c(conv_col).cast("long").alias("conv_id"), c(turn_col).cast("long").alias("turn"),
                                 c(role_col).cast("string").alias("role"), c(text_col).cast("string").alias("text"))

@@ -29,9 +29,22 @@ _INV_BASE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
 
 
+BATCH_ROWS = 1024              # rows of an Arrow batch: they carry whole texts
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of texts small: a Python worker holds one or two of
+    them, in more than one copy, beside the JVM's."""
+    now = int(spark.conf.get(_ARROW_ROWS))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(_ARROW_ROWS, BATCH_ROWS)
+
+
 def narrow(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id (long) and text (string) columns, under fixed names, so
     that no other column of the input can clash with an operator's own."""
+    small_batches(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                      F.col(f"`{text_col}`").cast("string").alias("text"))
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qtrlens.llm.common import SPACE, inside, narrow, pieces, rolling, text_buffer, utf8_points, words
+from qtrlens.llm.common import SPACE, inside, narrow, pieces, rolling, small_batches, text_buffer, utf8_points, words
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -152,6 +152,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rules) -> DataFrame:
     """The documents that pass, all their columns, with failed lines removed
     from the text. Rows are judged where they are: no shuffle."""
+    small_batches(docs.sparkSession)
     cols = docs.columns
     judge = _judge(rules.get("min_words", MIN_WORDS), rules.get("max_repeat", MAX_REPEAT),
                    rules.get("max_symbols", MAX_SYMBOLS), rules.get("max_lost", MAX_LOST), True)

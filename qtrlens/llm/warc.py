@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qtrlens.llm.common import stored
+from qtrlens.llm.common import small_batches, stored
 from qtrlens.session import scratch_path
 
 MIN_REVISIT = 1000
@@ -97,6 +97,7 @@ def revisits(pages: DataFrame, id_col: str, payload_col: str, min_revisit: int =
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
                   payload_col: str = "html", min_revisit: int = MIN_REVISIT, level: int = LEVEL) -> None:
     """Write one record per row as gzip members into files under ``path``."""
+    small_batches(pages.sparkSession)
     again = stored(revisits(pages, id_col, payload_col, min_revisit), "op5-revisits")
     payload = F.coalesce(F.col(f"`{payload_col}`"), F.lit(""))
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").alias("url"),
@@ -287,6 +288,7 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
     """One row per record: ``page_id, record_type, payload_bytes,
     payload_digest, refers_to, url, payload`` (no payload for revisits, whose
     size and digest are those declared for the response they refer to)."""
+    small_batches(spark)
     lines = spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
     ranges = lines.select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("path"),
                           F.col("_metadata.file_block_start").alias("block"))
