@@ -102,45 +102,64 @@ def block_plan(blocks: list[tuple[int, int, int, int]], shards: int, capacity=No
     return out, flow
 
 
-def reshard(docs: DataFrame, old_shard, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
-            blocks_per_shard: int = BLOCKS_PER_SHARD, capacity=None, cost=None) -> DataFrame:
-    """``docs`` (all columns) with ``old_shard, block, size, shard, slot``:
-    shards near equal in bytes (or as ``capacity`` says), fewest bytes moved.
-
-    ``old_shard`` is a column expression giving 0..shards-1.
-    """
+def assign(docs: DataFrame, old_shard, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
+           blocks_per_shard: int = BLOCKS_PER_SHARD, capacity=None, cost=None) -> DataFrame:
+    """Documents (all columns, as struct ``row``) with ``old_shard, block,
+    size, shard`` and the block's ``first_slot``."""
     spark = docs.sparkSession
     doc_id = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0).cast("long"))
     size = F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("long") + F.lit(1)
     held = docs.select(F.struct("*").alias("row"), old_shard.cast("int").alias("old_shard"),
                        F.pmod(F.xxhash64(doc_id), F.lit(blocks_per_shard)).cast("int").alias("block"),
-                       size.alias("size"), doc_id.alias("order_id"), F.col(f"`{text_col}`").alias("body"))
+                       size.alias("size"), doc_id.alias("order_id"))
     # the block table needs ids and lengths only
     sizes = held.groupBy("old_shard", "block").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
     blocks = [(r.old_shard, r.block, r.bytes, r.n) for r in sizes.collect()]   # bounded: shards * blocks_per_shard
     plan, _ = block_plan(blocks, shards, capacity, cost)
     table = spark.createDataFrame(plan, "old_shard int, block int, shard int, first_slot long")
-    placed = held.join(F.broadcast(table), ["old_shard", "block"])             # bounded by the same product
-    inside = W.partitionBy("old_shard", "block").orderBy("order_id", "size", "body")
-    return placed.select("row", "old_shard", "block", "size", "shard",
-                         (F.col("first_slot") + F.row_number().over(inside) - F.lit(1)).alias("slot"))
-
-
-def rewrite_affected(placed: DataFrame, path: str) -> list[int]:
-    """Write the shards that gain or lose documents, one folder per shard,
-    and return their numbers; untouched shards keep their files."""
-    moved = placed.where("shard <> old_shard").select("shard", "old_shard").distinct().collect()  # <= shards**2 rows
-    affected = sorted({x for r in moved for x in (r.shard, r.old_shard)})
-    placed.where(F.col("shard").isin(affected)).write.mode("overwrite").partitionBy("shard").parquet(path)
+    return held.join(F.broadcast(table), ["old_shard", "block"])               # bounded by the same product
+
+
+def with_slots(assigned: DataFrame, text_col: str = "text") -> DataFrame:
+    """Place of every document in its shard: its block's first slot plus its
+    position in the block (a block goes to one shard as a whole)."""
+    inside = W.partitionBy("old_shard", "block").orderBy("order_id", "size", F.col("row").getField(text_col))
+    return assigned.select("row", "old_shard", "block", "size", "shard",
+                           (F.col("first_slot") + F.row_number().over(inside) - F.lit(1)).alias("slot"))
+
+
+def reshard(docs: DataFrame, old_shard, text_col: str = "text", **options) -> DataFrame:
+    """``row`` (all columns of ``docs``) with ``old_shard, block, size, shard,
+    slot``: shards near equal in bytes (or as ``capacity`` says), fewest bytes
+    moved. ``old_shard`` is a column expression giving 0..shards-1."""
+    return with_slots(assign(docs, old_shard, text_col=text_col, **options), text_col)
+
+
+def affected_shards(assigned: DataFrame) -> list[int]:
+    """Shards that gain or lose a document."""
+    moved = assigned.where("shard <> old_shard").select("shard", "old_shard").distinct().collect()  # <= shards**2 rows
+    return sorted({x for r in moved for x in (r.shard, r.old_shard)})
+
+
+def rewrite_affected(assigned: DataFrame, path: str, text_col: str = "text") -> list[int]:
+    """Write the affected shards, one folder per shard, and return their
+    numbers; untouched shards keep their files."""
+    affected = affected_shards(assigned)
+    if affected:
+        with_slots(assigned.where(F.col("shard").isin(affected)), text_col).write.mode("overwrite") \
+            .partitionBy("shard").parquet(path)
     return affected
 
 
-def resharded(spark: SparkSession, docs: DataFrame, old_shard, **options) -> DataFrame:
+def resharded(spark: SparkSession, docs: DataFrame, old_shard, text_col: str = "text", shards: int = SHARDS,
+              **options) -> DataFrame:
     """Reshard, rewrite the affected shards in the shared folder, and return
     all rows: rewritten ones from their new files, the rest from the old."""
-    placed = reshard(docs, old_shard, **options)
+    assigned = assign(docs, old_shard, text_col=text_col, shards=shards, **options)
     path = scratch_path(spark, "op3-shards")
-    affected = rewrite_affected(placed, path)
-    schema = placed.schema
-    fresh = spark.read.schema(schema).parquet(path).select(*schema.names)
-    return fresh.unionByName(placed.where(~F.col("shard").isin(affected)))
+    affected = rewrite_affected(assigned, path, text_col)
+    kept = with_slots(assigned.where(~F.col("shard").isin(affected)) if affected else assigned, text_col)
+    if not affected:
+        return kept
+    fresh = spark.read.schema(kept.schema).parquet(path).select(*kept.columns)
+    return fresh if len(affected) == shards else fresh.unionByName(kept)

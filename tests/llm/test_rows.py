@@ -55,9 +55,18 @@ def test_resharding(spark, docs, rows):
 
 def test_untouched_shards_keep_their_files(spark):
     df = spark.createDataFrame([(i, "x" * 9) for i in range(40)], "doc_id long, text string")
-    placed = RS.reshard(df, (F.col("doc_id") % 4).cast("int"), shards=4)
-    assert RS.rewrite_affected(placed, scratch_path(spark, "t-none")) == []
+    old = (F.col("doc_id") % 4).cast("int")
+    path = scratch_path(spark, "t-none")
+    assert RS.rewrite_affected(RS.assign(df, old, shards=4), path) == []
+    assert RS.resharded(spark, df, old, shards=4).count() == 40
     assert RS.reshard(df.limit(0), F.lit(0), shards=4).collect() == []
+    # two shards exchange nothing with the other two
+    skew = F.when(F.col("doc_id") < 15, F.lit(0)).when(F.col("doc_id") < 20, F.lit(1)).otherwise(F.lit(2) + F.col("doc_id") % 2)
+    assigned = RS.assign(df, skew.cast("int"), shards=4)
+    assert RS.rewrite_affected(assigned, path) == [0, 1]
+    out = RS.resharded(spark, df, skew.cast("int"), shards=4).collect()
+    assert sorted(r["row"].doc_id for r in out) == list(range(40))
+    assert all(r["shard"] == r.old_shard for r in out if r.old_shard > 1)
 
 
 # ---------------------------------------------------------------------- WARC
