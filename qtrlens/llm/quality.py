@@ -69,7 +69,7 @@ def clean_lines(text: str, max_symbols: int = MAX_SYMBOLS) -> tuple[list[str], i
     stay, seen = [], set()
     n_lines = removed = chars_removed = dup = 0
     for line in text.split("\n"):
-        bare = line.translate(_NO_SPACE) if not line.isspace() else ""
+        bare = line.translate(_NO_SPACE)
         if not bare:
             stay.append(line)
             continue

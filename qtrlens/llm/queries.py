@@ -109,6 +109,46 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
        CASE WHEN p.page_id < m.last_id THEN m.last_id END AS refers_to
 FROM p LEFT JOIN m ON p.payload_digest = m.payload_digest AND p.payload_bytes >= 1000"""
 
+_OP2 = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM w, unnest(range(1, len(w) - 48)) t(i)),
+m AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS first_doc FROM g),
+gone AS (SELECT DISTINCT doc_id, i + k AS pos FROM m, range(0, 50) r(k) WHERE doc_id > first_doc),
+stay AS (SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.pos) AS kept
+         FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM w) x
+         ANTI JOIN gone ON gone.doc_id = x.doc_id AND gone.pos = x.pos GROUP BY x.doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n.n, 0) AS n_removed,
+       sha256(coalesce(stay.kept, '')) AS kept_sha256
+FROM w LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) n ON n.doc_id = w.doc_id
+LEFT JOIN stay ON stay.doc_id = w.doc_id"""
+
+_OP4 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '{_WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS shingle
+      FROM w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1) + 1))) t(i)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle
+           WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS id, doc_id AS other FROM w UNION SELECT reach.id, link.y FROM reach JOIN link ON link.x = reach.other),
+least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT id AS doc_id, coalesce(n.n, 0) AS n_shingles, component_id, id = component_id AS kept
+FROM least LEFT JOIN n ON n.doc_id = id"""
+
+_OP8 = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+e AS (SELECT *, length(regexp_replace(text, '(\\|<conversation>|</turn>|### (?:System|User|Assistant|Role):)', '\\\1', 'g')) AS esc,
+             CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15 END AS head FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(15 + sum(head + esc + 8) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
 _OP9 = r"""
 WITH p AS (SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0
                                 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -124,15 +164,39 @@ m AS (SELECT page_id, host, path, arg_max(rh || rp, length(rh || rp)) AS rule,
 SELECT h.page_id, h.host, h.path, m.rule, coalesce(m.verdict, 'allow') AS verdict
 FROM h LEFT JOIN m ON h.page_id = m.page_id"""
 
+_OP10 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS h FROM d, unnest(range(1, len(w) - 3)) t(i)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, h) AS n FROM g) x WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(0, 5) r(k) GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
+j AS (SELECT doc_id, line, pos, length(regexp_replace(line, '{_GAP}', '', 'g')) AS chars,
+             length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) + length(line) - length(replace(line, '!!', '')) AS bad,
+             row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) AS nth
+      FROM l WHERE regexp_matches(line, '{_WORD}')),
+judged AS (SELECT doc_id, nth > 1 AS again, chars,
+                  nth > 1 OR (bad > 0 AND 100 * bad > {QUALITY.MAX_SYMBOLS} * chars)
+                  OR regexp_matches(line, '(?: [|»›>] .*){{2}}')
+                  OR regexp_matches(lower(line), '{"|".join(QUALITY.BOILERPLATE)}') AS fails FROM j),
+per AS (SELECT doc_id, count_if(again) AS dup, sum(CASE WHEN fails THEN chars ELSE 0 END) AS lost FROM judged GROUP BY doc_id),
+m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(text, '{_GAP}', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             coalesce(dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(lost, 0) AS lost
+      FROM d LEFT JOIN rep ON rep.doc_id = d.doc_id LEFT JOIN per ON per.doc_id = d.doc_id),
+f AS (SELECT *, n_words < {QUALITY.MIN_WORDS} OR 100 * n_repeat_words > {QUALITY.MAX_REPEAT} * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * lost <= {QUALITY.MAX_LOST} * word_chars AS kept FROM f"""
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, _OP1),
-    "op2_anchor_dedup": (op2_anchor_dedup, None),
+    "op2_anchor_dedup": (op2_anchor_dedup, _OP2),
     "op3_flow_resharding": (op3_flow_resharding, None),
-    "op4_chosen_path": (op4_chosen_path, None),
+    "op4_chosen_path": (op4_chosen_path, _OP4),
     "op5_warc_ranges": (op5_warc_ranges, _OP5),
     "op6_automaton_bpe": (op6_automaton_bpe, None),
     "op7_retrieval_packing": (op7_retrieval_packing, None),
-    "op8_chat_assembly": (op8_chat_assembly, None),
+    "op8_chat_assembly": (op8_chat_assembly, _OP8),
     "op9_url_cascade": (op9_url_cascade, _OP9),
-    "op10_line_quality": (op10_line_quality, None),
+    "op10_line_quality": (op10_line_quality, _OP10),
 }

@@ -29,7 +29,7 @@ def corpus(seed=7, n=120):
             c[rnd.randrange(len(c))] = rnd.choice(vocab)
         docs.append(" ".join(c))
     docs += ["", None, " \n\t ", None, "x", "same same same same " * 40, " ".join(word(20000)), "one two", "ONE two"]
-    docs += ["a" * 5000, "end<|endoftext|>of text", "\u3000x\x85y\x1cz"]
+    docs += ["a" * 5000, "end<|endoftext|>of text", "\u3000x\x85y\x1cz", "\u3000\n\u3000\n \n\x1c\n\x1c\n" + "w v " * 9]
     return docs
 
 
