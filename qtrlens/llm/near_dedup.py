@@ -280,6 +280,13 @@ def cross_candidates(nodes: DataFrame, comps: DataFrame, marks: DataFrame) -> Da
     return _meet(blocks, "node").mapInArrow(_likely, "a long, b long").distinct()
 
 
+def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of some ids. The ids are a share of the corpus, so the plan
+    is a shuffled join at every size; the hash side holds ids only, and the
+    texts need no sort."""
+    return texts.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
+
+
 def cross_links(candidates: DataFrame, comps: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Confirmed links between components (stored). What the candidates
     connect is one cluster, whatever trees it came from, and is compared once,
@@ -287,7 +294,7 @@ def cross_links(candidates: DataFrame, comps: DataFrame, texts: DataFrame, width
     clusters = stored(components(candidates).select(F.col("id").alias("rep"), F.col("comp").alias("cluster")), "op4-clusters")
     rows = clusters.join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").select(
         "cluster", "rep", F.coalesce("comp", "rep").alias("comp"))
-    sets = stored(texts.join(clusters.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sets = stored(_texts_of(texts, clusters.select(F.col("rep").alias("doc_id")))
                   .mapInArrow(_set_rows(width), "rep long, set binary"), "op4-sets-cross")
     release(texts.sparkSession)
     blocks = _in_blocks(rows, "cluster", ["rep", "comp"]).join(sets, "rep").select(
@@ -330,8 +337,7 @@ def _confirm(percent):
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full sets reach the similarity (stored)."""
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_rows(width), "rep long, set binary"),
-                  "op4-sets")
+    sets = stored(_texts_of(texts, wanted).mapInArrow(_set_rows(width), "rep long, set binary"), "op4-sets")
     release(texts.sparkSession)
     both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("set").alias("sb")), "b"))
