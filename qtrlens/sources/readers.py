@@ -78,7 +78,7 @@ def money(c) -> F.Column:
     plain = ~s.rlike("[eE]")
     finer = s.try_cast("decimal(38,28)")       # shows decimals lost by an exponent form
     lost = F.when(plain, s.rlike(r"\.\d{%d}\d*[1-9]" % FEED_MONEY.scale)).otherwise(
-        F.coalesce(finer != v.cast("decimal(38,10)"), F.lit(False)))
+        F.coalesce(finer != v.try_cast("decimal(38,28)"), F.lit(False)))
     return F.when(s.rlike(NUMBER_TEXT), F.when(~lost, v)).otherwise(F.lit(0).cast(FEED_MONEY))
 
 
