@@ -812,18 +812,20 @@ FROM pairs p LEFT JOIN pg ON p.prev_quarter = pg.prev_quarter AND p.curr_quarter
 
 # ----------------------------------------------------------------- streaming
 def _rev_files(spark, d):
-    """The revenue view written as the files the streams consume, two per
-    micro-batch: as many as its partitions, none of more than 5,000 rows."""
+    """The revenue view written as the files the streams consume: one per
+    shuffle partition, by date, so no client's share decides a file's size.
+    Returns path, schema and the files of a micro-batch (a quarter of all)."""
     path = scratch_path(spark, "rev-files")
-    revenue_view(spark, d).write.option("maxRecordsPerFile", 5000).parquet(path)
-    return path, spark.read.parquet(path).schema
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    revenue_view(spark, d).repartitionByRange(n, "Date", "ClientID").write.parquet(path)
+    return path, spark.read.parquet(path).schema, max(1, n // 4)
 
 
 def _stream_table(spark, d, build, keys):
     from qtrlens.streaming import revenue_stream as ST
-    src, schema = _rev_files(spark, d)
+    src, schema, per = _rev_files(spark, d)
     out = scratch_path(spark, "stream-out")
-    ST.run_to_table(build(ST.stream_revenue_files(spark, src, schema, max_files_per_trigger=2)), out,
+    ST.run_to_table(build(ST.stream_revenue_files(spark, src, schema, max_files_per_trigger=per)), out,
                     scratch_path(spark, "stream-ckpt"))
     return ST.read_latest(spark, out, keys)
 
@@ -849,21 +851,20 @@ def _st_churn(s, d):
 
 
 def _st_breaker(s, d):
-    """ST4 over all months and days: the events written as files of one time
-    range each and streamed oldest first."""
+    """ST4 over loads that arrive in time order: five time ranges of the
+    events, each written and then streamed on."""
     apply_conf(s)
     from qtrlens.streaming import revenue_stream as ST
     ev = load(s, d, "events")
-    src = scratch_path(s, "event-files")
-    # sorted by time across the partitions; file names rise with the partition
-    ev.repartitionByRange(8, "ts").sortWithinPartitions("ts").write.parquet(src)
-    files = sorted(r.path for r in s.read.parquet(src).select(F.col("_metadata.file_path").alias("path")).distinct().collect())
-    feed = scratch_path(s, "event-feed")
-    for f in files:                             # written one after another: the stream takes older files first
-        s.read.schema(ev.schema).parquet(f).write.mode("append").parquet(feed)
-    out = scratch_path(s, "trips")
-    ST.run_append_to_parquet(ST.stream_breaker_trips(ST.stream_revenue_files(s, feed, ev.schema, max_files_per_trigger=1)),
-                             out, scratch_path(s, "trips-ckpt"))
+    feed, out, ck = (scratch_path(s, x) for x in ("event-feed", "trips", "trips-ckpt"))
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    edges = [lo + (hi - lo) * i / 5 for i in range(1, 5)]
+    for i in range(5):
+        here = F.lit(True) if i == 0 else F.col("ts") >= F.lit(edges[i - 1])
+        here = here if i == 4 else here & (F.col("ts") < F.lit(edges[i]))
+        ev.where(here | F.col("ts").isNull() if i == 0 else here).write.mode("append").parquet(feed)
+        ST.run_append_to_parquet(ST.stream_breaker_trips(ST.stream_revenue_files(
+            s, feed, ev.schema, max_files_per_trigger=None)), out, ck)
     return s.read.parquet(out)
 
 
@@ -872,13 +873,14 @@ def _st_idempotent(s, d):
     another path."""
     apply_conf(s)
     from qtrlens.streaming import revenue_stream as ST
-    src, schema = _rev_files(s, d)
+    src, schema, per = _rev_files(s, d)
     out, copy = scratch_path(s, "applied"), scratch_path(s, "rev-copy")
-    for f in sorted(r.path for r in s.read.parquet(src).select(F.col("_metadata.file_path").alias("path")).distinct().collect()):
-        s.read.schema(schema).parquet(f).coalesce(1).write.mode("append").parquet(copy)
+    # the same files under other paths: a partition per file, written as one
+    s.read.schema(schema).option("mergeSchema", "false").parquet(src).withColumn("_f", F.input_file_name()) \
+        .repartition("_f").write.partitionBy("_f").parquet(copy)
     for path in (src, src, copy):
-        ST.idempotent_apply(s, ST.stream_revenue_files(s, path, schema, max_files_per_trigger=2), out,
-                            scratch_path(s, "apply-ckpt"))
+        feed = ST.stream_revenue_files(s, path, schema, max_files_per_trigger=per).select(*schema.names)
+        ST.idempotent_apply(s, feed, out, scratch_path(s, "apply-ckpt"))
     return _dbl(ST.read_applied(s, out), "Revenue")
 
 
@@ -886,9 +888,9 @@ def _st_totals(s, d):
     """ST6: the totals after the last batch."""
     apply_conf(s)
     from qtrlens.streaming import revenue_stream as ST
-    src, schema = _rev_files(s, d)
+    src, schema, per = _rev_files(s, d)
     out = scratch_path(s, "totals")
-    ST.stream_totals_check(ST.stream_revenue_files(s, src, schema, max_files_per_trigger=2), out,
+    ST.stream_totals_check(ST.stream_revenue_files(s, src, schema, max_files_per_trigger=per), out,
                            scratch_path(s, "totals-ckpt"))
     t = ST.running_totals(s, out)
     return t.orderBy(F.desc("batch_id")).limit(1).select(

@@ -10,9 +10,9 @@ shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import md5
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions.columns import estimate_tokens, hash_bucket, normalize_vector, tokenize
+from ..functions.columns import estimate_tokens, normalize_vector, tokenize
 
 # ---------------------------------------------------------------- fixed values
 DEFAULT_DIM = 64
@@ -128,22 +128,37 @@ def pack_by_token_budget(df: DataFrame, template: str, context_token_limit: int,
 # zeros for a text without a token) and whatever else the caller keeps with it
 # (text, metadata).
 
+def _unit_counts(dim: int, names: list[str]):
+    """Token lists (the second column) to unit vectors of hash-bucket counts.
+    Each different token of a batch is hashed once."""
+    def fn(batches):
+        for batch in batches:
+            for lo in range(0, len(batch), 512):
+                part = batch.slice(lo, 512)
+                tokens = part.column(1)
+                size = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                coded = tokens.flatten().dictionary_encode()
+                bucket = np.array([int(md5(t.encode()).hexdigest(), 16) % dim for t in coded.dictionary.to_pylist()],
+                                  dtype=np.int64)
+                row = np.repeat(np.arange(len(part)), size)
+                flat = row * dim + (bucket[coded.indices.to_numpy(zero_copy_only=False)] if len(row) else row)
+                v = np.bincount(flat, minlength=len(part) * dim).astype("float64").reshape(len(part), dim)
+                norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
+                v /= np.where(norm == 0, 1.0, norm)
+                vec = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1) * dim, pa.int32()), pa.array(v.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([part.column(0), vec, *part.columns[2:]], names=names)
+    return fn
+
+
 def embed_text(df: DataFrame, id_col: str, text_col: str, dim: int = DEFAULT_DIM,
                keep: Sequence[str] = ()) -> DataFrame:
     """M1: hashed bag-of-words, L2-normalised: ``(id, vec, *keep)``, one row
-    per input row. Tokens are found and hashed in the JVM; counting them is
-    row-local (an Arrow batch of bucket arrays), so nothing is shuffled."""
-    @F.pandas_udf("array<double>")
-    def unit_counts(buckets: pd.Series) -> pd.Series:
-        out = []
-        for b in buckets:
-            v = np.bincount(b, minlength=dim).astype("float64") if b is not None and len(b) else np.zeros(dim)
-            n = np.sqrt((v * v).sum())
-            out.append(v / n if n else v)
-        return pd.Series(out, dtype=object)
-
-    buckets = F.transform(tokenize(text_col), lambda t: hash_bucket(t, dim))
-    return df.select(F.col(id_col).alias("id"), unit_counts(buckets).alias("vec"), *keep)
+    per input row. Tokens are found in the JVM and counted row by row over
+    Arrow batches, so nothing is shuffled."""
+    rows = df.select(F.col(id_col).alias("id"), tokenize(text_col).alias("vec"), *keep)
+    schema = T.StructType([T.StructField("vec", T.ArrayType(T.DoubleType())) if f.name == "vec" else f
+                           for f in rows.schema.fields])
+    return rows.mapInArrow(_unit_counts(dim, rows.columns), schema)
 
 
 def normalized_vectors(df: DataFrame, id_col: str, vec_col: str, keep: Sequence[str] = ()) -> DataFrame:
