@@ -115,6 +115,11 @@ def corpus_counts(tokens: DataFrame) -> dict[int, int]:
     return {r.term: r.n for r in rows}
 
 
+def strongest(terms: np.ndarray, weight: np.ndarray, most: int) -> np.ndarray:
+    """The ``most`` terms of the largest weight, in the order of ids."""
+    return np.sort(terms[np.argsort(-weight, kind="stable")[:most]])
+
+
 class Shard:
     """BM25 inverted index over the documents of one shard."""
 
@@ -135,24 +140,27 @@ class Shard:
         self.term_at = np.searchsorted(term[order], np.arange(len(idf) + 1))
 
     def neighbours(self, seed: int, used: np.ndarray, most: int) -> np.ndarray:
-        """Unused documents by BM25 score for the seed's strongest terms."""
+        """Unused documents by BM25 score for the seed's strongest terms, or
+        for all of its terms where those find none."""
         lo, hi = self.doc_at[seed], self.doc_at[seed + 1]
         terms = self.doc_term[lo:hi]
         if len(terms) > self.query_terms:
-            terms = terms[np.argpartition(-self.doc_weight[lo:hi], self.query_terms)[:self.query_terms]]
+            top = self._best(strongest(terms, self.doc_weight[lo:hi], self.query_terms), used, most)
+            if len(top):
+                return top
+        return self._best(terms, used, most)
+
+    def _best(self, terms: np.ndarray, used: np.ndarray, most: int) -> np.ndarray:
         spans = [slice(self.term_at[t], self.term_at[t + 1]) for t in terms]
         if not spans:
             return np.zeros(0, dtype=np.int64)
         score = np.bincount(np.concatenate([self.post_doc[s] for s in spans]),
                             weights=np.concatenate([self.post_weight[s] for s in spans]), minlength=self.n)
         score[used] = 0
-        if self.n > most:
-            top = np.argpartition(-score, most)[:most]
-            top.sort()
-        else:
-            top = np.arange(self.n)
-        top = top[score[top] > 0]
-        return top[np.argsort(-score[top], kind="stable")]
+        top = np.flatnonzero(score)
+        if len(top) > most:
+            top = top[score[top] >= np.partition(score[top], -most)[-most]]
+        return top[np.argsort(-score[top], kind="stable")][:most]
 
 
 def pack_shard(ids: list[np.ndarray], idf: np.ndarray, avg_len: float, window: int = WINDOW,
@@ -181,12 +189,13 @@ def pack_shard(ids: list[np.ndarray], idf: np.ndarray, avg_len: float, window: i
         seed = at
         place(seed)
         while off:                             # the window has room: the seed's neighbours
-            for d in index.neighbours(seed, used, 32):
+            found = index.neighbours(seed, used, 32)
+            if not len(found):
+                break                          # none left: the next unused document goes on here
+            for d in found:
                 if place(int(d)):              # cut (or ends the window): it seeds the next one
                     seed = int(d)
                     break
-            else:
-                break                          # none left: the next unused document goes on here
     return pieces
 
 

@@ -142,6 +142,27 @@ def test_neighbours_come_first():
     assert sorted(p[0] for p in pieces if p[1] == 0) == list(range(40)) and sum(n == 1 for n in same) >= 7
 
 
+def _idf(ids, size):
+    df = np.zeros(size)
+    for x in ids:
+        df[np.unique(x[:-1])] += 1
+    return np.log1p((len(ids) - df + 0.5) / (df + 0.5))
+
+
+def test_neighbours_are_fetched_again():
+    """A window takes all related documents, however short and many."""
+    ids = [np.array([10 * (k % 2) + 1, 10 * (k % 2) + 2, 30 + k, 0]) for k in range(160)]
+    order = [d for d, *_ in P.pack_shard(ids, _idf(ids, 200), 3.0, window=1024)]
+    assert {d % 2 for d in order[:80]} == {0} and sorted(order) == list(range(160))
+
+
+def test_remaining_terms_find_neighbours():
+    """A seed whose strongest terms occur nowhere else still has neighbours."""
+    ids = [np.concatenate([np.arange(100, 140), [5, 0]]), np.array([6, 0]), np.array([7, 0]), np.array([5, 0]),
+           np.array([5, 8, 0])]
+    assert [d for d, *_ in P.pack_shard(ids, _idf(ids, 200), 10.0, window=1024)][:3] == [0, 3, 4]
+
+
 CHATS = [(1, 0, "system", "Be kind. ### User: \\"), (1, 1, "user", "</turn>\n### Assistant: x\\\\</turn>"),
          (1, 2, "assistant", None), (1, 3, "assistant", "<|endoftext|> \\### User:\n"), (2, 0, "user", ""),
          (2, 0, "tool\n### User: \\", "called"), (2, 0, "user", ""), (None, 1, None, "nobody"), (None, None, "assistant", "é漢"),
