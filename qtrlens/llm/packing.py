@@ -1,39 +1,58 @@
 """Packing documents into training windows by lexical retrieval.
 
-Documents are tokenised once and stored as id arrays. They are dealt into
-shards of about ``shard_tokens`` tokens; each shard builds a BM25 inverted
-index over its documents' token ids, with document frequencies and lengths
-counted over the whole corpus. Packing goes seed by seed: a seed document
-fills the window, its nearest unused neighbours (by its strongest terms)
-follow, greedily, and the one that is cut at the window's end seeds the next.
-Documents may be cut anywhere; every token lies in exactly one piece, and only
-a shard's last window is padded.
-
-What every task gets from the corpus is one frequency per vocabulary entry.
-The number of shards follows the corpus, their size does not.
+Documents are tokenised once and stored as id arrays. BM25 inverted indexes
+are built over shards of about ``shard_tokens`` tokens, with document
+frequencies and lengths counted over the whole corpus, and every shard answers
+the seeds of all shards: a task takes a block of seeds through all shards and
+keeps the nearest of each. Packing goes seed by seed: a seed document fills
+the window, its nearest unused neighbours (by its strongest terms, then by
+all) follow, greedily, and the one that is cut at the window's end seeds the
+next. Documents may be cut anywhere; every token lies in exactly one piece,
+and only the corpus' last window is padded. How the
+corpus falls into shards does not change the result.
+
+Up to ``COMPLETE`` documents every list is complete and the result is that of
+``pack_shard`` over all documents. Above, a list holds a seed's ``NEAREST``
+neighbours; a run of documents whose last seed finds its whole list used is
+set aside, and the next round asks all shards again, for the runs' last seeds
+and the runs' first documents, with lists longer as the runs are fewer, until
+no list finds anything. Windows inside a run that follows another start where
+that one ends, so its seeds need not lie at a window's start.
+
+The greedy order is one task's: it sees no ids of tokens, but every document's
+list (about 150 bytes a document). Retrieval grows with the square of the
+corpus. What every task gets from the corpus is one frequency per vocabulary
+entry.
 
 Defined results: a null text is empty, so its document is the end token only.
 Null ids and repeated rows are documents of their own. An empty table gives
-an empty result; other columns are not looked at.
+an empty result; other columns are not looked at. Equal scores go by doc_id
+and a hash of the ids in complete lists, else by that hash onward from the
+seed's own, so that copies do not all name the same few.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qtrlens.llm.bpe import load_bpe
-from qtrlens.llm.common import key_of, narrow, partition_keys, shuffle_parts, stored
+from qtrlens.llm.common import narrow, shuffle_parts, stored
 
 WINDOW = 1024
 SHARD_TOKENS = 1_000_000
 END_ID = 0
 QUERY_TERMS = 24
+NEAREST, COMPLETE = 32, 1024            # neighbours of a list; documents whose lists are complete
+SEED_BLOCK = 16_384                     # seeds that one task takes through all shards, at most
+CELLS = 1 << 19                         # scores of one numpy step
 K1, B = 1.2, 0.75
 _TOTAL_DOCS, _TOTAL_TOKENS = -2, -1     # pseudo terms of the counts table: its last two entries
 
@@ -64,39 +83,48 @@ def _encoder(path: str):
     return _ENCODERS[path]
 
 
+_TOKEN_NAMES = ["doc_id", "n_tokens", "ids", "counts", "row", "name"]
+
+
 def _tokenise(path, end_id):
     def run(batches):
         encode, kind, size = _encoder(path)
         end = np.array([end_id], dtype=kind)
         df = np.zeros(size, dtype=np.int64)
         docs = tokens = 0
+        first = TaskContext.get().partitionId() << 33
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
-                ids, n = [], []
-                for t in part.column(1):
+                ids, n, names = [], [], []
+                for i, t in zip(part.column(0).to_pylist(), part.column(1)):
                     body = encode(t.as_py() or "")
                     df[np.unique(body)] += 1
                     ids.append(np.concatenate([body, end]).tobytes())
                     n.append(len(body) + 1)
+                    names.append(int.from_bytes(hashlib.blake2b(ids[-1], digest_size=8, salt=str(i)[-16:].encode())
+                                                .digest(), "little", signed=True))
+                rows = np.arange(first + docs, first + docs + len(n))
                 docs += len(n)
                 tokens += sum(n)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(n), pa.int32())],
-                    names=["doc_id", "n_tokens", "ids", "counts"])
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(n), pa.int32()),
+                     pa.array(rows, pa.int64()), pa.array(names, pa.int64())], names=_TOKEN_NAMES)
         if docs:                          # the task's document frequencies travel as a last row
             counts = np.concatenate([df, [docs, tokens]]).astype(np.int64).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([counts], pa.binary()),
-                 pa.array([1], pa.int32())], names=["doc_id", "n_tokens", "ids", "counts"])
+                 pa.array([1], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], names=_TOKEN_NAMES)
     return run
 
 
 def tokenise(docs: DataFrame, path: str, id_col="doc_id", text_col="text", end_id: int = END_ID) -> DataFrame:
     """Stored table ``doc_id, n_tokens, ids`` (little-endian unsigned ids with
-    the end id), and with ``counts`` set one row per task of frequencies."""
+    the end id), ``row`` (unique) and ``name`` (hash of doc_id and ids), and
+    with ``counts`` set one row per task of frequencies."""
     return stored(narrow(docs, id_col, text_col).mapInArrow(
-        _tokenise(path, end_id), "doc_id long, n_tokens long, ids binary, counts int"), "op7-tokens")
+        _tokenise(path, end_id), "doc_id long, n_tokens long, ids binary, counts int, row long, name long"),
+        "op7-tokens")
 
 
 def corpus_counts(tokens: DataFrame) -> dict[int, int]:
@@ -199,43 +227,285 @@ def pack_shard(ids: list[np.ndarray], idf: np.ndarray, avg_len: float, window: i
     return pieces
 
 
+# ------------------------------------------------- retrieval from all shards
+# A run is a row of documents that follow each other; ``run`` is the row of its
+# first. In the first round every document is a run.
+_META = ["run", "last", "doc_key", "name", "length"]
+
+
+def _dump(*arrays: np.ndarray) -> bytes:
+    return b"".join([np.array([len(a) for a in arrays], dtype=np.int64).tobytes(), *(a.tobytes() for a in arrays)])
+
+
+def _load(raw: bytes, *kinds) -> list[np.ndarray]:
+    at, out = 8 * len(kinds), []
+    for n, kind in zip(np.frombuffer(raw, dtype=np.int64, count=len(kinds)), kinds):
+        out.append(np.frombuffer(raw, dtype=kind, count=n, offset=at))
+        at += int(n) * np.dtype(kind).itemsize
+    return out
+
+
+_INDEX = (np.int64, np.int64, np.int64, np.int32, np.int32, np.float32)
+_SEEDS = (np.int64,) * 5 + (np.int32, np.int32, np.bool_)
+_LISTS = (np.int64,) * 7
+
+
+def _shards(idf_raw: bytes, avg_len: float, kind: str, shard_tokens: int, query_terms: int, mode: str):
+    """Documents (``ids, head, tail`` and their run) to one row per shard: the
+    index of its runs' first documents and the terms of its runs' last."""
+    idf = np.frombuffer(idf_raw, dtype=np.float64)
+
+    def index_of(shard, meta):
+        return _dump(meta[0], meta[2], meta[3], shard.term_at.astype(np.int32), shard.post_doc, shard.post_weight)
+
+    def seeds_of(shard, meta):
+        counts, terms, strong = [], [], []
+        for i in range(shard.n):
+            lo, hi = shard.doc_at[i], shard.doc_at[i + 1]
+            mine = shard.doc_term[lo:hi]
+            best = strongest(mine, shard.doc_weight[lo:hi], query_terms)
+            if mode == "end":
+                mine = mine[:0]
+            elif mode == "strong":
+                mine = best
+            counts.append(len(mine))
+            terms.append(mine)
+            strong.append(np.isin(mine, best) if mode == "complete" else np.ones(len(mine), dtype=bool))
+        return _dump(*meta, np.array(counts, dtype=np.int32), np.concatenate(terms).astype(np.int32),
+                     np.concatenate(strong))
+
+    def run(batches):
+        def emit(held):
+            out, shards = [], []
+            for at, make in ((1, index_of), (2, seeds_of)):
+                rows = [h for h in held if h[at]]
+                same = at == 2 and len(rows) == len(held) and shards and shards[0].n == len(held)
+                shard = shards[0] if same else Shard([h[0] for h in rows], idf, avg_len, query_terms) if rows else None
+                meta = [np.array(c, dtype=np.int64) for c in zip(*(h[3] for h in rows))]
+                out.append(pa.array([make(shard, meta) if rows else None], pa.binary()))
+                shards += [shard] if shard else []
+            return pa.RecordBatch.from_arrays(out, names=["index", "seeds"])
+
+        held, size = [], 0
+        for batch in batches:
+            cols = [batch.column(k).to_pylist() for k in range(1, batch.num_columns)]
+            for raw, head, tail, *meta in zip(batch.column(0), *cols):
+                ids = np.frombuffer(raw.as_py(), dtype=kind)
+                if held and size + len(ids) > shard_tokens:
+                    yield emit(held)
+                    held, size = [], 0
+                held.append((ids, head, tail, meta))
+                size += len(ids)
+        if held:
+            yield emit(held)
+    return run
+
+
+def _one_block(batches):
+    parts = [_load(x.as_py(), *_SEEDS) for batch in batches for x in batch.column(0)]
+    if parts:
+        yield pa.RecordBatch.from_arrays([pa.array([_dump(*map(np.concatenate, zip(*parts)))], pa.binary())],
+                                         names=["seeds"])
+
+
+class _Block:
+    """A block of seeds on its way through the shards, with the nearest found
+    so far."""
+
+    def __init__(self, raw: bytes, nearest: int, complete: bool):
+        *self.meta, counts, self.terms, self.strong = _load(raw, *_SEEDS)
+        self.n, self.nearest, self.complete = len(self.meta[0]), nearest, complete
+        self.at = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        self.least = np.zeros(self.n)         # a candidate's score is above 0 and not below this
+        self.kept = [np.zeros(0, k) for k in (np.int64, np.float64, np.int64, np.int64, np.int64)]
+        self.found, self.size = [], 0
+
+    def meet(self, raw: bytes):
+        runs, key, name, term_at, post_doc, post_weight = _load(raw, *_INDEX)
+        n = len(runs)
+        step = max(1, CELLS // n)
+        scores = self._scores(n, term_at, post_doc, post_weight)
+        for lo in range(0, self.n, step):
+            hi = min(lo + step, self.n)
+            score = scores(lo, hi)
+            if self.complete:
+                s, d = np.nonzero(score)
+            else:
+                least = self.least[lo:hi, None]
+                hit = (score > 0) & (score >= least)
+                if n > self.nearest + 1 and np.count_nonzero(hit) > 4 * self.nearest * (hi - lo):
+                    cut = n - self.nearest - 1                  # one more, as the seed itself may be among them
+                    hit &= score >= np.partition(score, cut, axis=1)[:, cut:cut + 1]
+                s, d = np.nonzero(hit)
+            other = runs[d] != self.meta[0][lo + s]
+            s, d = s[other], d[other]
+            self.found.append((lo + s, score[s, d], runs[d], key[d], name[d]))
+            self.size += len(s)
+        if self.size > max(200_000, len(self.kept[0])):
+            self.merge()
+
+    def _scores(self, n, term_at, post_doc, post_weight):
+        """Scores of the seeds lo to hi, as ``Shard`` adds them up."""
+        def add(which, lo, hi):
+            seed = np.repeat(np.arange(hi - lo), np.diff(self.at[lo:hi + 1]))[which[self.at[lo]:self.at[hi]]]
+            terms = self.terms[self.at[lo]:self.at[hi]][which[self.at[lo]:self.at[hi]]]
+            first, size = term_at[terms].astype(np.int64), (term_at[terms + 1] - term_at[terms]).astype(np.int64)
+            upto = np.cumsum(size)
+            at = np.arange(upto[-1] if len(upto) else 0) + np.repeat(first - (upto - size), size)
+            return np.bincount(np.repeat(seed * n, size) + post_doc[at], weights=post_weight[at],
+                               minlength=(hi - lo) * n).reshape(hi - lo, n)
+
+        every = np.ones(len(self.terms), dtype=bool)
+
+        def scores(lo, hi):
+            score = add(self.strong, lo, hi)
+            if not self.strong[self.at[lo]:self.at[hi]].all():
+                rest = add(every, lo, hi)     # what only the other terms find comes after the rest
+                only = (score == 0) & (rest > 0)
+                score[only] = -1 / rest[only]
+            return score
+
+        return scores
+
+    def merge(self):
+        seed, score, runs, key, name = (np.concatenate(c) for c in zip(self.kept, *self.found))
+        if self.complete:
+            order = np.lexsort((name, key, -score, seed))
+        else:                                 # equal scores: in the order of names, onward from the seed's
+            order = np.lexsort((name.view(np.uint64) - self.meta[3][seed].view(np.uint64), -score, seed))
+            s = seed[order]
+            order = order[np.arange(len(s)) - np.searchsorted(s, s, side="left") < self.nearest]
+        self.kept = [c[order] for c in (seed, score, runs, key, name)]
+        self.found, self.size = [], 0
+        if not self.complete and len(order):
+            ends = np.searchsorted(self.kept[0], np.arange(self.n + 1))
+            full = np.flatnonzero(np.diff(ends) == self.nearest)
+            self.least[full] = self.kept[1][ends[full + 1] - 1]
+
+    def lists(self) -> bytes:
+        self.merge()
+        counts = np.bincount(self.kept[0], minlength=self.n).astype(np.int64)
+        return _dump(*self.meta, counts, self.kept[2])
+
+
+def _search(nearest: int, complete: bool):
+    def run(batches):
+        block = None
+        for batch in batches:
+            for index, seeds in zip(batch.column(0), batch.column(1)):
+                block = block or _Block(seeds.as_py(), nearest, complete)
+                block.meet(index.as_py())
+        if block:
+            yield pa.RecordBatch.from_arrays([pa.array([block.lists()], pa.binary())], names=["lists"])
+    return run
+
+
+def _nearest_lists(docs: DataFrame, shards, runs: int, nearest: int, complete: bool) -> DataFrame:
+    """Stored lists of every run's nearest others, one row per block."""
+    spark = docs.sparkSession
+    both = stored(docs.mapInArrow(shards, "index binary, seeds binary"), "op7-shards")
+    blocks = max(math.ceil(runs / SEED_BLOCK), min(shuffle_parts(spark), math.ceil(runs / 2048)))
+    seeds = both.where("seeds is not null").select("seeds").repartition(blocks).mapInArrow(_one_block, "seeds binary")
+    index = both.where("index is not null").select("index").coalesce(1)   # each block's task reads all of it
+    pairs = index.crossJoin(seeds.hint("shuffle_replicate_nl"))
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, 2)                    # a row holds a whole shard
+    try:
+        return stored(pairs.mapInArrow(_search(nearest, complete), "lists binary"), "op7-lists")
+    finally:
+        spark.conf.set(rows, before)
+
+
+_STEP = "item long, run long, at long, last long, doc_key long, name long, length long"
+
+
+def _follow(window: int, final: bool):
+    """The greedy order over all lists: each run's new run and its place there
+    in tokens; ``last`` and ``length`` are set for the first of a new run. In
+    the final round everything becomes one run."""
+    def run(batches):
+        parts = [_load(x.as_py(), *_LISTS) for batch in batches for x in batch.column(0)]
+        if not parts:
+            return
+        item, last, key, name, length, counts = (np.concatenate([p[k] for p in parts]) for k in range(6))
+        order = np.lexsort((item, name, key))
+        at = np.concatenate([[0], np.cumsum(counts)])
+        by_item = np.argsort(item)
+        rank = np.empty(len(item), dtype=np.int32)
+        rank[order] = np.arange(len(item), dtype=np.int32)
+        near = np.concatenate([rank[by_item[np.searchsorted(item[by_item], p[6])]] for p in parts])
+        del parts
+        lo, hi, size = at[:-1][order], at[1:][order], length[order].tolist()
+        n = len(item)
+        used, run_of, start = bytearray(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        end, total = np.full(n, -1, np.int64), np.zeros(n, np.int64)
+        head = pos = 0
+
+        def place(d):
+            nonlocal pos
+            used[d] = 1
+            run_of[d], start[d] = head, pos
+            cut = pos % window + size[d] >= window
+            pos += size[d]
+            return cut
+
+        for d in range(n):
+            if used[d]:
+                continue
+            if not final:
+                head, pos = d, 0
+            place(d)
+            seed = d
+            while pos % window:
+                for x in near[lo[seed]:hi[seed]].tolist():
+                    if not used[x] and place(x):
+                        seed = x
+                        break
+                else:
+                    break
+            end[head], total[head] = seed, pos
+        item, last = item[order], last[order]
+        first = end >= 0
+        cols = [item, item[run_of], start, last[np.maximum(end, 0)], key[order], name[order], total]
+        for a in range(0, n, 65_536):
+            part = [c[a:a + 65_536] for c in cols]
+            none = ~first[a:a + 65_536]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64(), mask=none if k in (3, 6) else None) for k, c in enumerate(part)],
+                names=["item", "run", "at", "last", "doc_key", "name", "length"])
+    return run
+
+
 _OUT = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
         "ids binary")
 _OUT_NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
-def _pack(idf_raw: bytes, avg_len: float, window: int, kind: str, with_ids: bool):
+def _cut(window: int, kind: str, with_ids: bool):
+    """Documents placed at ``at`` in the corpus' order to their pieces."""
+    def to_batch(rows):
+        types = [pa.int64()] * 7 + [pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_OUT_NAMES)
+
     def run(batches):
-        idf = np.frombuffer(idf_raw, dtype=np.float64)
-
-        def emit(shard, held):
-            ids = [np.frombuffer(x, dtype=kind) for _, x in held]
-            rows = []
-            for d, start, length, seq, off in pack_shard(ids, idf, avg_len, window):
-                raw = ids[d][start:start + length].astype("<u4").tobytes()
-                rows.append((held[d][0], start, length, zlib.crc32(raw), len(ids[d]), shard * (1 << 32) + seq, off,
-                             raw if with_ids else None))
-                if with_ids and len(rows) >= 4096:
-                    yield to_batch(rows)
-                    rows = []
-            if rows:
-                yield to_batch(rows)
-
-        def to_batch(rows):
-            types = [pa.int64()] * 7 + [pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_OUT_NAMES)
-
-        current, held = None, []
-        for batch in batches:             # bytes are copied out, so no batch is kept alive by its rows
-            for shard, doc_id, ids in zip(*(batch.column(k) for k in range(3))):
-                shard = shard.as_py()
-                if shard != current:
-                    if held:
-                        yield from emit(current, held)
-                    current, held = shard, []
-                held.append((doc_id.as_py(), ids.as_py()))
-        if held:
-            yield from emit(current, held)
+        rows = []
+        for batch in batches:
+            for doc_id, at, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                ids = np.frombuffer(raw.as_py(), dtype=kind)
+                start = 0
+                while start < len(ids):
+                    off = (at + start) % window
+                    length = min(len(ids) - start, window - off)
+                    part = ids[start:start + length].astype("<u4").tobytes()
+                    rows.append((doc_id, start, length, zlib.crc32(part), len(ids), (at + start) // window, off,
+                                 part if with_ids else None))
+                    start += length
+                    if len(rows) >= 4096:
+                        yield to_batch(rows)
+                        rows = []
+        if rows:
+            yield to_batch(rows)
     return run
 
 
@@ -244,7 +514,6 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset`` and, unless ``with_ids`` is false, ``ids`` (the
     piece's ids as little-endian unsigned 32-bit numbers)."""
-    spark = docs.sparkSession
     tokens = tokenise(docs, path, id_col, text_col, end_id)
     counts = corpus_counts(tokens)
     size = len(load_bpe(path).labels)
@@ -252,13 +521,38 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     df = np.zeros(size)
     df[list(counts)] = list(counts.values())
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
-    parts = shuffle_parts(spark)
-    shards = parts * max(1, math.ceil(n_tokens / shard_tokens / parts)) if n_tokens > shard_tokens else 1
-    shard = F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).cast("int")
-    rows = tokens.where("counts is null").select(shard.alias("shard"), "doc_id", "ids")
-    keys = partition_keys(spark, parts)
-    dealt = (rows.withColumn("key", key_of(F.pmod("shard", F.lit(parts)), keys)).repartition(parts, "key")
-             .sortWithinPartitions("shard", "doc_id", "ids").select("shard", "doc_id", "ids"))
     kind = "<u2" if size <= 1 << 16 else "<u4"
-    out = dealt.mapInArrow(_pack(idf.astype(np.float64).tobytes(), n_tokens / n_docs, window, kind, with_ids), _OUT)
+    texts = tokens.where("counts is null")
+    key = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
+    rows = texts.select("ids", F.lit(True).alias("head"), F.lit(True).alias("tail"), F.col("row").alias("run"),
+                        F.col("row").alias("last"), key.alias("doc_key"), "name", F.col("n_tokens").alias("length"))
+    runs, mode, place = n_docs, "strong", None
+    while True:
+        nearest = max(NEAREST, NEAREST * n_docs // runs)
+        complete = runs <= COMPLETE or nearest >= runs
+        final = complete or mode == "end"
+        lists = _nearest_lists(rows, _shards(idf.tobytes(), n_tokens / n_docs, kind, shard_tokens, QUERY_TERMS,
+                                             "complete" if complete else mode), runs, nearest, complete)
+        step = stored(lists.coalesce(1).mapInArrow(_follow(window, final), _STEP), "op7-order")
+        if place is None:
+            place = step.select(F.col("item").alias("row"), "run", "at")
+        else:
+            more = step.select(F.col("item").alias("run"), F.col("run").alias("into"), F.col("at").alias("more"))
+            place = stored(place.join(more, "run").select("row", F.col("into").alias("run"),
+                                                          (F.col("at") + F.col("more")).alias("at")), "op7-place")
+        if final:
+            break
+        ends = step.where("last is not null").select("run", "last", "doc_key", "name", "length")
+        left = ends.count()
+        if left > 0.9 * runs:                  # the strongest terms find little more: all terms; these nothing: the end
+            mode = "all" if mode == "strong" else "end" if left == runs else mode
+        runs = left
+        both = ends.select(F.explode(F.array(
+            F.struct(F.col("run").alias("row"), F.lit(True).alias("head"), (F.col("run") == F.col("last")).alias("tail")),
+            F.when(F.col("run") != F.col("last"), F.struct(F.col("last").alias("row"), F.lit(False).alias("head"),
+                                                           F.lit(True).alias("tail"))))).alias("doc"), *_META)
+        both = both.where("doc is not null").select("doc.*", *_META)
+        rows = both.join(texts.select("row", "ids"), "row").select("ids", "head", "tail", *_META)
+    out = texts.join(place.select("row", "at"), "row").select("doc_id", "at", "ids").mapInArrow(
+        _cut(window, kind, with_ids), _OUT)
     return out if with_ids else out.drop("ids")

@@ -163,6 +163,53 @@ def test_remaining_terms_find_neighbours():
     assert [d for d, *_ in P.pack_shard(ids, _idf(ids, 200), 10.0, window=1024)][:3] == [0, 3, 4]
 
 
+@pytest.fixture(scope="module")
+def encoded(docs, vocabulary):
+    """Ids of the documents in their order of packing, and their idf."""
+    got = P.tokenise(docs, vocabulary).where("counts is null").collect()
+    got.sort(key=lambda r: (-1 << 63 if r.doc_id is None else r.doc_id, r.name, r.row))
+    ids = [np.frombuffer(r.ids, dtype="<u2") for r in got]
+    return got, ids, _idf(ids, len(B.load_bpe(vocabulary).labels))
+
+
+def test_every_shard_answers(docs, encoded, vocabulary):
+    """Small shards give the order of one index over all documents."""
+    got, ids, idf = encoded
+    want = [(got[d].doc_id, start, n, seq, off)
+            for d, start, n, seq, off in P.pack_shard(ids, idf, sum(map(len, ids)) / len(ids), window=128)]
+    for tokens in (3000, P.SHARD_TOKENS):
+        out = P.pack(docs, vocabulary, window=128, shard_tokens=tokens, with_ids=False).collect()
+        out.sort(key=lambda r: (r.sequence_id, r.offset))
+        assert [(r.doc_id, r.start, r.length, r.sequence_id, r.offset) for r in out] == want
+
+
+def test_rounds_find_the_nearest(docs, encoded, vocabulary, monkeypatch):
+    """Incomplete lists hold the nearest of all shards, and runs of several
+    rounds hold every token once."""
+    got, ids, idf = encoded
+    monkeypatch.setattr(P, "COMPLETE", 8)
+    monkeypatch.setattr(P, "NEAREST", 4)
+    search, rounds = P._nearest_lists, []
+    monkeypatch.setattr(P, "_nearest_lists", lambda *a: rounds.append(search(*a)) or rounds[-1])
+    out = P.pack(docs, vocabulary, window=128, shard_tokens=3000, with_ids=False).collect()
+    at = sorted((r.sequence_id * 128 + r.offset, r.length) for r in out)
+    assert [a for a, _ in at] == list(np.cumsum([0] + [n for _, n in at[:-1]])) and sum(n for _, n in at) == sum(map(len, ids))
+    assert len(rounds) > 1
+    index = P.Shard(ids, idf, sum(map(len, ids)) / len(ids), P.QUERY_TERMS)
+    place = {(r.doc_id, r.name): k for k, r in enumerate(got)}
+    found = 0
+    for raw in rounds[0].collect():
+        run, _, key, name, _, counts, near = P._load(raw.lists, *P._LISTS)
+        assert counts.max() <= 4
+        for k, part in zip(zip(key.tolist(), name.tolist()), np.split(near, np.cumsum(counts)[:-1])):
+            seed = place[(None if k[0] == -1 << 63 else k[0], k[1])]
+            lo, hi = index.doc_at[seed], index.doc_at[seed + 1]
+            terms = P.strongest(index.doc_term[lo:hi], index.doc_weight[lo:hi], P.QUERY_TERMS)
+            assert len(part) == min(4, len(index._best(terms, np.array([seed]), len(ids))))
+            found += len(part)
+    assert found > len(ids)
+
+
 CHATS = [(1, 0, "system", "Be kind. ### User: \\"), (1, 1, "user", "</turn>\n### Assistant: x\\\\</turn>"),
          (1, 2, "assistant", None), (1, 3, "assistant", "<|endoftext|> \\### User:\n"), (2, 0, "user", ""),
          (2, 0, "tool\n### User: \\", "called"), (2, 0, "user", ""), (None, 1, None, "nobody"), (None, None, "assistant", "é漢"),
