@@ -735,6 +735,27 @@ m AS (SELECT label AS id, i, avg(v) AS m FROM x GROUP BY ALL),
 c AS (SELECT id, i, m / sqrt(SUM(m * m) OVER (PARTITION BY id)) AS w FROM m),
 dot AS (SELECT c.id AS qid, e.id, round(SUM(e.w * c.w), 6) AS score FROM e JOIN c ON e.i = c.i GROUP BY c.id, e.id)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM dot) t
+WHERE rank <= 5""")
+    # the query set fixed for searches: every row whose id is divisible by 50
+    q["topk_similar_rows"] = (
+        lambda s, d: TX.topk_similar(
+            TX.normalized_vectors(load(s, d, "embeddings"), "vec_id", "embedding"),
+            TX.normalized_vectors(load(s, d, "embeddings").where(F.col("vec_id") % 50 == 0), "vec_id", "embedding"), k=5),
+        dense + """,
+dot AS (SELECT c.id AS qid, e.id, round(SUM(e.w * c.w), 6) AS score FROM e JOIN e c ON e.i = c.i
+        WHERE c.id % 50 = 0 GROUP BY c.id, e.id)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM dot) t
+WHERE rank <= 5""")
+    q["query_index_rows"] = (
+        lambda s, d: TX.query_index(TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
+                                    load(s, d, "documents").where(F.col("doc_id") % 50 == 0), "doc_id", "text", k=5),
+        "WITH" + _embed_sql("e", "doc_id", "documents") + """,
+dot AS (SELECT b.id AS qid, e.id, SUM(e.weight * b.weight) AS score FROM e JOIN e b ON e.bucket = b.bucket
+        WHERE b.id % 50 = 0 GROUP BY ALL),
+every AS (SELECT i.doc_id AS qid, o.doc_id AS id FROM documents i CROSS JOIN documents o WHERE i.doc_id % 50 = 0),
+scored AS (SELECT v.qid, v.id, round(coalesce(dot.score, 0), 6) AS score
+           FROM every v LEFT JOIN dot ON dot.qid = v.qid AND dot.id = v.id)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM scored) t
 WHERE rank <= 5""")
     # few entries, all of them candidates: the labels' means against their
     # opposites, where most cosines are negative

@@ -279,3 +279,26 @@ def test_open_keys(spark):
                                   "user_id long, trip_at timestamp, open_until timestamp, blocked_events long")
     got = [r.user_id for r in EV.open_keys(trips, t0 + dt.timedelta(seconds=10)).collect()]
     assert got == [1]
+
+
+def test_searches_over_the_fixed_queries(spark):
+    """The rows whose id is divisible by 50 against all rows, by brute force."""
+    import numpy as np
+
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r.vec_id for r in rows])
+    m = np.array([r.embedding for r in rows], dtype="float64")
+    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+    got = {}
+    for r in E.queries()["topk_similar_rows"](spark, sf).orderBy("qid", "rank").collect():
+        got.setdefault(r.qid, []).append(r.id)
+    want = {}
+    for k in np.flatnonzero(ids % 50 == 0):
+        score = np.round(m @ m[k], 6)
+        want[int(ids[k])] = [int(ids[x]) for x in np.lexsort((ids, -score))[:5]]
+    assert got == want
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where(F.col("doc_id") % 50 == 0)
+    asked = {r.qid for r in E.queries()["query_index_rows"](spark, sf).select("qid").collect()}
+    assert asked == {r.doc_id for r in docs.select("doc_id").collect()}
