@@ -97,12 +97,17 @@ def client_quarterly_revenue(df: DataFrame, labels: Sequence[str] | None = None,
                              client_col: str = "ClientID", year_blind: bool = False) -> DataFrame:
     """A4: one row per client, one column per quarter, gaps = 0.
 
-    Passing ``labels`` avoids the extra job that discovers them. This wide
-    form is for serving; churn works on the long form (A3).
+    Passing ``labels`` avoids the extra job that discovers them; a quarter
+    outside them raises. This wide form is for serving; churn works on the
+    long form (A3).
     """
     long = client_quarterly_long(df, client_col, year_blind)
     if labels is None:
         labels = quarter_labels(long)
+    else:
+        known = F.col("Quarter").isNull() | F.col("Quarter").isin(list(labels))
+        long = long.withColumn("Quarter", F.when(known, F.col("Quarter")).otherwise(F.raise_error(
+            F.concat(F.lit("quarter outside the pivot's labels: "), F.col("Quarter")))))
     wide = long.groupBy(client_col).pivot("Quarter", list(labels)).agg(F.first("Revenue"))
     return wide.select(client_col, *[F.coalesce(F.col(f"`{q}`"), F.lit(0)).cast("double").alias(q)
                                      for q in labels])

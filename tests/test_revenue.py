@@ -1,5 +1,6 @@
 """Golden values on the 23-row sample (end-to-end, as the reference tests)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from qtrlens.operators import churn as CH
@@ -101,3 +102,11 @@ def test_top_regions_and_trend(sample):
         ("2024Q1", "DE", 2), ("2024Q1", "UK", 1), ("2024Q2", "DE", 2), ("2024Q2", "US", 1)]
     tr = CH.churn_trend_data(CH.churn_counts(sample))
     assert rows(tr, "type", "amount") == [("revenue_gain", 4500.0), ("revenue_loss", 6000.0)]
+
+
+def test_pivot_raises_on_a_quarter_outside_its_labels(sample):
+    """No revenue falls out of the pivot without a word."""
+    full = RV.client_quarterly_revenue(sample, ["2024Q1", "2024Q2", "2024Q3"]).collect()
+    assert sum(r["2024Q1"] + r["2024Q2"] + r["2024Q3"] for r in full) == 25750
+    with pytest.raises(Exception, match="outside the pivot's labels: 2024Q2"):
+        RV.client_quarterly_revenue(sample, ["2024Q1"]).collect()
