@@ -1,10 +1,9 @@
 """Text side: token budgets, note summaries, in-order packing, and a hashed
 bag-of-words index with cosine top-k (F4, W3, W4, M1–M3, J7, T2, P18).
 
-The index has one row per entry with its vector. The query set is taken in
-blocks; each block's matrix goes to the tasks that hold the entries, which
-score an Arrow batch at a time and keep the best per query, so only those are
-shuffled.
+The index has one row per entry with its vector. Queries and entries are both
+tables: entries are dealt into shares, every share meets the queries in blocks
+(``shares.py``) and keeps the best per query.
 """
 
 from __future__ import annotations
@@ -18,9 +17,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.columns import estimate_tokens, normalize_vector, tokenize
+from ..session import cut_lineage
+from .shares import meet_shares
 
 # ---------------------------------------------------------------- fixed values
 DEFAULT_DIM = 64
@@ -31,7 +31,8 @@ SUMMARY_MIN_CHARS = 200
 SCORE_DECIMALS = 6
 # -----------------------------------------------------------------------------
 
-QUERY_BLOCK = 4096         # query vectors sent to the tasks at a time (all blocks are run)
+KNOWN_TOKENS = 1 << 18     # token buckets a task remembers
+EMBED_ROWS = 2048          # texts embedded at a time
 SCORE_CELLS = 1 << 21      # scores a task computes at a time
 
 
@@ -130,16 +131,25 @@ def pack_by_token_budget(df: DataFrame, template: str, context_token_limit: int,
 
 def _unit_counts(dim: int, names: list[str]):
     """Token lists (the second column) to unit vectors of hash-bucket counts.
-    Each different token of a batch is hashed once."""
+    A task hashes a token once while its ``KNOWN_TOKENS`` buckets last."""
     def fn(batches):
+        known: dict[str, int] = {}
+
+        def bucket_of(token):
+            at = known.get(token)
+            if at is None:
+                if len(known) >= KNOWN_TOKENS:
+                    known.clear()
+                at = known[token] = int.from_bytes(md5(token.encode()).digest(), "big") % dim
+            return at
+
         for batch in batches:
-            for lo in range(0, len(batch), 512):
-                part = batch.slice(lo, 512)
+            for lo in range(0, len(batch), EMBED_ROWS):
+                part = batch.slice(lo, EMBED_ROWS)
                 tokens = part.column(1)
                 size = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
                 coded = tokens.flatten().dictionary_encode()
-                bucket = np.array([int(md5(t.encode()).hexdigest(), 16) % dim for t in coded.dictionary.to_pylist()],
-                                  dtype=np.int64)
+                bucket = np.array([bucket_of(t) for t in coded.dictionary.to_pylist()], dtype=np.int64)
                 row = np.repeat(np.arange(len(part)), size)
                 flat = row * dim + (bucket[coded.indices.to_numpy(zero_copy_only=False)] if len(row) else row)
                 v = np.bincount(flat, minlength=len(part) * dim).astype("float64").reshape(len(part), dim)
@@ -193,121 +203,128 @@ def _orderable(df: DataFrame, cols: Sequence[str]) -> list:
 
 # --------------------------------------------------------------------- search
 
-def _blocks(queries: DataFrame):
-    """The query vectors in blocks of at most ``QUERY_BLOCK``: (ids, matrix).
-    The driver holds one block at a time."""
-    ids, vecs = [], []
-    for r in queries.select("id", "vec").where("vec is not null").toLocalIterator():
-        ids.append(r["id"])
-        vecs.append(r["vec"])
-        if len(ids) == QUERY_BLOCK:
-            yield ids, np.array(vecs, dtype="float64")
-            ids, vecs = [], []
-    if ids:
-        yield ids, np.array(vecs, dtype="float64")
-
-
-def _scored(vec: pa.Array, matrix: np.ndarray) -> np.ndarray:
-    """Rounded dot products, entries × queries (a null vector scores NaN)."""
-    full = np.full((len(vec), matrix.shape[1]), np.nan)
-    valid = np.asarray(vec.is_valid())
-    flat = np.asarray(vec.filter(pa.array(valid)).flatten(), dtype="float64")
-    if len(flat):
-        full[valid] = flat.reshape(int(valid.sum()), -1)
-    return np.round(full @ matrix.T, SCORE_DECIMALS)
-
-
-def _score_frames(entries: DataFrame, queries: DataFrame, pick) -> DataFrame:
-    """One frame of ``(qid, score, *entry columns but vec)`` over all query
-    blocks. ``pick(scores, ids)`` says which (query, entry) pairs of a batch
-    go on, given what it kept before."""
-    cols = [c for c in entries.columns if c != "vec"]
-    qtype = queries.schema["id"]
-    schema = T.StructType([T.StructField("qid", qtype.dataType), T.StructField("score", T.DoubleType())]
-                          + [entries.schema[c] for c in cols])
-    arrow_q = to_arrow_type(qtype.dataType)
-    src = entries.select("vec", *cols)
-    out = None
-    for ids, matrix in _blocks(queries):
-        def run(batches, ids=ids, matrix=matrix):
-            step = max(1, SCORE_CELLS // len(ids))
-            keep = pick(len(ids))
-            for batch in batches:
-                for lo in range(0, len(batch), step):
-                    part = batch.slice(lo, step)
-                    rows = pa.RecordBatch.from_arrays(part.columns[1:], names=cols)
-                    yield from keep(rows, _scored(part.column(0), matrix))
-            yield from keep(None, None)
-
-        def emit(batches, run=run, ids=ids):
-            names = pa.array(ids, arrow_q)
-            for rows, q, score in run(batches):
-                yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(q, pa.int64())), pa.array(score, pa.float64()), *rows.columns],
-                    names=["qid", "score", *cols])
-        one = src.mapInArrow(emit, schema)
-        out = one if out is None else out.unionByName(one)
-    return out if out is not None else entries.sparkSession.createDataFrame([], schema)
+def _matrix(vec) -> np.ndarray:
+    """Rows of a list column without nulls as a matrix."""
+    vec = vec.combine_chunks() if isinstance(vec, pa.ChunkedArray) else vec
+    flat = np.asarray(vec.flatten(), dtype="float64")
+    return flat.reshape(len(vec), -1) if len(vec) else flat.reshape(0, 0)
+
+
+def _ranks(ids) -> np.ndarray:
+    """Places of ids in their order."""
+    rank = np.empty(len(ids), dtype=np.int64)
+    rank[np.asarray(pc.array_sort_indices(ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids))] = \
+        np.arange(len(ids))
+    return rank
+
+
+def _pairs_batch(entries: pa.Table, queries: pa.Table, e, q, score, names):
+    e, q = pa.array(e, pa.int64()), pa.array(q, pa.int64())
+    cols = [queries["_q"].take(q), queries["id"].take(q), pa.chunked_array([pa.array(score, pa.float64())]),
+            entries["id"].take(e), entries["_row"].take(e)]
+    for batch in pa.Table.from_arrays(cols, names=names).combine_chunks().to_batches():
+        yield batch
+
+
+_FOUND = ["_q", "qid", "score", "id", "_row"]
+
+
+def _near(k: int):
+    """The ``k`` best entries of a share for every query of a block: full
+    scores are compared with the worst kept so far, only what passes is
+    rounded and ordered."""
+    slack = 10.0 ** -SCORE_DECIMALS
+
+    def scorer(entries):
+        vectors, rank = _matrix(entries["vec"]), _ranks(entries["id"])
+
+        def score(queries):
+            m = _matrix(queries["vec"]).T
+            nq = m.shape[1]
+            best = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]       # entry, query, score
+            worst = np.full(nq, -np.inf)
+            step = max(k + 1, SCORE_CELLS // nq)
+            for lo in range(0, len(vectors), step):
+                s = vectors[lo:lo + step] @ m
+                least = worst - slack
+                if len(s) > k and not np.isfinite(worst).all():
+                    with np.errstate(invalid="ignore"):
+                        own = -np.partition(np.where(np.isnan(s), np.inf, -s), k - 1, axis=0)[k - 1]
+                    least = np.maximum(least, own - slack)
+                e, q = np.nonzero(s >= least)
+                best = [np.concatenate(c) for c in zip(best, (e + lo, q, np.round(s[e, q], SCORE_DECIMALS)))]
+                order = np.lexsort((rank[best[0]], -best[2], best[1]))
+                of = best[1][order]
+                order = order[np.arange(len(of)) - np.searchsorted(of, of, side="left") < k]
+                best = [c[order] for c in best]
+                ends = np.searchsorted(best[1], np.arange(nq + 1))
+                full = np.flatnonzero(np.diff(ends) == k)
+                worst[full] = best[2][ends[full + 1] - 1]
+            yield from _pairs_batch(entries, queries, *best, _FOUND)
+        return score
+    return scorer
+
+
+def _over(min_score: float | None):
+    """Every pair that scores at least ``min_score``, or not zero."""
+    def scorer(entries):
+        vectors = _matrix(entries["vec"])
+
+        def score(queries):
+            m = _matrix(queries["vec"]).T
+            step = max(1, SCORE_CELLS // m.shape[1])
+            for lo in range(0, len(vectors), step):
+                s = np.round(vectors[lo:lo + step] @ m, SCORE_DECIMALS)
+                e, q = np.nonzero(s >= min_score if min_score is not None else (s != 0) & ~np.isnan(s))
+                if len(e):
+                    yield from _pairs_batch(entries, queries, e + lo, q, s[e, q], _FOUND)
+        return score
+    return scorer
+
+
+def _searched(entries: DataFrame, queries: DataFrame, scorer):
+    """``_q, qid, score, id, _row`` of the pairs a scorer picks, and the
+    stored entries with their ``_row``."""
+    numbered = cut_lineage(entries.where("vec is not null").withColumn("_row", F.monotonically_increasing_id()),
+                           name="entries")
+    asked = cut_lineage(queries.select("id", "vec").where("vec is not null")
+                        .withColumn("_q", F.monotonically_increasing_id()), name="queries")
+    schema = T.StructType([T.StructField("_q", T.LongType()), T.StructField("qid", queries.schema["id"].dataType),
+                           T.StructField("score", T.DoubleType()), entries.schema["id"],
+                           T.StructField("_row", T.LongType())])
+    return meet_shares(numbered.select("id", "vec", "_row"), asked, scorer, schema), numbered
+
+
+def _with_columns(found: DataFrame, numbered: DataFrame, last: Sequence[str] = ()) -> DataFrame:
+    """The entries' other columns beside each found pair."""
+    rest = [c for c in numbered.columns if c not in ("id", "vec", "_row")]
+    if rest:
+        found = found.join(numbered.select("_row", *rest), "_row")
+    return found.select("qid", "score", *[c for c in numbered.columns if c not in ("vec", "_row")], *last)
 
 
 def similarity_pairs(entries: DataFrame, queries: DataFrame, min_score: float | None = None) -> DataFrame:
     """``(qid, score, id, ...)`` for every query and entry whose cosine is
     not zero (or reaches ``min_score``). The stated query set meets all
-    entries in blocks; entries are neither shuffled nor exploded."""
-    def pick(_n):
-        def keep(rows, score):
-            if rows is None:
-                return
-            hit = score >= min_score if min_score is not None else (score != 0) & ~np.isnan(score)
-            e, q = np.nonzero(hit)
-            if len(e):
-                yield rows.take(pa.array(e)), q, score[e, q]
-        return keep
-    return _score_frames(entries, queries, pick)
+    entries share by share (``shares.py``)."""
+    found, numbered = _searched(entries, queries, _over(min_score))
+    return _with_columns(found, numbered)
 
 
 def topk_similar(entries: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """The ``k`` best entries per query by cosine score rounded to
+    """The ``k`` best entries per query row by cosine score rounded to
     six places, ties by id: ``(qid, score, id, ..., rank)``; entry columns
     such as text and metadata come along. Every entry with a vector is a
-    candidate, also one with a negative or zero score.
-
-    Each task scores its entries against a block of queries and keeps the
-    ``k`` best per query; only those (tasks × queries × k rows) are shuffled."""
-    def pick(n):
-        best: list[tuple] = []            # per query at most k: (rows, entry, query, score)
-
-        def keep(rows, score):
-            if rows is None:
-                for r, e, q, s in best:
-                    yield r.take(pa.array(e)), q, s
-                return
-            at = rows.schema.get_field_index("id")
-            id_rank = np.empty(len(rows), dtype=np.int64)
-            id_rank[np.asarray(pc.array_sort_indices(rows.column(at)))] = np.arange(len(rows))
-            es, qs = [], []
-            for q in range(n):
-                s = score[:, q]
-                order = np.lexsort((id_rank, -s))
-                order = order[~np.isnan(s[order])][:k]
-                es.append(order)
-                qs.append(np.full(len(order), q))
-            e, q = np.concatenate(es), np.concatenate(qs)
-            best.append((rows.take(pa.array(e)), np.arange(len(e)), q, score[e, q]))
-            if len(best) >= 16:           # merge what was kept so far
-                merged = pa.Table.from_batches([b[0] for b in best]).combine_chunks()
-                qa, sa = np.concatenate([b[2] for b in best]), np.concatenate([b[3] for b in best])
-                rank = np.empty(len(qa), dtype=np.int64)
-                rank[np.asarray(pc.array_sort_indices(merged.column("id").combine_chunks()))] = np.arange(len(qa))
-                order = np.lexsort((rank, -sa, qa))
-                first = np.searchsorted(qa[order], qa[order], side="left")
-                order = order[np.arange(len(order)) - first < k]
-                best[:] = [(merged.take(pa.array(order)).to_batches()[0] if len(order) else best[0][0],
-                            np.arange(len(order)), qa[order], sa[order])]
-        return keep
-    found = _score_frames(entries, queries, pick)
-    w = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    candidate, also one with a negative or zero score; query rows that share
+    an id are answered one by one.
+
+    Queries meet the entries share by share (``shares.py``); a share gives its
+    ``k`` best per query, and only those (shares × queries × k narrow rows) are
+    merged. Other columns are fetched for the k that stay."""
+    found, numbered = _searched(entries, queries, _near(k))
+    w = Window.partitionBy("_q").orderBy(F.desc("score"), "id", "_row")
+    best = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return _with_columns(best, numbered, ["rank"])
 
 
 def query_index(index: DataFrame, query_texts: DataFrame, id_col: str = "id", text_col: str = "text",

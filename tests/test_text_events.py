@@ -67,7 +67,9 @@ def test_topk_negative_scores(spark):
 def test_topk_over_blocks_and_batches(spark, monkeypatch):
     """Many queries in small blocks over many small score cells, with ties."""
     import numpy as np
-    monkeypatch.setattr(TX, "QUERY_BLOCK", 7)
+    from qtrlens.operators import shares as SH
+    monkeypatch.setattr(SH, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(SH, "SHARE_ROWS", 50)
     rng = np.random.default_rng(1)
     e = rng.integers(-2, 3, (300, 4)).astype(float)
     q = rng.integers(-2, 3, (20, 4)).astype(float)
@@ -84,6 +86,25 @@ def test_topk_over_blocks_and_batches(spark, monkeypatch):
         assert [got[k, r + 1] for r in range(4)] == [(i, s[i]) for i in want]
 
 
+def test_search_is_one_scan_off_the_driver(spark, monkeypatch, tmp_path):
+    """Three blocks of queries, entries scanned once; query rows that share an
+    id are answered one by one."""
+    from qtrlens.operators import shares as SH
+    monkeypatch.setattr(SH, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(type(spark.range(1)), "toLocalIterator", lambda *a, **k: pytest.fail("through the driver"))
+    spark.createDataFrame([(i, [float(i), 1.0]) for i in range(30)], "id long, vec array<double>") \
+        .write.parquet(f"{tmp_path}/e")
+    index = spark.read.parquet(f"{tmp_path}/e")
+    qs = spark.createDataFrame([("a", [1.0, 0.0]), ("a", [-1.0, 0.0]), ("b", [0.0, 1.0]), (None, [1.0, 0.0]),
+                                ("n", None)], "id string, vec array<double>")
+    df = TX.topk_similar(index, qs, k=2)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Final Plan")[0].count("entries-") == 1
+    got = sorted((str(r.qid), r["rank"], r.id) for r in df.collect())
+    assert got == sorted([("a", 1, 29), ("a", 2, 28), ("a", 1, 0), ("a", 2, 1), ("b", 1, 0), ("b", 2, 1),
+                          ("None", 1, 29), ("None", 2, 28)])
+
+
 def test_token_budget(spark):
     df = _docs(spark, [("x", "x" * 100)])
     r = TX.token_budget_gate(df, "text", max_response_tokens=20, budget=10).first()
