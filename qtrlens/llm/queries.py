@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qtrlens.llm import bpe as BPE
 from qtrlens.llm import chat as CHAT
 from qtrlens.llm import exact_dedup as EXACT
+from qtrlens.llm import hard_negatives as HARD
 from qtrlens.llm import near_dedup as NEAR
 from qtrlens.llm import packing as PACK
+from qtrlens.llm import periodic as RUNS
 from qtrlens.llm import quality as QUALITY
 from qtrlens.llm import resharding as SHARD
+from qtrlens.llm import simhash as SIM
 from qtrlens.llm import substring_dedup as SUBSTR
 from qtrlens.llm import url_filter as URLS
 from qtrlens.llm import warc as WARC
@@ -92,6 +97,42 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def plant_period(doc_id: int | None, text: str | None) -> str | None:
+    """The texts of op11: in one of ten documents (by the CRC-32 of its id) the
+    words from some place on repeat."""
+    h = zlib.crc32(str(doc_id).encode())
+    words = (text or "").encode().split() if doc_id is not None and h % 10 == 0 else []
+    if not words:
+        return text
+    g = h // 10
+    a = g % len(words)
+    p = 1 + (len(words) - a) // (3 + g % 8)
+    whole, rest = divmod(len(words) - a, p)
+    cycle = words[a:a + p]
+    return b" ".join(words[:a] + cycle * whole + cycle[:rest]).decode()
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = RUNS.periodic_runs(table(spark, sf_dir, "documents"), prepare=plant_period)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"),
+                                                                 (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("top", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"),
+        F.col("top.length").alias("length"), (-F.col("top.period")).alias("period"),
+        F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SIM.simhash_dedup(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return HARD.hard_negatives(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label")))
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 _GAP = r"[\x20\x09-\x0D]"
 
@@ -188,6 +229,46 @@ f AS (SELECT *, n_words < {QUALITY.MIN_WORDS} OR 100 * n_repeat_words > {QUALITY
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND 100 * lost <= {QUALITY.MAX_LOST} * word_chars AS kept FROM f"""
 
+_OP11 = rf"""
+WITH c AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
+                  xor(list_reduce(list_concat([4294967295], flatten(list_transform(
+                      string_split(CAST(doc_id AS VARCHAR), ''), lambda x: [ascii(x), -1, -1, -1, -1, -1, -1, -1, -1]))),
+                      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END),
+                      4294967295) AS h FROM documents),
+a AS (SELECT *, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM c),
+d AS (SELECT doc_id, CASE WHEN h % 10 = 0 AND len(w) > 0
+                          THEN list_transform(range(len(w)), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(w) - a) // (3 + g % 8)) END])
+                          ELSE w END AS w FROM a),
+t AS (SELECT doc_id, i, md5(array_to_string(w[i + 1:i + 5], ' ')) AS five FROM d, unnest(range(len(w) - 4)) u(i)),
+pair AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.five = y.five AND y.i > x.i),
+island AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pair),
+stretch AS (SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length FROM island GROUP BY doc_id, q, island),
+run AS (SELECT doc_id, start, length, min(q) AS period FROM stretch WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, pos FROM run, unnest(range(start + period, start + length)) u(pos)),
+stay AS (SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.pos) AS kept
+         FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM d) x
+         ANTI JOIN gone ON gone.doc_id = x.doc_id AND gone.pos = x.pos GROUP BY x.doc_id),
+per AS (SELECT doc_id, count(*) AS n_runs, min(ROW(-length, start, period)) AS top,
+               string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines FROM run GROUP BY doc_id)
+SELECT d.doc_id, coalesce(per.n_runs, 0) AS n_runs, per.top[2] AS start, -per.top[1] AS length, per.top[3] AS period,
+       1000 * -per.top[1] // per.top[3] AS exponent_milli, sha256(coalesce(per.lines, '')) AS runs_sha256,
+       sha256(coalesce(stay.kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN per ON per.doc_id = d.doc_id LEFT JOIN stay ON stay.doc_id = d.doc_id"""
+
+_OP13 = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+         ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY rank <= 5"""
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, _OP1),
     "op2_anchor_dedup": (op2_anchor_dedup, _OP2),
@@ -199,4 +280,7 @@ QUERIES = {
     "op8_chat_assembly": (op8_chat_assembly, _OP8),
     "op9_url_cascade": (op9_url_cascade, _OP9),
     "op10_line_quality": (op10_line_quality, _OP10),
+    "op11_periodic_runs": (op11_periodic_runs, _OP11),
+    "op12_simhash": (op12_simhash, None),
+    "op13_hard_negatives": (op13_hard_negatives, _OP13),
 }

@@ -21,7 +21,7 @@ def test_query(spark, name):
     df = run(spark, SF)
     rows = [tuple(r) for r in df.collect()]
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     if sql:
         cur = con.execute(sql)
@@ -31,6 +31,11 @@ def test_query(spark, name):
     docs = {i: t for i, t in con.execute("SELECT doc_id, text FROM documents").fetchall()}
     at = df.columns.index("doc_id")
     assert {r[at] for r in rows} == set(docs)
+    if name.startswith("op12"):
+        from test_similar import reference_simhash
+        want = reference_simhash(list(docs.items()))
+        cols = [df.columns.index(c) for c in ("doc_id", "fingerprint", "component_id")]
+        assert sorted((tuple(r[c] for c in cols) for r in rows), key=str) == want
     if name.startswith("op3"):
         shard, size = (df.columns.index(c) for c in ("shard", "size"))
         per = {}
