@@ -28,21 +28,37 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _recount(quality.keep_clean(docs))
 
 
+def _whole(docs: DataFrame, *extra) -> DataFrame:
+    """Each row as one column ``doc``, so that no name of the input can clash
+    with what a stage puts beside it."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), *extra)
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays (rows that repeat id
-    and text count as one)."""
-    kept = exact_dedup.exact_dedup(docs).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("n_points").alias("__points"))
-    mine = docs.withColumn("__length", F.coalesce(F.length("text"), F.lit(0)).cast("long")) \
-        .withColumn("__hash", F.xxhash64("text"))
-    return (mine.join(kept, mine.doc_id.eqNullSafe(F.col("__id")) & (F.col("__length") == F.col("__points")), "left_semi")
-            .dropDuplicates(["doc_id", "__length", "__hash"]).select(*docs.columns))
+    """One document of each group of equal texts stays. Rows are told apart by
+    id, length and normalised text, so of rows that repeat an id each is
+    judged by its own text; an empty table stays empty."""
+    kept = exact_dedup.exact_dedup(docs).where("kept").select("doc_id", "n_points", "text_sha256")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    mine = _whole(docs, F.col("doc_id").cast("long").alias("id"), F.length(text).cast("long").alias("n_points"),
+                  F.sha2(F.translate(text, " \t\n\x0b\x0c\r", ""), 256).alias("text_sha256"))
+    same = (mine.id.eqNullSafe(kept.doc_id) & (mine.n_points == kept.n_points) & (mine.text_sha256 == kept.text_sha256))
+    return (mine.join(kept, same, "left_semi").dropDuplicates(["id", "n_points", "text_sha256"]).select("doc.*"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    kept = near_dedup.near_dedup(docs).where("kept").select(F.col("doc_id").alias("__id"))
-    return docs.join(kept, docs.doc_id.eqNullSafe(F.col("__id")), "left_semi")
+    """One document of each group of near duplicates stays: that with the
+    smallest id (a null id after all), then the first row. Rows are linked by
+    their place in ``docs``, so rows that repeat an id, or have none, are
+    documents of their own; ``docs`` must come in the same order twice, as a
+    written table does."""
+    row = F.monotonically_increasing_id()
+    numbered = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"), "text")
+    groups = near_dedup.near_dedup(numbered.select("row", "text"), id_col="row").select(
+        F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    first = F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")
+    kept = numbered.select("row", "id").join(groups, "row").groupBy("component").agg(first).select("first.row")
+    return _whole(docs, row.alias("row")).join(kept, "row", "left_semi").select("doc.*")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
