@@ -21,8 +21,9 @@ travels to ``SALTS`` partitions each, so that a block probed by a third of all
 documents is probed in several tasks.
 
 Defined results: a null text has no words. Documents with a null id lose
-nothing and are no reference. Rows that repeat an id are judged one by one and
-never count as each other's reference. An empty table gives an empty result;
+nothing and are no reference. Rows that repeat an id are judged one by one
+(told apart by the CRC-32 of their texts) and never count as each other's
+reference. An empty table gives an empty result;
 other columns of the input are not looked at.
 """
 
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from itertools import compress
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -52,17 +54,18 @@ def _rows(keys, kinds, payloads):
                                        pa.array(payloads, pa.binary())], names=["key", "kind", "payload"])
 
 
-def _pack(doc_ids: np.ndarray, counts: np.ndarray, *columns: np.ndarray, tag: int = 0) -> bytes:
-    """One binary row: documents, entries per document, and the entries'
-    columns one after another."""
+def _pack(doc_ids: np.ndarray, counts: np.ndarray, *columns: np.ndarray, tag: int = 0, marks=None) -> bytes:
+    """One binary row: documents, entries per document, the documents' text
+    marks if given, and the entries' columns one after another."""
     n = int(counts.sum())
     head = np.array([len(doc_ids), n, tag], dtype=np.int64)
     return b"".join([head.tobytes(), doc_ids.astype(np.int64).tobytes(), counts.astype(np.uint32).tobytes(),
-                     *(c.tobytes() for c in columns)])
+                     b"" if marks is None else marks.astype(np.uint32).tobytes(), *(c.tobytes() for c in columns)])
 
 
-def _unpack(raw: bytes, *kinds):
-    """(doc id per entry, tag, columns...) of a packed row."""
+def _unpack(raw: bytes, *kinds, marked: bool = False):
+    """(doc id per entry, tag, text mark per entry if ``marked``, columns...)
+    of a packed row."""
     nd, n, tag = np.frombuffer(raw, dtype=np.int64, count=3)
     at = 24
     ids = np.frombuffer(raw, dtype=np.int64, count=nd, offset=at)
@@ -70,6 +73,9 @@ def _unpack(raw: bytes, *kinds):
     counts = np.frombuffer(raw, dtype=np.uint32, count=nd, offset=at)
     at += 4 * nd
     out = []
+    if marked:
+        out.append(np.repeat(np.frombuffer(raw, dtype=np.uint32, count=nd, offset=at), counts))
+        at += 4 * nd
     for k in kinds:
         out.append(np.frombuffer(raw, dtype=k, count=n, offset=at))
         at += np.dtype(k).itemsize * n
@@ -84,6 +90,12 @@ def _runs(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.concatenate([starts, [len(a)]]))
 
 
+def _pair_runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of runs in which both columns stay equal."""
+    starts = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return starts, np.diff(np.concatenate([starts, [len(a)]]))
+
+
 def _shard(h: np.ndarray, shards: int) -> np.ndarray:
     return ((h >> U(32)) * U(shards)) >> U(32)
 
@@ -93,13 +105,15 @@ class _Buffer:
 
     def __init__(self):
         self.ids: list[int] = []
+        self.marks: list[int] = []
         self.parts: list[tuple] = []
         self.size = 0
 
-    def add(self, ids, ordinals, *columns):
+    def add(self, ids, ordinals, *columns, marks=()):
         """``ordinals`` index ``ids``, the documents of this call."""
         base = len(self.ids)
         self.ids.extend(ids)
+        self.marks.extend(marks)
         self.parts.append((ordinals + base, *columns))
         self.size += len(ordinals)
 
@@ -167,17 +181,19 @@ def _anchors_out(keys, shards, salts, block):
     return run
 
 
-def _to_documents(keys, doc: np.ndarray, tag: int, *columns):
+def _to_documents(keys, doc: np.ndarray, tag: int, *columns, marks=None):
     """Answers, packed for the partitions of their documents."""
     bucket = id_bucket_np(doc, len(keys))
-    order = np.lexsort((doc, bucket))
+    order = np.lexsort((doc, bucket) if marks is None else (marks, doc, bucket))
     b, d = bucket[order], doc[order]
+    m = None if marks is None else marks[order]
     cols = [c[order] for c in columns]
     starts, sizes = _runs(b)
     out = []
     for s, n in zip(starts, sizes):
-        ds, dn = _runs(d[s:s + n])
-        out.append((keys[int(b[s])], 0, _pack(d[s:s + n][ds], dn, *(c[s:s + n] for c in cols), tag=tag)))
+        ds, dn = _runs(d[s:s + n]) if m is None else _pair_runs(d[s:s + n], m[s:s + n])
+        out.append((keys[int(b[s])], 0, _pack(d[s:s + n][ds], dn, *(c[s:s + n] for c in cols), tag=tag,
+                                              marks=None if m is None else m[s:s + n][ds])))
     return out
 
 
@@ -261,12 +277,12 @@ def _with_documents(answers: DataFrame, docs: DataFrame, keys: list[int]) -> Dat
 class _Answers:
     """Answers of a partition, looked up by document."""
 
-    def __init__(self, columns):
-        self.columns, self.parts, self.key = columns, [], None
+    def __init__(self, columns, marked: bool = False):
+        self.columns, self.parts, self.marked = [*([np.uint32] if marked else []), *columns], [], marked
         self.doc = None
 
     def add(self, payload):
-        doc, tag, *cols = _unpack(payload, *self.columns)
+        doc, tag, *cols = _unpack(payload, *self.columns[self.marked:], marked=self.marked)
         self.parts.append((doc, np.full(len(doc), tag, dtype=np.int64), *cols))
 
     def seal(self):
@@ -285,12 +301,14 @@ class _Answers:
 def _stretches_out(keys, window, block, shards):
     """Second pass: the stretches around the anchors, by their hashes."""
     def drain(buf):
+        marks = np.asarray(buf.marks, dtype=np.uint32)
         ids, (o, g, check, pos) = buf.take()
         shard = _shard(g, len(keys))
         order = np.lexsort((pos, o, shard))
         out = []
-        for t, d, n, cols in _by_target(shard[order], ids, o[order], [g[order], check[order], pos[order]]):
-            out.append((keys[t], 0, _pack(d, n, *cols)))
+        both = np.stack([ids, marks.astype(np.int64)], axis=1)
+        for t, d, n, cols in _by_target(shard[order], both, o[order], [g[order], check[order], pos[order]]):
+            out.append((keys[t], 0, _pack(d[:, 0], n, *cols, marks=d[:, 1])))
         return _rows(*zip(*out))
 
     def run(batches):
@@ -327,7 +345,8 @@ def _stretches_out(keys, window, block, shards):
                 pos = np.flatnonzero((np.cumsum(near)[:len(ok)] > 0) & ok)
                 if len(pos):
                     doc = np.searchsorted(w.off, pos, side="right") - 1
-                    buf.add(ids[lo:hi].tolist(), doc, g[pos], check[pos], (pos - w.off[doc]).astype(np.uint32))
+                    buf.add(ids[lo:hi].tolist(), doc, g[pos], check[pos], (pos - w.off[doc]).astype(np.uint32),
+                            marks=[crc32(data[off[i]:off[i + 1]]) for i in range(lo, hi)])
                     if buf.full:
                         yield drain(buf)
         if buf.size:
@@ -339,14 +358,14 @@ def _match_stretches(keys):
     """Per stretch its smallest document; larger ones are told where theirs
     starts."""
     def judge(parts):
-        doc, g, check, pos = (np.concatenate(c) for c in zip(*parts))
+        doc, mark, g, check, pos = (np.concatenate(c) for c in zip(*parts))
         order = np.lexsort((doc, check, g))
-        doc, g, check, pos = doc[order], g[order], check[order], pos[order]
+        doc, mark, g, check, pos = doc[order], mark[order], g[order], check[order], pos[order]
         new = np.concatenate([[True], (g[1:] != g[:-1]) | (check[1:] != check[:-1])])
         starts = np.flatnonzero(new)
         least = np.repeat(doc[starts], np.diff(np.concatenate([starts, [len(doc)]])))
         late = doc > least
-        return _to_documents(keys, doc[late], 0, pos[late]) if late.any() else []
+        return _to_documents(keys, doc[late], 0, pos[late], marks=mark[late]) if late.any() else []
 
     def run(batches):
         key, parts = None, []
@@ -356,8 +375,8 @@ def _match_stretches(keys):
                     if parts and (out := judge(parts)):
                         yield _rows(*zip(*out))
                     key, parts = k, []
-                doc, _, g, check, pos = _unpack(payload, U, np.uint32, np.uint32)
-                parts.append((doc, g, check, pos))
+                doc, _, *cols = _unpack(payload, U, np.uint32, np.uint32, marked=True)
+                parts.append((doc, *cols))
         if parts and (out := judge(parts)):
             yield _rows(*zip(*out))
     return run
@@ -396,8 +415,13 @@ def _remove(window, with_text):
         return (doc_id, n, int(n - keep.sum()), hashlib.sha256(b" ".join(compress(found, keep))).hexdigest(),
                 [{"start": int(a), "stop": int(b)} for a, b in zip(first, last)], left)
 
+    def starts_of(found, doc_id, text):
+        """Removed stretches of this very text, not of a namesake's."""
+        _, mark, start = found.of(doc_id)
+        return start[mark == crc32(text)] if len(start) else start
+
     def run(batches):
-        found = _Answers([np.uint32])
+        found = _Answers([np.uint32], marked=True)
         for batch in batches:
             kind = batch.column(1).to_numpy(zero_copy_only=False)
             for payload in batch.column(2).filter(pa.array(kind == 0)):
@@ -409,7 +433,8 @@ def _remove(window, with_text):
             data, off = text_buffer(rows.column(4))
             ids = rows.column(3).to_pylist()
             for lo, hi in pieces(off, 1 << 22):
-                out = [one(ids[i], data[off[i]:off[i + 1]].tobytes(), found.of(ids[i])[1]) for i in range(lo, hi)]
+                found_in = [data[off[i]:off[i + 1]].tobytes() for i in range(lo, hi)]
+                out = [one(i, t, starts_of(found, i, t)) for i, t in zip(ids[lo:hi], found_in)]
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), span, pa.string()]
                 carried = [rows.column(k).slice(lo, hi - lo) for k in range(5, rows.num_columns)]
                 yield pa.RecordBatch.from_arrays(

@@ -3,7 +3,7 @@ import random
 import pytest
 
 CLASH = ("doc_id long, text string, kept boolean, shard int, component_id string, ids string, key int, kind int, "
-         "block string, row string, n_chars long, `odd name` string")
+         "block string, row string, n_chars long, `odd name` string, __id long, doc string")
 
 
 def corpus(seed=7, n=120):
@@ -46,7 +46,7 @@ def docs(spark, texts):
     random.Random(1).shuffle(ids)
     rows = [(i, t) for i, t in zip(ids, texts)]
     rows += [rows[3], rows[3], rows[40], (None, texts[5]), (None, "no id at all"), (None, None)]
-    full = [(i, t, None, 3, "c", None, 1, 7, "b", None, len(t) if t else None, "q") for i, t in rows]
+    full = [(i, t, None, 3, "c", None, 1, 7, "b", None, len(t) if t else None, "q", 0, "d") for i, t in rows]
     return spark.createDataFrame(full, CLASH).repartition(5)
 
 
