@@ -2,18 +2,21 @@
 (W5 ``failure_streaks``, W6 ``breaker_trips``).
 
 Counters and gauges are plain hash aggregates (``max_by`` for "latest"), so
-hot keys are combined map-side. Streaks and the breaker use gaps-and-islands
-over segmented scans (``ordered.py``), which split any key over tasks.
+hot keys are combined map-side. Streaks use gaps-and-islands over segmented
+scans (``ordered.py``), the breaker folds in pieces (``pieces.py``); both split
+any key over tasks.
 """
 
 from __future__ import annotations
 
-import pyarrow as pa
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import estimate_tokens
 from ..session import cut_lineage
+from .pieces import fold_pieces
 
 # ---------------------------------------------------------------- fixed values
 FAILURE_TYPE = "error"
@@ -121,33 +124,116 @@ def failure_streaks_window(events: DataFrame, key: str = "user_id", ts: str = "t
     return s.withColumn("tripped", F.col("failures") >= threshold)
 
 
-def _fold(threshold: int, timeout_us: int):
-    """Trips of rows sorted by (key, segment, time): failures of islands that
-    can trip. The count restarts with each island, the open window goes on
-    from island to island, both start anew with each segment."""
-    def fn(batches):
-        seg = island = open_until = None
-        count = 0
-        for batch in batches:
-            trips = []
-            for i, (s, isl, t) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(1, 4)))):
-                s = (batch.column(0)[i].as_py(), s)
-                if s != seg:
-                    seg, island, open_until, count = s, None, None, 0
-                if isl != island:
-                    island, count = isl, 0
-                if open_until is not None:
-                    if t <= open_until:
-                        continue
-                    open_until, count = None, 0
-                count += 1
-                if count >= threshold:
-                    open_until = t + timeout_us
-                    trips.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(trips, pa.int64())), batch.column(3).take(pa.array(trips, pa.int64()))],
-                names=["key", "trip_us"])
-    return fn
+class _Breaker:
+    """The breaker's walk over one key's events (columns: key, time, tiebreak,
+    failed). State: the failures counted and, while open, the window's end."""
+
+    fresh = (0, None)
+    NONE = -(1 << 63)
+
+    def __init__(self, threshold: int, timeout_us: int):
+        self.threshold, self.timeout = threshold, timeout_us
+
+    def _since(self, failed, starts):
+        """For each event, where the unbroken failures up to it begin (behind
+        the event where it is a success)."""
+        at = np.arange(len(failed))
+        first = np.zeros(len(failed), dtype=np.int64)
+        first[starts] = starts
+        return np.maximum.accumulate(np.where(failed, first, at + 1))
+
+    def fold(self, table, starts, state):
+        t = table.column(1).to_numpy()
+        failed = table.column(3).to_numpy(zero_copy_only=False)
+        n, need = len(t), self.threshold
+        ends = np.append(starts[1:], n)
+        since = self._since(failed, starts)
+        carried, until = state
+        low = int(np.searchsorted(t[:ends[0]], until, side="right")) if until is not None else 0
+        quiet = int(np.argmin(failed[:ends[0]])) if not failed[:ends[0]].all() else int(ends[0])
+        streak = np.arange(n) - since + 1
+        if until is None and carried:
+            streak[:quiet] += carried                 # the first failures go on from the piece before
+        able = np.flatnonzero(streak >= need)
+        trips, stop, blocked = [], [], []
+        k, piece, untouched = 0, 0, until is None
+        if until is not None:
+            k = int(np.searchsorted(able, low + need - 1))
+        while k < len(able):
+            j = int(able[k])
+            at = int(np.searchsorted(starts, j, side="right")) - 1
+            if at != piece:
+                piece, low, untouched = at, int(starts[at]), False
+            end, close = int(ends[at]), int(t[j]) + self.timeout
+            after = j + int(np.searchsorted(t[j:end], t[j], side="right"))
+            low = j + int(np.searchsorted(t[j:end], close, side="right"))
+            trips.append(j)
+            stop.append(close)
+            blocked.append(low - after)
+            untouched = False
+            k = int(np.searchsorted(able, low + need - 1))
+        last = len(starts) - 1
+        spill = [u if j >= starts[last] and u >= t[-1] else None for j, u in zip(trips, stop)]
+        if spill and spill[-1] is not None:
+            end_state = (0, spill[-1])
+        elif until is not None and last == 0 and until >= t[-1]:
+            end_state = (0, until)
+        else:
+            begin = max(int(since[-1]), low if piece == last else int(starts[last]))
+            whole = last == 0 and untouched and quiet == n
+            end_state = (n - begin + (carried if whole else 0), None)
+        return np.array(trips, np.int64), {"trip_us": t[trips], "blocked": blocked, "spill_us": spill}, end_state
+
+    def transition(self, table):
+        """End states for each count a closed key may come with, and for each
+        event that may be the first behind an open window."""
+        t = table.column(1).to_numpy()
+        failed = table.column(3).to_numpy(zero_copy_only=False)
+        n, need = len(t), self.threshold
+        since = self._since(failed, np.zeros(1, np.int64))
+        able = np.append(np.flatnonzero(np.arange(n) - since + 1 >= need), n)
+        trip = able[np.searchsorted(able[:-1], np.arange(n) + need - 1)]
+        none = trip == n
+        close = np.where(none, self.NONE, t[np.minimum(trip, n - 1)] + self.timeout)
+        after = np.where(none, n, np.searchsorted(t, close, side="right"))
+        root = np.where(after == n, np.arange(n), after)         # start again from there, until the end
+        while True:
+            further = root[root]
+            if (further == root).all():
+                break
+            root = further
+        count = np.where(none, n - np.maximum(since[-1], np.arange(n)), 0)[root]
+        opened = close[root]
+        quiet = int(np.argmin(failed)) if not failed.all() else n
+        closed = []
+        for c in range(need):
+            if need - c <= quiet:
+                u = int(t[need - c - 1]) + self.timeout
+                x = int(np.searchsorted(t, u, side="right"))
+                closed.append((0, u) if x == n else (count[x], opened[x]))
+            else:
+                closed.append((c + n, self.NONE) if quiet == n else (count[quiet], opened[quiet]))
+        most = min(n - 1, int(np.searchsorted(t, t[0] + self.timeout, side="right")))
+        count, opened = count[:most + 1], opened[:most + 1]
+        new = np.flatnonzero((np.diff(count) != 0) | (np.diff(opened) != 0)) + 1
+        pick = np.append(0, new)
+        head = np.array([len(pick), t[-1]], dtype=np.int64)
+        return np.concatenate([head, np.array(closed, dtype=np.int64).reshape(-1), t[new - 1], count[pick],
+                               opened[pick]]).astype(np.int64).tobytes()
+
+    def step(self, note, state):
+        a = np.frombuffer(note, dtype=np.int64)
+        size, last = int(a[0]), int(a[1])
+        closed, rest = a[2:2 + 2 * self.threshold], a[2 + 2 * self.threshold:]
+        count, until = state
+        if until is None:
+            count, until = closed[2 * count], closed[2 * count + 1]
+        elif until >= last:
+            return (0, until)
+        else:
+            at = int(np.searchsorted(rest[:size - 1], until, side="right"))
+            count, until = rest[size - 1 + at], rest[2 * size - 1 + at]
+        return int(count), None if until == self.NONE else int(until)
 
 
 def breaker_trips(events: DataFrame, key: str = "user_id", ts: str = "ts", order_tiebreak: str = "event_id",
@@ -159,50 +245,27 @@ def breaker_trips(events: DataFrame, key: str = "user_id", ts: str = "ts", order
     window's end); after the timeout the count restarts at zero; any success
     resets it. Events without a time cannot be ordered and take no part.
 
-    One plan for every key and size, on segmented scans (``ordered.py``):
-
-    * a trip needs ``threshold`` failures with no success between them, so
-      only islands with that many are kept;
-    * where an island starts later than ``reset_timeout`` after the last kept
-      failure no window can be open and no count goes on, so the key is cut
-      there;
-    * the pieces fold in parallel over three narrow columns, in memory that
-      does not grow with them. A piece is one unbroken stretch of trouble: a
-      key that fails on and on without such a gap is one fold.
-    """
-    from .ordered import segmented_running
-
+    The walk is folded in pieces (``pieces.py``): the events are sorted once
+    over range partitions, and a key that fails on and on is spread over as
+    many tasks as hold it. A window that reaches past its piece counts the
+    events of the pieces it reaches into."""
     timeout_us = int(reset_timeout_s * 1e6)
-    known = events.where(F.col(ts).isNotNull()).withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
-    x = _islands(known, key, "_t", order_tiebreak, status_col).where("_f")
-    able = x.groupBy(key, "island").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("_t", order_tiebreak)).alias("_first")) \
-        .where(F.col("_n") >= threshold)
-    able = able.withColumnRenamed(key, "_k").withColumnRenamed("island", "_i")
-    kept = x.join(able, x[key].eqNullSafe(F.col("_k")) & (x.island == F.col("_i"))).select(
-        key, "_t", order_tiebreak, "island",
-        (F.struct("_t", order_tiebreak) == F.col("_first")).alias("_start"))
-    kept = segmented_running(kept, key, ["_t", order_tiebreak], "_t", "_before", op="previous")
-    cut = F.col("_start") & (F.col("_before").isNull() | (F.col("_t") - F.col("_before") > timeout_us))
-    kept = segmented_running(kept.withColumn("_cut", cut.cast("long")), key, ["_t", order_tiebreak], "_cut", "_seg")
-    folded = (kept.select(F.col(key).alias("key"), "_seg", "island", "_t", order_tiebreak)
-              .repartition("key", "_seg").sortWithinPartitions("key", "_seg", "_t", order_tiebreak)
-              .select("key", "_seg", "island", "_t"))
-    kind = events.schema[key].dataType.simpleString()
-    trips = folded.mapInArrow(_fold(threshold, timeout_us), f"key {kind}, trip_us long")
-    # what a window blocks, found by time bins as long as a window: a trip
-    # looks into two bins, and a bin holds at most two trips of a key
-    trips = cut_lineage(trips, events.sparkSession, "trips")
-    bin_of = lambda t: F.floor(t / F.lit(timeout_us))
-    look = trips.select("key", "trip_us", F.explode(F.array(bin_of(F.col("trip_us")), bin_of(F.col("trip_us") + F.lit(timeout_us))))
-                        .alias("bin")).distinct()
-    seen = known.select(F.col(key).alias("_k"), F.col("_t"), bin_of(F.col("_t")).alias("_b"))
-    blocked = (look.join(seen, F.col("key").eqNullSafe(F.col("_k")) & (F.col("bin") == F.col("_b"))
-                         & (F.col("_t") > F.col("trip_us")) & (F.col("_t") <= F.col("trip_us") + F.lit(timeout_us)))
-               .groupBy(F.col("key").alias("_k"), F.col("trip_us").alias("_u")).agg(F.count(F.lit(1)).alias("n")))
-    return (trips.join(blocked, F.col("key").eqNullSafe(F.col("_k")) & (F.col("trip_us") == F.col("_u")), "left")
+    failed = F.coalesce(F.col(status_col) == FAILURE_TYPE, F.lit(False))
+    walk = events.where(F.col(ts).isNotNull()).select(
+        F.col(key).alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("t"), F.col(order_tiebreak).alias("tb"),
+        failed.alias("failed"))
+    new = [T.StructField(c, T.LongType()) for c in ("trip_us", "blocked", "spill_us")]
+    found, passed = fold_pieces(walk, ["t", "tb"], _Breaker(threshold, timeout_us), new, "breaker")
+    trips = cut_lineage(found.select("_p", "key", "trip_us", "blocked", "spill_us"), events.sparkSession, "trips")
+    spills = trips.where("spill_us is not null").select(F.col("_p").alias("from"), F.col("key").alias("k"), "trip_us", "spill_us")
+    later = spills.join(passed.select(F.col("_p").alias("at"), "key", "t"), F.col("key").eqNullSafe(F.col("k"))
+                        & (F.col("at") > F.col("from")) & (F.col("t") > F.col("trip_us")) & (F.col("t") <= F.col("spill_us"))) \
+        .groupBy("from", F.col("trip_us").alias("u")).agg(F.count(F.lit(1)).alias("more"))
+    until = F.col("trip_us") + F.lit(timeout_us)
+    return (trips.join(later, F.col("spill_us").isNotNull() & (F.col("_p") == F.col("from")) & (F.col("trip_us") == F.col("u")), "left")
             .select(F.col("key").alias(key), F.timestamp_micros("trip_us").alias("trip_at"),
-                    F.timestamp_micros(F.col("trip_us") + F.lit(timeout_us)).alias("open_until"),
-                    F.coalesce("n", F.lit(0).cast("long")).alias("blocked_events")))
+                    F.timestamp_micros(until).alias("open_until"),
+                    (F.col("blocked") + F.coalesce("more", F.lit(0).cast("long"))).alias("blocked_events")))
 
 
 def open_keys(trips: DataFrame, as_of, key: str = "user_id") -> DataFrame:

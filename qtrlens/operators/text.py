@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import estimate_tokens, normalize_vector, tokenize
 from ..session import cut_lineage
+from .pieces import fold_pieces
 from .shares import meet_shares
 
 # ---------------------------------------------------------------- fixed values
@@ -73,25 +74,67 @@ def recent_notes_summary(notes: DataFrame, group_col: str = "conv_id", seq_col:
 
 # ------------------------------------------------------------------ packing
 
-def _pack_batches(limit: int, template_tokens: int):
-    """Greedy fold over rows sorted by (group, order); restarts at each group.
-    Every row gets its chunk number and goes out with its batch."""
-    def fn(batches):
-        prev, cur, c = object(), 0, 0
-        for batch in batches:
-            chunk = []
-            for g, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if g != prev:
-                    prev, cur, c = g, t, 0
-                elif cur + t + template_tokens > limit:
-                    c += 1
-                    cur = t
-                else:
-                    cur += t
-                chunk.append(c)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunk, pa.int32())],
-                                             names=[*batch.schema.names, "chunk_no"])
-    return fn
+class _Packing:
+    """Greedy chunks over one group's texts (columns: group, tokens, ...). A
+    chunk's successor is found by binary search in the prefix sums, so the
+    chunk starts are a chain of pointers. State: the tokens in the open chunk
+    and its number."""
+
+    fresh = (1 << 60, -1)         # full: the first text starts chunk 0
+
+    def __init__(self, limit: int, template_tokens: int):
+        self.room = limit - template_tokens
+
+    def _chain(self, tokens, ends):
+        """Prefix sums, and for a chunk begun at each text where the next begins."""
+        total = np.concatenate([[0], np.cumsum(tokens)])
+        at = np.arange(len(tokens))
+        follow = np.searchsorted(total[1:], total[:-1] + self.room, side="right")
+        return total, np.minimum(np.maximum(follow, at + 1), ends)
+
+    def fold(self, table, starts, state):
+        tokens = table.column(1).to_numpy()
+        n = len(tokens)
+        size = np.diff(np.append(starts, n))
+        total, follow = self._chain(tokens, np.repeat(starts + size, size))
+        cur, number = state
+        at = min(int(np.searchsorted(total[1:], self.room - cur, side="right")), int(size[0]))
+        mark = np.zeros(n, dtype=np.int64)
+        chain = follow.tolist()
+        while at < n:
+            mark[at] = 1
+            at = chain[at]
+        upto = np.cumsum(mark)
+        base = np.where(np.arange(len(starts)) == 0, -number, upto[starts])
+        chunk = upto - np.repeat(base, size)
+        last = int(starts[-1])
+        begun = np.flatnonzero(mark[last:])
+        cur = int(total[n] - total[last + begun[-1]]) if len(begun) else cur + int(total[n])
+        return np.arange(n), {"chunk_no": chunk}, (cur, int(chunk[-1]))
+
+    def transition(self, table):
+        """For each text that may be the first of a new chunk: the tokens left
+        in the last chunk and the chunks begun, by pointer doubling."""
+        tokens = table.column(1).to_numpy()
+        n = len(tokens)
+        total, follow = self._chain(tokens, np.full(len(tokens), n))
+        root = np.where(follow == n, np.arange(n), follow)
+        hops = (follow < n).astype(np.int64)
+        while hops.any() and (root[root] != root).any():
+            hops, root = hops + hops[root], root[root]
+        most = min(n - 1, int(np.searchsorted(total[1:], self.room, side="right")))
+        pick = slice(0, most + 1)
+        return np.concatenate([[total[n]], total[1:][pick], (total[n] - total[root])[pick], hops[pick] + 1]) \
+            .astype(np.int64).tobytes()
+
+    def step(self, note, state):
+        a = np.frombuffer(note, dtype=np.int64)
+        upto, left, begun = a[1:].reshape(3, -1)
+        cur, number = state
+        at = int(np.searchsorted(upto, self.room - cur, side="right"))
+        if at == len(upto):
+            return cur + int(a[0]), number
+        return int(left[at]), number + int(begun[at])
 
 
 def pack_by_token_budget(df: DataFrame, template: str, context_token_limit: int,
@@ -102,18 +145,18 @@ def pack_by_token_budget(df: DataFrame, template: str, context_token_limit: int,
     a text larger than the limit sits alone. Each chunk's prompt is the
     template, a blank line, then its texts joined by newlines.
 
-    Groups and turns may be of any type, null or repeated: rows are ordered by
-    turn (null first), then text, and each keeps its place through the fold,
-    so nothing is joined back. A null text counts as empty. The fold is
-    sequential per group by nature; it holds one batch at a time, and a
-    chunk's texts meet in a group bounded by the limit."""
+    Groups and turns may be null or repeated: rows are ordered by turn (null
+    first), then text, and each keeps its place through the fold, so nothing
+    is joined back. A null text counts as empty. The rows are sorted once over
+    range partitions and folded in pieces (``pieces.py``), so one very long
+    conversation is spread over tasks; a chunk's texts meet in a group bounded
+    by the limit."""
     tpl_tokens = max(1, len(template) // 4)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.col(group_col).alias("group"), estimate_tokens(text).alias("tok"),
                      F.col(seq_col).alias("seq"), text.alias("body"))
-    rows = rows.repartition("group").sortWithinPartitions("group", "seq", "body")
-    schema = T.StructType(rows.schema.fields + [T.StructField("chunk_no", T.IntegerType())])
-    chunks = rows.mapInArrow(_pack_batches(context_token_limit, tpl_tokens), schema)
+    chunks, _ = fold_pieces(rows, ["seq", "body"], _Packing(context_token_limit, tpl_tokens),
+                            [T.StructField("chunk_no", T.IntegerType())], "packing")
     per = chunks.groupBy("group", "chunk_no").agg(
         F.count(F.lit(1)).alias("n_texts"),
         F.sum("tok").alias("text_tokens"),
