@@ -1,34 +1,36 @@
 """Packing documents into training windows by lexical retrieval.
 
-Documents are tokenised once and stored as id arrays. BM25 inverted indexes
-are built over shards of about ``shard_tokens`` tokens, with document
-frequencies and lengths counted over the whole corpus, and every shard answers
-the seeds of all shards: a task takes a block of seeds through all shards and
-keeps the nearest of each. Packing goes seed by seed: a seed document fills
-the window, its nearest unused neighbours (by its strongest terms, then by
-all) follow, greedily, and the one that is cut at the window's end seeds the
-next. Documents may be cut anywhere; every token lies in exactly one piece,
-and only the corpus' last window is padded. How the
-corpus falls into shards does not change the result.
-
-Up to ``COMPLETE`` documents every list is complete and the result is that of
-``pack_shard`` over all documents. Above, a list holds a seed's ``NEAREST``
-neighbours; a run of documents whose last seed finds its whole list used is
-set aside, and the next round asks all shards again, for the runs' last seeds
-and the runs' first documents, with lists longer as the runs are fewer, until
-no list finds anything. Windows inside a run that follows another start where
-that one ends, so its seeds need not lie at a window's start.
-
-The greedy order is one task's: it sees no ids of tokens, but every document's
-list (about 150 bytes a document). Retrieval grows with the square of the
-corpus. What every task gets from the corpus is one frequency per vocabulary
-entry.
+Documents are tokenised once and stored as id arrays, with document frequencies
+counted over the whole corpus (one entry per vocabulary entry passes the
+driver). A document's *query* are its ``QUERY_TERMS`` strongest ids by BM25
+weight. Packing goes in rounds over what is left:
+
+1. some of the documents, picked by hash, are seeds; the others are indexed by
+   BM25 in shards (``operators/shares.py``), every shard answers every seed,
+   and a window keeps each seed's nearest of all shards;
+2. a seed asks for its nearest unused neighbours, as many as fill its window; a
+   document asked for by several goes to the one that scores it best, the
+   others ask for their next, until a list or the window's room is used up;
+3. a seed with what it got is done; documents that nobody got go on.
+
+The share of seeds follows from the mean length (a seed needs half a window on
+average) and grows from round to round until all that is left are seeds, so
+the rounds are few (about ten) whatever the corpus' size, and one plan holds
+for every size. Seeds with their neighbours stand in one row ordered by the
+seed's strongest id, cut every ``window`` tokens, so only the corpus' last
+window is padded; a window therefore need not start with its seed, and its
+last document may go on in the next. Every token lies in exactly one piece.
+
+Nothing is gathered: a task holds one shard of bounded size and a block of
+seeds, claims are narrow joins, and offsets are a segmented running sum.
+Retrieval grows with seeds x others, through the postings of a query's few
+terms.
 
 Defined results: a null text is empty, so its document is the end token only.
 Null ids and repeated rows are documents of their own. An empty table gives
-an empty result; other columns are not looked at. Equal scores go by doc_id
-and a hash of the ids in complete lists, else by that hash onward from the
-seed's own, so that copies do not all name the same few.
+an empty result; other columns are not looked at. Equal scores go by a hash of
+id and tokens, onward from the seed's own, so that copies do not all name the
+same few.
 """
 
 from __future__ import annotations
@@ -40,19 +42,21 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qtrlens.llm.bpe import load_bpe
-from qtrlens.llm.common import narrow, shuffle_parts, stored
+from qtrlens.llm.common import narrow, stored
+from qtrlens.operators.ordered import segmented_running_sum
+from qtrlens.operators.shares import meet_shares
 
 WINDOW = 1024
-SHARD_TOKENS = 1_000_000
 END_ID = 0
-QUERY_TERMS = 24
-NEAREST, COMPLETE = 32, 1024            # neighbours of a list; documents whose lists are complete
-SEED_BLOCK = 16_384                     # seeds that one task takes through all shards, at most
-CELLS = 1 << 19                         # scores of one numpy step
+QUERY_TERMS = 8
+SHARE_ROWS = 1 << 14                    # documents of an index shard, at most
+SEED_BLOCK = 4096                       # seeds a shard answers at a time
+CELLS = 1 << 20                         # scores of one numpy step
+GROUPS = 128                            # a row of scores is cut into so many groups to find a lower bound of the k-th
 K1, B = 1.2, 0.75
 _TOTAL_DOCS, _TOTAL_TOKENS = -2, -1     # pseudo terms of the counts table: its last two entries
 
@@ -148,333 +152,120 @@ def strongest(terms: np.ndarray, weight: np.ndarray, most: int) -> np.ndarray:
     return np.sort(terms[np.argsort(-weight, kind="stable")[:most]])
 
 
-class Shard:
-    """BM25 inverted index over the documents of one shard."""
-
-    def __init__(self, ids: list[np.ndarray], idf: np.ndarray, avg_len: float, query_terms: int):
-        n = len(ids)
-        lens = np.array([len(x) - 1 for x in ids], dtype=np.int64)
-        flat = np.concatenate([x[:-1] for x in ids]).astype(np.int64) if n else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(n, dtype=np.int64), lens)
-        key, tf = np.unique(doc * len(idf) + flat, return_counts=True)
-        d, term = key // len(idf), key % len(idf)
-        norm = K1 * (1 - B + B * lens / max(avg_len, 1e-9))
-        weight = (idf[term] * tf * (K1 + 1) / (tf + norm[d])).astype(np.float32)
-        self.n, self.query_terms = n, query_terms
-        self.doc_at = np.searchsorted(d, np.arange(n + 1))
-        self.doc_term, self.doc_weight = term, weight
-        order = np.argsort(term, kind="stable")
-        self.post_doc, self.post_weight = d[order].astype(np.int32), weight[order]
-        self.term_at = np.searchsorted(term[order], np.arange(len(idf) + 1))
-
-    def neighbours(self, seed: int, used: np.ndarray, most: int) -> np.ndarray:
-        """Unused documents by BM25 score for the seed's strongest terms, or
-        for all of its terms where those find none."""
-        lo, hi = self.doc_at[seed], self.doc_at[seed + 1]
-        terms = self.doc_term[lo:hi]
-        if len(terms) > self.query_terms:
-            top = self._best(strongest(terms, self.doc_weight[lo:hi], self.query_terms), used, most)
-            if len(top):
-                return top
-        return self._best(terms, used, most)
-
-    def _best(self, terms: np.ndarray, used: np.ndarray, most: int) -> np.ndarray:
-        spans = [slice(self.term_at[t], self.term_at[t + 1]) for t in terms]
-        if not spans:
-            return np.zeros(0, dtype=np.int64)
-        score = np.bincount(np.concatenate([self.post_doc[s] for s in spans]),
-                            weights=np.concatenate([self.post_weight[s] for s in spans]), minlength=self.n)
-        score[used] = 0
-        top = np.flatnonzero(score)
-        if len(top) > most:
-            top = top[score[top] >= np.partition(score[top], -most)[-most]]
-        return top[np.argsort(-score[top], kind="stable")][:most]
-
-
-def pack_shard(ids: list[np.ndarray], idf: np.ndarray, avg_len: float, window: int = WINDOW,
-               query_terms: int = QUERY_TERMS):
-    """Pieces ``(document, start, length, sequence, offset)`` of one shard."""
-    index = Shard(ids, idf, avg_len, query_terms)
-    used = np.zeros(len(ids), dtype=bool)
-    pieces, at, seq, off = [], 0, 0, 0
-
-    def place(d):
-        nonlocal seq, off
-        start, left, cut = 0, len(ids[d]), False
-        used[d] = True
-        while left:
-            take = min(left, window - off)
-            pieces.append((d, start, take, seq, off))
-            start, left, off = start + take, left - take, off + take
-            if off == window:
-                seq, off, cut = seq + 1, 0, True
-        return cut
-
-    while at < len(ids):
-        if used[at]:
-            at += 1
-            continue
-        seed = at
-        place(seed)
-        while off:                             # the window has room: the seed's neighbours
-            found = index.neighbours(seed, used, 32)
-            if not len(found):
-                break                          # none left: the next unused document goes on here
-            for d in found:
-                if place(int(d)):              # cut (or ends the window): it seeds the next one
-                    seed = int(d)
-                    break
-    return pieces
-
-
-# ------------------------------------------------- retrieval from all shards
-# A run is a row of documents that follow each other; ``run`` is the row of its
-# first. In the first round every document is a run.
-_META = ["run", "last", "doc_key", "name", "length"]
-
-
-def _dump(*arrays: np.ndarray) -> bytes:
-    return b"".join([np.array([len(a) for a in arrays], dtype=np.int64).tobytes(), *(a.tobytes() for a in arrays)])
-
-
-def _load(raw: bytes, *kinds) -> list[np.ndarray]:
-    at, out = 8 * len(kinds), []
-    for n, kind in zip(np.frombuffer(raw, dtype=np.int64, count=len(kinds)), kinds):
-        out.append(np.frombuffer(raw, dtype=kind, count=n, offset=at))
-        at += int(n) * np.dtype(kind).itemsize
-    return out
-
-
-_INDEX = (np.int64, np.int64, np.int64, np.int32, np.int32, np.float32)
-_SEEDS = (np.int64,) * 5 + (np.int32, np.int32, np.bool_)
-_LISTS = (np.int64,) * 7
-
-
-def _shards(idf_raw: bytes, avg_len: float, kind: str, shard_tokens: int, query_terms: int, mode: str):
-    """Documents (``ids, head, tail`` and their run) to one row per shard: the
-    index of its runs' first documents and the terms of its runs' last."""
-    idf = np.frombuffer(idf_raw, dtype=np.float64)
+def weights_of(ids: np.ndarray, idf: np.ndarray, avg_len: float) -> tuple[np.ndarray, np.ndarray]:
+    """A document's different ids and their BM25 weights."""
+    terms, tf = np.unique(ids, return_counts=True)
+    norm = K1 * (1 - B + B * len(ids) / max(avg_len, 1e-9))
+    return terms.astype(np.int32), (idf[terms] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
 
-    def index_of(shard, meta):
-        return _dump(meta[0], meta[2], meta[3], shard.term_at.astype(np.int32), shard.post_doc, shard.post_weight)
-
-    def seeds_of(shard, meta):
-        counts, terms, strong = [], [], []
-        for i in range(shard.n):
-            lo, hi = shard.doc_at[i], shard.doc_at[i + 1]
-            mine = shard.doc_term[lo:hi]
-            best = strongest(mine, shard.doc_weight[lo:hi], query_terms)
-            if mode == "end":
-                mine = mine[:0]
-            elif mode == "strong":
-                mine = best
-            counts.append(len(mine))
-            terms.append(mine)
-            strong.append(np.isin(mine, best) if mode == "complete" else np.ones(len(mine), dtype=bool))
-        return _dump(*meta, np.array(counts, dtype=np.int32), np.concatenate(terms).astype(np.int32),
-                     np.concatenate(strong))
 
-    def run(batches):
-        def emit(held):
-            out, shards = [], []
-            for at, make in ((1, index_of), (2, seeds_of)):
-                rows = [h for h in held if h[at]]
-                same = at == 2 and len(rows) == len(held) and shards and shards[0].n == len(held)
-                shard = shards[0] if same else Shard([h[0] for h in rows], idf, avg_len, query_terms) if rows else None
-                meta = [np.array(c, dtype=np.int64) for c in zip(*(h[3] for h in rows))]
-                out.append(pa.array([make(shard, meta) if rows else None], pa.binary()))
-                shards += [shard] if shard else []
-            return pa.RecordBatch.from_arrays(out, names=["index", "seeds"])
-
-        held, size = [], 0
-        for batch in batches:
-            cols = [batch.column(k).to_pylist() for k in range(1, batch.num_columns)]
-            for raw, head, tail, *meta in zip(batch.column(0), *cols):
-                ids = np.frombuffer(raw.as_py(), dtype=kind)
-                if held and size + len(ids) > shard_tokens:
-                    yield emit(held)
-                    held, size = [], 0
-                held.append((ids, head, tail, meta))
-                size += len(ids)
-        if held:
-            yield emit(held)
-    return run
+_TERMS = "row long, name long, length long, lead int, terms binary, weights binary, query binary"
 
 
-def _one_block(batches):
-    parts = [_load(x.as_py(), *_SEEDS) for batch in batches for x in batch.column(0)]
-    if parts:
-        yield pa.RecordBatch.from_arrays([pa.array([_dump(*map(np.concatenate, zip(*parts)))], pa.binary())],
-                                         names=["seeds"])
-
-
-class _Block:
-    """A block of seeds on its way through the shards, with the nearest found
-    so far."""
-
-    def __init__(self, raw: bytes, nearest: int, complete: bool):
-        *self.meta, counts, self.terms, self.strong = _load(raw, *_SEEDS)
-        self.n, self.nearest, self.complete = len(self.meta[0]), nearest, complete
-        self.at = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-        self.least = np.zeros(self.n)         # a candidate's score is above 0 and not below this
-        self.kept = [np.zeros(0, k) for k in (np.int64, np.float64, np.int64, np.int64, np.int64)]
-        self.found, self.size = [], 0
-
-    def meet(self, raw: bytes):
-        runs, key, name, term_at, post_doc, post_weight = _load(raw, *_INDEX)
-        n = len(runs)
-        step = max(1, CELLS // n)
-        scores = self._scores(n, term_at, post_doc, post_weight)
-        for lo in range(0, self.n, step):
-            hi = min(lo + step, self.n)
-            score = scores(lo, hi)
-            if self.complete:
-                s, d = np.nonzero(score)
-            else:
-                least = self.least[lo:hi, None]
-                hit = (score > 0) & (score >= least)
-                if n > self.nearest + 1 and np.count_nonzero(hit) > 4 * self.nearest * (hi - lo):
-                    cut = n - self.nearest - 1                  # one more, as the seed itself may be among them
-                    hit &= score >= np.partition(score, cut, axis=1)[:, cut:cut + 1]
-                s, d = np.nonzero(hit)
-            other = runs[d] != self.meta[0][lo + s]
-            s, d = s[other], d[other]
-            self.found.append((lo + s, score[s, d], runs[d], key[d], name[d]))
-            self.size += len(s)
-        if self.size > max(200_000, len(self.kept[0])):
-            self.merge()
-
-    def _scores(self, n, term_at, post_doc, post_weight):
-        """Scores of the seeds lo to hi, as ``Shard`` adds them up."""
-        def add(which, lo, hi):
-            seed = np.repeat(np.arange(hi - lo), np.diff(self.at[lo:hi + 1]))[which[self.at[lo]:self.at[hi]]]
-            terms = self.terms[self.at[lo]:self.at[hi]][which[self.at[lo]:self.at[hi]]]
-            first, size = term_at[terms].astype(np.int64), (term_at[terms + 1] - term_at[terms]).astype(np.int64)
-            upto = np.cumsum(size)
-            at = np.arange(upto[-1] if len(upto) else 0) + np.repeat(first - (upto - size), size)
-            return np.bincount(np.repeat(seed * n, size) + post_doc[at], weights=post_weight[at],
-                               minlength=(hi - lo) * n).reshape(hi - lo, n)
-
-        every = np.ones(len(self.terms), dtype=bool)
-
-        def scores(lo, hi):
-            score = add(self.strong, lo, hi)
-            if not self.strong[self.at[lo]:self.at[hi]].all():
-                rest = add(every, lo, hi)     # what only the other terms find comes after the rest
-                only = (score == 0) & (rest > 0)
-                score[only] = -1 / rest[only]
-            return score
-
-        return scores
-
-    def merge(self):
-        seed, score, runs, key, name = (np.concatenate(c) for c in zip(self.kept, *self.found))
-        if self.complete:
-            order = np.lexsort((name, key, -score, seed))
-        else:                                 # equal scores: in the order of names, onward from the seed's
-            order = np.lexsort((name.view(np.uint64) - self.meta[3][seed].view(np.uint64), -score, seed))
-            s = seed[order]
-            order = order[np.arange(len(s)) - np.searchsorted(s, s, side="left") < self.nearest]
-        self.kept = [c[order] for c in (seed, score, runs, key, name)]
-        self.found, self.size = [], 0
-        if not self.complete and len(order):
-            ends = np.searchsorted(self.kept[0], np.arange(self.n + 1))
-            full = np.flatnonzero(np.diff(ends) == self.nearest)
-            self.least[full] = self.kept[1][ends[full + 1] - 1]
-
-    def lists(self) -> bytes:
-        self.merge()
-        counts = np.bincount(self.kept[0], minlength=self.n).astype(np.int64)
-        return _dump(*self.meta, counts, self.kept[2])
-
-
-def _search(nearest: int, complete: bool):
+def _weighted(idf_raw: bytes, avg_len: float, kind: str, query_terms: int):
+    """Id arrays to what the index and the queries need."""
+    idf = np.frombuffer(idf_raw, dtype=np.float64)
+
     def run(batches):
-        block = None
         for batch in batches:
-            for index, seeds in zip(batch.column(0), batch.column(1)):
-                block = block or _Block(seeds.as_py(), nearest, complete)
-                block.meet(index.as_py())
-        if block:
-            yield pa.RecordBatch.from_arrays([pa.array([block.lists()], pa.binary())], names=["lists"])
+            lead, cols = [], ([], [], [])
+            for raw in batch.column(3):
+                terms, weight = weights_of(np.frombuffer(raw.as_buffer(), dtype=kind)[:-1], idf, avg_len)
+                best = strongest(terms, weight, query_terms)
+                lead.append(int(terms[np.argmax(weight)]) if len(terms) else -1)
+                for c, x in zip(cols, (terms, weight, best)):
+                    c.append(x.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(lead, pa.int32()), *(pa.array(c, pa.binary()) for c in cols)],
+                names=["row", "name", "length", "lead", "terms", "weights", "query"])
     return run
 
 
-def _nearest_lists(docs: DataFrame, shards, runs: int, nearest: int, complete: bool) -> DataFrame:
-    """Stored lists of every run's nearest others, one row per block."""
-    spark = docs.sparkSession
-    both = stored(docs.mapInArrow(shards, "index binary, seeds binary"), "op7-shards")
-    blocks = max(math.ceil(runs / SEED_BLOCK), min(shuffle_parts(spark), math.ceil(runs / 2048)))
-    seeds = both.where("seeds is not null").select("seeds").repartition(blocks).mapInArrow(_one_block, "seeds binary")
-    index = both.where("index is not null").select("index").coalesce(1)   # each block's task reads all of it
-    pairs = index.crossJoin(seeds.hint("shuffle_replicate_nl"))
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(rows)
-    spark.conf.set(rows, 2)                    # a row holds a whole shard
-    try:
-        return stored(pairs.mapInArrow(_search(nearest, complete), "lists binary"), "op7-lists")
-    finally:
-        spark.conf.set(rows, before)
+def _flat(column, kind) -> tuple[np.ndarray, np.ndarray]:
+    """A column of number arrays as one array, and the arrays' sizes."""
+    parts = [np.frombuffer(x.as_buffer(), dtype=kind) for x in column]
+    return (np.concatenate(parts) if parts else np.zeros(0, kind)), np.array([len(x) for x in parts], dtype=np.int64)
 
 
-_STEP = "item long, run long, at long, last long, doc_key long, name long, length long"
+_LIST = "seed long, row long, length long, score double, tie long"
 
 
-def _follow(window: int, final: bool):
-    """The greedy order over all lists: each run's new run and its place there
-    in tokens; ``last`` and ``length`` are set for the first of a new run. In
-    the final round everything becomes one run."""
-    def run(batches):
-        parts = [_load(x.as_py(), *_LISTS) for batch in batches for x in batch.column(0)]
-        if not parts:
-            return
-        item, last, key, name, length, counts = (np.concatenate([p[k] for p in parts]) for k in range(6))
-        order = np.lexsort((item, name, key))
-        at = np.concatenate([[0], np.cumsum(counts)])
-        by_item = np.argsort(item)
-        rank = np.empty(len(item), dtype=np.int32)
-        rank[order] = np.arange(len(item), dtype=np.int32)
-        near = np.concatenate([rank[by_item[np.searchsorted(item[by_item], p[6])]] for p in parts])
-        del parts
-        lo, hi, size = at[:-1][order], at[1:][order], length[order].tolist()
-        n = len(item)
-        used, run_of, start = bytearray(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        end, total = np.full(n, -1, np.int64), np.zeros(n, np.int64)
-        head = pos = 0
-
-        def place(d):
-            nonlocal pos
-            used[d] = 1
-            run_of[d], start[d] = head, pos
-            cut = pos % window + size[d] >= window
-            pos += size[d]
-            return cut
-
-        for d in range(n):
-            if used[d]:
-                continue
-            if not final:
-                head, pos = d, 0
-            place(d)
-            seed = d
-            while pos % window:
-                for x in near[lo[seed]:hi[seed]].tolist():
-                    if not used[x] and place(x):
-                        seed = x
-                        break
-                else:
-                    break
-            end[head], total[head] = seed, pos
-        item, last = item[order], last[order]
-        first = end >= 0
-        cols = [item, item[run_of], start, last[np.maximum(end, 0)], key[order], name[order], total]
-        for a in range(0, n, 65_536):
-            part = [c[a:a + 65_536] for c in cols]
-            none = ~first[a:a + 65_536]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64(), mask=none if k in (3, 6) else None) for k, c in enumerate(part)],
-                names=["item", "run", "at", "last", "doc_key", "name", "length"])
-    return run
+def _nearest(k: int):
+    """A shard's inverted index, and its ``k`` nearest for every seed."""
+    def scorer(entries):
+        n = len(entries)
+        row, name, length = (entries[c].to_numpy() for c in ("row", "name", "length"))
+        term, size = _flat(entries["terms"], np.int32)
+        order = np.argsort(term, kind="stable")
+        post_doc = np.repeat(np.arange(n), size)[order]
+        post_weight = _flat(entries["weights"], np.float32)[0][order]
+        known, first = np.unique(term[order], return_index=True)
+        known, first = np.append(known, 1 << 30), np.append(first, [len(term)] * 2)     # the last one has no postings
+
+        def score(seeds):
+            asked, own = _flat(seeds["query"], np.int32)
+            seed, seed_name = seeds["seed"].to_numpy(), seeds["name"].to_numpy()
+            at = np.searchsorted(known, asked)
+            at[known[at] != asked] = len(known) - 1
+            upto = np.append(0, np.cumsum(own))
+            step = max(1, CELLS // n)
+            for lo in range(0, len(seed), step):
+                hi = min(lo + step, len(seed))
+                mine = at[upto[lo]:upto[hi]]
+                span = first[mine + 1] - first[mine]
+                place = np.repeat(first[mine] - (np.cumsum(span) - span), span) + np.arange(span.sum())
+                line = np.repeat(np.repeat(np.arange(hi - lo) * n, own[lo:hi]), span)
+                s = np.bincount(line + post_doc[place], weights=post_weight[place], minlength=(hi - lo) * n).reshape(-1, n)
+                least = np.zeros(hi - lo)
+                if n > k * GROUPS:               # the k-th largest of group maxima is not above the k-th largest
+                    width = n // GROUPS
+                    top = s[:, :GROUPS * width].reshape(-1, GROUPS, width).max(axis=2)
+                    if k <= GROUPS:
+                        least = np.partition(top, GROUPS - k, axis=1)[:, GROUPS - k]
+                q, d = np.nonzero((s >= least[:, None]) & (s > 0))
+                x = s[q, d]
+                tie = (name[d].view(np.uint64) - seed_name[lo + q].view(np.uint64)) >> np.uint64(1)
+                order = np.lexsort((tie, -x, q))
+                of = q[order]
+                order = order[np.arange(len(of)) - np.searchsorted(of, of, side="left") < k]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(seed[lo + q[order]]), pa.array(row[d[order]]), pa.array(length[d[order]]), pa.array(x[order]),
+                     pa.array(tie[order].astype(np.int64))], names=["seed", "row", "length", "score", "tie"])
+        return score
+    return scorer
+
+
+def nearest_lists(seeds: DataFrame, others: DataFrame, k: int) -> DataFrame:
+    """``seed, row, length, score, tie, rank``: for every seed its ``k``
+    nearest of all ``others``, from all shards."""
+    found = meet_shares(others.select("row", "name", "length", "terms", "weights"),
+                        seeds.select(F.col("row").alias("seed"), "name", "query"), _nearest(k), _LIST,
+                        share_rows=SHARE_ROWS, block=SEED_BLOCK)
+    w = Window.partitionBy("seed").orderBy(F.desc("score"), "tie", "row")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def claims(lists: DataFrame, rooms: DataFrame) -> list[DataFrame]:
+    """Who gets whom: stored tables of ``seed, row, length, rank, turn``.
+    ``rooms``: ``seed, room``, the tokens a seed's window still takes. In a
+    turn every seed asks for its nearest open neighbours until they fill its
+    room; the best score wins each, and what was asked for is used. A list is
+    at most as many turns as it is long."""
+    left, got = lists.join(rooms, "seed").where("room > 0"), []
+    while True:
+        mine = Window.partitionBy("seed").orderBy("rank")
+        before = F.coalesce(F.sum("length").over(mine.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        asked = left.withColumn("asks", before < F.col("room"))
+        best = asked.where("asks").groupBy("row").agg(
+            F.max(F.struct("score", (-F.col("tie")).alias("t"), "seed")).alias("best")).select("row", F.col("best.seed").alias("winner"))
+        turn = stored(asked.join(best, "row", "left").withColumn("wins", F.coalesce(F.col("asks") & (F.col("winner") == F.col("seed")), F.lit(False)))
+                      .withColumn("room", F.col("room") - F.sum(F.when(F.col("wins"), F.col("length")).otherwise(0))
+                                  .over(Window.partitionBy("seed"))), "op7-turn")
+        won = turn.where("wins").select("seed", "row", "length", "rank", F.lit(len(got)).alias("turn"))
+        got.append(won)
+        left = turn.where("winner is null and room > 0").select(*lists.columns, "room")
+        if left.isEmpty():
+            return got
 
 
 _OUT = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -510,7 +301,7 @@ def _cut(window: int, kind: str, with_ids: bool):
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-         shard_tokens: int = SHARD_TOKENS, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+         end_id: int = END_ID, with_ids: bool = True, query_terms: int = QUERY_TERMS) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset`` and, unless ``with_ids`` is false, ``ids`` (the
     piece's ids as little-endian unsigned 32-bit numbers)."""
@@ -521,38 +312,41 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     df = np.zeros(size)
     df[list(counts)] = list(counts.values())
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
-    kind = "<u2" if size <= 1 << 16 else "<u4"
+    kind, mean = "<u2" if size <= 1 << 16 else "<u4", max(1.0, n_tokens / n_docs)
     texts = tokens.where("counts is null")
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
-    rows = texts.select("ids", F.lit(True).alias("head"), F.lit(True).alias("tail"), F.col("row").alias("run"),
-                        F.col("row").alias("last"), key.alias("doc_key"), "name", F.col("n_tokens").alias("length"))
-    runs, mode, place = n_docs, "strong", None
-    while True:
-        nearest = max(NEAREST, NEAREST * n_docs // runs)
-        complete = runs <= COMPLETE or nearest >= runs
-        final = complete or mode == "end"
-        lists = _nearest_lists(rows, _shards(idf.tobytes(), n_tokens / n_docs, kind, shard_tokens, QUERY_TERMS,
-                                             "complete" if complete else mode), runs, nearest, complete)
-        step = stored(lists.coalesce(1).mapInArrow(_follow(window, final), _STEP), "op7-order")
-        if place is None:
-            place = step.select(F.col("item").alias("row"), "run", "at")
-        else:
-            more = step.select(F.col("item").alias("run"), F.col("run").alias("into"), F.col("at").alias("more"))
-            place = stored(place.join(more, "run").select("row", F.col("into").alias("run"),
-                                                          (F.col("at") + F.col("more")).alias("at")), "op7-place")
-        if final:
-            break
-        ends = step.where("last is not null").select("run", "last", "doc_key", "name", "length")
-        left = ends.count()
-        if left > 0.9 * runs:                  # the strongest terms find little more: all terms; these nothing: the end
-            mode = "all" if mode == "strong" else "end" if left == runs else mode
-        runs = left
-        both = ends.select(F.explode(F.array(
-            F.struct(F.col("run").alias("row"), F.lit(True).alias("head"), (F.col("run") == F.col("last")).alias("tail")),
-            F.when(F.col("run") != F.col("last"), F.struct(F.col("last").alias("row"), F.lit(False).alias("head"),
-                                                           F.lit(True).alias("tail"))))).alias("doc"), *_META)
-        both = both.where("doc is not null").select("doc.*", *_META)
-        rows = both.join(texts.select("row", "ids"), "row").select("ids", "head", "tail", *_META)
-    out = texts.join(place.select("row", "at"), "row").select("doc_id", "at", "ids").mapInArrow(
-        _cut(window, kind, with_ids), _OUT)
+    left = stored(texts.select("row", "name", F.col("n_tokens").alias("length"), "ids").mapInArrow(
+        _weighted(idf.tobytes(), n_tokens / n_docs, kind, query_terms), _TERMS), "op7-terms")
+    share, most = mean / (mean + window / 2), 4 + math.ceil(2 * window / mean)
+    bundles, members, turn = [], [], 0
+    while not left.isEmpty():
+        draw = F.pmod(F.xxhash64("name", F.lit(turn)), F.lit(1 << 20))
+        left = left.withColumn("is_seed", draw < F.lit(round((1 - (1 - share) ** (2 ** turn)) * (1 << 20))))
+        seeds, others = left.where("is_seed"), left.where(~F.col("is_seed")).drop("is_seed")
+        rooms = seeds.select(F.col("row").alias("seed"), F.pmod(-F.col("length"), F.lit(window)).alias("room"))
+        won = claims(stored(nearest_lists(seeds, others, most), "op7-lists"), rooms)
+        own = seeds.select(F.col("row").alias("seed"), "row", "length", F.lit(-1).alias("rank"), F.lit(-1).alias("turn"))
+        taken = won[0]
+        for w in won[1:]:
+            taken = taken.unionByName(w)
+        members += [own, taken]
+        bundles.append(seeds.select(F.col("row").alias("seed"), "lead", "name"))
+        left = stored(others.join(taken.select("row"), "row", "left_anti"), "op7-terms")
+        turn += 1
+    if not members:
+        out = texts.select("doc_id", F.lit(0).cast("long").alias("at"), "ids")
+    else:
+        member, bundle = members[0], bundles[0]
+        for m in members[1:]:
+            member = member.unionByName(m)
+        for b in bundles[1:]:
+            bundle = bundle.unionByName(b)
+        w = Window.partitionBy("seed").orderBy("turn", "rank")
+        placed = stored(member.withColumn("upto", F.sum("length").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                        .select("seed", "row", "upto", (F.col("upto") - F.col("length")).alias("inside")), "op7-members")
+        sizes = placed.groupBy("seed").agg(F.max("upto").alias("size")).join(bundle, "seed")
+        row = segmented_running_sum(sizes.withColumn("all", F.lit(0)), "all", ["lead", "name", "seed"], "size", "end")
+        at = placed.join(row.select("seed", (F.col("end") - F.col("size")).alias("begin")), "seed").select(
+            "row", (F.col("begin") + F.col("inside")).alias("at"))
+        out = texts.join(at, "row").select("doc_id", "at", "ids")
+    out = out.mapInArrow(_cut(window, kind, with_ids), _OUT)
     return out if with_ids else out.drop("ids")

@@ -1,6 +1,8 @@
 """Tokenising, packing and chat formatting."""
 
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -9,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from qtrlens.llm import bpe as B
@@ -96,9 +99,10 @@ def test_empty_tables(no_docs, spark, vocabulary):
     assert C.read_chats(C.format_chats(none, vocabulary), vocabulary).collect() == []
 
 
-@pytest.mark.parametrize("shard_tokens", [P.SHARD_TOKENS, 3000])
-def test_packing(docs, rows, vocabulary, library, shard_tokens):
-    got = P.pack(docs, vocabulary, window=128, shard_tokens=shard_tokens).collect()
+@pytest.mark.parametrize("share_rows", [P.SHARE_ROWS, 9])
+def test_packing(docs, rows, vocabulary, library, share_rows, monkeypatch):
+    monkeypatch.setattr(P, "SHARE_ROWS", share_rows)
+    got = P.pack(docs, vocabulary, window=128).collect()
     ids = Counter()
     want = Counter(tuple([*library.encode(t or "", add_special_tokens=False).ids, P.END_ID]) for _, t in rows)
     windows = {}
@@ -116,7 +120,7 @@ def test_packing(docs, rows, vocabulary, library, shard_tokens):
     order = sorted(got, key=lambda r: (r.sequence_id, r.offset))
     open_docs = {}
     for r in order:
-        key = (r.doc_id, r.doc_tokens, r.sequence_id >> 32)
+        key = (r.doc_id, r.doc_tokens)
         if r.start == 0:
             open_docs[key] = b""
         assert len(open_docs[key]) == 4 * r.start
@@ -125,89 +129,85 @@ def test_packing(docs, rows, vocabulary, library, shard_tokens):
             ids[tuple(np.frombuffer(open_docs.pop(key), dtype="<u4").tolist())] += 1
     assert not open_docs and ids == want
     full = sum(sum(r.length for r in p) for p in windows.values())
-    shards = len({s >> 32 for s in windows})
-    assert len(windows) * 128 - full < 128 * shards
-
-
-def test_neighbours_come_first():
-    """A seed's window is filled with documents that share its words."""
-    rng = np.random.default_rng(0)
-    ids = [np.concatenate([rng.integers(100 * (k % 4) + 1, 100 * (k % 4) + 40, 30), [0]]) for k in range(40)]
-    df = np.zeros(500)
-    for x in ids:
-        df[np.unique(x[:-1])] += 1
-    idf = np.log1p((40 - df + 0.5) / (df + 0.5))
-    pieces = P.pack_shard(ids, idf, 30.0, window=124)
-    same = [len({d % 4 for d, *_ in [p for p in pieces if p[3] == s]}) for s in range(10)]
-    assert sorted(p[0] for p in pieces if p[1] == 0) == list(range(40)) and sum(n == 1 for n in same) >= 7
-
-
-def _idf(ids, size):
-    df = np.zeros(size)
-    for x in ids:
-        df[np.unique(x[:-1])] += 1
-    return np.log1p((len(ids) - df + 0.5) / (df + 0.5))
-
-
-def test_neighbours_are_fetched_again():
-    """A window takes all related documents, however short and many."""
-    ids = [np.array([10 * (k % 2) + 1, 10 * (k % 2) + 2, 30 + k, 0]) for k in range(160)]
-    order = [d for d, *_ in P.pack_shard(ids, _idf(ids, 200), 3.0, window=1024)]
-    assert {d % 2 for d in order[:80]} == {0} and sorted(order) == list(range(160))
-
-
-def test_remaining_terms_find_neighbours():
-    """A seed whose strongest terms occur nowhere else still has neighbours."""
-    ids = [np.concatenate([np.arange(100, 140), [5, 0]]), np.array([6, 0]), np.array([7, 0]), np.array([5, 0]),
-           np.array([5, 8, 0])]
-    assert [d for d, *_ in P.pack_shard(ids, _idf(ids, 200), 10.0, window=1024)][:3] == [0, 3, 4]
-
-
-@pytest.fixture(scope="module")
-def encoded(docs, vocabulary):
-    """Ids of the documents in their order of packing, and their idf."""
-    got = P.tokenise(docs, vocabulary).where("counts is null").collect()
-    got.sort(key=lambda r: (-1 << 63 if r.doc_id is None else r.doc_id, r.name, r.row))
-    ids = [np.frombuffer(r.ids, dtype="<u2") for r in got]
-    return got, ids, _idf(ids, len(B.load_bpe(vocabulary).labels))
-
-
-def test_every_shard_answers(docs, encoded, vocabulary):
-    """Small shards give the order of one index over all documents."""
-    got, ids, idf = encoded
-    want = [(got[d].doc_id, start, n, seq, off)
-            for d, start, n, seq, off in P.pack_shard(ids, idf, sum(map(len, ids)) / len(ids), window=128)]
-    for tokens in (3000, P.SHARD_TOKENS):
-        out = P.pack(docs, vocabulary, window=128, shard_tokens=tokens, with_ids=False).collect()
-        out.sort(key=lambda r: (r.sequence_id, r.offset))
-        assert [(r.doc_id, r.start, r.length, r.sequence_id, r.offset) for r in out] == want
-
-
-def test_rounds_find_the_nearest(docs, encoded, vocabulary, monkeypatch):
-    """Incomplete lists hold the nearest of all shards, and runs of several
-    rounds hold every token once."""
-    got, ids, idf = encoded
-    monkeypatch.setattr(P, "COMPLETE", 8)
-    monkeypatch.setattr(P, "NEAREST", 4)
-    search, rounds = P._nearest_lists, []
-    monkeypatch.setattr(P, "_nearest_lists", lambda *a: rounds.append(search(*a)) or rounds[-1])
-    out = P.pack(docs, vocabulary, window=128, shard_tokens=3000, with_ids=False).collect()
-    at = sorted((r.sequence_id * 128 + r.offset, r.length) for r in out)
-    assert [a for a, _ in at] == list(np.cumsum([0] + [n for _, n in at[:-1]])) and sum(n for _, n in at) == sum(map(len, ids))
-    assert len(rounds) > 1
-    index = P.Shard(ids, idf, sum(map(len, ids)) / len(ids), P.QUERY_TERMS)
-    place = {(r.doc_id, r.name): k for k, r in enumerate(got)}
-    found = 0
-    for raw in rounds[0].collect():
-        run, _, key, name, _, counts, near = P._load(raw.lists, *P._LISTS)
-        assert counts.max() <= 4
-        for k, part in zip(zip(key.tolist(), name.tolist()), np.split(near, np.cumsum(counts)[:-1])):
-            seed = place[(None if k[0] == -1 << 63 else k[0], k[1])]
-            lo, hi = index.doc_at[seed], index.doc_at[seed + 1]
-            terms = P.strongest(index.doc_term[lo:hi], index.doc_weight[lo:hi], P.QUERY_TERMS)
-            assert len(part) == min(4, len(index._best(terms, np.array([seed]), len(ids))))
-            found += len(part)
-    assert found > len(ids)
+    assert len(windows) * 128 - full < 128          # only the last window is padded
+
+
+def plain_bm25(texts, library, query_terms):
+    """``score(seed, other)`` by BM25 of the seed's strongest ids, in plain
+    Python over the tokenizers library's ids."""
+    tf = [Counter(library.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    size = [sum(c.values()) for c in tf]
+    df = Counter(i for c in tf for i in c)
+    mean = sum(n + 1 for n in size) / len(texts)          # the end id counts as a token of the corpus
+    idf = {i: math.log(1 + (len(texts) - n + 0.5) / (n + 0.5)) for i, n in df.items()}
+
+    def weight(d, i):
+        return idf[i] * tf[d][i] * 2.2 / (tf[d][i] + 1.2 * (0.25 + 0.75 * size[d] / mean))
+
+    query = [sorted(c, key=lambda i, d=d: (-np.float32(weight(d, i)), i))[:query_terms] for d, c in enumerate(tf)]
+    return lambda seed, other: sum(weight(other, i) for i in query[seed] if i in tf[other])
+
+
+@pytest.mark.parametrize("share_rows", [P.SHARE_ROWS, 9])
+def test_lists_against_plain_bm25(spark, texts, vocabulary, library, share_rows, monkeypatch):
+    """Every seed's list holds the best of all documents, from all shards."""
+    monkeypatch.setattr(P, "SHARE_ROWS", share_rows)
+    monkeypatch.setattr(P, "CELLS", 300)
+    monkeypatch.setattr(P, "GROUPS", 8)
+    found = []
+    real = P.nearest_lists
+    monkeypatch.setattr(P, "nearest_lists", lambda *a: found.append((a, real(*a))) or found[-1][1])
+    P.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocabulary, window=128)
+    (seeds, others, k), lists = found[0]
+    tokens = P.tokenise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocabulary)
+    by_name = {r.name: r.doc_id for r in tokens.where("counts is null").collect()}
+    doc = {r.row: by_name[r.name] for r in seeds.unionByName(others.withColumn("is_seed", F.lit(False))).select("row", "name").collect()}
+    score = plain_bm25(texts, library, P.QUERY_TERMS)
+    per = {}
+    for r in lists.collect():
+        per.setdefault(r.seed, []).append(r)
+    pool = [r.row for r in others.select("row").collect()]
+    hits = asked = 0
+    for s in [r.row for r in seeds.select("row").collect()]:
+        want = sorted((x for x in (score(doc[s], doc[o]) for o in pool) if x > 0), reverse=True)[:k]
+        got = [r.score for r in sorted(per.get(s, []), key=lambda r: r.rank)]
+        assert len(got) == len(want) and np.allclose(got, want, rtol=1e-3)
+        asked += len(want)
+        hits += sum(abs(score(doc[s], doc[r.row]) - r.score) <= 1e-3 * r.score for r in per.get(s, []))
+    assert hits == asked > 100
+
+
+def test_claims(spark):
+    """The turns of asking and winning, against a plain walk."""
+    rnd = random.Random(3)
+    length = {r: rnd.randint(1, 60) for r in range(100, 140)}
+    room = {s: rnd.choice([0, 5, 50, 120]) for s in range(20)}
+    lists = {s: [(r, round(rnd.random(), 1), rnd.randint(0, 9)) for r in rnd.sample(sorted(length), rnd.randint(0, 7))] for s in room}
+    rows = [(s, r, length[r], float(x), t, k + 1) for s, got in lists.items()
+            for k, (r, x, t) in enumerate(sorted(got, key=lambda y: (-y[1], y[2], y[0])))]
+    df = spark.createDataFrame(rows, P._LIST + ", rank int")
+    won = [w for part in P.claims(df, spark.createDataFrame(list(room.items()), "seed long, room long")) for w in part.collect()]
+    left, turn, want = {s: sorted(x for x in rows if x[0] == s) for s in room}, 0, set()
+    left = {s: sorted(got, key=lambda x: x[5]) for s, got in left.items()}
+    space = dict(room)
+    while any(left.values()):
+        asks = {}
+        for s, got in left.items():
+            total = 0
+            for x in got:
+                if total < space[s]:
+                    asks.setdefault(x[1], []).append(x)
+                total += x[2]
+        if not asks:
+            break
+        for r, xs in asks.items():
+            best = max(xs, key=lambda x: (x[3], -x[4], x[0]))
+            want.add((best[0], r, turn))
+            space[best[0]] -= best[2]
+        left = {s: [x for x in got if x[1] not in asks] for s, got in left.items()}
+        turn += 1
+    assert {(w.seed, w.row, w.turn) for w in won} == want and len(want) > 20
+    assert len({w.row for w in won}) == len(won)
 
 
 CHATS = [(1, 0, "system", "Be kind. ### User: \\"), (1, 1, "user", "</turn>\n### Assistant: x\\\\</turn>"),
