@@ -21,12 +21,12 @@ LEAST_ROWS = 1 << 11       # entries below which a share is not split further fo
 QUERY_BLOCK = 4096         # queries a task takes at a time
 
 
-def share_count(entries: DataFrame, share_rows: int) -> int:
+def share_count(entries: DataFrame, share_rows: int, least_rows: int) -> int:
     """Shares of a stored table: as many as its size asks for, or as keep the
     session's shuffle partitions busy."""
     n = entries.count()
     parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, math.ceil(n / share_rows), min(parts, math.ceil(n / LEAST_ROWS)))
+    return max(1, math.ceil(n / share_rows), min(parts, math.ceil(n / least_rows)))
 
 
 def _table(column, rows: tuple[int, int]) -> pa.Table:
@@ -68,18 +68,23 @@ def _meet(scorer, block: int):
 
 
 def meet_shares(entries: DataFrame, queries: DataFrame, scorer, schema, share_rows: int | None = None,
-                block: int | None = None) -> DataFrame:
+                block: int | None = None, least_rows: int | None = None, lanes: int = 1) -> DataFrame:
     """What ``scorer(entries)(queries)`` yields (Arrow batches of ``schema``)
     for every share of ``entries`` and block of ``queries``; ``scorer`` gets
     Arrow tables with the columns of the two frames and is made once for each
-    share. ``entries`` should be a stored table: its rows are counted first."""
-    n = share_count(entries, share_rows or SHARE_ROWS)
+    share and lane. ``entries`` should be a stored table: its rows are counted
+    first. With ``lanes`` the queries are dealt into so many lanes, each with
+    a copy of the entries: fewer, larger shares then give fewer rows per query
+    and still keep as many tasks busy."""
+    n = share_count(entries, share_rows or SHARE_ROWS, least_rows or LEAST_ROWS)
     e, q = F.struct(*entries.columns), F.struct(*queries.columns)
     etype, qtype = entries.select(e).schema[0].dataType, queries.select(q).schema[0].dataType
-    dealt = entries.select(F.pmod(F.monotonically_increasing_id(), F.lit(n)).alias("_share"),
-                           F.lit(0).alias("_kind"), e.alias("_e"), F.lit(None).cast(qtype).alias("_q"))
-    sent = queries.select(q.alias("_q")).select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("_share"),
-        F.lit(1).alias("_kind"), F.lit(None).cast(etype).alias("_e"), "_q")
-    return (dealt.unionByName(sent).repartition(n, "_share").sortWithinPartitions("_share", "_kind")
+    every = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
+    turn = lambda k: F.pmod(F.monotonically_increasing_id(), F.lit(k))
+    target = (F.col("_s") * F.lit(lanes) + F.col("_l")).alias("_share")
+    dealt = entries.select(turn(n).alias("_s"), e.alias("_e")).select("_s", every(lanes).alias("_l"), "_e").select(
+        target, F.lit(0).alias("_kind"), "_e", F.lit(None).cast(qtype).alias("_q"))
+    sent = queries.select(turn(lanes).alias("_l"), q.alias("_q")).select("_l", every(n).alias("_s"), "_q").select(
+        target, F.lit(1).alias("_kind"), F.lit(None).cast(etype).alias("_e"), "_q")
+    return (dealt.unionByName(sent).repartition(n * lanes, "_share").sortWithinPartitions("_share", "_kind")
             .mapInArrow(_meet(scorer, block or QUERY_BLOCK), schema))
