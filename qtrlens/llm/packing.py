@@ -6,8 +6,8 @@ driver). A document's *query* are its ``QUERY_TERMS`` strongest ids by BM25
 weight. Packing goes in rounds over what is left:
 
 1. some of the documents, picked by hash, are seeds; the others are indexed by
-   BM25 in shards (``operators/shares.py``), every shard answers every seed,
-   and a window keeps each seed's nearest of all shards;
+   BM25 in shards (``operators/shares.py``; weights in 16 bits), every shard
+   answers every seed, and a window keeps each seed's nearest of all shards;
 2. a seed asks for its nearest unused neighbours, as many as fill its window; a
    document asked for by several goes to the one that scores it best, the
    others ask for their next, until a list or the window's room is used up;
@@ -46,15 +46,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qtrlens.llm.bpe import load_bpe
-from qtrlens.llm.common import narrow, stored
+from qtrlens.llm.common import narrow, shuffle_parts, stored
 from qtrlens.operators.ordered import segmented_running_sum
 from qtrlens.operators.shares import meet_shares
 
 WINDOW = 1024
 END_ID = 0
 QUERY_TERMS = 8
-SHARE_ROWS = 1 << 14                    # documents of an index shard, at most
+SHARE_ROWS = 1 << 15                    # documents of an index shard, at most
 SEED_BLOCK = 4096                       # seeds a shard answers at a time
+LANES = 4                               # copies of a shard that take seeds at the same time, at most
+IMPACTS = 1 << 16                       # steps of a stored weight
 CELLS = 1 << 20                         # scores of one numpy step
 GROUPS = 128                            # a row of scores is cut into so many groups to find a lower bound of the k-th
 K1, B = 1.2, 0.75
@@ -149,14 +151,16 @@ def corpus_counts(tokens: DataFrame) -> dict[int, int]:
 
 def strongest(terms: np.ndarray, weight: np.ndarray, most: int) -> np.ndarray:
     """The ``most`` terms of the largest weight, in the order of ids."""
-    return np.sort(terms[np.argsort(-weight, kind="stable")[:most]])
+    return np.sort(terms[np.argsort(-weight.astype(np.int64), kind="stable")[:most]])
 
 
 def weights_of(ids: np.ndarray, idf: np.ndarray, avg_len: float) -> tuple[np.ndarray, np.ndarray]:
-    """A document's different ids and their BM25 weights."""
+    """A document's different ids and their BM25 weights, as whole steps of
+    the largest weight an id can have (one step at least)."""
     terms, tf = np.unique(ids, return_counts=True)
     norm = K1 * (1 - B + B * len(ids) / max(avg_len, 1e-9))
-    return terms.astype(np.int32), (idf[terms] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
+    step = max(float(idf.max(initial=0)) * (K1 + 1), 1e-9) / (IMPACTS - 1)
+    return terms, np.maximum(np.round(idf[terms] * tf * (K1 + 1) / (tf + norm) / step), 1).astype(np.uint16)
 
 
 _TERMS = "row long, name long, length long, lead int, terms binary, weights binary, query binary"
@@ -183,27 +187,34 @@ def _weighted(idf_raw: bytes, avg_len: float, kind: str, query_terms: int):
 
 def _flat(column, kind) -> tuple[np.ndarray, np.ndarray]:
     """A column of number arrays as one array, and the arrays' sizes."""
-    parts = [np.frombuffer(x.as_buffer(), dtype=kind) for x in column]
-    return (np.concatenate(parts) if parts else np.zeros(0, kind)), np.array([len(x) for x in parts], dtype=np.int64)
+    arr = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(arr):
+        return np.zeros(0, kind), np.zeros(0, np.int64)
+    off = np.frombuffer(arr.buffers()[1], dtype=np.int32)[arr.offset:arr.offset + len(arr) + 1].astype(np.int64)
+    data = np.frombuffer(arr.buffers()[2] or b"", dtype=np.uint8)[off[0]:off[-1]].view(kind)
+    return data, np.diff(off) // np.dtype(kind).itemsize
 
 
 _LIST = "seed long, row long, length long, score double, tie long"
 
 
-def _nearest(k: int):
+def _nearest(k: int, kind: str):
     """A shard's inverted index, and its ``k`` nearest for every seed."""
     def scorer(entries):
         n = len(entries)
         row, name, length = (entries[c].to_numpy() for c in ("row", "name", "length"))
-        term, size = _flat(entries["terms"], np.int32)
+        term, size = _flat(entries["terms"], kind)
         order = np.argsort(term, kind="stable")
-        post_doc = np.repeat(np.arange(n), size)[order]
-        post_weight = _flat(entries["weights"], np.float32)[0][order]
-        known, first = np.unique(term[order], return_index=True)
-        known, first = np.append(known, 1 << 30), np.append(first, [len(term)] * 2)     # the last one has no postings
+        post_doc = np.repeat(np.arange(n, dtype=np.int32), size)[order]
+        post_weight = _flat(entries["weights"], np.uint16)[0][order]
+        term = term[order]
+        del order
+        first = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
+        known = np.append(term[first].astype(np.int64), 1 << 33)                        # the last one has no postings
+        first = np.append(first, [len(term)] * 2)
 
         def score(seeds):
-            asked, own = _flat(seeds["query"], np.int32)
+            asked, own = _flat(seeds["query"], kind)
             seed, seed_name = seeds["seed"].to_numpy(), seeds["name"].to_numpy()
             at = np.searchsorted(known, asked)
             at[known[at] != asked] = len(known) - 1
@@ -235,12 +246,14 @@ def _nearest(k: int):
     return scorer
 
 
-def nearest_lists(seeds: DataFrame, others: DataFrame, k: int) -> DataFrame:
+def nearest_lists(seeds: DataFrame, others: DataFrame, k: int, kind: str) -> DataFrame:
     """``seed, row, length, score, tie, rank``: for every seed its ``k``
     nearest of all ``others``, from all shards."""
+    shards = max(1, math.ceil(others.count() / SHARE_ROWS))
+    lanes = max(1, min(LANES, shuffle_parts(seeds.sparkSession) // shards, math.ceil(seeds.count() / SEED_BLOCK)))
     found = meet_shares(others.select("row", "name", "length", "terms", "weights"),
-                        seeds.select(F.col("row").alias("seed"), "name", "query"), _nearest(k), _LIST,
-                        share_rows=SHARE_ROWS, block=SEED_BLOCK)
+                        seeds.select(F.col("row").alias("seed"), "name", "query"), _nearest(k, kind), _LIST,
+                        share_rows=SHARE_ROWS, block=SEED_BLOCK, least_rows=SHARE_ROWS, lanes=lanes)
     w = Window.partitionBy("seed").orderBy(F.desc("score"), "tie", "row")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -323,7 +336,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         left = left.withColumn("is_seed", draw < F.lit(round((1 - (1 - share) ** (2 ** turn)) * (1 << 20))))
         seeds, others = left.where("is_seed"), left.where(~F.col("is_seed")).drop("is_seed")
         rooms = seeds.select(F.col("row").alias("seed"), F.pmod(-F.col("length"), F.lit(window)).alias("room"))
-        won = claims(stored(nearest_lists(seeds, others, most), "op7-lists"), rooms)
+        won = claims(stored(nearest_lists(seeds, others, most, kind), "op7-lists"), rooms)
         own = seeds.select(F.col("row").alias("seed"), "row", "length", F.lit(-1).alias("rank"), F.lit(-1).alias("turn"))
         taken = won[0]
         for w in won[1:]:

@@ -144,8 +144,9 @@ def plain_bm25(texts, library, query_terms):
     def weight(d, i):
         return idf[i] * tf[d][i] * 2.2 / (tf[d][i] + 1.2 * (0.25 + 0.75 * size[d] / mean))
 
-    query = [sorted(c, key=lambda i, d=d: (-np.float32(weight(d, i)), i))[:query_terms] for d, c in enumerate(tf)]
-    return lambda seed, other: sum(weight(other, i) for i in query[seed] if i in tf[other])
+    step = math.log(1 + (len(texts) + 0.5) / 0.5) * 2.2 / (P.IMPACTS - 1)      # stored weights are whole steps
+    query = [sorted(c, key=lambda i, d=d: (-round(weight(d, i) / step), i))[:query_terms] for d, c in enumerate(tf)]
+    return (lambda seed, other: sum(weight(other, i) for i in query[seed] if i in tf[other])), step
 
 
 @pytest.mark.parametrize("share_rows", [P.SHARE_ROWS, 9])
@@ -154,15 +155,16 @@ def test_lists_against_plain_bm25(spark, texts, vocabulary, library, share_rows,
     monkeypatch.setattr(P, "SHARE_ROWS", share_rows)
     monkeypatch.setattr(P, "CELLS", 300)
     monkeypatch.setattr(P, "GROUPS", 8)
+    monkeypatch.setattr(P, "SEED_BLOCK", 40)
     found = []
     real = P.nearest_lists
     monkeypatch.setattr(P, "nearest_lists", lambda *a: found.append((a, real(*a))) or found[-1][1])
     P.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocabulary, window=128)
-    (seeds, others, k), lists = found[0]
+    (seeds, others, k, _), lists = found[0]
     tokens = P.tokenise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocabulary)
     by_name = {r.name: r.doc_id for r in tokens.where("counts is null").collect()}
     doc = {r.row: by_name[r.name] for r in seeds.unionByName(others.withColumn("is_seed", F.lit(False))).select("row", "name").collect()}
-    score = plain_bm25(texts, library, P.QUERY_TERMS)
+    score, step = plain_bm25(texts, library, P.QUERY_TERMS)
     per = {}
     for r in lists.collect():
         per.setdefault(r.seed, []).append(r)
@@ -170,10 +172,10 @@ def test_lists_against_plain_bm25(spark, texts, vocabulary, library, share_rows,
     hits = asked = 0
     for s in [r.row for r in seeds.select("row").collect()]:
         want = sorted((x for x in (score(doc[s], doc[o]) for o in pool) if x > 0), reverse=True)[:k]
-        got = [r.score for r in sorted(per.get(s, []), key=lambda r: r.rank)]
+        got = [r.score * step for r in sorted(per.get(s, []), key=lambda r: r.rank)]
         assert len(got) == len(want) and np.allclose(got, want, rtol=1e-3)
         asked += len(want)
-        hits += sum(abs(score(doc[s], doc[r.row]) - r.score) <= 1e-3 * r.score for r in per.get(s, []))
+        hits += sum(abs(score(doc[s], doc[r.row]) - r.score * step) <= 1e-3 * r.score * step for r in per.get(s, []))
     assert hits == asked > 100
 
 
