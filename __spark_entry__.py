@@ -346,7 +346,8 @@ def oracle_sql() -> dict[str, str]:
     for k, v in reg.items():
         if v[1] is None:
             continue
-        out[k] = reg[v[1][1:]][1] if v[1].startswith("@") else v[1]
+        sql = v[1](lambda name: f"({reg[name][1]})") if callable(v[1]) else v[1]     # a text over other keys' texts
+        out[k] = reg[sql[1:]][1] if sql.startswith("@") else sql
     return out
 
 
@@ -925,6 +926,28 @@ def _json_roundtrip(spark, df, name):
     return SK.read_json(spark, path, df.schema)
 
 
+def _bundle_violations(s, d):
+    """V6: the churn entries of a bundle with violations planted by their
+    counts, and no other section."""
+    j, n = F.to_json(F.struct("revenue_loss", "revenue_gain", "lost_customers", "new_customers")), F.col("lost_customers") % 5
+    bad = (F.when(n == 1, F.regexp_replace(j, '"revenue_gain"', '"gain"'))
+            .when(n == 2, F.regexp_replace(j, '"lost_customers":(\\d+)', '"lost_customers":"$1"'))
+            .when(n == 3, F.regexp_replace(j, "[}]$", "")).when(n == 4, F.concat(F.lit("["), j, F.lit("]"))).otherwise(j))
+    entries = CH.churn_counts(_cq(s, d)).select(
+        F.lit("churn_report").alias("section"), F.concat_ws("_to_", "prev_quarter", "curr_quarter").alias("key"), bad.alias("json"))
+    return VA.bundle_violations(_json_roundtrip(s, entries, "planted"))
+
+
+def _run_metrics(s, d):
+    """The metrics that a whole report run observed while writing."""
+    apply_conf(s)
+    out = scratch_path(s, "report")
+    from qtrlens.plans.report import revenue_churn_report
+    revenue_churn_report(_rev(s, d), out_dir=out)
+    return SK.read_json(s, f"{out}/run_metrics", "step string, rows long, amount double").withColumn(
+        "amount", F.round("amount", 2))
+
+
 def _bundle(s, d):
     """The bundle written as JSON lines, read back, and its entries
     summed up per section and key."""
@@ -969,6 +992,19 @@ def _summaries(s, d):
 
 
 _SINKS = {
+    "report_run_metrics": (_run_metrics, lambda of: f"""
+SELECT 'quarterly' AS step, count(*) AS rows, round(sum(TotalRevenue), 2) AS amount FROM {of("aggregate_by_quarter_region")} q
+UNION ALL SELECT 'pivot', count(DISTINCT o_custkey), 0.0 FROM orders WHERE o_orderdate IS NOT NULL
+UNION ALL SELECT 'churn_counts', count(*), CAST(sum(lost_customers + new_customers) AS DOUBLE) FROM {of("churn_counts_tools")} c
+UNION ALL SELECT 'churn_report', count(*), 0.0 FROM {of("churn_lists")} l
+UNION ALL SELECT 'validations', 2, 2.0"""),
+    "contract_violations": (_bundle_violations, lambda of: f"""
+WITH c AS (SELECT prev_quarter || '_to_' || curr_quarter AS key, lost_customers % 5 AS n FROM {of("churn_counts")} x)
+SELECT 'churn_report' AS section, key,
+       CASE n WHEN 1 THEN 'revenue_gain' WHEN 2 THEN 'lost_customers' END AS field,
+       CASE n WHEN 1 THEN 'missing' WHEN 2 THEN 'not an integer' WHEN 3 THEN 'not JSON' ELSE 'not an object' END AS problem
+FROM c WHERE n > 0
+UNION ALL SELECT s, NULL, NULL, 'section is missing' FROM (VALUES ('plan'), ('quarterly'), ('pivot'), ('validations')) v(s)"""),
     "report_churn_counts": (_report("churn_report"), "@churn_counts_tools"),
     "report_quarterly": (_report("quarterly"), "@aggregate_by_quarter_region"),
     "report_churn_lists": (_report("churn_lists"), "@churn_lists"),

@@ -174,6 +174,50 @@ def contract_violations(tables: dict[str, tuple[DataFrame, T.StructType]]) -> Da
     return spark.createDataFrame(rows, "table string, field string, problem string")
 
 
+# Bundle contract (fixed values): what a section's entry must be, and the
+# fields a churn entry must have.
+SECTION_SHAPES = {"quarterly": "array", "pivot": "object", "validations": "object", "churn_report": "object", "plan": "object"}
+CHURN_FIELDS = {"revenue_loss": "number", "revenue_gain": "number", "lost_customers": "integer", "new_customers": "integer"}
+
+
+def _json_type(v):
+    """JSON type name of a VARIANT (null where there is none)."""
+    kind = F.schema_of_variant(v)
+    return (F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").when(kind == "BIGINT", "integer")
+            .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), "number").when(kind == "STRING", "string")
+            .when(kind == "BOOLEAN", "boolean").when(kind == "VOID", "null"))
+
+
+def bundle_violations(bundle: DataFrame) -> DataFrame:
+    """V6: an exported bundle (``section, key, json``) held against its
+    contract, one row per violation: ``(section, key, field, problem)``. Each
+    entry's text is parsed once as VARIANT. A text that is no JSON, an entry
+    of the wrong shape, a churn field that is missing or of the wrong type
+    (an integer is a number too), and a required section without any entry
+    (null key) are violations; an unknown section is not."""
+    parsed = bundle.select("section", "key", F.expr("try_parse_json(json)").alias("v"))
+    shape = F.create_map(*[F.lit(x) for p in SECTION_SHAPES.items() for x in p])[F.col("section")]
+    is_object = _json_type(F.col("v")) == "object"
+    broken = [F.when(F.col("v").isNull(), F.struct(F.lit(None).cast("string").alias("field"), F.lit("not JSON").alias("problem"))),
+              F.when(_json_type(F.col("v")) != shape, F.struct(F.lit(None).cast("string").alias("field"),
+                                                              F.concat(F.lit("not an "), shape).alias("problem")))]
+    for field, want in CHURN_FIELDS.items():
+        got = _json_type(F.variant_get("v", f"$.{field}", "variant"))
+        fits = got.isin("integer", "number") if want == "number" else got == "integer"
+        problem = F.when(got.isNull(), "missing").when(~fits, f"not {'a' if want == 'number' else 'an'} {want}")
+        broken.append(F.when((F.col("section") == "churn_report") & is_object & problem.isNotNull(),
+                             F.struct(F.lit(field).alias("field"), problem.alias("problem"))))
+    found = parsed.select("section", "key", F.explode(F.filter(F.array(*broken), lambda x: x.isNotNull())).alias("x")) \
+        .select("section", "key", "x.field", "x.problem")
+    from ..schemas import BUNDLE_REQUIRED
+    spark = bundle.sparkSession
+    wanted = spark.createDataFrame([(x,) for x in BUNDLE_REQUIRED], "section string")
+    none = F.lit(None).cast("string")
+    absent = wanted.join(bundle.select("section").distinct(), "section", "left_anti").select(
+        "section", none.alias("key"), none.alias("field"), F.lit("section is missing").alias("problem"))
+    return found.unionByName(absent)
+
+
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """V7: (valid rows, quarantined rows with their violations)."""
     checked = check_row_contract(df)

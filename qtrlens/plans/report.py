@@ -28,7 +28,8 @@ def revenue_churn_report(feed: DataFrame, mode: str = CH.TOOLS, year_blind: bool
     ``mode`` picks the lost/new rule and ``year_blind`` the quarter labels
     (``Qn`` for the core path's seasonal view, ``YYYYQn`` otherwise). With
     ``out_dir`` the tables are also written: quarterly and pivot as CSV,
-    churn report and validations as JSON.
+    churn counts, churn report and validations as JSON, and beside them
+    ``run_metrics``: each output's rows and amount, observed as it was written.
     """
     spark = feed.sparkSession
     rq = RV.with_quarter(feed, year_blind=year_blind)
@@ -50,9 +51,11 @@ def revenue_churn_report(feed: DataFrame, mode: str = CH.TOOLS, year_blind: bool
         "suggestions": CH.retention_suggestions(flags),
     }
     if out_dir:
-        base = out_dir.rstrip("/")
-        SK.write_csv(quarterly, f"{base}/quarterly_by_region")
-        SK.write_csv(pivot, f"{base}/client_quarterly_revenue")
-        SK.write_json(lists, f"{base}/churn_report")
-        SK.write_json(checks, f"{base}/validations")
+        base, run = out_dir.rstrip("/"), SK.RunMetrics(spark)
+        SK.write_csv(run.watch(quarterly, "quarterly", F.col("TotalRevenue")), f"{base}/quarterly_by_region")
+        SK.write_csv(run.watch(pivot, "pivot"), f"{base}/client_quarterly_revenue")
+        SK.write_json(run.watch(counts, "churn_counts", F.col("lost_customers") + F.col("new_customers")), f"{base}/churn_counts")
+        SK.write_json(run.watch(lists, "churn_report"), f"{base}/churn_report")
+        SK.write_json(run.watch(checks, "validations", F.col("ok").cast("int")), f"{base}/validations")
+        run.write(f"{base}/run_metrics")
     return out

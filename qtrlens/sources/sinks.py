@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -28,6 +28,42 @@ def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def table_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The parquet table at ``path``, or None where there is none yet; any
+    other trouble (a schema, a permission) is raised."""
+    try:
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+class RunMetrics:
+    """Metrics of a run, taken by Spark while its outputs are written
+    (``observe``): no output is read a second time for them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.steps: list[tuple[str, Observation]] = []
+
+    def watch(self, df: DataFrame, step: str, amount=None) -> DataFrame:
+        """``df``, whose next action also counts its rows and sums ``amount``."""
+        seen = Observation(step)
+        self.steps.append((step, seen))
+        total = F.sum(F.lit(0.0) if amount is None else amount.cast("double"))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), total.alias("amount"))
+
+    def table(self) -> DataFrame:
+        """``step, rows, amount`` of all watched outputs; each must have been
+        written."""
+        rows = [(step, int(m["rows"]), float(m["amount"] or 0.0)) for step, m in ((n, o.get) for n, o in self.steps)]
+        return self.spark.createDataFrame(rows, "step string, rows long, amount double")
+
+    def write(self, path: str) -> str:
+        return write_json(self.table(), path)
+
+
 def save_index(index: DataFrame, path: str) -> str:
     """Persist a vector index (entries with text and metadata) as parquet."""
     index.write.mode("overwrite").parquet(path)
@@ -36,10 +72,8 @@ def save_index(index: DataFrame, path: str) -> str:
 
 def load_index(spark: SparkSession, path: str, schema=INDEX_ENTRY) -> DataFrame:
     """Reload an index; a missing path gives an empty, typed index."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    found = table_or_none(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def export_bundle(plan: Sequence[str], quarterly: DataFrame, pivot: DataFrame, churn: DataFrame,
