@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qtrlens.functions import columns as FN
+from qtrlens.operators import cells as CE
 from qtrlens.operators import churn as CH
 from qtrlens.operators import events as EV
 from qtrlens.operators import revenue as RV
@@ -747,6 +748,12 @@ dot AS (SELECT c.id AS qid, e.id, round(SUM(e.w * c.w), 6) AS score FROM e JOIN
         WHERE c.id % 50 = 0 GROUP BY c.id, e.id)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM dot) t
 WHERE rank <= 5""")
+    # the same from an index of cells with bounds, saved and searched in rounds
+    def _topk_cells(s, d):
+        index = TX.normalized_vectors(load(s, d, "embeddings"), "vec_id", "embedding")
+        path = CE.save_cells(index, scratch_path(s, "cells"))
+        return CE.topk_cells(s, path, index.where(F.col("id") % 50 == 0), k=5)
+    q["topk_similar_cells"] = (_topk_cells, "@topk_similar_rows")
     q["query_index_rows"] = (
         lambda s, d: TX.query_index(TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
                                     load(s, d, "documents").where(F.col("doc_id") % 50 == 0), "doc_id", "text", k=5),

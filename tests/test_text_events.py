@@ -105,6 +105,31 @@ def test_search_is_one_scan_off_the_driver(spark, monkeypatch, tmp_path):
                           ("None", 1, 29), ("None", 2, 28)])
 
 
+def test_cells_equal_the_full_search(spark, monkeypatch, tmp_path):
+    """Clustered and scattered entries, zero vectors, ties, split cells; far
+    clusters are not visited."""
+    import numpy as np
+    from qtrlens.operators import cells as CE
+    from qtrlens.operators import shares as SH
+    monkeypatch.setattr(SH, "SHARE_ROWS", 60)
+    rng = np.random.default_rng(3)
+    near = np.repeat(np.eye(8), 100, axis=0) + rng.normal(0, 0.05, (800, 8))
+    rows = np.vstack([near, rng.normal(0, 1, (20, 8)), np.repeat(near[:1], 7, axis=0)])
+    rows = rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    rows = [(i, v.tolist(), f"t{i}") for i, v in enumerate(rows)] + [(900, [0.0] * 8, "zero"), (901, None, "none")]
+    index = spark.createDataFrame(rows, "id long, vec array<double>, text string").repartition(3)
+    q = spark.createDataFrame([(i, v) for i, v, _ in rows[::37]] + [(5, [0.0] * 8), (5, rows[5][1]), (None, [-2.0] + [0.0] * 7), (7, None)],
+                              "id long, vec array<double>")
+    path, log = CE.save_cells(index, str(tmp_path / "cells"), cells=8), []
+    key = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    got = CE.topk_cells(spark, path, q, 5, log)
+    want = TX.topk_similar(index, q, 5)
+    assert got.columns == want.columns and key(got) == key(want)
+    assert sum(log) < 0.5 * (len(rows) - 1) * (q.count() - 1)
+    empty = CE.save_cells(index.limit(0), str(tmp_path / "none"))
+    assert CE.topk_cells(spark, empty, q).collect() == []
+
+
 def test_token_budget(spark):
     df = _docs(spark, [("x", "x" * 100)])
     r = TX.token_budget_gate(df, "text", max_response_tokens=20, budget=10).first()
