@@ -132,8 +132,11 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = stored(narrow(docs, id_col, text_col).mapInArrow(
         _fingerprints(shingle), "doc_id long, fp long, n_shingles long"), "op12-fingerprints")
     labels = components(fingerprint_links(texts.select("fp").distinct(), crowd))
-    classed = texts.join(labels.withColumnRenamed("id", "fp"), "fp", "left").select(
-        "doc_id", "fp", "n_shingles", F.coalesce("comp", "fp").alias("class"))
-    least = classed.groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return classed.join(least, "class").select(
+    first = texts.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    classed = first.join(labels.withColumnRenamed("id", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("comp", "fp").alias("class"))
+    least = classed.groupBy("class").agg(F.min("first").alias("component_id"))
+    # one row per fingerprint, stored: a fingerprint with very many copies then meets it in a join that splits
+    named = stored(classed.join(least, "class").select("fp", "component_id"), "op12-components")
+    return texts.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "n_shingles", "component_id")
