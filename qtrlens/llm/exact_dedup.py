@@ -4,7 +4,8 @@ A text, with white space ``[\\x20\\x09-\\x0D]`` deleted, is cut into chunks of
 ``chunk_bytes``. Each chunk has a polynomial hash modulo two primes; the
 fingerprint of a text is the sum of its chunk hashes, each shifted by the
 length that follows it (``h(ab) = h(a) * B**len(b) + h(b)``). Chunks are
-hashed independently, so a huge text costs no more memory than a chunk.
+hashed independently, one after another in the task that holds the text; it
+holds the text and its copy without white space whole, numbers for one chunk.
 
 Equal fingerprints are candidates only: their chunks are then compared
 position by position. Per (fingerprint, chunk number) Spark keeps the smallest
