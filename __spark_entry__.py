@@ -897,6 +897,31 @@ def _st_breaker(s, d):
     return s.read.parquet(out)
 
 
+def _st_breaker_unordered(s, d):
+    """ST4 over events that come up to a day late: five loads by the time of
+    arrival, the last with a heartbeat that brings out what is held."""
+    apply_conf(s)
+    from qtrlens.streaming import breaker as BR
+    from qtrlens.streaming import revenue_stream as ST
+    day = 86400
+    ev = load(s, d, "events")
+    feed, out, ck = (scratch_path(s, x) for x in ("event-feed", "trips", "trips-ckpt"))
+    arrival = F.unix_seconds(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(day))
+    lo, hi, last = ev.agg(F.min(arrival), F.max(arrival), F.max("ts")).first()
+    load_no = F.least(F.floor((arrival - F.lit(lo)) * 5 / F.lit(max(1, hi - lo))), F.lit(4)).cast("int")
+    loads = cut_lineage(ev.withColumn("_load", load_no), s, "event-loads")
+    beat = {"event_type": F.lit(BR.HEARTBEAT), "ts": F.lit(last) + F.expr("INTERVAL 2 DAYS")}
+    for i in range(5):
+        here = loads.where(F.col("_load") == i).drop("_load")
+        if i == 4:
+            here = here.unionByName(s.range(1).select(*(beat.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                                                        for f in ev.schema)))
+        here.write.mode("append").parquet(feed)
+        BR.run_with_timers(BR.stream_breaker_ordered(ST.stream_revenue_files(
+            s, feed, ev.schema, max_files_per_trigger=None), day), out, ck)
+    return s.read.parquet(out)
+
+
 def _st_idempotent(s, d):
     """ST5: the files replayed with a fresh checkpoint, and once more under
     another path."""
@@ -1054,6 +1079,7 @@ FROM revq GROUP BY Quarter, Region, Country"""),
 SELECT Quarter, Region, Country, COUNT(DISTINCT ClientID) AS NumClients FROM revq GROUP BY Quarter, Region, Country"""),
     "stream_churn_counts": (_st_churn, _CQ + _COUNTS_SELECT),
     "stream_breaker_trips": (_st_breaker, _BREAKER_SQL + "\nSELECT user_id, trip_at, open_until, false AS late FROM trips"),
+    "stream_breaker_unordered": (_st_breaker_unordered, "@stream_breaker_trips"),
     "idempotent_apply": (_st_idempotent,
                          _REV + "\nSELECT ClientID, Region, Country, Date, CAST(Revenue AS DOUBLE) AS Revenue FROM rev"),
     "stream_totals_check": (_st_totals, _REV + """
