@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qtrlens.functions import columns as FN
+from qtrlens.operators import bitmaps as BM
 from qtrlens.operators import cells as CE
 from qtrlens.operators import churn as CH
 from qtrlens.operators import events as EV
@@ -290,6 +291,21 @@ FROM al GROUP BY prev_quarter, curr_quarter""")
         lambda s, d: CH.union_client_sets(cut_lineage(CH.client_sets(_loads(s, d), "load"), s, "client-sets")),
         _REV + "\nSELECT DISTINCT ClientID FROM rev")
 
+    # the same sets as bitmaps: merged per load, and compared without id rows
+    q["merge_bitmap_partials"] = (
+        lambda s, d: BM.merge_partial_bitmaps(cut_lineage(BM.partial_bitmaps(_loads(s, d), load_col="load"), s, "partial-bits")),
+        "@merge_partials")
+    q["union_client_bitmaps"] = (
+        lambda s, d: BM.ids_of(BM.merge_bitmaps(cut_lineage(
+            BM.id_bitmaps(_loads(s, d), ["load"], "ClientID"), s, "client-bits"), []), "ClientID"),
+        "@union_client_sets")
+    q["bitmap_churn"] = (_bitmap_churn, _CQ + """
+SELECT p.prev_quarter, p.curr_quarter,
+       count_if(a.prev_revenue > 0 AND NOT a.curr_revenue > 0) AS lost,
+       count_if(a.curr_revenue > 0 AND NOT a.prev_revenue > 0) AS new,
+       count_if(a.prev_revenue > 0 AND a.curr_revenue > 0) AS retained
+FROM pairs p JOIN al a ON a.prev_quarter = p.prev_quarter AND a.curr_quarter = p.curr_quarter GROUP BY 1, 2""")
+
     # ---- V8, V9, R1
     q["churn_flags"] = (
         lambda s, d: CH.churn_flags(CH.churn_counts(_cq(s, d), mode=CH.TOOLS)),
@@ -328,6 +344,16 @@ def _loads(spark: SparkSession, d: str) -> DataFrame:
     return _rev(spark, d).withColumn("load", F.year("Date"))
 
 
+def _bitmap_churn(spark: SparkSession, d: str) -> DataFrame:
+    """Overlaps of neighbouring quarters' active clients by bitmaps, the
+    clients being named by text and numbered by a dictionary."""
+    cq = cut_lineage(RV.client_quarterly_long(_cq(spark, d)).withColumn(
+        "name", F.concat(F.lit("C"), F.col("ClientID").cast("string"))), spark, "named-quarters")
+    numbers = cut_lineage(BM.id_numbers(cq, "name"), spark, "client-numbers")
+    sets = BM.id_bitmaps(RV.active_clients(cq).join(numbers, "name"), ["Quarter"], "no")
+    return BM.overlap_counts(sets, CH.quarter_pairs(cq))
+
+
 def _pinned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Run a query with the session settings results depend on (UTC, ANSI)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -872,6 +898,12 @@ def _st_num_clients(s, d):
     return _stream_table(s, d, ST.stream_num_clients, RV.GEO_KEYS)
 
 
+def _st_client_bitmaps(s, d):
+    apply_conf(s)
+    t = _stream_table(s, d, BM.stream_client_bitmaps, [*RV.GEO_KEYS, "bucket"])
+    return BM.count_ids(t, RV.GEO_KEYS, "NumClients")
+
+
 def _st_churn(s, d):
     apply_conf(s)
     from qtrlens.streaming import revenue_stream as ST
@@ -1077,6 +1109,7 @@ SELECT Quarter, Region, Country, CAST(SUM(Revenue) AS DOUBLE) AS TotalRevenue, C
 FROM revq GROUP BY Quarter, Region, Country"""),
     "stream_num_clients": (_st_num_clients, _REVQ + """
 SELECT Quarter, Region, Country, COUNT(DISTINCT ClientID) AS NumClients FROM revq GROUP BY Quarter, Region, Country"""),
+    "stream_client_bitmaps": (_st_client_bitmaps, "@stream_num_clients"),
     "stream_churn_counts": (_st_churn, _CQ + _COUNTS_SELECT),
     "stream_breaker_trips": (_st_breaker, _BREAKER_SQL + "\nSELECT user_id, trip_at, open_until, false AS late FROM trips"),
     "stream_breaker_unordered": (_st_breaker_unordered, "@stream_breaker_trips"),
