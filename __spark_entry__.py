@@ -24,6 +24,7 @@ from qtrlens.session import apply_conf, cut_lineage, scratch_path
 from qtrlens.sources import chunks as CK
 from qtrlens.sources import readers as RD
 from qtrlens.sources import sinks as SK
+from qtrlens.sources import versioned_index as VI
 from qtrlens.sources.tables import REVENUE_VIEW_SQL, client_quarter_view, load, revenue_view
 
 try:                                     # the corpus operators are optional
@@ -354,6 +355,17 @@ def _bitmap_churn(spark: SparkSession, d: str) -> DataFrame:
     return BM.overlap_counts(sets, CH.quarter_pairs(cq))
 
 
+def _versioned_upserts(spark: SparkSession, d: str) -> DataFrame:
+    """M2: the benchmark's entries upserted into a stored index of the
+    documents in two loads."""
+    path = scratch_path(spark, "versioned-index")
+    VI.save_versioned(TX.embed_text(load(spark, d, "documents"), "doc_id", "text"), path)
+    bench = load(spark, d, "benchmark")
+    for k in (0, 1):
+        VI.upsert_versioned(spark, path, TX.embed_text(bench.where(F.pmod(F.xxhash64("item_id"), F.lit(2)) == k), "item_id", "text"))
+    return TX.sparse_rows(VI.load_versioned(spark, path)).withColumn("weight", F.round("weight", 9))
+
+
 def _pinned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Run a query with the session settings results depend on (UTC, ANSI)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -718,6 +730,8 @@ SELECT conv_id, CAST(chunk_no AS INTEGER) AS chunk_no, n_texts, text_tokens,
         _embed_sql("b", "item_id", "benchmark") + """
 SELECT id, bucket, round(weight, 9) AS weight FROM e WHERE id NOT IN (SELECT id FROM b)
 UNION ALL SELECT id, bucket, round(weight, 9) FROM b""")
+    # the same in hash partitions: two upserts, each rewriting what it touches
+    q["upsert_index_versions"] = (_versioned_upserts, "@upsert_index")
     q["append_index"] = (
         lambda s, d: TX.sparse_rows(TX.upsert_index(
                          TX.embed_text(load(s, d, "documents"), "doc_id", "text"),
