@@ -20,8 +20,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..operators.events import FAILURE_TYPE, FAIL_THRESHOLD, RESET_TIMEOUT_SECONDS, _Breaker
 
 HEARTBEAT = "heartbeat"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_STORE = {_PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+          # a batch writes what it changed, not the whole store
+          "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+          "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
 _EVENT = np.dtype([("t", "<i8"), ("id", "<i8"), ("f", "?")])
 _OUT = "user_id long, trip_at timestamp, open_until timestamp, late boolean"
 
@@ -37,19 +40,22 @@ def _rows(key, at, until, late: bool) -> pd.DataFrame:
 
 
 class _HeldBreaker(StatefulProcessor):
-    """State of a key: events per slot of time that is not folded yet, and the
-    walk's count, open window and the time up to which it is folded."""
+    """State of a key: the events of each slot of time that is not folded yet,
+    an entry per batch that brought some, and the walk's count, open window and
+    the time up to which it is folded, with the number of entries so far."""
 
     def __init__(self, threshold: int, timeout_us: int, slot_us: int):
         self.walk, self.slot = _Breaker(threshold, timeout_us), slot_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getMapState("held", "slot long", "events binary")
-        self.state = handle.getValueState("walk", "count long, until long, folded long")
+        self.held = handle.getMapState("held", "slot long, part long", "events binary")
+        self.upto: dict = {}                 # what this task has folded of its keys in this batch
+        self.state = handle.getValueState("walk", "count long, until long, folded long, parts long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        folded = self.state.get()[2] if self.state.exists() else None
+        count, until, folded, parts = self.state.get() or (0, None, None, 0)
+        before = parts
         for pdf in rows:
             pdf = pdf[~pdf["beat"]]
             x = np.empty(len(pdf), dtype=_EVENT)
@@ -61,32 +67,37 @@ class _HeldBreaker(StatefulProcessor):
             slot = x["t"] // self.slot
             cuts = np.flatnonzero(np.diff(slot)) + 1
             for part in np.split(x, cuts) if len(x) else []:
-                at = (int(part["t"][0] // self.slot),)
-                if self.held.containsKey(at):
-                    self.held.updateValue(at, (bytes(self.held.getValue(at)[0]) + part.tobytes(),))
-                else:
-                    self.held.updateValue(at, (part.tobytes(),))
-                    self.handle.registerTimer(-(-(at[0] + 1) * self.slot // 1000))
+                at = int(part["t"][0] // self.slot)
+                self.held.updateValue((at, parts), (part.tobytes(),))
+                self.handle.registerTimer(-(-(at + 1) * self.slot // 1000))      # the same timer again changes nothing
+                parts += 1
+        if parts > before:
+            self.state.update((count, until, folded, parts))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Every slot that ends by the watermark is folded at the first timer
         of a batch; the others find nothing left."""
-        count, until, folded = self.state.get() if self.state.exists() else (0, None, None)
         upto = timerValues.getCurrentWatermarkInMs() * 1000 // self.slot
-        if folded is not None and folded >= upto * self.slot:
+        if self.upto.get(key) == upto:
             return
-        due = sorted(k[0] for k in self.held.keys() if k[0] < upto)
-        for slot in due:
-            x = np.frombuffer(bytes(self.held.getValue((slot,))[0]), dtype=_EVENT)
+        self.upto[key] = upto
+        count, until, _, parts = self.state.get()
+        due: dict[int, list] = {}
+        for at in self.held.keys():
+            if at[0] < upto:
+                due.setdefault(at[0], []).append((at[0], at[1]))
+        for slot in sorted(due):
+            x = np.concatenate([np.frombuffer(bytes(self.held.getValue(at)[0]), dtype=_EVENT) for at in due[slot]])
             x = x[np.lexsort((x["id"], x["t"]))]
             table = pa.table([pa.nulls(len(x)), pa.array(x["t"]), pa.array(x["id"]), pa.array(x["f"])],
                              names=["key", "t", "tb", "failed"])
             _, found, (count, until) = self.walk.fold(table, np.zeros(1, np.int64), (count, until))
-            self.held.removeKey((slot,))
+            for at in due[slot]:
+                self.held.removeKey(at)
             trips = np.asarray(found["trip_us"], dtype=np.int64)
             if len(trips):
                 yield _rows(key, trips.tolist(), (trips + self.walk.timeout).tolist(), False)
-        self.state.update((int(count), None if until is None else int(until), int(upto * self.slot)))
+        self.state.update((int(count), None if until is None else int(until), int(upto * self.slot), parts))
 
     def close(self) -> None:
         pass
@@ -124,13 +135,15 @@ def stream_breaker_ordered(events: DataFrame, delay_s: int, threshold: int = FAI
 def run_with_timers(stream: DataFrame, out_path: str, checkpoint: str) -> None:
     """Append-mode stream with timers → parquet files, over everything
     available. The query gets the state store that timers need; the session's
-    own setting is put back once it has started."""
+    own settings are put back once it has started."""
     conf = stream.sparkSession.conf
-    before = conf.get(_PROVIDER, None)
-    conf.set(_PROVIDER, _ROCKS)
+    before = {k: conf.get(k, None) for k in _STORE}
+    for k, v in _STORE.items():
+        conf.set(k, v)
     try:
         q = (stream.writeStream.outputMode("append").format("parquet").option("path", out_path)
                    .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     finally:
-        conf.unset(_PROVIDER) if before is None else conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
     q.awaitTermination()
