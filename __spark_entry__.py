@@ -945,26 +945,27 @@ def _st_breaker(s, d):
 
 def _st_breaker_unordered(s, d):
     """ST4 over events that come up to a day late: five loads by the time of
-    arrival, the last with a heartbeat that brings out what is held."""
+    arrival, files within a load in any order, then a heartbeat that brings
+    out what is held. The stream's delay covers the day and a load."""
     apply_conf(s)
     from qtrlens.streaming import breaker as BR
     from qtrlens.streaming import revenue_stream as ST
-    day = 86400
+    day, n = 86400, int(s.conf.get("spark.sql.shuffle.partitions"))
     ev = load(s, d, "events")
     feed, out, ck = (scratch_path(s, x) for x in ("event-feed", "trips", "trips-ckpt"))
     arrival = F.unix_seconds(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(day))
     lo, hi, last = ev.agg(F.min(arrival), F.max(arrival), F.max("ts")).first()
-    load_no = F.least(F.floor((arrival - F.lit(lo)) * 5 / F.lit(max(1, hi - lo))), F.lit(4)).cast("int")
+    span = (hi - lo) // 5 + 1 if hi is not None else 1
+    load_no = F.coalesce(F.floor((arrival - F.lit(lo)) / F.lit(span)), F.lit(0)).cast("int")
     loads = cut_lineage(ev.withColumn("_load", load_no), s, "event-loads")
-    beat = {"event_type": F.lit(BR.HEARTBEAT), "ts": F.lit(last) + F.expr("INTERVAL 2 DAYS")}
     for i in range(5):
-        here = loads.where(F.col("_load") == i).drop("_load")
-        if i == 4:
-            here = here.unionByName(s.range(1).select(*(beat.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-                                                        for f in ev.schema)))
-        here.write.mode("append").parquet(feed)
-        BR.run_with_timers(BR.stream_breaker_ordered(ST.stream_revenue_files(
-            s, feed, ev.schema, max_files_per_trigger=None), day), out, ck)
+        loads.where(F.col("_load") == i).drop("_load").repartition(n).write.mode("append").parquet(feed)
+    delay = day + span
+    beat = {"event_type": F.lit(BR.HEARTBEAT), "ts": F.lit(last) + F.make_dt_interval(secs=F.lit(delay + 2 * day))}
+    s.range(1).select(*(beat.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ev.schema)) \
+        .write.mode("append").parquet(feed)
+    BR.run_with_timers(BR.stream_breaker_ordered(ST.stream_revenue_files(
+        s, feed, ev.schema, max_files_per_trigger=n), delay, slot_s=day), out, ck)
     return s.read.parquet(out)
 
 
