@@ -6,8 +6,9 @@ driver). A document's *query* are its ``QUERY_TERMS`` strongest ids by BM25
 weight. Packing goes in rounds over what is left:
 
 1. some of the documents, picked by hash, are seeds; the others are indexed by
-   BM25 in shards (``operators/shares.py``; weights in 16 bits), every shard
-   answers every seed, and a window keeps each seed's nearest of all shards;
+   BM25 (weights in 16 bits). A task holds a lane of seeds with their nearest
+   so far and meets a column of the others, a shard at a time; the columns are
+   few and fixed, so the lists grow with the seeds and not with the shards;
 2. a seed asks for its nearest unused neighbours, as many as fill its window; a
    document asked for by several goes to the one that scores it best, the
    others ask for their next, until a list or the window's room is used up;
@@ -21,8 +22,8 @@ seed's strongest id, cut every ``window`` tokens, so only the corpus' last
 window is padded; a window therefore need not start with its seed, and its
 last document may go on in the next. Every token lies in exactly one piece.
 
-Nothing is gathered: a task holds one shard of bounded size and a block of
-seeds, claims are narrow joins, and offsets are a segmented running sum.
+Nothing is gathered: a task holds one shard and one lane of bounded size,
+claims are narrow joins, and offsets are a segmented running sum.
 Retrieval grows with seeds x others, through the postings of a query's few
 terms.
 
@@ -41,51 +42,174 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from qtrlens.llm import bpe as BPE
 from qtrlens.llm.bpe import load_bpe
-from qtrlens.llm.common import narrow, shuffle_parts, stored
+from qtrlens.llm.common import key_of, narrow, partition_keys, pieces, stored, text_buffer
 from qtrlens.operators.ordered import segmented_running_sum
-from qtrlens.operators.shares import meet_shares
+from qtrlens.operators.shares import struct_table
 
 WINDOW = 1024
 END_ID = 0
 QUERY_TERMS = 8
 SHARE_ROWS = 1 << 15                    # documents of an index shard, at most
-SEED_BLOCK = 4096                       # seeds a shard answers at a time
-LANES = 4                               # copies of a shard that take seeds at the same time, at most
+SEED_BLOCK = 16                         # seeds a shard answers at a time, at most
+COLUMNS = 3                             # parts of the documents that are searched at the same time, each by its own tasks
+LANES, LEAST_LANE = 4, 4096             # lanes of seeds that keep tasks busy, if of so many seeds
+LANE_PLACES = 1 << 22                   # places in the lists of a lane, at most
+WHOLE = 8                               # an id in more than one of so many documents is kept as a row of all
 IMPACTS = 1 << 16                       # steps of a stored weight
+TEXT_BYTES = 1 << 22                    # text a task encodes at a time
+TEXT_IDS = 1 << 21                      # ids a task weighs at a time
 CELLS = 1 << 20                         # scores of one numpy step
 GROUPS = 128                            # a row of scores is cut into so many groups to find a lower bound of the k-th
 K1, B = 1.2, 0.75
 _TOTAL_DOCS, _TOTAL_TOKENS = -2, -1     # pseudo terms of the counts table: its last two entries
 
-_ENCODERS: dict[str, tuple] = {}
-
-
-def _encoder(path: str):
-    """``encode(text) -> uint16/uint32 array`` for a vocabulary: the fast
-    byte-pair library for texts of common characters, the exact pre-tokeniser
-    and automaton for the rest."""
-    if path not in _ENCODERS:
+_ENCODERS: dict[str, "_Encoder"] = {}
+
+# Bytes by class: letters (all of the two-byte characters, but for two signs), digits, other signs, white space, a text's end.
+_LETTER, _DIGIT, _SIGN, _WHITE, _END = range(5)
+_CLASS = bytes(_END if i == 0 else _WHITE if i in (0x20, 0x09, 0x0A, 0x0D) else _DIGIT if 0x30 <= i < 0x3A
+               else _LETTER if i >= 0x80 or chr(i).isalpha() else _SIGN for i in range(256))
+_COMMON = np.zeros(256, dtype=bool)     # bytes of the characters that bpe._NOT_SIMPLE leaves
+_COMMON[[0x09, 0x0A, 0x0D, *range(0x20, 0x7F), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = True
+
+
+def _starts(raw: bytes) -> np.ndarray:
+    """Where the pre-tokeniser's words start in texts of common characters,
+    each ended by a zero byte (a word of its own)."""
+    data = np.frombuffer(raw, dtype=np.uint8)
+    c = np.frombuffer(raw.translate(_CLASS), dtype=np.uint8)
+    lead = np.flatnonzero(data == 0xC3)                    # the signs among the letters
+    lead = lead[np.isin(data[lead + 1], [0x97, 0xB7])]
+    if len(lead):
+        c = c.copy()
+        c[lead] = c[lead + 1] = _SIGN
+    before, after = np.append(np.uint8(_END), c[:-1]), np.append(c[1:], np.uint8(_END))
+    spaced = np.append(False, data[:-1] == 0x20)
+    white = c == _WHITE
+    # of white space the last byte starts a word if one follows, and a space goes with it
+    start = (white & (after != _WHITE) & (after != _END)) | (c != before) & (white | ~spaced) | (c == _END)
+    at = np.flatnonzero(data == 0x27)
+    at = at[(before[at] != _SIGN) & ~spaced[at]]
+    if len(at):                                            # 's 't 'm 'd 're 've 'll
+        x, y = data[at + 1], data[np.minimum(at + 2, len(data) - 1)]
+        one = np.isin(x, np.frombuffer(b"stmd", np.uint8))
+        two = ((x == 0x72) | (x == 0x76)) & (y == 0x65) | (x == 0x6C) & (y == 0x6C)
+        start[at[one | two] + 1] = False
+        start[at[two] + 2] = False
+        start[at[one] + 2] = True
+        start[at[two] + 3] = True
+    return np.flatnonzero(start)
+
+
+class _Encoder:
+    """Texts to ids (without the end id): texts of common characters are cut
+    into words piecewise, and the words that are new go to the fast byte-pair
+    library; the exact pre-tokeniser and automaton take the rest."""
+
+    def __init__(self, path: str):
         import tiktoken
 
-        from qtrlens.llm import bpe as BPE
-        bpe = load_bpe(path)
-        ranks = {bpe.labels[i]: i for i in bpe.automaton.known}
-        fast = tiktoken.Encoding("packing", mergeable_ranks=ranks, special_tokens={}, pat_str=(
+        self.bpe = bpe = load_bpe(path)
+        self.size, self.kind = len(bpe.labels), np.uint16 if len(bpe.labels) <= 1 << 16 else np.uint32
+        self.special = [x.encode() for x in bpe.special]
+        known = sorted(bpe.automaton.known)
+        self.fast = tiktoken.Encoding("packing", mergeable_ranks={bpe.labels[i]: i for i in known}, special_tokens={}, pat_str=(
             r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"))
-        kind = np.uint16 if len(bpe.labels) <= 1 << 16 else np.uint32
-        special = list(bpe.special)
-
-        def encode(text: str) -> np.ndarray:
-            if BPE._NOT_SIMPLE.search(text) or any(s in text for s in special):
-                return np.asarray(bpe.encode(text), dtype=kind)
-            return fast.encode_to_numpy(text, disallowed_special=()).astype(kind)
-
-        _ENCODERS[path] = (encode, kind, len(bpe.labels))
+        self.spaced = np.zeros(self.size, dtype=bool)
+        self.spaced[[i for i in known if bpe.labels[i].startswith(b" ")]] = True
+        self.newline = int(self._ids("\n")[0])
+        self._forget()
+
+    def _forget(self) -> None:
+        """The table of words and their ids: a cache of bounded size."""
+        self.words, self.flat = pa.array([], pa.binary()), np.zeros(0, self.kind)
+        self.first = self.n = np.zeros(0, np.int64)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(self.kind)
+
+    def _learn(self, words: pa.Array) -> None:
+        """Put new words into the table. Those led by a space are encoded in
+        one call, and so are the others on lines of their own; white space goes
+        word by word."""
+        off = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset:words.offset + len(words) + 1]
+        data = np.append(np.frombuffer(words.buffers()[2], dtype=np.uint8), np.uint8(0))
+        lead, then, n = data[off[:-1]], data[off[:-1] + 1], np.diff(off)
+        white = np.frombuffer(_CLASS, dtype=np.uint8) == _WHITE
+        led = (lead == 0x20) & (n > 1) & ~white[then]
+        own = ~white[lead] & (lead != 0)
+        size, flat = np.zeros(len(words), np.int64), []
+        for which, ids in ((led, self._ids(b"".join(words.filter(pa.array(led)).to_pylist()).decode())),
+                           (own, self._ids("".join("\n" + w.decode() for w in words.filter(pa.array(own)).to_pylist())))):
+            cut = np.flatnonzero(self.spaced[ids] if which is led else ids == self.newline)
+            size[which] = np.diff(np.append(cut, len(ids))) - (which is own)
+            flat.append(ids if which is led else np.delete(ids, cut))
+        rest = np.flatnonzero(white[lead] & ~led)
+        flat += [self._ids(words[int(i)].as_py().decode()) for i in rest]
+        size[rest] = [len(x) for x in flat[2:]]
+        order = np.concatenate([np.flatnonzero(led), np.flatnonzero(own), rest, np.flatnonzero(lead == 0)])
+        first = np.empty(len(words), np.int64)
+        first[order] = len(self.flat) + np.cumsum(size[order]) - size[order]
+        self.words = pa.concat_arrays([self.words, words])
+        self.flat = np.concatenate([self.flat, *flat])
+        self.first, self.n = np.concatenate([self.first, first]), np.concatenate([self.n, size])
+
+    def _common(self, raw: bytes) -> list[np.ndarray]:
+        """Ids of texts of common characters, each ended by a zero byte."""
+        start = _starts(raw)
+        off = np.append(start, len(raw)).astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(raw)]).dictionary_encode()
+        found = words.dictionary
+        at = pc.fill_null(pc.index_in(found, value_set=self.words), -1).to_numpy().copy()
+        if len(self.words) + np.count_nonzero(at < 0) > BPE.CACHE_WORDS:
+            self._forget()
+            at[:] = -1
+        new = at < 0
+        at[new] = len(self.words) + np.arange(np.count_nonzero(new))
+        if new.any():
+            self._learn(found.filter(pa.array(new)))
+        which = at[words.indices.to_numpy()]
+        n = self.n[which]
+        upto = np.cumsum(n)
+        ids = self.flat[np.repeat(self.first[which] - (upto - n), n) + np.arange(upto[-1])]
+        ends = np.flatnonzero(np.frombuffer(raw, dtype=np.uint8)[start] == 0)
+        return np.split(ids, upto[ends])[:-1]
+
+    def __call__(self, texts) -> list[np.ndarray]:
+        """Ids of every text of a string column (null: none)."""
+        data, off = text_buffer(texts)
+        out: list = [None] * len(texts)
+        for lo, hi in pieces(off, TEXT_BYTES):
+            part = data[off[lo]:off[hi]]
+            odd = np.append(~_COMMON[part], False)
+            late = np.flatnonzero(part == 0xC9)            # only the first 16 characters of this block
+            odd[late[part[late + 1] > 0x8F]] = True
+            there = np.searchsorted(off, off[lo] + np.flatnonzero(odd), side="right") - 1
+            rare = set(there.tolist())
+            raw = part.tobytes()
+            if any(x in raw for x in self.special):
+                rare |= {i for i in range(lo, hi) if any(x in raw[off[i] - off[lo]:off[i + 1] - off[lo]] for x in self.special)}
+            for i in rare:
+                out[i] = np.asarray(self.bpe.encode(data[off[i]:off[i + 1]].tobytes().decode()), dtype=self.kind)
+            easy = [i for i in range(lo, hi) if i not in rare]
+            if easy:
+                ended = b"".join(y for i in easy for y in (raw[off[i] - off[lo]:off[i + 1] - off[lo]], b"\0"))
+                for i, ids in zip(easy, self._common(ended), strict=True):
+                    out[i] = ids
+        return out
+
+
+def _encoder(path: str) -> _Encoder:
+    """The worker's encoder of a vocabulary."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = _Encoder(path)
     return _ENCODERS[path]
 
 
@@ -94,18 +218,20 @@ _TOKEN_NAMES = ["doc_id", "n_tokens", "ids", "counts", "row", "name"]
 
 def _tokenise(path, end_id):
     def run(batches):
-        encode, kind, size = _encoder(path)
-        end = np.array([end_id], dtype=kind)
-        df = np.zeros(size, dtype=np.int64)
+        encode = _encoder(path)
+        end = np.array([end_id], dtype=encode.kind)
+        df = np.zeros(encode.size, dtype=np.int64)
         docs = tokens = 0
         first = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for lo in range(0, len(batch), 256):
-                part = batch.slice(lo, 256)
+            for lo in range(0, len(batch), 1024):
+                part = batch.slice(lo, 1024)
                 ids, n, names = [], [], []
-                for i, t in zip(part.column(0).to_pylist(), part.column(1)):
-                    body = encode(t.as_py() or "")
-                    df[np.unique(body)] += 1
+                bodies = encode(part.column(1))
+                for at in range(0, len(bodies), 64):
+                    some = bodies[at:at + 64]
+                    df += np.bincount(_distinct(np.concatenate(some), np.array([len(x) for x in some]))[1], minlength=len(df))
+                for i, body in zip(part.column(0).to_pylist(), bodies):
                     ids.append(np.concatenate([body, end]).tobytes())
                     n.append(len(body) + 1)
                     names.append(int.from_bytes(hashlib.blake2b(ids[-1], digest_size=8, salt=str(i)[-16:].encode())
@@ -149,18 +275,42 @@ def corpus_counts(tokens: DataFrame) -> dict[int, int]:
     return {r.term: r.n for r in rows}
 
 
-def strongest(terms: np.ndarray, weight: np.ndarray, most: int) -> np.ndarray:
-    """The ``most`` terms of the largest weight, in the order of ids."""
-    return np.sort(terms[np.argsort(-weight.astype(np.int64), kind="stable")[:most]])
+def _distinct(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, id and count of every different id of texts of ``n`` ids
+    each, in this order."""
+    key = np.sort(np.repeat(np.arange(len(n), dtype=np.int64) << 32, n) | ids)
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    key, tf = key[first], np.diff(np.append(first, len(key)))
+    return key >> 32, key & 0xFFFFFFFF, tf
 
 
-def weights_of(ids: np.ndarray, idf: np.ndarray, avg_len: float) -> tuple[np.ndarray, np.ndarray]:
-    """A document's different ids and their BM25 weights, as whole steps of
-    the largest weight an id can have (one step at least)."""
-    terms, tf = np.unique(ids, return_counts=True)
-    norm = K1 * (1 - B + B * len(ids) / max(avg_len, 1e-9))
+def weights_of(ids: np.ndarray, n: np.ndarray, idf: np.ndarray, avg_len: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, id and BM25 weight of every different id of texts of ``n``
+    ids each. Weights are whole steps of the largest weight an id can have
+    (one step at least)."""
+    text, terms, tf = _distinct(ids, n)
+    norm = (K1 * (1 - B + B * n / max(avg_len, 1e-9)))[text]
     step = max(float(idf.max(initial=0)) * (K1 + 1), 1e-9) / (IMPACTS - 1)
-    return terms, np.maximum(np.round(idf[terms] * tf * (K1 + 1) / (tf + norm) / step), 1).astype(np.uint16)
+    return text, terms, np.maximum(np.round(idf[terms] * tf * (K1 + 1) / (tf + norm) / step), 1).astype(np.uint16)
+
+
+def strongest(text: np.ndarray, terms: np.ndarray, weight: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number and id of every text's ``most`` ids of the largest weight
+    (equal ones: the smaller id first), in the order of ids, and whether an id
+    is its text's strongest."""
+    assert len(text) == 0 or int(text[-1]) < 1 << 15
+    key = np.sort(text << 48 | (0xFFFF - weight.astype(np.int64)) << 32 | terms)
+    text = key >> 48
+    place = np.arange(len(text)) - np.searchsorted(text, text, side="left")
+    text, best, place = text[place < most], key[place < most] & 0xFFFFFFFF, place[place < most]
+    order = np.argsort(text << 32 | best)
+    return text[order], best[order], place[order] == 0
+
+
+def _binaries(values: np.ndarray, text: np.ndarray, texts: int) -> pa.Array:
+    """Number arrays per text, from those of all texts in order."""
+    off = np.searchsorted(text, np.arange(texts + 1)) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), texts, [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(values.tobytes())])
 
 
 _TERMS = "row long, name long, length long, lead int, terms binary, weights binary, query binary"
@@ -172,16 +322,20 @@ def _weighted(idf_raw: bytes, avg_len: float, kind: str, query_terms: int):
 
     def run(batches):
         for batch in batches:
-            lead, cols = [], ([], [], [])
-            for raw in batch.column(3):
-                terms, weight = weights_of(np.frombuffer(raw.as_buffer(), dtype=kind)[:-1], idf, avg_len)
-                best = strongest(terms, weight, query_terms)
-                lead.append(int(terms[np.argmax(weight)]) if len(terms) else -1)
-                for c, x in zip(cols, (terms, weight, best)):
-                    c.append(x.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(lead, pa.int32()), *(pa.array(c, pa.binary()) for c in cols)],
-                names=["row", "name", "length", "lead", "terms", "weights", "query"])
+            every, sizes = _flat(batch.column(3), kind)
+            off = np.append(0, np.cumsum(sizes))
+            for lo, hi in pieces(off, TEXT_IDS):
+                n = sizes[lo:hi] - 1                                  # without the end id
+                ids = np.delete(every[off[lo]:off[hi]], off[lo + 1:hi + 1] - off[lo] - 1)
+                text, terms, weight = weights_of(ids, n, idf, avg_len)
+                of, best, first = strongest(text, terms, weight, query_terms)
+                lead = np.full(hi - lo, -1, np.int32)
+                lead[of[first]] = best[first]
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(lo, hi - lo) for c in batch.columns[:3]), pa.array(lead),
+                     _binaries(terms.astype(kind), text, hi - lo), _binaries(weight, text, hi - lo),
+                     _binaries(best.astype(kind), of, hi - lo)],
+                    names=["row", "name", "length", "lead", "terms", "weights", "query"])
     return run
 
 
@@ -198,62 +352,134 @@ def _flat(column, kind) -> tuple[np.ndarray, np.ndarray]:
 _LIST = "seed long, row long, length long, score double, tie long"
 
 
-def _nearest(k: int, kind: str):
-    """A shard's inverted index, and its ``k`` nearest for every seed."""
-    def scorer(entries):
-        n = len(entries)
+class _Lane:
+    """Seeds with their ``k`` nearest of all entries met so far."""
+
+    def __init__(self, k: int, kind: str, block: int, seeds: pa.Table):
+        self.k, self.kind, self.block = k, kind, block
+        self.seed, self.name = seeds["seed"].to_numpy(), seeds["name"].to_numpy()
+        self.asked, own = _flat(seeds["query"], kind)
+        self.upto = np.append(0, np.cumsum(own))
+        self.score = np.zeros((len(seeds), k), np.int32)             # nought: no neighbour
+        self.tie, self.row, self.length = (np.zeros((len(seeds), k), np.int64) for _ in range(3))
+
+    def meet(self, entries: pa.Table) -> None:
+        """Better the lists by a share's entries, through its inverted index."""
+        n, k = len(entries), self.k
         row, name, length = (entries[c].to_numpy() for c in ("row", "name", "length"))
-        term, size = _flat(entries["terms"], kind)
+        term, size = _flat(entries["terms"], self.kind)
         order = np.argsort(term, kind="stable")
         post_doc = np.repeat(np.arange(n, dtype=np.int32), size)[order]
-        post_weight = _flat(entries["weights"], np.uint16)[0][order]
-        term = term[order]
-        del order
-        first = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
-        known = np.append(term[first].astype(np.int64), 1 << 33)                        # the last one has no postings
-        first = np.append(first, [len(term)] * 2)
-
-        def score(seeds):
-            asked, own = _flat(seeds["query"], kind)
-            seed, seed_name = seeds["seed"].to_numpy(), seeds["name"].to_numpy()
-            at = np.searchsorted(known, asked)
-            at[known[at] != asked] = len(known) - 1
-            upto = np.append(0, np.cumsum(own))
-            step = max(1, CELLS // n)
-            for lo in range(0, len(seed), step):
-                hi = min(lo + step, len(seed))
-                mine = at[upto[lo]:upto[hi]]
-                span = first[mine + 1] - first[mine]
-                place = np.repeat(first[mine] - (np.cumsum(span) - span), span) + np.arange(span.sum())
-                line = np.repeat(np.repeat(np.arange(hi - lo) * n, own[lo:hi]), span)
-                s = np.bincount(line + post_doc[place], weights=post_weight[place], minlength=(hi - lo) * n).reshape(-1, n)
-                least = np.zeros(hi - lo)
-                if n > k * GROUPS:               # the k-th largest of group maxima is not above the k-th largest
-                    width = n // GROUPS
-                    top = s[:, :GROUPS * width].reshape(-1, GROUPS, width).max(axis=2)
-                    if k <= GROUPS:
-                        least = np.partition(top, GROUPS - k, axis=1)[:, GROUPS - k]
-                q, d = np.nonzero((s >= least[:, None]) & (s > 0))
-                x = s[q, d]
-                tie = (name[d].view(np.uint64) - seed_name[lo + q].view(np.uint64)) >> np.uint64(1)
-                order = np.lexsort((tie, -x, q))
-                of = q[order]
-                order = order[np.arange(len(of)) - np.searchsorted(of, of, side="left") < k]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(seed[lo + q[order]]), pa.array(row[d[order]]), pa.array(length[d[order]]), pa.array(x[order]),
-                     pa.array(tie[order].astype(np.int64))], names=["seed", "row", "length", "score", "tie"])
-        return score
-    return scorer
+        post_weight = _flat(entries["weights"], np.uint16)[0][order].astype(np.int32)
+        first = np.searchsorted(term[order], np.arange(int(term.max(initial=0)) + 2))
+        del term, order
+        lo_of, hi_of = (first[np.minimum(self.asked.astype(np.int64) + i, len(first) - 1)] for i in (0, 1))
+        whole: dict[int, np.ndarray] = {}                            # lists of frequent ids, as a row of all entries
+        step = max(1, min(self.block, CELLS // n))
+        room = np.empty((step, n), np.int32)
+        for lo in range(0, len(self.seed), step):
+            hi = min(lo + step, len(self.seed))
+            s = room[:hi - lo]
+            s[:] = 0
+            for line, a, b in zip(s, self.upto[lo:hi].tolist(), self.upto[lo + 1:hi + 1].tolist()):
+                for x, y in zip(lo_of[a:b].tolist(), hi_of[a:b].tolist()):
+                    if y - x <= n // WHOLE:
+                        line[post_doc[x:y]] += post_weight[x:y]
+                        continue
+                    if x not in whole:
+                        whole[x] = np.zeros(n, np.int32)
+                        whole[x][post_doc[x:y]] = post_weight[x:y]
+                    line += whole[x]
+            least = np.maximum(self.score[lo:hi, -1], 1)
+            if n > k * GROUPS and k <= GROUPS:       # the k-th largest of group maxima is not above the k-th largest
+                width = n // GROUPS
+                top = s[:, :GROUPS * width].reshape(-1, GROUPS, width).max(axis=2)
+                least = np.maximum(least, np.partition(top, GROUPS - k, axis=1)[:, GROUPS - k])
+            q, d = np.divmod(np.flatnonzero(s >= least[:, None]), n)
+            if not len(q):
+                continue
+            old_q, old = np.nonzero(self.score[lo:hi])
+            of = np.concatenate([old_q, q])
+            x = np.concatenate([self.score[lo + old_q, old], s[q, d]])
+            tie = ((name[d].view(np.uint64) - self.name[lo + q].view(np.uint64)) >> np.uint64(1)).astype(np.int64)
+            tie, rows, lengths = (np.concatenate([mine[lo + old_q, old], new]) for mine, new in (
+                (self.tie, tie), (self.row, row[d]), (self.length, length[d])))
+            best = np.lexsort((rows, tie, -x, of))
+            of = of[best]
+            at = np.arange(len(of)) - np.searchsorted(of, of, side="left")
+            kept = at < k
+            best, to = best[kept], (lo + of[kept], at[kept])
+            self.score[to], self.tie[to], self.row[to], self.length[to] = x[best], tie[best], rows[best], lengths[best]
+
+    def lists(self):
+        for lo in range(0, len(self.seed), 4096):
+            q, at = np.nonzero(self.score[lo:lo + 4096])
+            q += lo
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (self.seed[q], self.row[q, at], self.length[q, at],
+                                       self.score[q, at].astype(np.float64), self.tie[q, at])],
+                names=["seed", "row", "length", "score", "tie"])
+
+
+def _cells(k: int, kind: str, share_rows: int, block: int):
+    """A cell's seeds, which come first, meet its entries a share at a time."""
+    def run(batches):
+        cell, seeds, entries, size, lane = None, [], [], 0, None
+
+        def meet():
+            nonlocal seeds, entries, size, lane
+            if lane is None and seeds:
+                lane, seeds = _Lane(k, kind, block, pa.concat_tables(seeds)), []
+            if lane is not None and size:
+                lane.meet(pa.concat_tables(entries))
+            entries, size = [], 0
+
+        for batch in batches:
+            at, side = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            cuts = np.flatnonzero((np.diff(at) != 0) | (np.diff(side) != 0)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(at)]):
+                if lo == hi:
+                    continue
+                if at[lo] != cell:
+                    meet()
+                    if lane is not None:
+                        yield from lane.lists()
+                    cell, seeds, lane = at[lo], [], None
+                if side[lo] == 0:
+                    seeds.append(struct_table(batch.column(2), (lo, hi - lo)))
+                    continue
+                while lo < hi:
+                    here = min(hi - lo, share_rows - size)
+                    entries.append(struct_table(batch.column(3), (lo, here)))
+                    size, lo = size + here, lo + here
+                    if size >= share_rows:
+                        meet()
+        meet()
+        if lane is not None:
+            yield from lane.lists()
+    return run
 
 
 def nearest_lists(seeds: DataFrame, others: DataFrame, k: int, kind: str) -> DataFrame:
     """``seed, row, length, score, tie, rank``: for every seed its ``k``
-    nearest of all ``others``, from all shards."""
-    shards = max(1, math.ceil(others.count() / SHARE_ROWS))
-    lanes = max(1, min(LANES, shuffle_parts(seeds.sparkSession) // shards, math.ceil(seeds.count() / SEED_BLOCK)))
-    found = meet_shares(others.select("row", "name", "length", "terms", "weights"),
-                        seeds.select(F.col("row").alias("seed"), "name", "query"), _nearest(k, kind), _LIST,
-                        share_rows=SHARE_ROWS, block=SEED_BLOCK, least_rows=SHARE_ROWS, lanes=lanes)
+    nearest of all ``others``. The seeds are dealt into lanes, the others into
+    ``COLUMNS`` columns, whatever their number; a task holds a lane's seeds
+    with their lists and meets a column share by share, so a seed has at most
+    ``COLUMNS`` lists of ``k``."""
+    spark, n_seeds = seeds.sparkSession, seeds.count()
+    lanes = max(1, min(LANES, math.ceil(n_seeds / LEAST_LANE)), math.ceil(n_seeds * k / LANE_PLACES))
+    q, e = F.struct(F.col("row").alias("seed"), "name", "query"), F.struct("row", "name", "length", "terms", "weights")
+    qtype, etype = seeds.select(q).schema[0].dataType, others.select(e).schema[0].dataType
+    every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
+    turn = lambda m: F.pmod(F.monotonically_increasing_id(), F.lit(m))
+    keys = partition_keys(spark, COLUMNS * lanes)
+    cell = key_of((F.col("_c") * F.lit(lanes) + F.col("_l")).cast("int"), keys).alias("_cell")
+    sent = seeds.select(turn(lanes).alias("_l"), q.alias("_q")).select("_l", every(COLUMNS).alias("_c"), "_q").select(
+        cell, F.lit(0).alias("_side"), "_q", F.lit(None).cast(etype).alias("_e"))
+    dealt = others.select(turn(COLUMNS).alias("_c"), e.alias("_e")).select("_c", every(lanes).alias("_l"), "_e").select(
+        cell, F.lit(1).alias("_side"), F.lit(None).cast(qtype).alias("_q"), "_e")
+    found = (sent.unionByName(dealt).repartition(len(keys), "_cell").sortWithinPartitions("_cell", "_side")
+             .mapInArrow(_cells(k, kind, SHARE_ROWS, SEED_BLOCK), _LIST))
     w = Window.partitionBy("seed").orderBy(F.desc("score"), "tie", "row")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -29,7 +29,8 @@ def share_count(entries: DataFrame, share_rows: int, least_rows: int) -> int:
     return max(1, math.ceil(n / share_rows), min(parts, math.ceil(n / least_rows)))
 
 
-def _table(column, rows: tuple[int, int]) -> pa.Table:
+def struct_table(column, rows: tuple[int, int]) -> pa.Table:
+    """Rows (from, number) of a struct column as a table."""
     part = column.slice(*rows)
     return pa.Table.from_arrays(part.flatten(), names=[f.name for f in part.type])
 
@@ -56,10 +57,10 @@ def _meet(scorer, block: int):
                     yield from flush()
                     share, entries, score = at[lo], [], None
                 if kind[lo] == 0:
-                    entries.append(_table(batch.column(2), (lo, hi - lo)))
+                    entries.append(struct_table(batch.column(2), (lo, hi - lo)))
                     continue
                 for a in range(lo, hi, block):
-                    queries.append(_table(batch.column(3), (a, min(block, hi - a))))
+                    queries.append(struct_table(batch.column(3), (a, min(block, hi - a))))
                     size += len(queries[-1])
                     if size >= block:
                         yield from flush()

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -179,6 +180,44 @@ def test_lists_against_plain_bm25(spark, texts, vocabulary, library, share_rows,
     assert hits == asked > 100
 
 
+def test_a_cell_makes_one_list_per_seed():
+    """However many shares a cell's entries come in, a seed has ``k`` rows."""
+    rnd = np.random.default_rng(1)
+    bits = lambda n, most: [rnd.choice(50, rnd.integers(1, most), replace=False).astype("<u2") for _ in range(n)]
+    asked, terms = bits(7, 8), bits(40, 20)
+    weights = [rnd.integers(1, 9, len(t)).astype(np.uint16) for t in terms]
+    q = pa.StructArray.from_arrays([pa.array(range(7), pa.int64()), pa.array(range(7), pa.int64()),
+                                    pa.array([x.tobytes() for x in asked])], ["seed", "name", "query"])
+    e = pa.StructArray.from_arrays([pa.array(range(40), pa.int64()), pa.array(range(100, 140), pa.int64()),
+                                    pa.array([1] * 40, pa.int64()), pa.array([x.tobytes() for x in terms]),
+                                    pa.array([x.tobytes() for x in weights])], ["row", "name", "length", "terms", "weights"])
+    side = lambda i, n: [pa.array([5] * n), pa.array([i] * n)]
+    batches = [pa.RecordBatch.from_arrays([*side(0, 7), q, pa.nulls(7, e.type)], names="abcd"),
+               pa.RecordBatch.from_arrays([*side(1, 40), pa.nulls(40, q.type), e], names="abcd")]
+    want = []
+    for s, x in enumerate(asked):
+        every = [(-int(w[np.isin(t, x)].sum()), (100 + r - s) >> 1, r) for r, (t, w) in enumerate(zip(terms, weights))]
+        want += [(s, r, -score) for score, _, r in sorted(y for y in every if y[0])[:3]]
+    for share_rows in (1, 7, 100):
+        got = [x for b in P._cells(3, "<u2", share_rows, 2)(batches) for x in zip(*(b.column(i).to_pylist() for i in (0, 1, 3)))]
+        assert sorted(got) == sorted(want) and len(got) <= 3 * 7
+
+
+ODD = "ab zsS" + "'" * 3 + "tmdrevl  \n\t\r12_-.×÷éÉɏɐñ\x0b\u3000<|>"
+
+
+def test_words_in_pieces_like_the_library(vocabulary, library, monkeypatch):
+    rnd = random.Random(1)
+    texts = ["".join(rnd.choice(ODD) for _ in range(rnd.randrange(40))) for _ in range(3000)]
+    texts += ["it's we're I'll 'sabc 's's ''s  's\n's", "<|endoftext|> x", "", " ", "a  ", "\n\n", "a\n\n b", "x'", "x'l", None, "É'll×'s"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for most in (P.BPE.CACHE_WORDS, 50):
+        monkeypatch.setattr(P.BPE, "CACHE_WORDS", most)
+        monkeypatch.setattr(P, "TEXT_BYTES", 2000)
+        encode = P._Encoder(vocabulary)
+        assert [x.tolist() for _ in range(2) for x in encode(pa.array(texts))] == want * 2
+
+
 def test_claims(spark):
     """The turns of asking and winning, against a plain walk."""
     rnd = random.Random(3)
