@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..operators.events import FAILURE_TYPE, FAIL_THRESHOLD, RESET_TIMEOUT_SECONDS, _Breaker
 
 HEARTBEAT = "heartbeat"
+FEW = 4096                 # events of a key that are held in one value
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _STORE = {_PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
           # a batch writes what it changed, not the whole store
@@ -40,64 +41,85 @@ def _rows(key, at, until, late: bool) -> pd.DataFrame:
 
 
 class _HeldBreaker(StatefulProcessor):
-    """State of a key: the events of each slot of time that is not folded yet,
-    an entry per batch that brought some, and the walk's count, open window and
-    the time up to which it is folded, with the number of entries so far."""
+    """State of a key: the walk's count, open window and the time up to which
+    it is folded, with the events that are not folded yet, so that a batch
+    reads and writes one value a key. A key with more than ``FEW`` of them
+    keeps them in entries by slot of time and batch, counted by ``parts``.
+    ``due`` is the first slot held, the only one with a timer."""
 
-    def __init__(self, threshold: int, timeout_us: int, slot_us: int):
-        self.walk, self.slot = _Breaker(threshold, timeout_us), slot_us
+    def __init__(self, threshold: int, timeout_us: int, slot_us: int, few: int):
+        self.walk, self.slot, self.few = _Breaker(threshold, timeout_us), slot_us, few
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.held = handle.getMapState("held", "slot long, part long", "events binary")
         self.upto: dict = {}                 # what this task has folded of its keys in this batch
-        self.state = handle.getValueState("walk", "count long, until long, folded long, parts long")
+        self.state = handle.getValueState(
+            "walk", "count long, until long, folded long, parts long, due long, events binary")
+
+    def _timer(self, slot: int) -> None:
+        self.handle.registerTimer(-(-(slot + 1) * self.slot // 1000))            # the same timer again changes nothing
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        count, until, folded, parts = self.state.get() or (0, None, None, 0)
-        before = parts
+        count, until, folded, parts, due, raw = self.state.get() or (0, None, None, 0, None, b"")
+        come = []
         for pdf in rows:
-            pdf = pdf[~pdf["beat"]]
-            x = np.empty(len(pdf), dtype=_EVENT)
-            x["t"], x["id"], x["f"] = pdf["t_us"], pdf["event_id"], pdf["f"]
+            real = ~pdf["beat"].to_numpy(dtype=bool)
+            x = np.empty(np.count_nonzero(real), dtype=_EVENT)
+            for to, name in (("t", "t_us"), ("id", "event_id"), ("f", "f")):
+                x[to] = pdf[name].to_numpy()[real]
             if folded is not None and (late := x["t"] < folded).any():
                 yield _rows(key, x["t"][late].tolist(), None, True)
                 x = x[~late]
+            come.append(x)
+        x = np.concatenate(come) if come else np.empty(0, dtype=_EVENT)
+        if not len(x):
+            return
+        first = int(x["t"].min() // self.slot)
+        if due is None or first < due:
+            due = first
+            self._timer(due)
+        x = np.concatenate([np.frombuffer(bytes(raw), dtype=_EVENT), x])
+        if len(x) > self.few:
             x = x[np.argsort(x["t"], kind="stable")]
-            slot = x["t"] // self.slot
-            cuts = np.flatnonzero(np.diff(slot)) + 1
-            for part in np.split(x, cuts) if len(x) else []:
-                at = int(part["t"][0] // self.slot)
-                self.held.updateValue((at, parts), (part.tobytes(),))
-                self.handle.registerTimer(-(-(at + 1) * self.slot // 1000))      # the same timer again changes nothing
+            for part in np.split(x, np.flatnonzero(np.diff(x["t"] // self.slot)) + 1):
+                self.held.updateValue((int(part["t"][0] // self.slot), parts), (part.tobytes(),))
                 parts += 1
-        if parts > before:
-            self.state.update((count, until, folded, parts))
+            x = x[:0]
+        self.state.update((count, until, folded, parts, due, x.tobytes()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Every slot that ends by the watermark is folded at the first timer
-        of a batch; the others find nothing left."""
+        of a batch; another finds nothing left."""
         upto = timerValues.getCurrentWatermarkInMs() * 1000 // self.slot
         if self.upto.get(key) == upto:
             return
         self.upto[key] = upto
-        count, until, _, parts = self.state.get()
-        due: dict[int, list] = {}
-        for at in self.held.keys():
-            if at[0] < upto:
-                due.setdefault(at[0], []).append((at[0], at[1]))
-        for slot in sorted(due):
-            x = np.concatenate([np.frombuffer(bytes(self.held.getValue(at)[0]), dtype=_EVENT) for at in due[slot]])
+        count, until, _, parts, _, raw = self.state.get()
+        x = np.frombuffer(bytes(raw), dtype=_EVENT)
+        slot = x["t"] // self.slot
+        kept, ready, slot = x[slot >= upto], x[slot < upto], slot[slot < upto]
+        entries = [(at[0], at[1]) for at in self.held.keys()] if parts else []
+        later = [at[0] for at in entries if at[0] >= upto] + (kept["t"] // self.slot).tolist()
+        entries = sorted(at for at in entries if at[0] < upto)
+        for now in sorted({*slot.tolist(), *(at[0] for at in entries)}) if entries else [None] * bool(len(ready)):
+            mine = [at for at in entries if at[0] == now]
+            x = np.concatenate([ready if now is None else ready[slot == now],
+                                *(np.frombuffer(bytes(self.held.getValue(at)[0]), dtype=_EVENT) for at in mine)])
             x = x[np.lexsort((x["id"], x["t"]))]
             table = pa.table([pa.nulls(len(x)), pa.array(x["t"]), pa.array(x["id"]), pa.array(x["f"])],
                              names=["key", "t", "tb", "failed"])
             _, found, (count, until) = self.walk.fold(table, np.zeros(1, np.int64), (count, until))
-            for at in due[slot]:
+            for at in mine:
                 self.held.removeKey(at)
             trips = np.asarray(found["trip_us"], dtype=np.int64)
             if len(trips):
                 yield _rows(key, trips.tolist(), (trips + self.walk.timeout).tolist(), False)
-        self.state.update((int(count), None if until is None else int(until), int(upto * self.slot), parts))
+        due = min(later, default=None)
+        if due is not None:
+            self._timer(due)
+        self.state.update((int(count), None if until is None else int(until), int(upto * self.slot),
+                           parts if len(later) > len(kept) else 0, due, kept.tobytes()))
 
     def close(self) -> None:
         pass
@@ -116,8 +138,8 @@ def stream_breaker_ordered(events: DataFrame, delay_s: int, threshold: int = FAI
     type ``heartbeat`` only move the watermark: one that lies the delay and a
     slot behind the last event brings out all that is held.
 
-    A key's state holds its events of the last delay and slot; a task folds one
-    slot at a time. Needs the RocksDB state store (``run_with_timers`` sets it
+    A key's state holds its events of the last delay and slot; a task folds
+    ``FEW`` events or one slot at a time. Needs the RocksDB state store (``run_with_timers`` sets it
     for the query)."""
     slot_us = int((slot_s or delay_s) * 1e6)
     beat = F.coalesce(F.col("event_type") == HEARTBEAT, F.lit(False))
@@ -129,7 +151,7 @@ def stream_breaker_ordered(events: DataFrame, delay_s: int, threshold: int = FAI
         F.coalesce(F.col("event_type") == FAILURE_TYPE, F.lit(False)).alias("f"), beat.alias("beat"))
     # a null in a key column would turn the other keys of its batch into floats, so the key has none
     return x.groupBy("known", "user_id").transformWithStateInPandas(
-        _HeldBreaker(threshold, int(reset_timeout_s * 1e6), slot_us), _OUT, "Append", "EventTime")
+        _HeldBreaker(threshold, int(reset_timeout_s * 1e6), slot_us, FEW), _OUT, "Append", "EventTime")
 
 
 def run_with_timers(stream: DataFrame, out_path: str, checkpoint: str) -> None:

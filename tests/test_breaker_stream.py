@@ -39,6 +39,55 @@ def test_any_order_within_the_delay(spark):
     assert run(spark, [[*arrival, beat]], 120) == want                      # all at once, other slots
 
 
+def test_few_state_calls_and_large_keys(spark, monkeypatch):
+    """A batch writes one value a key, however many slots its events lie in;
+    a key with many events keeps them by slot, with the same trips."""
+    class Store(dict):
+        calls = 0
+
+        def updateValue(self, k, v):
+            Store.calls += 1
+            self[k] = v
+
+    class Handle:
+        def __init__(self):
+            self.map, self.value, self.timers = Store(), None, []
+
+        def registerTimer(self, ms):
+            Store.calls += 1
+            self.timers.append(ms)
+
+        def getMapState(self, *_):
+            return self.map
+
+        def getValueState(self, *_):
+            return self
+
+        def get(self):
+            return self.value
+
+        def update(self, v):
+            Store.calls += 1
+            self.value = v
+
+    import pandas as pd
+    handle, held = Handle(), BR._HeldBreaker(3, 30_000_000, 60_000_000, 100)
+    held.init(handle)
+    rows = pd.DataFrame({"t_us": [i * 60_000_000 for i in range(90)], "event_id": range(90), "f": [True] * 90, "beat": [False] * 90})
+    assert list(held.handleInputRows((True, 1), iter([rows]), None)) == [] and Store.calls == 2 and not handle.map
+    list(held.handleInputRows((True, 1), iter([rows]), None))
+    assert len(handle.map) == 90 and handle.timers == [60_000]
+
+    rng = random.Random(6)
+    events = [(i, at(rng.randrange(900)), rng.choice([1, 2, None]), rng.choice(["error", "error", "view"])) for i in range(300)]
+    want = sorted(((r.user_id, r.trip_at, r.open_until, False)
+                   for r in EV.breaker_trips(spark.createDataFrame(events, SCHEMA)).collect()), key=str)
+    arrival = sorted(events, key=lambda e: (e[1] + dt.timedelta(seconds=rng.randrange(120)), e[0]))
+    loads = [arrival[:100], arrival[100:200], [*arrival[200:], (0, at(1200), None, BR.HEARTBEAT)]]
+    monkeypatch.setattr(BR, "FEW", 8)
+    assert len(want) > 5 and run(spark, loads, 120, slot=30) == want
+
+
 def test_behind_the_watermark_is_reported(spark):
     loads = [[(1, at(0), 1, "error"), (2, at(1), 1, "error"), (3, at(500), 2, "view")],     # watermark at 440 s
              [(4, at(2), 1, "error"), (5, at(470), 1, "error"), (6, at(450), 2, "view")],
