@@ -64,6 +64,7 @@ LANE_PLACES = 1 << 22                   # places in the lists of a lane, at most
 WHOLE = 8                               # an id in more than one of so many documents is kept as a row of all
 IMPACTS = 1 << 16                       # steps of a stored weight
 TEXT_BYTES = 1 << 22                    # text a task encodes at a time
+TABLE_WORDS = 1 << 17                   # words whose ids a task keeps at hand
 TEXT_IDS = 1 << 21                      # ids a task weighs at a time
 CELLS = 1 << 20                         # scores of one numpy step
 GROUPS = 128                            # a row of scores is cut into so many groups to find a lower bound of the k-th
@@ -108,6 +109,20 @@ def _starts(raw: bytes) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _joined(words: pa.Array, which: np.ndarray, before: bytes = b"") -> str:
+    """Some of the words in one text, each after ``before``."""
+    words = words.filter(pa.array(which))
+    if before:
+        words = pc.binary_join_element_wise(pa.scalar(before), words, pa.scalar(b""))
+    data, off = text_buffer(words)
+    return data[off[0]:off[-1]].tobytes().decode()
+
+
+def _taken(flat: np.ndarray, first: np.ndarray, n: np.ndarray, upto: np.ndarray) -> np.ndarray:
+    """Runs of ``n`` entries from ``first`` on, one after the other."""
+    return flat[np.repeat(first - (upto - n), n) + np.arange(upto[-1] if len(upto) else 0)]
+
+
 class _Encoder:
     """Texts to ids (without the end id): texts of common characters are cut
     into words piecewise, and the words that are new go to the fast byte-pair
@@ -120,35 +135,36 @@ class _Encoder:
         self.size, self.kind = len(bpe.labels), np.uint16 if len(bpe.labels) <= 1 << 16 else np.uint32
         self.special = [x.encode() for x in bpe.special]
         known = sorted(bpe.automaton.known)
-        self.fast = tiktoken.Encoding("packing", mergeable_ranks={bpe.labels[i]: i for i in known}, special_tokens={}, pat_str=(
-            r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"))
+        # the words are cut already: this pattern only keeps apart those of one call
+        self.fast = tiktoken.Encoding("packing", mergeable_ranks={bpe.labels[i]: i for i in known}, special_tokens={},
+                                      pat_str=r" ?[^\x00\t\n\r ]+|[\t\n\r ]+|\x00")
         self.spaced = np.zeros(self.size, dtype=bool)
         self.spaced[[i for i in known if bpe.labels[i].startswith(b" ")]] = True
-        self.newline = int(self._ids("\n")[0])
+        self.zero = int(self._ids("\0")[0])
         self._forget()
 
     def _forget(self) -> None:
-        """The table of words and their ids: a cache of bounded size."""
+        """The table of words and their ids: a cache of bounded size, of the
+        words that came more than once in a piece."""
         self.words, self.flat = pa.array([], pa.binary()), np.zeros(0, self.kind)
         self.first = self.n = np.zeros(0, np.int64)
 
     def _ids(self, text: str) -> np.ndarray:
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype(self.kind)
 
-    def _learn(self, words: pa.Array) -> None:
-        """Put new words into the table. Those led by a space are encoded in
-        one call, and so are the others on lines of their own; white space goes
-        word by word."""
-        off = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset:words.offset + len(words) + 1]
-        data = np.append(np.frombuffer(words.buffers()[2], dtype=np.uint8), np.uint8(0))
+    def _learn(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words that are not in the table, where each one's start, and
+        their number. Words led by a space are encoded in one call, and so are
+        the others with a zero byte before each; white space goes word by word."""
+        data, off = text_buffer(words)
+        data = np.append(data, np.uint8(0))
         lead, then, n = data[off[:-1]], data[off[:-1] + 1], np.diff(off)
         white = np.frombuffer(_CLASS, dtype=np.uint8) == _WHITE
         led = (lead == 0x20) & (n > 1) & ~white[then]
         own = ~white[lead] & (lead != 0)
         size, flat = np.zeros(len(words), np.int64), []
-        for which, ids in ((led, self._ids(b"".join(words.filter(pa.array(led)).to_pylist()).decode())),
-                           (own, self._ids("".join("\n" + w.decode() for w in words.filter(pa.array(own)).to_pylist())))):
-            cut = np.flatnonzero(self.spaced[ids] if which is led else ids == self.newline)
+        for which, ids in ((led, self._ids(_joined(words, led))), (own, self._ids(_joined(words, own, b"\0")))):
+            cut = np.flatnonzero(self.spaced[ids] if which is led else ids == self.zero)
             size[which] = np.diff(np.append(cut, len(ids))) - (which is own)
             flat.append(ids if which is led else np.delete(ids, cut))
         rest = np.flatnonzero(white[lead] & ~led)
@@ -156,29 +172,38 @@ class _Encoder:
         size[rest] = [len(x) for x in flat[2:]]
         order = np.concatenate([np.flatnonzero(led), np.flatnonzero(own), rest, np.flatnonzero(lead == 0)])
         first = np.empty(len(words), np.int64)
-        first[order] = len(self.flat) + np.cumsum(size[order]) - size[order]
-        self.words = pa.concat_arrays([self.words, words])
-        self.flat = np.concatenate([self.flat, *flat])
-        self.first, self.n = np.concatenate([self.first, first]), np.concatenate([self.n, size])
+        first[order] = np.cumsum(size[order]) - size[order]
+        return np.concatenate(flat), first, size
+
+    def _keep(self, words: pa.Array, ids: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
+        """Put new words into the table."""
+        if len(self.words) + len(words) > TABLE_WORDS:
+            self._forget()
+        if len(words) > TABLE_WORDS:
+            return
+        upto = np.cumsum(n)
+        self.first = np.concatenate([self.first, len(self.flat) + upto - n])
+        self.flat = np.concatenate([self.flat, _taken(ids, first, n, upto)])
+        self.n, self.words = np.concatenate([self.n, n]), pa.concat_arrays([self.words, words])
 
     def _common(self, raw: bytes) -> list[np.ndarray]:
         """Ids of texts of common characters, each ended by a zero byte."""
         start = _starts(raw)
         off = np.append(start, len(raw)).astype(np.int32)
         words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(raw)]).dictionary_encode()
-        found = words.dictionary
-        at = pc.fill_null(pc.index_in(found, value_set=self.words), -1).to_numpy().copy()
-        if len(self.words) + np.count_nonzero(at < 0) > BPE.CACHE_WORDS:
-            self._forget()
-            at[:] = -1
-        new = at < 0
-        at[new] = len(self.words) + np.arange(np.count_nonzero(new))
+        found, which = words.dictionary, words.indices.to_numpy()
+        at = pc.fill_null(pc.index_in(found, value_set=self.words), -1).to_numpy()
+        flat, first, n, new = self.flat, np.empty(len(found), np.int64), np.empty(len(found), np.int64), at < 0
+        first[~new], n[~new] = self.first[at[~new]], self.n[at[~new]]
         if new.any():
-            self._learn(found.filter(pa.array(new)))
-        which = at[words.indices.to_numpy()]
-        n = self.n[which]
+            unknown = found.filter(pa.array(new))
+            ids, begin, size = self._learn(unknown)
+            flat, first[new], n[new] = np.concatenate([flat, ids]), len(flat) + begin, size
+            again = np.bincount(which, minlength=len(found))[new] > 1
+            self._keep(unknown.filter(pa.array(again)), ids, begin[again], size[again])
+        first, n = first[which], n[which]
         upto = np.cumsum(n)
-        ids = self.flat[np.repeat(self.first[which] - (upto - n), n) + np.arange(upto[-1])]
+        ids = _taken(flat, first, n, upto)
         ends = np.flatnonzero(np.frombuffer(raw, dtype=np.uint8)[start] == 0)
         return np.split(ids, upto[ends])[:-1]
 
@@ -384,7 +409,7 @@ class _Lane:
             for line, a, b in zip(s, self.upto[lo:hi].tolist(), self.upto[lo + 1:hi + 1].tolist()):
                 for x, y in zip(lo_of[a:b].tolist(), hi_of[a:b].tolist()):
                     if y - x <= n // WHOLE:
-                        line[post_doc[x:y]] += post_weight[x:y]
+                        line[post_doc[x:y].astype(np.intp)] += post_weight[x:y]     # numpy casts other indices a buffer at a time
                         continue
                     if x not in whole:
                         whole[x] = np.zeros(n, np.int32)
@@ -393,9 +418,15 @@ class _Lane:
             least = np.maximum(self.score[lo:hi, -1], 1)
             if n > k * GROUPS and k <= GROUPS:       # the k-th largest of group maxima is not above the k-th largest
                 width = n // GROUPS
-                top = s[:, :GROUPS * width].reshape(-1, GROUPS, width).max(axis=2)
+                groups = s[:, :GROUPS * width].reshape(-1, GROUPS, width)
+                top = groups.max(axis=2)
                 least = np.maximum(least, np.partition(top, GROUPS - k, axis=1)[:, GROUPS - k])
-            q, d = np.divmod(np.flatnonzero(s >= least[:, None]), n)
+                q, g = np.nonzero(top >= least[:, None])     # only these groups hold any, and the few after the last
+                of, at = np.nonzero(groups[q, g] >= least[q, None])
+                late, after = np.nonzero(s[:, GROUPS * width:] >= least[:, None])
+                q, d = np.append(q[of], late), np.append(g[of] * width + at, GROUPS * width + after)
+            else:
+                q, d = np.divmod(np.flatnonzero(s >= least[:, None]), n)
             if not len(q):
                 continue
             old_q, old = np.nonzero(self.score[lo:hi])

@@ -218,6 +218,49 @@ def test_words_in_pieces_like_the_library(vocabulary, library, monkeypatch):
         assert [x.tolist() for _ in range(2) for x in encode(pa.array(texts))] == want * 2
 
 
+def test_words_met_once_do_not_fill_the_table(vocabulary, library, monkeypatch):
+    """Texts in which most words are new: the table holds those that came
+    again, is of bounded size, and the ids are the library's."""
+    rnd = random.Random(2)
+    rare = ["".join(rnd.choice("abcdeéñ") for _ in range(9)) for _ in range(4000)]
+    texts = [" ".join(["the", "and", "of\n\n", "it's", *rare[i:i + 40]]) for i in range(0, 4000, 40)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    encode = P._Encoder(vocabulary)
+    assert [x.tolist() for _ in range(2) for x in encode(pa.array(texts))] == want * 2
+    assert len(encode.words) < 50
+    repeated = [t + "\n" + t for t in texts]
+    want = [library.encode(t, add_special_tokens=False).ids for t in repeated]
+    for most in (3, 500, 1 << 17):
+        monkeypatch.setattr(P, "TABLE_WORDS", most)
+        monkeypatch.setattr(P, "TEXT_BYTES", 5000)
+        encode = P._Encoder(vocabulary)
+        assert [x.tolist() for _ in range(2) for x in encode(pa.array(repeated))] == want * 2
+        assert len(encode.words) <= most
+
+
+@pytest.mark.parametrize("groups, n", [(8, 83), (8, 80), (128, 83)])
+def test_lists_by_groups_of_scores(groups, n, monkeypatch):
+    """The best of a share are found in groups of scores, in the few entries
+    after the last group, and where there are too few entries for groups."""
+    monkeypatch.setattr(P, "GROUPS", groups)
+    rnd = np.random.default_rng(n)
+    some = lambda most: rnd.choice(30, rnd.integers(0, most), replace=False).astype("<u2")
+    asked, shares = [some(8) for _ in range(50)], [[some(12) for _ in range(n)] for _ in range(2)]
+    name = rnd.integers(-2**62, 2**62, 2 * n)
+    lane = P._Lane(4, "<u2", 16, pa.table({"seed": range(50), "name": range(50), "query": [x.tobytes() for x in asked]}))
+    best = [[] for _ in asked]
+    for i, terms in enumerate(shares):
+        weight = [rnd.integers(1, 4, len(t)).astype(np.uint16) for t in terms]
+        lane.meet(pa.table({"row": range(i * n, i * n + n), "name": name[i * n:i * n + n], "length": [1] * n,
+                            "terms": [t.tobytes() for t in terms], "weights": [w.tobytes() for w in weight]}))
+        for q, x in enumerate(asked):
+            best[q] += [(-int(w[np.isin(t, x)].sum()), (int(name[r]) - q) % 2**64 >> 1, r)
+                        for r, (t, w) in enumerate(zip(terms, weight), i * n)]
+    want = [(q, r, -score) for q, every in enumerate(best) for score, _, r in sorted(x for x in every if x[0])[:4]]
+    got = [x for b in lane.lists() for x in zip(*(b.column(i).to_pylist() for i in (0, 1, 3)))]
+    assert got == want
+
+
 def test_claims(spark):
     """The turns of asking and winning, against a plain walk."""
     rnd = random.Random(3)
