@@ -39,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ from pyspark.sql import functions as F
 
 from qtrlens.llm import bpe as BPE
 from qtrlens.llm.bpe import load_bpe
-from qtrlens.llm.common import key_of, narrow, partition_keys, pieces, stored, text_buffer
+from qtrlens.llm.common import key_of, narrow, partition_keys, pieces, shuffle_parts, stored, text_buffer
 from qtrlens.operators.ordered import segmented_running_sum
 from qtrlens.operators.shares import struct_table
 
@@ -64,8 +65,12 @@ LANE_PLACES = 1 << 22                   # places in the lists of a lane, at most
 WHOLE = 8                               # an id in more than one of so many documents is kept as a row of all
 IMPACTS = 1 << 16                       # steps of a stored weight
 TEXT_BYTES = 1 << 22                    # text a task encodes at a time
-TABLE_WORDS = 1 << 17                   # words whose ids a task keeps at hand
-TEXT_IDS = 1 << 21                      # ids a task weighs at a time
+STEP_BYTES = 1 << 19                    # text cut into words by one numpy step, if a text has no more
+TABLE_WORDS = 1 << 18                   # places for words whose ids a task keeps at hand
+RARE_WORDS = 1 << 19                    # and for those of them that came once in a piece
+WORD_BYTES, WORD_IDS = 16, 8            # words of more bytes or ids are not kept
+WORDS_STEP = 1 << 15                    # words looked up by one numpy step
+TEXT_IDS = 1 << 18                      # ids a task weighs or cuts at a time
 CELLS = 1 << 20                         # scores of one numpy step
 GROUPS = 128                            # a row of scores is cut into so many groups to find a lower bound of the k-th
 K1, B = 1.2, 0.75
@@ -79,6 +84,7 @@ _CLASS = bytes(_END if i == 0 else _WHITE if i in (0x20, 0x09, 0x0A, 0x0D) else
                else _LETTER if i >= 0x80 or chr(i).isalpha() else _SIGN for i in range(256))
 _COMMON = np.zeros(256, dtype=bool)     # bytes of the characters that bpe._NOT_SIMPLE leaves
 _COMMON[[0x09, 0x0A, 0x0D, *range(0x20, 0x7F), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = True
+_ODD = (~_COMMON).tobytes()
 
 
 def _starts(raw: bytes) -> np.ndarray:
@@ -118,9 +124,80 @@ def _joined(words: pa.Array, which: np.ndarray, before: bytes = b"") -> str:
     return data[off[0]:off[-1]].tobytes().decode()
 
 
+def _runs(first: np.ndarray, n: np.ndarray, upto: np.ndarray) -> np.ndarray:
+    """The numbers of runs of ``n`` entries from ``first`` on, one after the other."""
+    at = np.repeat(first - (upto - n), n)
+    at += np.arange(len(at))
+    return at
+
+
 def _taken(flat: np.ndarray, first: np.ndarray, n: np.ndarray, upto: np.ndarray) -> np.ndarray:
     """Runs of ``n`` entries from ``first`` on, one after the other."""
-    return flat[np.repeat(first - (upto - n), n) + np.arange(upto[-1] if len(upto) else 0)]
+    out, done = np.empty(upto[-1] if len(upto) else 0, flat.dtype), 0
+    for lo in range(0, len(n), WORDS_STEP):
+        some = slice(lo, lo + WORDS_STEP)
+        to = int(upto[some][-1])
+        out[done:to] = flat[_runs(first[some], n[some], upto[some] - done)]
+        done = to
+    return out
+
+
+_KEPT = [np.array([(1 << 8 * min(max(n - at, 0), 8)) - 1 for n in range(WORD_BYTES + 1)] + [0], np.uint64) for at in (0, 8)]
+
+
+def _keys(raw: bytes, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of at most ``WORD_BYTES`` bytes, filled up by zeros, as two
+    numbers (the others: nought, like the zero byte)."""
+    data = np.frombuffer(raw + bytes(24 + -len(raw) % 8), dtype="<u8")
+    keys = np.empty((2, len(start)), np.uint64)
+    for lo in range(0, len(start), WORDS_STEP):
+        some = slice(lo, lo + WORDS_STEP)
+        at, n = start[some] >> 3, np.minimum(size[some], WORD_BYTES + 1)
+        right = (start[some] & 7).astype(np.uint64) << np.uint64(3)
+        left = np.uint64(64) - right                       # a shift by 64 gives nought
+        a, b, c = data[at], data[at + 1], data[at + 2]
+        keys[0, some] = (a >> right | b << left) & _KEPT[0][n]
+        keys[1, some] = (b >> right | c << left) & _KEPT[1][n]
+    return keys[0], keys[1]
+
+
+class _Table:
+    """Words and their ids, each in the one place its bytes say: a later word
+    takes the place of an earlier one."""
+
+    def __init__(self, most: int, kind):
+        self.bits = most.bit_length() - 1
+        self.low, self.high = np.zeros((2, 1 << self.bits), np.uint64)
+        self.n = np.zeros(1 << self.bits, np.uint8)
+        self.last, self.ids = np.zeros(1 << self.bits, np.int32), np.zeros(WORD_IDS << self.bits, kind)
+
+    def __len__(self) -> int:
+        return int(np.count_nonzero(self.n))
+
+    def _place(self, low, high):
+        mixed = (low ^ high * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether words are there, where their ids start, and their number."""
+        there, first, n = (np.empty(len(low), kind) for kind in (bool, np.int64, np.int64))
+        for lo in range(0, len(low), WORDS_STEP):
+            some = slice(lo, lo + WORDS_STEP)
+            at = self._place(low[some], high[some])
+            there[some] = (self.low[at] == low[some]) & (self.high[at] == high[some]) & (low[some] != 0)
+            first[some], n[some] = at * WORD_IDS, self.n[at]
+        return there, first, n
+
+    def keep(self, low: np.ndarray, high: np.ndarray, ids: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
+        fit = np.flatnonzero((low != 0) & (n <= WORD_IDS))
+        at = self._place(low[fit], high[fit])
+        self.last[at] = np.arange(len(at))
+        won = self.last[at] == np.arange(len(at))              # of several words for a place one
+        at, one = at[won], fit[won]
+        n = n[one]
+        upto = np.cumsum(n)
+        self.low[at], self.high[at], self.n[at] = low[one], high[one], n
+        self.ids[_runs(at * WORD_IDS, n, upto)] = _taken(ids, first[one], n, upto)
 
 
 class _Encoder:
@@ -141,13 +218,8 @@ class _Encoder:
         self.spaced = np.zeros(self.size, dtype=bool)
         self.spaced[[i for i in known if bpe.labels[i].startswith(b" ")]] = True
         self.zero = int(self._ids("\0")[0])
-        self._forget()
-
-    def _forget(self) -> None:
-        """The table of words and their ids: a cache of bounded size, of the
-        words that came more than once in a piece."""
-        self.words, self.flat = pa.array([], pa.binary()), np.zeros(0, self.kind)
-        self.first = self.n = np.zeros(0, np.int64)
+        # bounded caches: words that came more than once in a piece are not pushed out by those met once
+        self.words, self.rare = _Table(TABLE_WORDS, self.kind), _Table(RARE_WORDS, self.kind)
 
     def _ids(self, text: str) -> np.ndarray:
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype(self.kind)
@@ -175,36 +247,38 @@ class _Encoder:
         first[order] = np.cumsum(size[order]) - size[order]
         return np.concatenate(flat), first, size
 
-    def _keep(self, words: pa.Array, ids: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
-        """Put new words into the table."""
-        if len(self.words) + len(words) > TABLE_WORDS:
-            self._forget()
-        if len(words) > TABLE_WORDS:
-            return
-        upto = np.cumsum(n)
-        self.first = np.concatenate([self.first, len(self.flat) + upto - n])
-        self.flat = np.concatenate([self.flat, _taken(ids, first, n, upto)])
-        self.n, self.words = np.concatenate([self.n, n]), pa.concat_arrays([self.words, words])
-
     def _common(self, raw: bytes) -> list[np.ndarray]:
         """Ids of texts of common characters, each ended by a zero byte."""
-        start = _starts(raw)
-        off = np.append(start, len(raw)).astype(np.int32)
-        words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(raw)]).dictionary_encode()
-        found, which = words.dictionary, words.indices.to_numpy()
-        at = pc.fill_null(pc.index_in(found, value_set=self.words), -1).to_numpy()
-        flat, first, n, new = self.flat, np.empty(len(found), np.int64), np.empty(len(found), np.int64), at < 0
-        first[~new], n[~new] = self.first[at[~new]], self.n[at[~new]]
-        if new.any():
-            unknown = found.filter(pa.array(new))
-            ids, begin, size = self._learn(unknown)
-            flat, first[new], n[new] = np.concatenate([flat, ids]), len(flat) + begin, size
-            again = np.bincount(which, minlength=len(found))[new] > 1
-            self._keep(unknown.filter(pa.array(again)), ids, begin[again], size[again])
-        first, n = first[which], n[which]
+        ended = np.append(0, np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) == 0) + 1)
+        start = np.concatenate([ended[lo] + _starts(raw[ended[lo]:ended[hi]]) for lo, hi in pieces(ended, STEP_BYTES)])
+        off = np.append(start, len(raw))
+        low, high = _keys(raw, start, np.diff(off))
+        there, first, n = self.words.find(low, high)
+        flat, new = [self.words.ids], np.flatnonzero(~there & (low != 0) | (np.diff(off) > WORD_BYTES))
+        n[~there] = 0                                          # a text's end has no ids
+        if len(new):
+            words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(raw)])
+            words = words.take(pa.array(new)).dictionary_encode()
+            found, which = words.dictionary, words.indices.to_numpy()
+            one = np.empty(len(found), np.int64)
+            one[which] = new
+            low, high = low[one], high[one]
+            there, begin, size = self.rare.find(low, high)
+            upto = np.cumsum(size[there])
+            flat.append(_taken(self.rare.ids, begin[there], size[there], upto))
+            begin[there] = upto - size[there]
+            ids, own, size[~there] = self._learn(found.filter(pa.array(~there)))
+            begin[~there] = len(flat[1]) + own
+            flat.append(ids)
+            first[new], n[new] = len(flat[0]) + begin[which], size[which]
         upto = np.cumsum(n)
+        flat = np.concatenate(flat)                            # a copy: words kept now take places that are read here
         ids = _taken(flat, first, n, upto)
-        ends = np.flatnonzero(np.frombuffer(raw, dtype=np.uint8)[start] == 0)
+        if len(new):
+            again = np.bincount(which) > 1
+            for table, kept in (self.words, again), (self.rare, ~again & ~there):
+                table.keep(low[kept], high[kept], flat, len(self.words.ids) + begin[kept], size[kept])
+        ends = np.searchsorted(start, ended[1:] - 1)
         return np.split(ids, upto[ends])[:-1]
 
     def __call__(self, texts) -> list[np.ndarray]:
@@ -213,12 +287,12 @@ class _Encoder:
         out: list = [None] * len(texts)
         for lo, hi in pieces(off, TEXT_BYTES):
             part = data[off[lo]:off[hi]]
-            odd = np.append(~_COMMON[part], False)
+            raw = part.tobytes()
+            odd = np.flatnonzero(np.frombuffer(raw.translate(_ODD), dtype=bool))
             late = np.flatnonzero(part == 0xC9)            # only the first 16 characters of this block
-            odd[late[part[late + 1] > 0x8F]] = True
-            there = np.searchsorted(off, off[lo] + np.flatnonzero(odd), side="right") - 1
+            odd = np.append(odd, late[part[late + 1] > 0x8F])
+            there = np.searchsorted(off, off[lo] + odd, side="right") - 1
             rare = set(there.tolist())
-            raw = part.tobytes()
             if any(x in raw for x in self.special):
                 rare |= {i for i in range(lo, hi) if any(x in raw[off[i] - off[lo]:off[i + 1] - off[lo]] for x in self.special)}
             for i in rare:
@@ -265,37 +339,40 @@ def _tokenise(path, end_id):
                 docs += len(n)
                 tokens += sum(n)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(n), pa.int32()),
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(n), pa.binary()),
                      pa.array(rows, pa.int64()), pa.array(names, pa.int64())], names=_TOKEN_NAMES)
         if docs:                          # the task's document frequencies travel as a last row
             counts = np.concatenate([df, [docs, tokens]]).astype(np.int64).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([counts], pa.binary()),
-                 pa.array([1], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], names=_TOKEN_NAMES)
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                 pa.array([counts], pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], names=_TOKEN_NAMES)
     return run
 
 
 def tokenise(docs: DataFrame, path: str, id_col="doc_id", text_col="text", end_id: int = END_ID) -> DataFrame:
     """Stored table ``doc_id, n_tokens, ids`` (little-endian unsigned ids with
     the end id), ``row`` (unique) and ``name`` (hash of doc_id and ids), and
-    with ``counts`` set one row per task of frequencies."""
+    one row per task with its frequencies in ``counts`` and nothing else."""
     return stored(narrow(docs, id_col, text_col).mapInArrow(
-        _tokenise(path, end_id), "doc_id long, n_tokens long, ids binary, counts int, row long, name long"),
+        _tokenise(path, end_id), "doc_id long, n_tokens long, ids binary, counts binary, row long, name long"),
         "op7-tokens")
 
 
 def corpus_counts(tokens: DataFrame) -> dict[int, int]:
     """Documents per token id over the whole corpus, with the totals under the
-    pseudo terms: at most one entry per vocabulary entry."""
+    pseudo terms: at most one entry per vocabulary entry. A task adds up the
+    rows of many token tasks (only this column is read)."""
     def run(batches):
+        v = 0
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                v = np.frombuffer(raw, dtype=np.int64)
-                terms = np.concatenate([np.flatnonzero(v[:-2]), [_TOTAL_DOCS, _TOTAL_TOKENS]])
-                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(v[terms], pa.int64())],
-                                                 names=["term", "n"])
-
-    rows = tokens.where("counts is not null").select("ids").mapInArrow(run, "term long, n long") \
+            for raw in batch.column(0):
+                v = v + np.frombuffer(raw.as_buffer(), dtype=np.int64)
+        if np.ndim(v):
+            terms = np.concatenate([np.flatnonzero(v[:-2]), [_TOTAL_DOCS, _TOTAL_TOKENS]])
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(v[terms], pa.int64())], names=["term", "n"])
+
+    some = math.isqrt(shuffle_parts(tokens.sparkSession))
+    rows = tokens.where("counts is not null").select("counts").coalesce(some).mapInArrow(run, "term long, n long") \
         .groupBy("term").agg(F.sum("n").alias("n")).collect()          # bounded by the vocabulary
     return {r.term: r.n for r in rows}
 
@@ -419,7 +496,7 @@ class _Lane:
             if n > k * GROUPS and k <= GROUPS:       # the k-th largest of group maxima is not above the k-th largest
                 width = n // GROUPS
                 groups = s[:, :GROUPS * width].reshape(-1, GROUPS, width)
-                top = groups.max(axis=2)
+                top = np.maximum.reduceat(s[:, :GROUPS * width], np.arange(GROUPS) * width, axis=1)
                 least = np.maximum(least, np.partition(top, GROUPS - k, axis=1)[:, GROUPS - k])
                 q, g = np.nonzero(top >= least[:, None])     # only these groups hold any, and the few after the last
                 of, at = np.nonzero(groups[q, g] >= least[q, None])
@@ -512,7 +589,8 @@ def nearest_lists(seeds: DataFrame, others: DataFrame, k: int, kind: str) -> Dat
     found = (sent.unionByName(dealt).repartition(len(keys), "_cell").sortWithinPartitions("_cell", "_side")
              .mapInArrow(_cells(k, kind, SHARE_ROWS, SEED_BLOCK), _LIST))
     w = Window.partitionBy("seed").orderBy(F.desc("score"), "tie", "row")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    # dealt first: a cell has no more than k rows of a seed, so sorting them to find k would be in vain
+    return found.repartition("seed").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def claims(lists: DataFrame, rooms: DataFrame) -> list[DataFrame]:
@@ -521,19 +599,22 @@ def claims(lists: DataFrame, rooms: DataFrame) -> list[DataFrame]:
     turn every seed asks for its nearest open neighbours until they fill its
     room; the best score wins each, and what was asked for is used. A list is
     at most as many turns as it is long."""
-    left, got = lists.join(rooms, "seed").where("room > 0"), []
+    mine = Window.partitionBy("seed").orderBy("rank")
+    every = mine.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    length = F.when(F.col("open"), F.col("length"))
+    before = F.coalesce(F.sum(length).over(mine.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    asks = F.col("open") & (before < F.col("room"))          # stored with the table, so a turn deals its rows by seed once
+    names, got = [*lists.columns, "room", "asks"], []
+    left = stored(lists.join(rooms, "seed").where("room > 0").withColumn("open", F.lit(True)).withColumn("asks", asks)
+                  .select(names), "op7-lists")
     while True:
-        mine = Window.partitionBy("seed").orderBy("rank")
-        before = F.coalesce(F.sum("length").over(mine.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        asked = left.withColumn("asks", before < F.col("room"))
-        best = asked.where("asks").groupBy("row").agg(
+        best = left.where("asks").groupBy("row").agg(
             F.max(F.struct("score", (-F.col("tie")).alias("t"), "seed")).alias("best")).select("row", F.col("best.seed").alias("winner"))
-        turn = stored(asked.join(best, "row", "left").withColumn("wins", F.coalesce(F.col("asks") & (F.col("winner") == F.col("seed")), F.lit(False)))
-                      .withColumn("room", F.col("room") - F.sum(F.when(F.col("wins"), F.col("length")).otherwise(0))
-                                  .over(Window.partitionBy("seed"))), "op7-turn")
-        won = turn.where("wins").select("seed", "row", "length", "rank", F.lit(len(got)).alias("turn"))
-        got.append(won)
-        left = turn.where("winner is null and room > 0").select(*lists.columns, "room")
+        turn = stored(left.join(best, "row", "left").withColumn("wins", F.coalesce(F.col("asks") & (F.col("winner") == F.col("seed")), F.lit(False)))
+                      .withColumn("room", F.col("room") - F.sum(F.when(F.col("wins"), F.col("length")).otherwise(0)).over(every))
+                      .withColumn("open", F.col("winner").isNull() & (F.col("room") > 0)).withColumn("asks", asks), "op7-turn")
+        got.append(turn.where("wins").select("seed", "row", "length", "rank", F.lit(len(got)).alias("turn")))
+        left = turn.where("open").select(names)
         if left.isEmpty():
             return got
 
@@ -545,28 +626,28 @@ _OUT_NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_
 
 def _cut(window: int, kind: str, with_ids: bool):
     """Documents placed at ``at`` in the corpus' order to their pieces."""
-    def to_batch(rows):
-        types = [pa.int64()] * 7 + [pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_OUT_NAMES)
-
     def run(batches):
-        rows = []
         for batch in batches:
-            for doc_id, at, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                ids = np.frombuffer(raw.as_py(), dtype=kind)
-                start = 0
-                while start < len(ids):
-                    off = (at + start) % window
-                    length = min(len(ids) - start, window - off)
-                    part = ids[start:start + length].astype("<u4").tobytes()
-                    rows.append((doc_id, start, length, zlib.crc32(part), len(ids), (at + start) // window, off,
-                                 part if with_ids else None))
-                    start += length
-                    if len(rows) >= 4096:
-                        yield to_batch(rows)
-                        rows = []
-        if rows:
-            yield to_batch(rows)
+            every, sizes = _flat(batch.column(2), kind)
+            place, off = batch.column(1).to_numpy(), np.append(0, np.cumsum(sizes))
+            for lo, hi in pieces(off, TEXT_IDS):
+                ids, at, n = every[off[lo]:off[hi]].astype("<u4"), place[lo:hi], sizes[lo:hi]
+                upto = np.cumsum((at + n - 1) // window - at // window + 1)
+                doc = np.repeat(np.arange(hi - lo), np.diff(upto, prepend=0))
+                sequence = at[doc] // window + np.arange(len(doc)) - np.append(0, upto)[doc]
+                start = np.maximum(sequence * window - at[doc], 0)
+                length = np.minimum((sequence + 1) * window - at[doc], n[doc]) - start
+                raw, cut = memoryview(ids).cast("B"), np.append(0, np.cumsum(length)) * ids.itemsize
+                crc = [zlib.crc32(raw[a:b]) for a, b in pairwise(cut.tolist())]
+                numbers = [start, length, crc, n[doc], sequence, at[doc] + start - sequence * window]
+                out = [batch.column(0).take(pa.array(lo + doc)), *(pa.array(x, pa.int64()) for x in numbers)]
+                for a in range(0, len(doc), 4096):
+                    b = min(a + 4096, len(doc))
+                    yield pa.RecordBatch.from_arrays(
+                        [*(x.slice(a, b - a) for x in out), pa.Array.from_buffers(
+                            pa.binary(), b - a, [None, pa.py_buffer((cut[a:b + 1] - cut[a]).astype(np.int32)),
+                                                 pa.py_buffer(raw[cut[a]:cut[b]])]) if with_ids else pa.nulls(b - a, pa.binary())],
+                        names=_OUT_NAMES)
     return run
 
 
@@ -593,7 +674,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         left = left.withColumn("is_seed", draw < F.lit(round((1 - (1 - share) ** (2 ** turn)) * (1 << 20))))
         seeds, others = left.where("is_seed"), left.where(~F.col("is_seed")).drop("is_seed")
         rooms = seeds.select(F.col("row").alias("seed"), F.pmod(-F.col("length"), F.lit(window)).alias("room"))
-        won = claims(stored(nearest_lists(seeds, others, most, kind), "op7-lists"), rooms)
+        won = claims(nearest_lists(seeds, others, most, kind), rooms)
         own = seeds.select(F.col("row").alias("seed"), "row", "length", F.lit(-1).alias("rank"), F.lit(-1).alias("turn"))
         taken = won[0]
         for w in won[1:]:

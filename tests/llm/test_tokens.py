@@ -238,6 +238,58 @@ def test_words_met_once_do_not_fill_the_table(vocabulary, library, monkeypatch):
         assert len(encode.words) <= most
 
 
+def test_words_met_once_are_not_encoded_again(vocabulary, library, monkeypatch):
+    rnd = random.Random(4)
+    rare = list({"".join(rnd.choice("abcdeéñ") for _ in range(6)) for _ in range(3000)})
+    texts = [" ".join(rare[i:i + 40]) for i in range(0, len(rare), 40)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    encode, new = P._Encoder(vocabulary), []
+    learn = encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda words: new.append(len(words)) or learn(words))
+    for most in (len(rare), len(rare) // 20):          # a place may be another word's
+        assert [x.tolist() for x in encode(pa.array(texts))] == want
+        assert sum(new) <= 2 * most
+        new.clear()
+
+
+@pytest.mark.parametrize("places", [1, 2, 8, 1 << 10])
+def test_words_share_places(places, vocabulary, library, monkeypatch):
+    """Few places: words push each other out in the piece that reads them;
+    words alike in their first bytes and longer ones are told apart."""
+    monkeypatch.setattr(P, "TABLE_WORDS", places)
+    monkeypatch.setattr(P, "RARE_WORDS", places)
+    monkeypatch.setattr(P, "WORDS_STEP", 7)
+    monkeypatch.setattr(P, "STEP_BYTES", 50)
+    rnd = random.Random(places)
+    words = ["a" * n for n in (1, 7, 8, 9, 14, 15, 16, 17, 18, 40)] + ["a" * 15 + "b", "a" * 16 + "b", "xqzjvkwpxqzjvkw", "the", "it's", "é" * 8]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randrange(30))) for _ in range(200)] + ["", None, "\n\n"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    encode = P._Encoder(vocabulary)
+    for at in range(0, len(texts), 25):
+        assert [x.tolist() for x in encode(pa.array(texts[at:at + 25], pa.string()))] == want[at:at + 25]
+    assert len(encode.words) <= places and len(encode.rare) <= places
+
+
+def test_pieces_of_documents(monkeypatch):
+    """Pieces against a plain walk, for documents at window bounds."""
+    monkeypatch.setattr(P, "TEXT_IDS", 9)
+    sizes = [1, 7, 8, 9, 16, 3, 30, 1, 6]
+    ids = [np.arange(n, dtype="<u2") + 7 * i for i, n in enumerate(sizes)]
+    at = (np.cumsum(sizes) - sizes).tolist()
+    batch = pa.RecordBatch.from_arrays([pa.array([None, *range(1, 9)], pa.int64()), pa.array(at), pa.array([x.tobytes() for x in ids])], names="abc")
+    want = []
+    for doc, place, x in zip([None, *range(1, 9)], at, ids):
+        start = 0
+        while start < len(x):
+            n = min(len(x) - start, 8 - (place + start) % 8)
+            raw = x[start:start + n].astype("<u4").tobytes()
+            want.append((doc, start, n, zlib.crc32(raw), len(x), (place + start) // 8, (place + start) % 8, raw))
+            start += n
+    for with_ids in (True, False):
+        got = [x for b in P._cut(8, "<u2", with_ids)([batch.slice(0, 4), batch.slice(4), batch.slice(0, 0)]) for x in zip(*(c.to_pylist() for c in b.columns))]
+        assert got == (want if with_ids else [(*x[:7], None) for x in want])
+
+
 @pytest.mark.parametrize("groups, n", [(8, 83), (8, 80), (128, 83)])
 def test_lists_by_groups_of_scores(groups, n, monkeypatch):
     """The best of a share are found in groups of scores, in the few entries
