@@ -68,7 +68,7 @@ TEXT_BYTES = 1 << 22                    # text a task encodes at a time
 STEP_BYTES = 1 << 19                    # text cut into words by one numpy step, if a text has no more
 TABLE_WORDS = 1 << 18                   # places for words whose ids a task keeps at hand
 RARE_WORDS = 1 << 19                    # and for those of them that came once in a piece
-WORD_BYTES, WORD_IDS = 16, 8            # words of more bytes or ids are not kept
+WORD_BYTES, WORD_IDS = 15, 8            # words of more bytes or ids are not kept
 WORDS_STEP = 1 << 15                    # words looked up by one numpy step
 TEXT_IDS = 1 << 18                      # ids a task weighs or cuts at a time
 CELLS = 1 << 20                         # scores of one numpy step
@@ -167,12 +167,11 @@ class _Table:
 
     def __init__(self, most: int, kind):
         self.bits = most.bit_length() - 1
-        self.low, self.high = np.zeros((2, 1 << self.bits), np.uint64)
-        self.n = np.zeros(1 << self.bits, np.uint8)
+        self.keys = np.zeros((1 << self.bits, 2), np.uint64)   # the second one's free byte: the number of ids
         self.last, self.ids = np.zeros(1 << self.bits, np.int32), np.zeros(WORD_IDS << self.bits, kind)
 
     def __len__(self) -> int:
-        return int(np.count_nonzero(self.n))
+        return int(np.count_nonzero(self.keys[:, 0]))
 
     def _place(self, low, high):
         mixed = (low ^ high * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0x9E3779B97F4A7C15)
@@ -184,8 +183,9 @@ class _Table:
         for lo in range(0, len(low), WORDS_STEP):
             some = slice(lo, lo + WORDS_STEP)
             at = self._place(low[some], high[some])
-            there[some] = (self.low[at] == low[some]) & (self.high[at] == high[some]) & (low[some] != 0)
-            first[some], n[some] = at * WORD_IDS, self.n[at]
+            key = self.keys.take(at, axis=0)
+            there[some] = (key[:, 0] == low[some]) & (key[:, 1] << np.uint64(8) == high[some] << np.uint64(8)) & (low[some] != 0)
+            first[some], n[some] = at * WORD_IDS, key[:, 1] >> np.uint64(56)
         return there, first, n
 
     def keep(self, low: np.ndarray, high: np.ndarray, ids: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
@@ -196,7 +196,7 @@ class _Table:
         at, one = at[won], fit[won]
         n = n[one]
         upto = np.cumsum(n)
-        self.low[at], self.high[at], self.n[at] = low[one], high[one], n
+        self.keys[at, 0], self.keys[at, 1] = low[one], high[one] | n.astype(np.uint64) << np.uint64(56)
         self.ids[_runs(at * WORD_IDS, n, upto)] = _taken(ids, first[one], n, upto)
 
 
@@ -380,10 +380,14 @@ def corpus_counts(tokens: DataFrame) -> dict[int, int]:
 def _distinct(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text number, id and count of every different id of texts of ``n`` ids
     each, in this order."""
-    key = np.sort(np.repeat(np.arange(len(n), dtype=np.int64) << 32, n) | ids)
+    bits = int(ids.max(initial=0)).bit_length()
+    kind = np.uint32 if len(n).bit_length() + bits <= 32 else np.int64         # short keys are sorted faster
+    key = np.repeat(np.arange(len(n), dtype=kind) << kind(bits), n)
+    key |= ids.astype(kind)
+    key.sort()
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-    key, tf = key[first], np.diff(np.append(first, len(key)))
-    return key >> 32, key & 0xFFFFFFFF, tf
+    key, tf = key[first].astype(np.int64), np.diff(np.append(first, len(key)))
+    return key >> bits, key & ((1 << bits) - 1), tf
 
 
 def weights_of(ids: np.ndarray, n: np.ndarray, idf: np.ndarray, avg_len: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
