@@ -118,7 +118,8 @@ def fingerprint_links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     crowded = met.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("cell", F.lit(True).alias("split"))
     rows = met.join(crowded, "cell", "left").select(
         "fp", "cell", F.explode(F.when(F.col("split"), F.expr(_HALFWAY)).otherwise(F.array(F.lit(0).cast("long")))).alias("z"))
-    other = rows.select(F.col("fp").alias("other"), "cell", "z")
+    # Spark sizes rows by the file of points, not by the cells they are spread over, and would broadcast them
+    other = rows.select(F.col("fp").alias("other"), "cell", "z").hint("merge")
     return (rows.join(other, ["cell", "z"])
             .where((F.col("fp") < F.col("other")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= RADIUS))
             .select(F.col("fp").alias("a"), F.col("other").alias("b")))
@@ -133,10 +134,11 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         _fingerprints(shingle), "doc_id long, fp long, n_shingles long"), "op12-fingerprints")
     labels = components(fingerprint_links(texts.select("fp").distinct(), crowd))
     first = texts.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    classed = first.join(labels.withColumnRenamed("id", "fp"), "fp", "left").select(
+    # a row per fingerprint takes 5 to 20 times the memory that Spark's size of it says: not broadcast either
+    classed = first.join(labels.withColumnRenamed("id", "fp").hint("merge"), "fp", "left").select(
         "fp", "first", F.coalesce("comp", "fp").alias("class"))
     least = classed.groupBy("class").agg(F.min("first").alias("component_id"))
     # one row per fingerprint, stored: a fingerprint with very many copies then meets it in a join that splits
-    named = stored(classed.join(least, "class").select("fp", "component_id"), "op12-components")
-    return texts.join(named, "fp").select(
+    named = stored(classed.join(least.hint("merge"), "class").select("fp", "component_id"), "op12-components")
+    return texts.join(named.hint("merge"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "n_shingles", "component_id")

@@ -60,6 +60,30 @@ def test_links(spark):
         assert {(r.a, r.b) for r in S.fingerprint_links(df, crowd).collect()} == want
 
 
+def plan_of(df):
+    """The plan as carried out; ``df`` was collected."""
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_spread_rows_are_not_broadcast(spark):
+    """Spark sizes the rows of all cells by the small file of points they come
+    from; they are joined without a broadcast."""
+    rnd = random.Random(2)
+    vals = [rnd.getrandbits(64) for _ in range(300)]
+    df = spark.createDataFrame([(signed(v),) for v in [*vals, *(v ^ 1 for v in vals)]], "fp long")
+    links = S.fingerprint_links(df)
+    assert len({(r.a, r.b) for r in links.collect()}) == 300
+    plan = plan_of(links)
+    joins = [line for line in plan.splitlines() if "Join" in line and "z#" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins), plan
+
+
+def test_fingerprints_are_not_broadcast(spark, docs):
+    """A table with a row per fingerprint meets the texts without a broadcast."""
+    found = S.simhash_dedup(docs)
+    assert found.collect() and "Broadcast" not in plan_of(found)
+
+
 def test_documents(spark, docs, rows, no_docs):
     got = S.simhash_dedup(docs).collect()
     assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got), key=str) == reference_simhash(rows)
